@@ -21,10 +21,11 @@ def normalise_candle_time(candles: DataFrame, col: str = "datetime", tz: str = M
     ``2023-01-31T09:15:00+05:30`` -> ``2023-01-31 09:15:00``.  Requires the session
     zone to be UTC.
     """
-    instant = F.try_to_timestamp(F.col(col))
-    local = F.from_utc_timestamp(instant, tz)
-    return (candles.withColumn(col, format_local(local))
-            .withColumn("trade_date", F.to_date(local)))
+    local = F.from_utc_timestamp(F.try_to_timestamp(F.col(col)), tz)
+    return (candles.withColumn("_local", local)
+            .withColumn(col, format_local(F.col("_local")))
+            .withColumn("trade_date", F.to_date(F.col("_local")))
+            .drop("_local"))
 
 
 def _as_date(v) -> Column:

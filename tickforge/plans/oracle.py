@@ -259,3 +259,12 @@ GROUP BY request_id""", "H", "C"),
     "date_chunks": _date_chunks(False),
     "date_chunks_legacy": _date_chunks(True),
 }
+
+# Streaming jobs: the enrich stream equals the batch join; the append-mode bar
+# stream holds exactly the bars whose window closed behind the final watermark
+# (latest event time minus the 10-minute lateness).
+ORACLE["stream_enrich"] = with_views("""SELECT pos, instrument_token, exchange_token, trading_symbol,
+  instrument_type, last_price, volume, oi FROM E""", "E")
+ORACLE["stream_ltp"] = ORACLE["ltp"]
+ORACLE["stream_bars"] = with_views(f"""SELECT {CANDLE_SEL} FROM B1
+WHERE bucket + INTERVAL 1 MINUTE - {LOCAL} <= (SELECT max(ts) FROM T) - INTERVAL 10 MINUTE""", "B1")

@@ -15,8 +15,7 @@ LATENESS = "10 minutes"
 
 
 def _ticks(spark: SparkSession, d: str) -> DataFrame:
-    path = f"{d}/events.parquet"
-    events = tick_stream(spark, path, V.table(spark, d, "events").schema)
+    events = tick_stream(spark, d, V.table(spark, d, "events").schema, file_glob="events.parquet")
     return events.select("event_id", F.col("user_id").alias("exchange_token"),
                          F.col("ts").cast("timestamp").alias("ts"), F.col("value").alias("price"),
                          F.get_json_object("props", "$.k").cast("long").alias("qty"),

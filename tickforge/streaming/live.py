@@ -38,9 +38,12 @@ def zone_offset_seconds(tz: str, at: _dt.datetime | None = None) -> int:
 
 
 def tick_stream(spark: SparkSession, path: str, schema: T.StructType | str,
-                max_files_per_trigger: int | None = None) -> DataFrame:
-    """Events landed as parquet files -> tick stream with TIMESTAMP ``ts``."""
+                max_files_per_trigger: int | None = None, file_glob: str | None = None) -> DataFrame:
+    """Parquet files landing in folder ``path`` as a stream (``file_glob``
+    restricts which file names belong to it)."""
     r = spark.readStream.schema(schema)
+    if file_glob:
+        r = r.option("pathGlobFilter", file_glob)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return r.parquet(path)

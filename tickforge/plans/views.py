@@ -19,8 +19,18 @@ AS_OF = "2024-01-20"
 MARKET_OFFSET = "+05:30"
 
 
+_TABLES: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """The driver's table ``name``; the relation (not its data) is reused per
+    session, so a job that reads a table twice lists and resolves it once."""
+    key = (id(spark), sf_dir, name)
+    df = _TABLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        _TABLES[key] = df
+    return df
 
 
 def _venue(pk):

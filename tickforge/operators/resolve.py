@@ -119,10 +119,10 @@ def unresolved_requests(requests: DataFrame, master: DataFrame, fail: bool = Fal
     """
     _, bad = resolve_instruments(requests, master)
     if fail:
-        return bad.select("*", F.assert_true(F.lit(False),
-                                             F.concat(F.lit("unresolved request item: "),
-                                                      F.coalesce(F.col("exchange_token"), F.lit("")))
-                                             ).alias("_check")).drop("_check")
+        msg = F.concat(F.lit("unresolved request item: "), F.coalesce(F.col("exchange_token"), F.lit("")),
+                       F.lit(" ("), F.col("reason"), F.lit(")"))
+        # A filter keeps the check in the plan (a dropped column would be pruned).
+        return bad.where(F.assert_true(F.lit(False), msg).isNull())
     return bad
 
 

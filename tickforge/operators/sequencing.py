@@ -6,10 +6,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickforge.operators.joins import broadcast_if_small
+from tickforge.session import checkpoint_root
 
 
 def ordinal_within(df: DataFrame, group_cols: list[str], order_cols: list[str],
-                   out: str = "ordinal", n_ranges: int | None = None) -> DataFrame:
+                   out: str = "ordinal", n_ranges: int | None = None,
+                   checkpoint: bool = True) -> DataFrame:
     """1-based position of each row inside its group, ordered by ``order_cols``.
 
     Same result as ``row_number() OVER (PARTITION BY group ORDER BY order)`` but
@@ -24,15 +26,22 @@ def ordinal_within(df: DataFrame, group_cols: list[str], order_cols: list[str],
     4. join the offsets back (broadcast when small) and add.
 
     ``order_cols`` must order rows of a group totally (add a tie-breaker).
-    The range exchange is reused by both branches, so ids and counts agree.
+    Range bounds come from sampling and ids from row order, so the numbered
+    rows are checkpointed (reliably, under ``spark.checkpoint.dir``) before
+    the two branches read them: ids and counts then agree, and a lost
+    executor cannot renumber rows.  ``checkpoint=False`` skips that for
+    inputs known to be deterministic.
     """
     spark = df.sparkSession
     n = n_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [*group_cols, *order_cols]
     ranged = (df.repartitionByRange(n, *keys)
               .sortWithinPartitions(*keys)
-              .withColumn("_mid", F.monotonically_increasing_id())
-              .withColumn("_rng", F.shiftright(F.col("_mid"), 33)))
+              .withColumn("_mid", F.monotonically_increasing_id()))
+    if checkpoint:
+        checkpoint_root(spark)
+        ranged = ranged.checkpoint(eager=True)
+    ranged = ranged.withColumn("_rng", F.shiftright(F.col("_mid"), 33))
     stats = (ranged.groupBy(*group_cols, "_rng")
              .agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_cnt")))
     before = (Window.partitionBy(*group_cols).orderBy("_rng")

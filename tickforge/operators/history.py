@@ -61,6 +61,8 @@ def historical_data(requests: DataFrame, candles: DataFrame, key: str = "exchang
                         F.to_date(F.col(to_col)).alias("_to")),
         F.col("_from"), F.col("_to"), out="_day").select(request_col, key, "_day")
     c = candles.select(F.col(key).alias("_c_key"), F.col("trade_date").alias("_c_day"), *CANDLE_COLUMNS)
+    # The probe's size estimate ignores the day explode, so no explicit
+    # broadcast: AQE picks broadcast or sort-merge from the measured size.
     joined = broadcast_if_small(probe).join(
         c, (F.col(key) == F.col("_c_key")) & (F.col("_day") == F.col("_c_day")))
     return joined.select(request_col, key, *CANDLE_COLUMNS)

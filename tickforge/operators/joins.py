@@ -22,14 +22,22 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(stats.sizeInBytes()))
 
 
+def estimate_is_upper_bound(df: DataFrame) -> bool:
+    """False when the plan holds a node whose estimate can fall below its real
+    size: ``Generate`` (explode) keeps its child's row count in the estimate."""
+    tree = df._jdf.queryExecution().optimizedPlan().treeString()
+    return not any(line.lstrip(" :+-").startswith("Generate ") for line in tree.splitlines())
+
+
 def broadcast_if_small(df: DataFrame, limit: int | None = None) -> DataFrame:
-    """``F.broadcast(df)`` when its estimated size is within ``limit``, else ``df``.
+    """``F.broadcast(df)`` when its estimated size is a safe bound and within
+    ``limit``, else ``df`` unchanged (AQE then decides from measured sizes).
 
     ``limit`` defaults to ``spark.tickforge.broadcastLimit`` or 64 MiB.
     """
     if limit is None:
         conf = df.sparkSession.conf.get("spark.tickforge.broadcastLimit", None)
         limit = int(conf) if conf else DEFAULT_BROADCAST_LIMIT
-    if estimated_bytes(df) <= limit:
+    if estimate_is_upper_bound(df) and estimated_bytes(df) <= limit:
         return F.broadcast(df)
     return df

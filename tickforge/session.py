@@ -63,6 +63,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder; a machine-local "
+                               "temp folder is only used in local mode")
         root = tempfile.mkdtemp(prefix="tickforge-ckpt-")
         sc.setCheckpointDir(root)
     elif sc.getCheckpointDir() is None:

@@ -46,7 +46,7 @@ def trailing_window(candles: DataFrame, as_of, days: int = 10,
 
 def historical_data(requests: DataFrame, candles: DataFrame, key: str = "exchange_token",
                     from_col: str = "from_date", to_col: str = "to_date",
-                    request_col: str = "request_id") -> DataFrame:
+                    request_col: str = "request_id", extra_keys: tuple[str, ...] = ()) -> DataFrame:
     """Per request, the candles of its instrument with ``from <= trade_date <= to``.
 
     The range becomes one probe row per day, so the join is an equi-join on
@@ -54,17 +54,22 @@ def historical_data(requests: DataFrame, candles: DataFrame, key: str = "exchang
     instead of one join task, and a date-partitioned candle table is pruned.
     Output columns: ``request_id, key, datetime, open, high, low, close, volume,
     oi`` -- sort with ``orderBy(request_id, datetime)`` where order matters.
+    ``extra_keys`` (e.g. ``interval_name``) must match between request and candle.
     """
+    extra = list(extra_keys)
     probe = explode_days(
-        requests.select(F.col(request_col), F.col(key),
+        requests.select(F.col(request_col), F.col(key), *extra,
                         F.to_date(F.col(from_col)).alias("_from"),
                         F.to_date(F.col(to_col)).alias("_to")),
-        F.col("_from"), F.col("_to"), out="_day").select(request_col, key, "_day")
-    c = candles.select(F.col(key).alias("_c_key"), F.col("trade_date").alias("_c_day"), *CANDLE_COLUMNS)
-    # The probe's size estimate ignores the day explode, so no explicit
-    # broadcast: AQE picks broadcast or sort-merge from the measured size.
-    joined = broadcast_if_small(probe).join(
-        c, (F.col(key) == F.col("_c_key")) & (F.col("_day") == F.col("_c_day")))
+        F.col("_from"), F.col("_to"), out="_day").select(request_col, key, *extra, "_day")
+    c = candles.select(F.col(key).alias("_c_key"), F.col("trade_date").alias("_c_day"),
+                       *[F.col(k).alias(f"_c_{k}") for k in extra], *CANDLE_COLUMNS)
+    cond = (F.col(key) == F.col("_c_key")) & (F.col("_day") == F.col("_c_day"))
+    for k in extra:
+        cond = cond & (F.col(k) == F.col(f"_c_{k}"))
+    # The probe's size estimate ignores the day explode, so broadcast_if_small
+    # declines it: AQE picks broadcast or sort-merge from the measured size.
+    joined = broadcast_if_small(probe).join(c, cond)
     return joined.select(request_col, key, *CANDLE_COLUMNS)
 
 

@@ -18,9 +18,9 @@ from tickforge.operators import (
     ohlc_quote, plan_date_chunks, plan_key_batches, quote_matrix, resolve_instruments,
     resolve_symbols, trailing_window, unify_masters, unresolved_requests, validate_requests,
 )
+from tickforge.operators import endpoints as E
 from tickforge.operators.history import normalise_candle_time
 from tickforge.operators.joins import broadcast_if_small
-from tickforge.operators.resolve import with_request_defaults
 from tickforge.plans import staging, views as V
 from tickforge.sinks import list_master, request_status, write_candles
 from tickforge.sources import (
@@ -191,7 +191,8 @@ def q_full_quote(spark, d):
 
 def _flat_quote(fq):
     from tickforge.functions.exprs import format_local, to_market_time
-    return fq.select("exchange_token", F.date_format("trade_date", "yyyy-MM-dd").alias("trade_date"),
+    carry = [c for c in ("request_id", "pos", "instrument_key") if c in fq.columns]
+    return fq.select(*carry, "exchange_token", F.date_format("trade_date", "yyyy-MM-dd").alias("trade_date"),
                      "ohlc.open", "ohlc.high", "ohlc.low", "ohlc.close", "last_price", "volume", "oi",
                      format_local(to_market_time("timestamp")).alias("timestamp"))
 
@@ -262,8 +263,31 @@ def q_date_chunks_legacy(spark, d):
                      F.date_format("chunk_to", "yyyy-MM-dd").alias("chunk_to"))
 
 
-def q_requests_defaults(spark, d):
-    return with_request_defaults(V.requests_view(spark, d))
+# --- endpoints over request tables ------------------------------------------
+
+def q_ltp_for_requests(spark, d):
+    rows, _ = E.ltp_for_requests(V.requests_view(spark, d), V.master_view(spark, d), V.ticks_view(spark, d))
+    return rows.select("request_id", "pos", "instrument_key", "last_price", "last_time")
+
+
+def q_ohlc_for_requests(spark, d):
+    rows, _ = E.ohlc_for_requests(V.requests_view(spark, d), V.master_view(spark, d), V.ticks_view(spark, d),
+                                  "I30")
+    return rows.select("request_id", "pos", "instrument_key", "datetime", "open", "high", "low", "close",
+                       "volume", "last_price")
+
+
+def q_full_quote_for_requests(spark, d):
+    rows, _ = E.full_quote_for_requests(V.requests_view(spark, d), V.master_view(spark, d),
+                                        V.ticks_view(spark, d))
+    return _flat_quote(rows).drop("exchange_token")
+
+
+def q_historical_for_requests(spark, d):
+    candles = V.candles_view(spark, d).withColumn("interval_name", F.lit("day"))
+    rows, _ = E.historical_for_requests(V.history_service_requests_view(spark, d), V.master_view(spark, d),
+                                        candles, full_market_quote(V.ticks_view(spark, d)), V.TODAY)
+    return rows
 
 
 def queries() -> dict[str, Query]:
@@ -306,6 +330,10 @@ def queries() -> dict[str, Query]:
         "key_batches_450": _key_batches(450),
         "date_chunks": q_date_chunks,
         "date_chunks_legacy": q_date_chunks_legacy,
+        "ltp_for_requests": q_ltp_for_requests,
+        "ohlc_for_requests": q_ohlc_for_requests,
+        "full_quote_for_requests": q_full_quote_for_requests,
+        "historical_for_requests": q_historical_for_requests,
     }
     q.update(streams.queries())
     return q

@@ -89,12 +89,21 @@ CTES = {
   FROM orders WHERE o_orderkey % 10 = 0)""",
     "DC": """DC AS (SELECT o_orderkey AS request_id, CAST(o_orderdate AS DATE) AS from_date,
   CAST(o_orderdate AS DATE) + CAST((o_orderkey * 37) % 2600 - 1 AS INTEGER) AS to_date FROM orders)""",
+    "L": f"""L AS (SELECT exchange_token, first(price ORDER BY ts DESC, event_id DESC) AS last_price,
+  strftime(max(ts) + {LOCAL}, {FMT}) AS last_time FROM T GROUP BY exchange_token)""",
+    "HR": """HR AS (SELECT H.request_id,
+  CASE WHEN H.request_id % 170 = 0 THEN '' ELSE CAST(H.exchange_token AS VARCHAR) END AS exchange_token,
+  M.venue AS exchange,
+  CASE WHEN H.request_id % 13 = 0 THEN 'PROMO' ELSE split_part(M.exchange, '_', 2) END AS instrument_type,
+  CASE WHEN H.request_id % 190 = 0 THEN NULL ELSE 'day' END AS interval_name,
+  strftime(H.from_date, '%Y-%m-%d') AS from_date, strftime(H.to_date, '%Y-%m-%d') AS to_date
+  FROM H LEFT JOIN M ON M.exchange_token = H.exchange_token)""",
     "RB": """RB AS (SELECT event_type AS request_id, event_id AS pos,
   'NSE_EQ|' || CAST(user_id AS VARCHAR) AS instrument_key FROM events)""",
 }
 
 # CTE dependencies, so a query names only what it reads.
-DEPS = {"MD": ["M"], "MBD": ["MB"], "RV": ["R"], "Q": ["T", "M"], "E": ["Q", "M"], "QM": ["E"],
+DEPS = {"L": ["T"], "HR": ["H", "M"], "MD": ["M"], "MBD": ["MB"], "RV": ["R"], "Q": ["T", "M"], "E": ["Q", "M"], "QM": ["E"],
         "B1": ["T"], "B5": ["T"], "B30": ["T"], "C": ["T"], "FQ": ["C"]}
 
 
@@ -263,6 +272,38 @@ GROUP BY request_id""", "H", "C"),
 # Streaming jobs: the enrich stream equals the batch join; the append-mode bar
 # stream holds exactly the bars whose window closed behind the final watermark
 # (latest event time minus the 10-minute lateness).
+ORACLE["ltp_for_requests"] = with_views(f"""SELECT RV.request_id, RV.pos, MD.instrument_key, L.last_price,
+  L.last_time FROM RV JOIN MD ON {_MATCH} JOIN L ON L.exchange_token = RV.token_int""", "RV", "MD", "L")
+ORACLE["ohlc_for_requests"] = with_views(f"""SELECT RV.request_id, RV.pos, MD.instrument_key, b.datetime, b.open,
+  b.high, b.low, b.close, b.volume, b.close AS last_price
+FROM RV JOIN MD ON {_MATCH}
+JOIN (SELECT * FROM (SELECT B30.*, row_number() OVER (PARTITION BY exchange_token ORDER BY bucket DESC) AS rn
+      FROM B30) WHERE rn = 1) b ON b.exchange_token = RV.token_int""", "RV", "MD", "B30")
+ORACLE["full_quote_for_requests"] = with_views(f"""SELECT RV.request_id, RV.pos, MD.instrument_key,
+  strftime(FQ.trade_date, '%Y-%m-%d') AS trade_date, FQ.open, FQ.high, FQ.low, FQ.close, FQ.close AS last_price,
+  FQ.volume, FQ.oi, strftime(FQ.last_ts + {LOCAL}, {FMT}) AS timestamp
+FROM RV JOIN MD ON {_MATCH} JOIN FQ ON FQ.exchange_token = RV.token_int""", "RV", "MD", "FQ")
+ORACLE["historical_for_requests"] = with_views(f"""SELECT request_id, exchange_token, datetime, open, high, low,
+  close, volume, oi FROM HIST
+UNION ALL
+SELECT RES.request_id, FQ.exchange_token, strftime(FQ.last_ts + {LOCAL}, {FMT}) AS datetime, FQ.open, FQ.high,
+  FQ.low, FQ.close, FQ.volume, FQ.oi
+FROM RES JOIN FQ ON FQ.exchange_token = RES.token_int
+WHERE CAST(RES.to_date AS DATE) = DATE '2024-01-30'
+  AND EXISTS (SELECT 1 FROM HIST WHERE HIST.request_id = RES.request_id)
+  AND NOT EXISTS (SELECT 1 FROM HIST WHERE HIST.request_id = RES.request_id
+                  AND HIST.trade_date = DATE '2024-01-30')""", "HR", "M", "MD", "C", "FQ").replace(
+    "\nSELECT request_id, exchange_token, datetime", """,
+RES AS (SELECT HR.*, try_cast(HR.exchange_token AS INTEGER) AS token_int FROM HR
+        JOIN MD ON MD.exchange_token = try_cast(HR.exchange_token AS INTEGER)
+         AND MD.exchange = coalesce(HR.exchange, 'NSE') || '_' || HR.instrument_type
+        WHERE coalesce(HR.exchange_token, '') <> '' AND coalesce(HR.interval_name, '') <> ''
+          AND coalesce(HR.from_date, '') <> '' AND coalesce(HR.to_date, '') <> ''
+          AND coalesce(HR.instrument_type, '') <> ''),
+HIST AS (SELECT RES.request_id, C.exchange_token, C.datetime, C.open, C.high, C.low, C.close, C.volume, C.oi,
+         C.trade_date FROM RES JOIN C ON C.exchange_token = RES.token_int
+         AND C.trade_date BETWEEN CAST(RES.from_date AS DATE) AND CAST(RES.to_date AS DATE))
+SELECT request_id, exchange_token, datetime""", 1)
 ORACLE["stream_enrich"] = with_views("""SELECT pos, instrument_token, exchange_token, trading_symbol,
   instrument_type, last_price, volume, oi FROM E""", "E")
 ORACLE["stream_ltp"] = ORACLE["ltp"]

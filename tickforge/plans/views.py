@@ -201,3 +201,23 @@ def batch_keys_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     return e.select(F.col("event_type").alias("request_id"), F.col("event_id").alias("pos"),
                     F.concat(F.lit("NSE_EQ|"), F.col("user_id").cast("string")).alias("instrument_key"))
+
+
+def history_service_requests_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """HR: H as the history endpoint receives it -- strings, with the instrument's
+    exchange and type from the master, some missing parameters and wrong types."""
+    h = history_requests_view(spark, sf_dir)
+    m = master_view(spark, sf_dir).select(F.col("exchange_token").alias("_mt"), "venue",
+                                          F.col("exchange").alias("_mx"))
+    j = h.join(m, h["exchange_token"] == m["_mt"], "left")
+    rid = F.col("request_id")
+    return j.select(
+        "request_id",
+        F.when(rid % 170 == 0, F.lit("")).otherwise(F.col("exchange_token").cast("string")).alias("exchange_token"),
+        F.col("venue").alias("exchange"),
+        F.when(rid % 13 == 0, F.lit("PROMO")).otherwise(F.split_part("_mx", F.lit("_"), F.lit(2)))
+         .alias("instrument_type"),
+        F.when(rid % 190 == 0, F.lit(None).cast("string")).otherwise(F.lit("day")).alias("interval_name"),
+        F.date_format("from_date", "yyyy-MM-dd").alias("from_date"),
+        F.date_format("to_date", "yyyy-MM-dd").alias("to_date"),
+    )

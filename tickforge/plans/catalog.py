@@ -119,7 +119,10 @@ def q_unified_master(spark, d):
 
 def q_index_backfill(spark, d):
     master = _master_json(spark, d)
-    keys = V.master_view(spark, d).where(F.col("exchange_token") % 3 == 0).select("instrument_key")
+    # Index-like instruments: the map covers the PROMO and SMALL types.
+    keys = (V.master_view(spark, d)
+            .where(F.col("exchange").endswith("_PROMO") | F.col("exchange").endswith("_SMALL"))
+            .select("instrument_key"))
     out = backfill_index_symbols(master, index_symbol_map(keys))
     return out.select("instrument_key", "trading_symbol")
 

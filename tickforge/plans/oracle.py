@@ -86,7 +86,7 @@ CTES = {
   o_custkey % (SELECT count(DISTINCT user_id) FROM events) AS exchange_token,
   DATE '2024-01-01' + CAST(o_orderkey % 30 AS INTEGER) AS from_date,
   DATE '2024-01-01' + CAST(o_orderkey % 30 AS INTEGER) + CAST((o_orderkey * 37) % 12 - 1 AS INTEGER) AS to_date
-  FROM orders WHERE o_orderkey % 10 = 0)""",
+  FROM orders)""",
     "DC": """DC AS (SELECT o_orderkey AS request_id, CAST(o_orderdate AS DATE) AS from_date,
   CAST(o_orderdate AS DATE) + CAST((o_orderkey * 37) % 2600 - 1 AS INTEGER) AS to_date FROM orders)""",
     "L": f"""L AS (SELECT exchange_token, first(price ORDER BY ts DESC, event_id DESC) AS last_price,
@@ -198,7 +198,8 @@ SELECT 'feed_b' AS broker, CAST(instrument_token AS VARCHAR), exchange_token, ex
     "index_backfill": with_views("""SELECT M.instrument_key,
   CASE WHEN M.tradingsymbol = '' THEN mp.sym ELSE M.tradingsymbol END AS trading_symbol
 FROM M LEFT JOIN (SELECT DISTINCT instrument_key AS k, upper(trim(split_part(instrument_key, '|', 2))) AS sym
-                  FROM M WHERE exchange_token % 3 = 0) mp ON mp.k = M.instrument_key""", "M"),
+                  FROM M WHERE split_part(exchange, '_', 2) IN ('PROMO', 'SMALL')) mp
+  ON mp.k = M.instrument_key""", "M"),
     "rejected_requests": with_views("""SELECT request_id, pos, reason FROM (
   SELECT request_id, pos,
     CASE WHEN interval_name IS NULL OR interval_name NOT IN ('1d', 'I1', 'I30') THEN 'bad_interval'

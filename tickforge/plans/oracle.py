@@ -107,7 +107,8 @@ DEPS = {"L": ["T"], "HR": ["H", "M"], "MD": ["M"], "MBD": ["MB"], "RV": ["R"], "
         "B1": ["T"], "B5": ["T"], "B30": ["T"], "C": ["T"], "FQ": ["C"]}
 
 
-def with_views(body: str, *names: str) -> str:
+def with_views(body: str, *names: str, extra: tuple[str, ...] = ()) -> str:
+    """``WITH`` the named views (and their dependencies), then ``extra`` CTEs, then ``body``."""
     order: list[str] = []
 
     def add(n):
@@ -118,7 +119,7 @@ def with_views(body: str, *names: str) -> str:
 
     for n in names:
         add(n)
-    return "WITH " + ",\n".join(CTES[n] for n in order) + "\n" + body
+    return "WITH " + ",\n".join([*(CTES[n] for n in order), *extra]) + "\n" + body
 
 
 CANDLE_SEL = "exchange_token, datetime, open, high, low, close, volume, oi"
@@ -231,9 +232,8 @@ SELECT exchange_token, strftime(last_ts + {LOCAL}, {FMT}) AS datetime, open, hig
 FROM FQ WHERE exchange_token % 6 <> 0
   AND EXISTS (SELECT 1 FROM C2 WHERE C2.exchange_token = FQ.exchange_token)
   AND NOT EXISTS (SELECT 1 FROM C2 WHERE C2.exchange_token = FQ.exchange_token
-                  AND C2.trade_date = DATE '2024-01-30')""", "C", "FQ").replace(
-        "\n\nSELECT", ",\nC2 AS (SELECT * FROM C WHERE NOT (trade_date = DATE '2024-01-30' "
-        "AND exchange_token % 2 = 0))\nSELECT", 1),
+                  AND C2.trade_date = DATE '2024-01-30')""", "C", "FQ",
+        extra=("C2 AS (SELECT * FROM C WHERE NOT (trade_date = DATE '2024-01-30' AND exchange_token % 2 = 0))",)),
     "quotes_merged": with_views("""SELECT exchange_token, batch_no, quote_key, instrument_token, trading_symbol,
   instrument_type, last_price, volume, oi FROM QM""", "QM"),
     "quote_matrix": with_views(_MATRIX, "QM"),
@@ -293,18 +293,16 @@ FROM RES JOIN FQ ON FQ.exchange_token = RES.token_int
 WHERE CAST(RES.to_date AS DATE) = DATE '2024-01-30'
   AND EXISTS (SELECT 1 FROM HIST WHERE HIST.request_id = RES.request_id)
   AND NOT EXISTS (SELECT 1 FROM HIST WHERE HIST.request_id = RES.request_id
-                  AND HIST.trade_date = DATE '2024-01-30')""", "HR", "M", "MD", "C", "FQ").replace(
-    "\nSELECT request_id, exchange_token, datetime", """,
-RES AS (SELECT HR.*, try_cast(HR.exchange_token AS INTEGER) AS token_int FROM HR
+                  AND HIST.trade_date = DATE '2024-01-30')""", "HR", "M", "MD", "C", "FQ", extra=(
+    """RES AS (SELECT HR.*, try_cast(HR.exchange_token AS INTEGER) AS token_int FROM HR
         JOIN MD ON MD.exchange_token = try_cast(HR.exchange_token AS INTEGER)
          AND MD.exchange = coalesce(HR.exchange, 'NSE') || '_' || HR.instrument_type
         WHERE coalesce(HR.exchange_token, '') <> '' AND coalesce(HR.interval_name, '') <> ''
           AND coalesce(HR.from_date, '') <> '' AND coalesce(HR.to_date, '') <> ''
-          AND coalesce(HR.instrument_type, '') <> ''),
-HIST AS (SELECT RES.request_id, C.exchange_token, C.datetime, C.open, C.high, C.low, C.close, C.volume, C.oi,
-         C.trade_date FROM RES JOIN C ON C.exchange_token = RES.token_int
-         AND C.trade_date BETWEEN CAST(RES.from_date AS DATE) AND CAST(RES.to_date AS DATE))
-SELECT request_id, exchange_token, datetime""", 1)
+          AND coalesce(HR.instrument_type, '') <> '')""",
+    """HIST AS (SELECT RES.request_id, C.exchange_token, C.datetime, C.open, C.high, C.low, C.close, C.volume,
+         C.oi, C.trade_date FROM RES JOIN C ON C.exchange_token = RES.token_int
+         AND C.trade_date BETWEEN CAST(RES.from_date AS DATE) AND CAST(RES.to_date AS DATE))"""))
 ORACLE["stream_enrich"] = with_views("""SELECT pos, instrument_token, exchange_token, trading_symbol,
   instrument_type, last_price, volume, oi FROM E""", "E")
 ORACLE["stream_ltp"] = ORACLE["ltp"]

@@ -252,6 +252,13 @@ def _key_batches(size):
     return q
 
 
+def q_key_batches_symbols(spark, d):
+    """Feed-B LTP batches: resolved ``EXCHANGE:SYMBOL`` keys, 750 per call."""
+    ok, _ = resolve_symbols(V.requests_view(spark, d), V.master_b_view(spark, d))
+    keys = ok.where(F.col("symbol_key").isNotNull()).select("request_id", "pos", "symbol_key")
+    return plan_key_batches(keys, 750, key_col="symbol_key")
+
+
 def q_date_chunks(spark, d):
     ch = plan_date_chunks(V.date_ranges_view(spark, d), days=1000)
     return ch.select("request_id", "chunk_no",
@@ -331,6 +338,7 @@ def queries() -> dict[str, Query]:
         "quote_matrix": q_quote_matrix,
         "key_batches_750": _key_batches(750),
         "key_batches_450": _key_batches(450),
+        "key_batches_symbols": q_key_batches_symbols,
         "date_chunks": q_date_chunks,
         "date_chunks_legacy": q_date_chunks_legacy,
         "ltp_for_requests": q_ltp_for_requests,

@@ -273,6 +273,14 @@ GROUP BY request_id""", "H", "C"),
 # Streaming jobs: the enrich stream equals the batch join; the append-mode bar
 # stream holds exactly the bars whose window closed behind the final watermark
 # (latest event time minus the 10-minute lateness).
+ORACLE["key_batches_symbols"] = with_views("""SELECT request_id, batch_no, count(*) AS n_keys,
+  string_agg(symbol_key, ',' ORDER BY pos, symbol_key) AS keys
+FROM (SELECT S.*, CAST((row_number() OVER (PARTITION BY request_id ORDER BY pos, symbol_key) - 1) // 750
+      AS BIGINT) AS batch_no
+      FROM (SELECT RV.request_id, RV.pos, RV.exchange || ':' || MBD.tradingsymbol AS symbol_key
+            FROM RV JOIN MBD ON MBD.exchange_token = RV.token_int AND MBD.exchange = RV.exchange
+            WHERE MBD.tradingsymbol IS NOT NULL) S)
+GROUP BY request_id, batch_no""", "RV", "MBD")
 ORACLE["ltp_for_requests"] = with_views(f"""SELECT RV.request_id, RV.pos, MD.instrument_key, L.last_price,
   L.last_time FROM RV JOIN MD ON {_MATCH} JOIN L ON L.exchange_token = RV.token_int""", "RV", "MD", "L")
 ORACLE["ohlc_for_requests"] = with_views(f"""SELECT RV.request_id, RV.pos, MD.instrument_key, b.datetime, b.open,

@@ -46,14 +46,15 @@ def bars(ticks: DataFrame, interval: str, tz: str = MARKET_TZ, key: str = TICK_K
     oi, last_ts``.
     """
     dur = INTERVALS.get(interval, interval)
-    local = ticks.withColumn("_local", to_market_time("ts", tz))
-    agg = (local.groupBy(F.col(key), F.window("_local", dur).alias("_w"))
-           .agg(*ohlc_aggs()))
+    # Group on the bucket start alone (one timestamp, not the window struct):
+    # smaller partial-aggregate rows to sort and shuffle.
+    start = F.window(to_market_time("ts", tz), dur).start
+    agg = ticks.groupBy(F.col(key), start.alias("bar_start")).agg(*ohlc_aggs())
     return agg.select(
         F.col(key),
-        F.col("_w.start").alias("bar_start"),
-        format_local(F.col("_w.start")).alias("datetime"),
-        F.to_date(F.col("_w.start")).alias("trade_date"),
+        F.col("bar_start"),
+        format_local(F.col("bar_start")).alias("datetime"),
+        F.to_date(F.col("bar_start")).alias("trade_date"),
         "open", "high", "low", "close", "volume", "oi", "last_ts",
     )
 

@@ -61,3 +61,15 @@ def test_historical_for_requests(spark):
         (10, "2024-01-02 00:00:00"), (10, "2024-01-03 11:30:00"),
         (11, "2024-01-02 00:00:00"), (11, "2024-01-03 00:00:00")]
     assert rows(bad, "request_id", "reason") == [(13, "missing_parameters"), (14, "not_in_master")]
+
+
+def test_history_rejects_bad_dates(spark):
+    master = spark.createDataFrame(MASTER, MSCHEMA)
+    candles = spark.createDataFrame([], "exchange_token long, trade_date date, datetime string, open double, "
+                                        "high double, low double, close double, volume long, oi long")
+    req = spark.createDataFrame([(1, "1", "NSE", "EQ", "day", "2024-02-30", "2024-03-01")],
+                                "request_id long, exchange_token string, exchange string, instrument_type string, "
+                                "interval_name string, from_date string, to_date string")
+    out, bad = historical_for_requests(req, master, candles)
+    assert out.count() == 0
+    assert rows(bad, "request_id", "reason") == [(1, "bad_date")]

@@ -1,7 +1,7 @@
 """Column-expression helpers (all built-in Spark functions, no UDFs)."""
 
 from tickforge.functions.exprs import (  # noqa: F401
-    exchange_segment, nth_part, strict_int, to_market_time, format_local,
+    exchange_segment, lenient_date, nth_part, strict_int, to_market_time, format_local,
     epoch_micros,
 )
 from tickforge.functions.intervals import INTERVALS, interval_spec  # noqa: F401

@@ -30,6 +30,12 @@ def exchange_segment(c) -> Column:
     return nth_part(c, "_", 2)
 
 
+def lenient_date(c) -> Column:
+    """DATE from a DATE, TIMESTAMP or ``yyyy-MM-dd`` string; NULL when unparseable
+    (``to_date`` throws under ANSI mode)."""
+    return _c(c).try_cast("date")
+
+
 def strict_int(c) -> Column:
     """Token string -> INT, NULL when it is not a clean integer (ANSI ``try_cast``)."""
     return _c(c).try_cast("int")

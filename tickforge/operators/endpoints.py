@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickforge.functions.exprs import MARKET_TZ, format_local
+from tickforge.functions.exprs import MARKET_TZ, format_local, lenient_date
 from tickforge.functions.intervals import QUOTE_INTERVALS
 from tickforge.operators.bars import full_market_quote, ltp_quote, ohlc_quote
 from tickforge.operators.history import historical_data
@@ -81,8 +81,8 @@ def historical_for_requests(requests: DataFrame, master: DataFrame, candles: Dat
 
     Requests carry ``request_id, exchange, exchange_token, instrument_type,
     interval_name, from_date, to_date``.  A request missing a required field is
-    rejected (``missing_parameters``), then items are resolved against the
-    master.  ``candles`` holds bars of the requested interval (an
+    rejected (``missing_parameters``), one with an unparseable date
+    (``bad_date``); the rest are resolved against the master.  ``candles`` holds bars of the requested interval (an
     ``interval_name`` column, when present, is matched too).  When ``today``
     and ``full_quotes`` are given, a request whose range ends today and whose
     candles lack today's bar gets one built from the quote, as the service did.
@@ -96,21 +96,23 @@ def historical_for_requests(requests: DataFrame, master: DataFrame, candles: Dat
     for c in HISTORY_REQUIRED:
         cond = F.col(c).isNull() | (F.col(c).cast("string") == "")
         missing = cond if missing is None else (missing | cond)
-    flagged = with_request_defaults(req.withColumn("_missing", missing))
-    bad_params = (flagged.where("_missing").drop("_missing")
-                  .withColumn("reason", F.lit("missing_parameters")))
-    resolved, rejects = resolve_instruments(flagged.where(~F.col("_missing")).drop("_missing"), master)
+    bad_dates = lenient_date("from_date").isNull() | lenient_date("to_date").isNull()
+    reason = (F.when(missing, F.lit("missing_parameters"))
+              .when(bad_dates, F.lit("bad_date")))
+    flagged = with_request_defaults(req.withColumn("_reason", reason))
+    bad_params = flagged.where(F.col("_reason").isNotNull()).withColumnRenamed("_reason", "reason")
+    resolved, rejects = resolve_instruments(flagged.where(F.col("_reason").isNull()).drop("_reason"), master)
     probe = resolved.select("request_id", F.col("token_int").cast("long").alias(key), "from_date",
                             "to_date", "interval_name")
     extra = ("interval_name",) if "interval_name" in candles.columns else ()
     hist = historical_data(probe, candles, key=key, extra_keys=extra)
     out = hist
     if today is not None and full_quotes is not None:
-        day = F.to_date(F.lit(str(today)))
+        day = lenient_date(F.lit(str(today)))
         got = hist.select("request_id", F.to_date(F.substring("datetime", 1, 10)).alias("_d"))
         with_rows = got.select("request_id").distinct()
         with_today = got.where(F.col("_d") == day).select("request_id").distinct()
-        due = (probe.where(F.to_date("to_date") == day)
+        due = (probe.where(lenient_date("to_date") == day)
                .join(with_rows, "request_id", "left_semi")
                .join(with_today, "request_id", "left_anti"))
         q = full_quotes.where(F.col("ohlc").isNotNull() & F.col("timestamp").isNotNull())

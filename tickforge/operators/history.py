@@ -8,7 +8,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickforge.functions.exprs import MARKET_TZ, format_local
+from tickforge.functions.exprs import MARKET_TZ, format_local, lenient_date
 from tickforge.operators.joins import broadcast_if_small
 from tickforge.operators.sequencing import explode_days
 from tickforge.schemas import CANDLE_COLUMNS
@@ -59,8 +59,8 @@ def historical_data(requests: DataFrame, candles: DataFrame, key: str = "exchang
     extra = list(extra_keys)
     probe = explode_days(
         requests.select(F.col(request_col), F.col(key), *extra,
-                        F.to_date(F.col(from_col)).alias("_from"),
-                        F.to_date(F.col(to_col)).alias("_to")),
+                        lenient_date(from_col).alias("_from"),
+                        lenient_date(to_col).alias("_to")),
         F.col("_from"), F.col("_to"), out="_day").select(request_col, key, *extra, "_day")
     c = candles.select(F.col(key).alias("_c_key"), F.col("trade_date").alias("_c_day"),
                        *[F.col(k).alias(f"_c_{k}") for k in extra], *CANDLE_COLUMNS)

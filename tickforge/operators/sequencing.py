@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickforge.functions.exprs import lenient_date
 from tickforge.operators.joins import broadcast_if_small
 from tickforge.session import checkpoint_root
 
@@ -85,9 +86,9 @@ def plan_date_chunks(requests: DataFrame, from_col: str = "from_date", to_col: s
     which drops a one-day range and a trailing one-day chunk.
     Output: input columns plus ``chunk_no`` (0-based), ``chunk_from``, ``chunk_to`` (DATE).
     """
-    f = F.to_date(F.col(from_col))
-    t = F.to_date(F.col(to_col))
-    # Filter first: sequence() throws on reversed bounds.
+    f = lenient_date(from_col)
+    t = lenient_date(to_col)
+    # Filter first: sequence() throws on reversed bounds; unparseable dates drop out.
     valid = requests.where(f <= t)
     step = F.expr(f"INTERVAL {int(days)} DAYS")
     chunks = valid.select("*", F.posexplode(F.sequence(f, t, step)).alias("chunk_no", "chunk_from"))

@@ -33,6 +33,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
+_VIEWS: dict = {}
+
+
+def view(fn):
+    """Memoize a view's DataFrame (its plan, not its data) per session and folder."""
+    def wrapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = (fn.__name__, id(spark), sf_dir)
+        df = _VIEWS.get(key)
+        if df is None or df.sparkSession is not spark:
+            df = fn(spark, sf_dir)
+            _VIEWS[key] = df
+        return df
+    wrapped.__name__ = fn.__name__
+    wrapped.__doc__ = fn.__doc__
+    return wrapped
+
+
 def _venue(pk):
     return F.when(pk % 2 == 0, F.lit("NSE")).otherwise(F.lit("BSE"))
 
@@ -43,6 +60,7 @@ def _symbol(pk, name):
             .otherwise(F.concat(F.upper(F.replace(name, F.lit(" "), F.lit(""))), pk.cast("string"))))
 
 
+@view
 def master_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M: feed-A master, one instrument per part."""
     p = table(spark, sf_dir, "part")
@@ -59,6 +77,7 @@ def master_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@view
 def master_b_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """MB: feed-B master (full column list), one instrument per part."""
     p = table(spark, sf_dir, "part")
@@ -82,6 +101,7 @@ def master_b_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@view
 def ticks_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T: ticks; ``ts`` stays as read (TIMESTAMP_NTZ, taken as UTC)."""
     e = table(spark, sf_dir, "events")
@@ -95,6 +115,7 @@ def ticks_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@view
 def requests_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R: request items, with empty, NULL, unknown and mismatched tokens."""
     o = table(spark, sf_dir, "orders")
@@ -114,6 +135,7 @@ def requests_view(spark: SparkSession, sf_dir: str) -> DataFrame:
                     exch.alias("exchange"), itype.alias("instrument_type"), ivl.alias("interval_name"))
 
 
+@view
 def quotes_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q: quote entries of T, 1,000 per batch, some with NULL or unknown tokens."""
     t = ticks_view(spark, sf_dir)
@@ -128,6 +150,7 @@ def quotes_view(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("qty").alias("volume"), F.col("oi")))
 
 
+@view
 def quote_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One LTP-style payload per batch: ``{status, data: {"<pos>": entry}}``.
 
@@ -142,6 +165,7 @@ def quote_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_json(F.struct(F.lit("success").alias("status"), data.alias("data"))).alias("payload"))
 
 
+@view
 def candles_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C: day bars of T in market time."""
     b = bars(ticks_view(spark, sf_dir), "day")
@@ -176,6 +200,7 @@ def n_tokens(spark: SparkSession, sf_dir: str):
     return table(spark, sf_dir, "events").select(F.count_distinct("user_id")).scalar()
 
 
+@view
 def history_requests_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H: every order asks for a few days (0 to 11, some reversed) of one
     instrument's candles."""
@@ -188,6 +213,7 @@ def history_requests_view(spark: SparkSession, sf_dir: str) -> DataFrame:
                     start.alias("from_date"), end.alias("to_date"))
 
 
+@view
 def date_ranges_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """DC: one date range per order, up to ~7 years long, some reversed."""
     o = table(spark, sf_dir, "orders")
@@ -197,6 +223,7 @@ def date_ranges_view(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.date_add(start, ((ok * 37) % 2600 - 1).cast("int")).alias("to_date"))
 
 
+@view
 def batch_keys_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """RB: resolved keys of five large requests (one per event type)."""
     e = table(spark, sf_dir, "events")
@@ -204,6 +231,7 @@ def batch_keys_view(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.concat(F.lit("NSE_EQ|"), F.col("user_id").cast("string")).alias("instrument_key"))
 
 
+@view
 def history_service_requests_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """HR: H as the history endpoint receives it -- strings, with the instrument's
     exchange and type from the master, some missing parameters and wrong types."""

@@ -1,6 +1,7 @@
 """Quote/candle payload parsing, enrichment, merge and matrix."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import rows
 from tickforge.operators import enrich_quotes, merge_quote_batches, quote_matrix
@@ -94,3 +95,12 @@ def test_normalise_candle_time_zone(spark):
     assert sorted((r.datetime, str(r.trade_date)) for r in out.collect() if r.datetime) == [
         ("2024-01-01 09:15:00", "2024-01-01"), ("2024-01-02 01:30:00", "2024-01-02")]
     assert sum(r.datetime is None for r in out.collect()) == 1
+
+
+def test_parse_quotes_variant_pass_through(spark):
+    payloads = spark.createDataFrame([(0, '{"status":"success","data":{"K":{"last_price":1.5,'
+                                          '"depth":{"buy":[{"price":1.4,"quantity":10}]}}}}')],
+                                     "batch_no long, payload string")
+    good, _ = parse_quotes(payloads, keep_raw=True, raw_as_variant=True)
+    r = good.select(F.variant_get("raw", "$.depth.buy[0].quantity", "int").alias("q"), "last_price").first()
+    assert (r.q, r.last_price) == (10, 1.5)

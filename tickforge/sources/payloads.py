@@ -26,13 +26,14 @@ def _envelope_reason(parsed: str, data_present) -> F.Column:
 
 
 def parse_quotes(payloads: DataFrame, payload_col: str = "payload",
-                 keep_raw: bool = False) -> tuple[DataFrame, DataFrame]:
+                 keep_raw: bool = False, raw_as_variant: bool = False) -> tuple[DataFrame, DataFrame]:
     """Quote payloads -> one row per entry of ``data``.
 
     Returns ``(rows, rejects)``.  Rows carry the payload's other columns (e.g.
     ``batch_no``), ``entry_pos`` (order inside ``data``), ``quote_key`` and the
     typed entry fields.  ``keep_raw=True`` adds ``raw`` with the entry's JSON
-    text, so fields outside the declared schema are not lost.
+    text, so fields outside the declared schema are not lost;
+    ``raw_as_variant=True`` stores it as VARIANT (query with ``variant_get``).
     """
     carry = [c for c in payloads.columns if c != payload_col]
     p = payloads.withColumn("_p", F.from_json(F.col(payload_col), QUOTE_PAYLOAD))
@@ -45,7 +46,10 @@ def parse_quotes(payloads: DataFrame, payload_col: str = "payload",
     rows = good.select(*carry, *(["_raw"] if keep_raw else []),
                        F.posexplode(F.col("_p.data")).alias("entry_pos", "quote_key", "_e"))
     fields = [F.col(f"_e.{f.name}").alias(f.name) for f in QUOTE_ENTRY.fields]
-    extra = [F.element_at(F.col("_raw"), F.col("quote_key")).alias("raw")] if keep_raw else []
+    raw = F.element_at(F.col("_raw"), F.col("quote_key"))
+    if raw_as_variant:
+        raw = F.try_parse_json(raw)
+    extra = [raw.alias("raw")] if keep_raw else []
     rows = rows.select(*carry, F.col("entry_pos").cast("long").alias("entry_pos"), "quote_key",
                        *fields, *extra)
     return rows, rejects

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickforge.functions.exprs import exchange_segment, format_local, to_market_time
 from tickforge.functions.intervals import QUOTE_INTERVALS
 from tickforge.operators import (
     backfill_index_symbols, backfill_today, bars, chunk_coverage, enrich_quotes,
@@ -193,7 +194,6 @@ def q_full_quote(spark, d):
 
 
 def _flat_quote(fq):
-    from tickforge.functions.exprs import format_local, to_market_time
     carry = [c for c in ("request_id", "pos", "instrument_key") if c in fq.columns]
     return fq.select(*carry, "exchange_token", F.date_format("trade_date", "yyyy-MM-dd").alias("trade_date"),
                      "ohlc.open", "ohlc.high", "ohlc.low", "ohlc.close", "last_price", "volume", "oi",
@@ -203,7 +203,6 @@ def _flat_quote(fq):
 def q_full_quote_enriched(spark, d):
     """Flagship: full quote per instrument with its symbol and type."""
     fq = _flat_quote(full_market_quote(V.ticks_view(spark, d)))
-    from tickforge.functions.exprs import exchange_segment
     m = V.master_view(spark, d).select(F.col("exchange_token").alias("_mt"),
                                        F.col("tradingsymbol").alias("trading_symbol"),
                                        exchange_segment("exchange").alias("instrument_type"))

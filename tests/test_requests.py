@@ -120,3 +120,9 @@ def test_key_batches(spark):
     assert out[1].keys.split(",")[-1] == "K0"
     with pytest.raises(ValueError):
         plan_key_batches(df, 0)
+
+
+def test_ordinal_within_null_group(spark):
+    df = spark.createDataFrame([(None, 2), (None, 1), ("a", 1)], "g string, pos long")
+    got = ordinal_within(df, ["g"], ["pos"], out="o", n_ranges=2)
+    assert rows(got, "g", "pos", "o") == sorted([(None, 1, 1), (None, 2, 2), ("a", 1, 1)], key=repr)

@@ -47,12 +47,14 @@ def ordinal_within(df: DataFrame, group_cols: list[str], order_cols: list[str],
              .agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_cnt")))
     before = (Window.partitionBy(*group_cols).orderBy("_rng")
               .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = stats.select(*group_cols, "_rng", "_first",
+    offsets = stats.select(*[F.col(c).alias(f"_o_{i}") for i, c in enumerate(group_cols)],
+                           F.col("_rng").alias("_o_rng"), "_first",
                            F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
-    joined = ranged.join(broadcast_if_small(offsets), [*group_cols, "_rng"])
-    return (joined
-            .withColumn(out, F.col("_mid") - F.col("_first") + F.col("_off") + 1)
-            .drop("_mid", "_rng", "_first", "_off"))
+    # Null-safe on the group columns: a NULL group is still a group.
+    cond = [ranged[c].eqNullSafe(F.col(f"_o_{i}")) for i, c in enumerate(group_cols)]
+    joined = ranged.join(broadcast_if_small(offsets), [*cond, ranged["_rng"] == F.col("_o_rng")])
+    return joined.select(*df.columns,
+                         (F.col("_mid") - F.col("_first") + F.col("_off") + 1).alias(out))
 
 
 def plan_key_batches(keys: DataFrame, size: int, group_col: str = "request_id",

@@ -55,13 +55,17 @@ def request_status(requests: DataFrame, rejects: DataFrame, results: DataFrame,
     counted per request first, so the joins are between small per-request rows.
     """
     reqs = requests.select(request_col).distinct()
-    bad = rejects.groupBy(request_col).agg(F.count(F.lit(1)).alias("_bad"))
-    got = results.groupBy(request_col).agg(F.count(F.lit(1)).alias("_got"))
-    j = reqs.join(bad, request_col, "left").join(got, request_col, "left")
-    if errors is not None:
-        err = errors.groupBy(request_col).agg(F.count(F.lit(1)).alias("_err"))
-        j = j.join(err, request_col, "left")
-    else:
+
+    def counted(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy(F.col(request_col).alias(f"{name}_id")).agg(F.count(F.lit(1)).alias(name))
+
+    j = reqs
+    sides = [(rejects, "_bad"), (results, "_got")] + ([(errors, "_err")] if errors is not None else [])
+    for df, name in sides:
+        # Null-safe: a request without an id still gets its own envelope.
+        c = counted(df, name)
+        j = j.join(c, j[request_col].eqNullSafe(c[f"{name}_id"]), "left").drop(f"{name}_id")
+    if errors is None:
         j = j.withColumn("_err", F.lit(None).cast("long"))
     code = (F.when(F.col("_bad") > 0, F.lit(STATUS_BAD_REQUEST))
             .when(F.col("_err") > 0, F.lit(STATUS_ERROR))

@@ -24,18 +24,30 @@ def _order(ts: str = "ts", tie: str = "event_id") -> Column:
 
 def ohlc_aggs(price: str = "price", qty: str = "qty", oi: str = "oi",
               ts: str = "ts", tie: str = "event_id") -> list[Column]:
+    """Aggregates of one bar; expand the result with ``ohlc_out()``.
+
+    Close, open interest and the last instant all come from the last tick, so
+    one ``max_by`` carries them together (one ordering buffer instead of three).
+    """
     o = _order(ts, tie)
+    last = F.struct(F.col(price).alias("price"), F.col(oi).cast("long").alias("oi"),
+                    F.col(ts).cast("timestamp").alias("ts"))
     return [
         F.min_by(F.col(price), o).alias("open"),
         F.max(F.col(price)).alias("high"),
         F.min(F.col(price)).alias("low"),
-        F.max_by(F.col(price), o).alias("close"),
         F.sum(F.col(qty)).cast("long").alias("volume"),
-        F.max_by(F.col(oi), o).cast("long").alias("oi"),
-        F.max(F.col(ts).cast("timestamp")).alias("last_ts"),
+        F.max_by(last, o).alias("_last"),
     ]
 
 
+def ohlc_out(with_last_ts: bool = True) -> list[Column]:
+    """Projection of ``ohlc_aggs`` output to bar columns."""
+    cols = [F.col("open"), F.col("high"), F.col("low"), F.col("_last.price").alias("close"),
+            F.col("volume"), F.col("_last.oi").alias("oi")]
+    return cols + [F.col("_last.ts").alias("last_ts")] if with_last_ts else cols
+
+
 def bars(ticks: DataFrame, interval: str, tz: str = MARKET_TZ, key: str = TICK_KEY) -> DataFrame:
     """All bars of ``interval`` (a name such as ``1minute``/``day`` or a Spark
     duration such as ``'15 minutes'``) per instrument (O24).
@@ -55,7 +67,7 @@ def bars(ticks: DataFrame, interval: str, tz: str = MARKET_TZ, key: str = TICK_K
         F.col("bar_start"),
         format_local(F.col("bar_start")).alias("datetime"),
         F.to_date(F.col("bar_start")).alias("trade_date"),
-        "open", "high", "low", "close", "volume", "oi", "last_ts",
+        *ohlc_out(),
     )
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from tickforge.functions.exprs import MARKET_TZ, format_local
 from tickforge.functions.intervals import INTERVALS
-from tickforge.operators.bars import TICK_KEY, ohlc_aggs
+from tickforge.operators.bars import TICK_KEY, ohlc_aggs, ohlc_out
 from tickforge.operators.quotes import enrich_quotes
 
 _SECONDS = {"minute": 60, "minutes": 60, "hour": 3600, "hours": 3600, "day": 86400, "days": 86400}
@@ -80,7 +80,7 @@ def stream_bars(ticks: DataFrame, interval: str = "1minute", lateness: str = "10
     agg = s.groupBy(F.col(key), w.alias("_w")).agg(*ohlc_aggs())
     local = F.from_utc_timestamp(F.col("_w.start"), tz)
     return agg.select(F.col(key), format_local(local).alias("datetime"),
-                      "open", "high", "low", "close", "volume", "oi",
+                      *ohlc_out(with_last_ts=False),
                       F.col("_w.end").alias("window_end"))
 
 

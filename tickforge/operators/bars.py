@@ -73,11 +73,11 @@ def bars(ticks: DataFrame, interval: str, tz: str = MARKET_TZ, key: str = TICK_K
 
 def ltp_quote(ticks: DataFrame, key: str = TICK_KEY, tz: str = MARKET_TZ) -> DataFrame:
     """Last traded price per instrument (O21): ``key, last_price, last_time``."""
-    o = _order()
+    last = F.struct(F.col("price").alias("price"), F.col("ts").cast("timestamp").alias("ts"))
     return (ticks.groupBy(key)
-            .agg(F.max_by(F.col("price"), o).alias("last_price"),
-                 F.max(F.col("ts").cast("timestamp")).alias("_last"))
-            .select(key, "last_price", format_local(to_market_time("_last", tz)).alias("last_time")))
+            .agg(F.max_by(last, _order()).alias("_last"))
+            .select(key, F.col("_last.price").alias("last_price"),
+                    format_local(to_market_time("_last.ts", tz)).alias("last_time")))
 
 
 def latest_bar(bar_df: DataFrame, key: str = TICK_KEY) -> DataFrame:

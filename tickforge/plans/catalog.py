@@ -103,11 +103,10 @@ def q_candles_written(spark, d):
 
 
 def q_request_status(spark, d):
+    """Envelopes of the LTP endpoint over every request."""
     r = V.requests_view(spark, d)
-    resolved, bad = resolve_instruments(r, V.master_view(spark, d))
-    ltp = ltp_quote(V.ticks_view(spark, d)).select(F.col("exchange_token").alias("_tok"))
-    results = resolved.join(broadcast_if_small(ltp), resolved["token_int"] == F.col("_tok"), "left_semi")
-    return request_status(r, bad, results)
+    rows, bad = E.ltp_for_requests(r, V.master_view(spark, d), V.ticks_view(spark, d))
+    return request_status(r, bad, rows)
 
 
 # --- masters (O10-O11) -------------------------------------------------------

@@ -92,3 +92,30 @@ def test_stream_enrich(spark, landed, tmp_path):
     assert got.count() == sum(len(b) for b in BATCHES)
     assert {(r.instrument_token, r.trading_symbol, r.instrument_type) for r in got.collect()} == {
         ("K1", "ONE", "EQ"), ("K2", "TWO", "EQ")}
+
+
+def test_stream_merged_quotes_last_write_wins(spark, tmp_path):
+    from tickforge.streaming import payload_stream, stream_merged_quotes
+    master = spark.createDataFrame([("K1", 1, "NSE_EQ", "ONE", 0), ("K2", 2, "BSE_EQ", "TWO", 1)],
+                                   "instrument_key string, exchange_token int, exchange string, "
+                                   "tradingsymbol string, src_pos long")
+    folder = tmp_path / "payloads"
+    folder.mkdir()
+    files = [
+        '{"batch_no": 0, "payload": "{\\"status\\":\\"success\\",\\"data\\":{\\"a\\":{\\"instrument_token\\":\\"K1\\",'
+        '\\"last_price\\":1.0},\\"b\\":{\\"instrument_token\\":\\"K2\\",\\"last_price\\":2.0}}}"}',
+        '{"batch_no": 1, "payload": "{\\"status\\":\\"success\\",\\"data\\":{\\"c\\":{\\"instrument_token\\":\\"K1\\",'
+        '\\"last_price\\":3.0},\\"d\\":{\\"instrument_token\\":\\"K1\\",\\"last_price\\":4.0}}}"}',
+        '{"batch_no": 2, "payload": "{\\"status\\":\\"error\\"}"}',
+    ]
+    for i, line in enumerate(files):
+        p = folder / f"p{i}.json"
+        p.write_text(line + "\n")
+        os.utime(p, (1_700_000_000 + i, 1_700_000_000 + i))
+    s = payload_stream(spark, str(folder), "batch_no long, payload string", max_files_per_trigger=1)
+    out = str(tmp_path / "merged")
+    run_to_table(stream_merged_quotes(s, master, key_cols=["exchange_token"]), out, str(tmp_path / "ck5"),
+                 "complete")
+    got = spark.read.parquet(out)
+    assert rows(got, "exchange_token", "last_price", "batch_no", "quote_key") == [(1, 4.0, 1, "d"),
+                                                                                (2, 2.0, 0, "b")]

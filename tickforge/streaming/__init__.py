@@ -1,5 +1,6 @@
 """Live versions of the quote jobs as Structured Streaming queries."""
 
 from tickforge.streaming.live import (  # noqa: F401
-    run_to_table, stream_bars, stream_enrich, stream_ltp, tick_stream,
+    payload_stream, run_to_table, stream_bars, stream_enrich, stream_ltp, stream_merged_quotes,
+    tick_stream,
 )

@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 from tickforge.functions.exprs import format_local, to_market_time
 from tickforge.plans import views as V
 from tickforge.session import staging_dir
-from tickforge.streaming.live import run_to_table, stream_bars, stream_enrich, stream_ltp, tick_stream
+from tickforge.plans.staging import stage_json_lines
+from tickforge.streaming.live import (
+    payload_stream, run_to_table, stream_bars, stream_enrich, stream_ltp, stream_merged_quotes, tick_stream,
+)
 
 LATENESS = "10 minutes"
 
@@ -56,5 +59,17 @@ def q_stream_bars(spark, d):
     return out.select("exchange_token", "datetime", "open", "high", "low", "close", "volume", "oi")
 
 
+def q_stream_quotes_merged(spark, d):
+    """Quote payloads of every batch landed as JSON lines, merged live."""
+    landed = stage_json_lines(V.quote_payloads(spark, d), "quote-payloads")
+    s = payload_stream(spark, landed, "batch_no long, payload string")
+    cols = ["exchange_token", "batch_no", "entry_pos", "quote_key", "instrument_token",
+            "trading_symbol", "instrument_type", "last_price", "volume", "oi"]
+    merged = stream_merged_quotes(s, V.master_view(spark, d), key_cols=["exchange_token"])
+    out = _run(spark, merged, "stream_quotes_merged", "complete")
+    return out.select(*[c for c in cols if c != "entry_pos"])
+
+
 def queries():
-    return {"stream_enrich": q_stream_enrich, "stream_ltp": q_stream_ltp, "stream_bars": q_stream_bars}
+    return {"stream_enrich": q_stream_enrich, "stream_ltp": q_stream_ltp, "stream_bars": q_stream_bars,
+            "stream_quotes_merged": q_stream_quotes_merged}

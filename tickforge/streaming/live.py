@@ -21,7 +21,8 @@ from pyspark.sql import types as T
 from tickforge.functions.exprs import MARKET_TZ, format_local
 from tickforge.functions.intervals import INTERVALS
 from tickforge.operators.bars import TICK_KEY, ohlc_aggs, ohlc_out
-from tickforge.operators.quotes import enrich_quotes
+from tickforge.operators.quotes import enrich_quotes, merge_quote_batches
+from tickforge.sources.payloads import parse_quotes
 
 _SECONDS = {"minute": 60, "minutes": 60, "hour": 3600, "hours": 3600, "day": 86400, "days": 86400}
 
@@ -54,6 +55,25 @@ def stream_enrich(quote_stream: DataFrame, master: DataFrame) -> tuple[DataFrame
     return enrich_quotes(quote_stream, master)
 
 
+def payload_stream(spark: SparkSession, path: str, schema: T.StructType | str,
+                   max_files_per_trigger: int | None = None) -> DataFrame:
+    """Landed payload records (JSON lines, e.g. ``batch_no, payload``) as a stream."""
+    r = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return r.json(path)
+
+
+def stream_merged_quotes(payloads: DataFrame, master: DataFrame,
+                         key_cols: list[str] | None = None) -> DataFrame:
+    """O04 + O17 + O20 live: parse each landed payload, enrich from the static
+    master and keep the last write per key (state: one row per key; run in
+    update or complete mode)."""
+    rows, _ = parse_quotes(payloads)
+    enriched, _ = enrich_quotes(rows, master)
+    return merge_quote_batches(enriched, key_cols=key_cols)
+
+
 def stream_ltp(ticks: DataFrame, key: str = TICK_KEY) -> DataFrame:
     """Running last price per instrument (state: one row per instrument)."""
     order = F.struct(F.col("ts").cast("timestamp"), F.col("event_id"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,23 +13,41 @@ from pyspark.sql import functions as F
 # demote it to a broadcast from measured shuffle sizes, and splits skewed keys.
 DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
 
+_UNITS = {"B": 1, "KiB": 1 << 10, "MiB": 1 << 20, "GiB": 1 << 30, "TiB": 1 << 40,
+          "PiB": 1 << 50, "EiB": 1 << 60}
+_SIZE = re.compile(r"Statistics\(sizeInBytes=([0-9.]+(?:E[0-9]+)?)\s*([KMGTPE]?i?B)")
+
+
+def optimized_plan_with_costs(df: DataFrame) -> str:
+    """The optimized logical plan with Catalyst's size estimate per node, from
+    ``EXPLAIN COST`` (plan text only; no data is read)."""
+    spark = df.sparkSession
+    name = f"_tickforge_cost_{uuid.uuid4().hex}"
+    df.createOrReplaceTempView(name)
+    try:
+        text = spark.sql(f"EXPLAIN COST SELECT * FROM {name}").first()[0]
+    finally:
+        spark.catalog.dropTempView(name)
+    return text.split("== Physical Plan ==")[0]
+
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of ``df``'s optimized plan.
+def estimated_bytes(df: DataFrame, plan: str | None = None) -> int:
+    """Catalyst's size estimate of ``df`` (its top node in ``EXPLAIN COST``).
 
     For file scans it is the bytes of the selected columns; filters and
-    aggregates keep it as an upper estimate, so it is a safe check before
-    broadcasting.
+    aggregates keep it as an upper estimate.  Unknown -> a huge number.
     """
-    stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(str(stats.sizeInBytes()))
+    m = _SIZE.search(plan if plan is not None else optimized_plan_with_costs(df))
+    if not m:
+        return 1 << 62
+    return int(float(m.group(1)) * _UNITS[m.group(2)])
 
 
-def estimate_is_upper_bound(df: DataFrame) -> bool:
+def estimate_is_upper_bound(df: DataFrame, plan: str | None = None) -> bool:
     """False when the plan holds a node whose estimate can fall below its real
     size: ``Generate`` (explode) keeps its child's row count in the estimate."""
-    tree = df._jdf.queryExecution().optimizedPlan().treeString()
-    return not any(line.lstrip(" :+-").startswith("Generate ") for line in tree.splitlines())
+    text = plan if plan is not None else optimized_plan_with_costs(df)
+    return not any(line.lstrip(" :+-").startswith("Generate ") for line in text.splitlines())
 
 
 def broadcast_if_small(df: DataFrame, limit: int | None = None) -> DataFrame:
@@ -38,6 +59,7 @@ def broadcast_if_small(df: DataFrame, limit: int | None = None) -> DataFrame:
     if limit is None:
         conf = df.sparkSession.conf.get("spark.tickforge.broadcastLimit", None)
         limit = int(conf) if conf else DEFAULT_BROADCAST_LIMIT
-    if estimate_is_upper_bound(df) and estimated_bytes(df) <= limit:
+    plan = optimized_plan_with_costs(df)
+    if estimate_is_upper_bound(df, plan) and estimated_bytes(df, plan) <= limit:
         return F.broadcast(df)
     return df

@@ -20,7 +20,8 @@ def ordinal_within(df: DataFrame, group_cols: list[str], order_cols: list[str],
     still spreads over the cluster:
 
     1. range-partition on ``(group, order)`` -- a hot group spans many ranges --
-       and number rows inside each sorted range with ``monotonically_increasing_id``;
+       and number rows inside each sorted range with ``monotonically_increasing_id``
+       (increasing within a partition), tagging the range with ``spark_partition_id``;
     2. per (group, range): first id and row count (a tiny table: at most
        ranges + groups rows);
     3. running sum of counts over the ranges of a group gives each range's offset;
@@ -38,11 +39,10 @@ def ordinal_within(df: DataFrame, group_cols: list[str], order_cols: list[str],
     keys = [*group_cols, *order_cols]
     ranged = (df.repartitionByRange(n, *keys)
               .sortWithinPartitions(*keys)
-              .withColumn("_mid", F.monotonically_increasing_id()))
+              .withColumns({"_mid": F.monotonically_increasing_id(), "_rng": F.spark_partition_id()}))
     if checkpoint:
         checkpoint_root(spark)
         ranged = ranged.checkpoint(eager=True)
-    ranged = ranged.withColumn("_rng", F.shiftright(F.col("_mid"), 33))
     stats = (ranged.groupBy(*group_cols, "_rng")
              .agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_cnt")))
     before = (Window.partitionBy(*group_cols).orderBy("_rng")

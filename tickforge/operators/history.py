@@ -23,8 +23,7 @@ def normalise_candle_time(candles: DataFrame, col: str = "datetime", tz: str = M
     """
     local = F.from_utc_timestamp(F.try_to_timestamp(F.col(col)), tz)
     return (candles.withColumn("_local", local)
-            .withColumn(col, format_local(F.col("_local")))
-            .withColumn("trade_date", F.to_date(F.col("_local")))
+            .withColumns({col: format_local(F.col("_local")), "trade_date": F.to_date(F.col("_local"))})
             .drop("_local"))
 
 

@@ -29,9 +29,8 @@ def enrich_quotes(quotes: DataFrame, master: DataFrame,
                  exchange_segment("exchange").alias("_m_type"))
     joined = quotes.join(broadcast_if_small(m), quotes[token_col] == m["_m_key"], "left")
     enriched = (joined.where(F.col("_m_key").isNotNull())
-                .withColumn("trading_symbol", F.col("_m_symbol"))
-                .withColumn("instrument_type", F.col("_m_type"))
-                .withColumn("exchange_token", F.col("_m_token"))
+                .withColumns({"trading_symbol": F.col("_m_symbol"), "instrument_type": F.col("_m_type"),
+                              "exchange_token": F.col("_m_token")})
                 .drop("_m_key", "_m_token", "_m_symbol", "_m_type"))
     reason = (F.when(F.col(token_col).isNull(), F.lit("missing_instrument_token"))
               .otherwise(F.lit("unknown_instrument")))

@@ -15,10 +15,11 @@ DEFAULT_EXCHANGE = "NSE"
 
 def with_request_defaults(requests: DataFrame) -> DataFrame:
     """Fill the defaults a request item gets when a field is absent."""
-    return (requests
-            .withColumn("exchange", F.coalesce(F.col("exchange"), F.lit(DEFAULT_EXCHANGE)))
-            .withColumn("exchange_token", F.coalesce(F.col("exchange_token"), F.lit("")))
-            .withColumn("instrument_type", F.coalesce(F.col("instrument_type"), F.lit(""))))
+    return requests.withColumns({
+        "exchange": F.coalesce(F.col("exchange"), F.lit(DEFAULT_EXCHANGE)),
+        "exchange_token": F.coalesce(F.col("exchange_token"), F.lit("")),
+        "instrument_type": F.coalesce(F.col("instrument_type"), F.lit("")),
+    })
 
 
 def reject_reason(intervals: tuple[str, ...] | None = None,

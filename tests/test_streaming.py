@@ -119,3 +119,15 @@ def test_stream_merged_quotes_last_write_wins(spark, tmp_path):
     got = spark.read.parquet(out)
     assert rows(got, "exchange_token", "last_price", "batch_no", "quote_key") == [(1, 4.0, 1, "d"),
                                                                                 (2, 2.0, 0, "b")]
+
+
+def test_update_mode_changelog(spark, landed, tmp_path):
+    from tickforge.streaming import latest_state
+    s = tick_stream(spark, landed, SCHEMA, max_files_per_trigger=1)
+    out = str(tmp_path / "ltp_updates")
+    run_to_table(stream_ltp(s), out, str(tmp_path / "ck6"), "update")
+    log = spark.read.parquet(out)
+    assert log.select("_batch_id").distinct().count() > 1          # several batches of changes
+    got = latest_state(spark, out, ["exchange_token"])
+    batch = ltp_quote(spark.read.schema(SCHEMA).parquet(landed))
+    assert rows(got, "exchange_token", "last_price") == rows(batch, "exchange_token", "last_price")

@@ -44,3 +44,8 @@ def test_key_batches_read_checkpoint(spark):
     plan = _plan(catalog._key_batches(750)(spark, SF_SMALL))
     assert "rangepartitioning" not in plan        # numbered rows come from the checkpoint
     assert "ExistingRDD" in plan
+
+
+def test_stored_history_prunes_date_partitions(spark):
+    plan = _plan(catalog.q_historical_stored(spark, SF_SMALL))
+    assert "dynamicpruning" in plan

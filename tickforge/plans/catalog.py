@@ -228,6 +228,16 @@ def q_historical(spark, d):
     return h.select("request_id", *CANDLE_OUT)
 
 
+def q_historical_stored(spark, d):
+    """O18 over candles stored by ``write_candles`` (partitioned by trade date):
+    the day-keyed join prunes date partitions at run time."""
+    path = staging.staging_dir(spark, "candles-by-day")
+    write_candles(V.candles_view(spark, d), path)
+    stored = spark.read.parquet(path)
+    h = historical_data(V.history_requests_view(spark, d), stored)
+    return h.select("request_id", *CANDLE_OUT)
+
+
 def q_today_backfill(spark, d):
     c = V.candles_view(spark, d)
     today = F.lit(V.TODAY).cast("date")
@@ -320,6 +330,7 @@ def queries() -> dict[str, Query]:
         "unresolved": q_unresolved,
         "quotes_enriched": q_quotes_enriched,
         "historical": q_historical,
+        "historical_stored": q_historical_stored,
         "today_backfill": q_today_backfill,
         "quotes_merged": q_quotes_merged,
         "ltp": q_ltp,

@@ -314,6 +314,7 @@ WHERE CAST(RES.to_date AS DATE) = DATE '2024-01-30'
 ORACLE["stream_enrich"] = with_views("""SELECT pos, instrument_token, exchange_token, trading_symbol,
   instrument_type, last_price, volume, oi FROM E""", "E")
 ORACLE["stream_ltp"] = ORACLE["ltp"]
+ORACLE["historical_stored"] = ORACLE["historical"]
 ORACLE["stream_quotes_merged"] = ORACLE["quotes_merged"]
 ORACLE["stream_bars"] = with_views(f"""SELECT {CANDLE_SEL} FROM B1
 WHERE bucket + INTERVAL 1 MINUTE - {LOCAL} <= (SELECT max(ts) FROM T) - INTERVAL 10 MINUTE""", "B1")

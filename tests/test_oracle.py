@@ -10,6 +10,7 @@ import pytest
 import __spark_entry__ as E
 from conftest import SF_SMALL
 
+DUCK_TO_SPARK = {"INTEGER": "int", "BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string", "DATE": "date"}
 TABLES = ["part", "orders", "events", "customer", "lineitem", "nation", "region", "supplier"]
 
 
@@ -50,9 +51,12 @@ def test_entry_runs(spark):
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
     got = [tuple(r) for r in df.collect()]
+    rel = duck.sql(E.oracle_sql()[name])
+    dtypes = {c: DUCK_TO_SPARK.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
     res = duck.execute(E.oracle_sql()[name])
     dcols = [d[0] for d in res.description]
     want = res.fetchall()
     assert sorted(df.columns) == sorted(dcols)
+    assert dict(df.dtypes) == dtypes
     assert len(got) == len(want)
     assert _canon(df.columns, got) == _canon(dcols, want)

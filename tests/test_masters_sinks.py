@@ -118,3 +118,15 @@ def test_request_status_codes(spark):
     out = request_status(reqs, rejects, results, errors)
     assert rows(out, "request_id", "status_code", "status", "n_items") == [
         (1, 200, "success", 2), (2, 400, "invalid", 1), (3, 404, "no data", 0), (4, 500, "error", 1)]
+
+
+def test_resolve_on_unified_master(spark):
+    a = spark.createDataFrame([("NSE_EQ|A", 1, "NSE_EQ", "A", 0)],
+                              "instrument_key string, exchange_token int, exchange string, tradingsymbol string, "
+                              "src_pos long")
+    u = unify_masters({"feed_a": a})
+    req = spark.createDataFrame([(0, 0, "1", "NSE", "EQ")],
+                                "request_id long, pos long, exchange_token string, exchange string, "
+                                "instrument_type string")
+    ok, _ = resolve_instruments(req, u, segment_col="segment")
+    assert [r.instrument_key for r in ok.collect()] == ["NSE_EQ|A"]

@@ -68,17 +68,19 @@ def _segment_key():
     return F.concat(F.col("exchange"), F.lit("_"), F.col("instrument_type"))
 
 
-def resolve_instruments(requests: DataFrame, master: DataFrame) -> tuple[DataFrame, DataFrame]:
+def resolve_instruments(requests: DataFrame, master: DataFrame,
+                        segment_col: str = "exchange") -> tuple[DataFrame, DataFrame]:
     """Feed-A resolution (O14): ``exchange_token = int(token)`` and
     ``exchange = '<exchange>_<instrument_type>'``; the first master row supplies
-    ``instrument_key``.
+    ``instrument_key``.  On the unified master pass ``segment_col="segment"``.
 
     Returns ``(resolved, unresolved)``.  ``unresolved`` holds items that failed
     validation (``reason`` from O12) or matched no master row (``not_in_master``).
     """
     req = with_request_defaults(requests)
     valid, rejects = validate_requests(req)
-    m = first_match(master.select("exchange_token", "exchange", "instrument_key", "src_pos"),
+    m = first_match(master.select("exchange_token", F.col(segment_col).alias("exchange"),
+                                  "instrument_key", "src_pos"),
                     ["exchange_token", "exchange"])
     m = m.select(F.col("exchange_token").alias("_m_token"), F.col("exchange").alias("_m_exchange"),
                  "instrument_key")

@@ -127,3 +127,11 @@ def test_chunk_coverage(spark, candles):
     cov = chunk_coverage(plan_date_chunks(req, days=3), candles)
     assert rows(cov, "request_id", "n_chunks", "empty_chunks", "n_candles", "retrieved") == [
         (10, 2, 1, 2, 1), (11, 1, 1, 0, 0)]
+
+
+def test_chunk_coverage_failed_chunks(spark, candles):
+    req = spark.createDataFrame([(10, 1, "2024-01-08", "2024-01-13")],
+                                "request_id long, exchange_token long, from_date string, to_date string")
+    failed = spark.createDataFrame([(10, 1), (10, 1)], "request_id long, chunk_no long")
+    cov = chunk_coverage(plan_date_chunks(req, days=3), candles, failed=failed)
+    assert rows(cov, "request_id", "n_chunks", "failed_chunks", "n_candles") == [(10, 2, 1, 2)]

@@ -75,8 +75,8 @@ HISTORY_REQUIRED = ["exchange_token", "interval_name", "from_date", "to_date", "
 
 def historical_for_requests(requests: DataFrame, master: DataFrame, candles: DataFrame,
                             full_quotes: DataFrame | None = None, today=None,
-                            key: str = "exchange_token", tz: str = MARKET_TZ
-                            ) -> tuple[DataFrame, DataFrame]:
+                            key: str = "exchange_token", tz: str = MARKET_TZ,
+                            sort: bool = True) -> tuple[DataFrame, DataFrame]:
     """``POST /historical-data`` over a request table.
 
     Requests carry ``request_id, exchange, exchange_token, instrument_type,
@@ -87,7 +87,9 @@ def historical_for_requests(requests: DataFrame, master: DataFrame, candles: Dat
     and ``full_quotes`` are given, a request whose range ends today and whose
     candles lack today's bar gets one built from the quote, as the service did.
     Output rows: ``request_id, exchange_token, datetime, open, high, low,
-    close, volume, oi``; order with ``orderBy('request_id', 'datetime')``.
+    close, volume, oi``, ordered by ``(request_id, datetime)`` as the service
+    returned them (a range-partitioned sort, so a long history is split across
+    tasks); ``sort=False`` leaves them unordered for further processing.
     """
     req = requests
     if "pos" not in req.columns:
@@ -123,6 +125,8 @@ def historical_for_requests(requests: DataFrame, master: DataFrame, candles: Dat
             F.col("ohlc.low").alias("low"), F.col("ohlc.close").alias("close"),
             F.col("volume").cast("long").alias("volume"), F.col("oi").cast("long").alias("oi"))
         out = hist.unionByName(added)
+    if sort:
+        out = out.orderBy("request_id", "datetime")
     return out, bad_params.unionByName(rejects, allowMissingColumns=True)
 
 

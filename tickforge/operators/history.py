@@ -108,14 +108,15 @@ def backfill_today(candles: DataFrame, full_quotes: DataFrame, today,
 
 
 def chunk_coverage(chunks: DataFrame, candles: DataFrame, key: str = "exchange_token",
-                   request_col: str = "request_id") -> DataFrame:
+                   request_col: str = "request_id", failed: DataFrame | None = None) -> DataFrame:
     """Planned vs returned chunks per request.
 
     ``chunks`` comes from ``plan_date_chunks`` (``chunk_no, chunk_from,
     chunk_to``).  Candles are first counted per ``(key, trade_date)`` -- a table
     bounded by instruments x days -- then joined to the chunk days.  Output per
     request: ``n_chunks``, ``empty_chunks``, ``n_candles``, ``retrieved``
-    (1 when any candle came back).
+    (1 when any candle came back) and, when ``failed`` (rows ``request_id,
+    chunk_no`` of rejected chunk payloads) is given, ``failed_chunks``.
     """
     daily = candles.groupBy(F.col(key).alias("_c_key"), F.col("trade_date").alias("_c_day")) \
         .agg(F.count(F.lit(1)).alias("_n"))
@@ -124,8 +125,14 @@ def chunk_coverage(chunks: DataFrame, candles: DataFrame, key: str = "exchange_t
     per_day = days.join(daily, (F.col(key) == F.col("_c_key")) & (F.col("_day") == F.col("_c_day")), "left")
     per_chunk = (per_day.groupBy(request_col, key, "chunk_no")
                  .agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("_n")))
-    return (per_chunk.groupBy(request_col)
-            .agg(F.count(F.lit(1)).alias("n_chunks"),
-                 F.sum(F.when(F.col("_n") == 0, 1).otherwise(0)).cast("long").alias("empty_chunks"),
-                 F.sum("_n").cast("long").alias("n_candles"))
+    aggs = [F.count(F.lit(1)).alias("n_chunks"),
+            F.sum(F.when(F.col("_n") == 0, 1).otherwise(0)).cast("long").alias("empty_chunks"),
+            F.sum("_n").cast("long").alias("n_candles")]
+    if failed is not None:
+        marks = (failed.select(F.col(request_col).alias("_f_req"), F.col("chunk_no").alias("_f_chunk"))
+                 .distinct().withColumn("_failed", F.lit(1)))
+        per_chunk = per_chunk.join(marks, (F.col(request_col) == F.col("_f_req"))
+                                   & (F.col("chunk_no") == F.col("_f_chunk")), "left")
+        aggs.append(F.sum(F.coalesce(F.col("_failed"), F.lit(0))).cast("long").alias("failed_chunks"))
+    return (per_chunk.groupBy(request_col).agg(*aggs)
             .withColumn("retrieved", F.when(F.col("n_candles") > 0, 1).otherwise(0)))

@@ -22,7 +22,8 @@ HEADLINE = [
     "ltp", "ohlc_1d", "ohlc_i1", "full_quote", "full_quote_enriched", "bars_1minute", "bars_day",
     "resolved", "unresolved", "request_status", "quotes_enriched", "quotes_merged",
     "historical", "today_backfill", "chunk_coverage", "key_batches_750", "date_chunks",
-    "candles_parsed",
+    "candles_parsed", "ltp_for_requests", "full_quote_for_requests", "historical_for_requests",
+    "stream_bars",
 ]
 
 

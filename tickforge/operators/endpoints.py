@@ -87,9 +87,11 @@ def historical_for_requests(requests: DataFrame, master: DataFrame, candles: Dat
     and ``full_quotes`` are given, a request whose range ends today and whose
     candles lack today's bar gets one built from the quote, as the service did.
     Output rows: ``request_id, exchange_token, datetime, open, high, low,
-    close, volume, oi``, ordered by ``(request_id, datetime)`` as the service
-    returned them (a range-partitioned sort, so a long history is split across
-    tasks); ``sort=False`` leaves them unordered for further processing.
+    close, volume, oi``.  With ``sort=True`` each request's rows sit together
+    in one partition in time order, as the service returned them (hash
+    partitioning plus a sort within partitions: no sampling pass over the
+    join, and one request holds at most its date range of bars);
+    ``sort=False`` leaves them unordered for further processing.
     """
     req = requests
     if "pos" not in req.columns:
@@ -111,22 +113,24 @@ def historical_for_requests(requests: DataFrame, master: DataFrame, candles: Dat
     out = hist
     if today is not None and full_quotes is not None:
         day = lenient_date(F.lit(str(today)))
-        got = hist.select("request_id", F.to_date(F.substring("datetime", 1, 10)).alias("_d"))
-        with_rows = got.select("request_id").distinct()
-        with_today = got.where(F.col("_d") == day).select("request_id").distinct()
-        due = (probe.where(lenient_date("to_date") == day)
-               .join(with_rows, "request_id", "left_semi")
-               .join(with_today, "request_id", "left_anti"))
+        # Only requests ending today can get the extra bar: join just those
+        # again (a small slice) instead of re-reading the whole result, and
+        # decide "has candles" and "has today's candle" in one aggregate.
+        due = probe.where(lenient_date("to_date") == day)
+        due_hist = historical_data(due, candles, key=key, extra_keys=extra)
+        flags = due_hist.groupBy("request_id").agg(
+            F.max(F.when(F.to_date(F.substring("datetime", 1, 10)) == day, 1).otherwise(0)).alias("_today"))
+        lacking = flags.where(F.col("_today") == 0).select("request_id")
         q = full_quotes.where(F.col("ohlc").isNotNull() & F.col("timestamp").isNotNull())
         local = F.from_utc_timestamp(F.col("timestamp").cast("timestamp"), tz)
-        added = due.join(q, key).select(
+        added = due.join(lacking, "request_id", "left_semi").join(q, key).select(
             "request_id", key, format_local(local).alias("datetime"),
             F.col("ohlc.open").alias("open"), F.col("ohlc.high").alias("high"),
             F.col("ohlc.low").alias("low"), F.col("ohlc.close").alias("close"),
             F.col("volume").cast("long").alias("volume"), F.col("oi").cast("long").alias("oi"))
         out = hist.unionByName(added)
     if sort:
-        out = out.orderBy("request_id", "datetime")
+        out = out.repartition("request_id").sortWithinPartitions("request_id", "datetime")
     return out, bad_params.unionByName(rejects, allowMissingColumns=True)
 
 

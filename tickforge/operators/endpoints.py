@@ -82,8 +82,9 @@ def historical_for_requests(requests: DataFrame, master: DataFrame, candles: Dat
     Requests carry ``request_id, exchange, exchange_token, instrument_type,
     interval_name, from_date, to_date``.  A request missing a required field is
     rejected (``missing_parameters``), one with an unparseable date
-    (``bad_date``); the rest are resolved against the master.  ``candles`` holds bars of the requested interval (an
-    ``interval_name`` column, when present, is matched too).  When ``today``
+    (``bad_date``); the rest are resolved against the master.  ``candles``
+    holds bars of the requested interval (an ``interval_name`` column, when
+    present, is matched too).  When ``today``
     and ``full_quotes`` are given, a request whose range ends today and whose
     candles lack today's bar gets one built from the quote, as the service did.
     Output rows: ``request_id, exchange_token, datetime, open, high, low,
@@ -119,7 +120,7 @@ def historical_for_requests(requests: DataFrame, master: DataFrame, candles: Dat
         due = probe.where(lenient_date("to_date") == day)
         due_hist = historical_data(due, candles, key=key, extra_keys=extra)
         flags = due_hist.groupBy("request_id").agg(
-            F.max(F.when(F.to_date(F.substring("datetime", 1, 10)) == day, 1).otherwise(0)).alias("_today"))
+            F.max(F.when(lenient_date(F.substring("datetime", 1, 10)) == day, 1).otherwise(0)).alias("_today"))
         lacking = flags.where(F.col("_today") == 0).select("request_id")
         q = full_quotes.where(F.col("ohlc").isNotNull() & F.col("timestamp").isNotNull())
         local = F.from_utc_timestamp(F.col("timestamp").cast("timestamp"), tz)

@@ -66,9 +66,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder; a machine-local "
                                "temp folder is only used in local mode")
-        root = tempfile.mkdtemp(prefix="tickforge-ckpt-")
-        sc.setCheckpointDir(root)
-    elif sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tickforge-ckpt-"))
+        return sc.getCheckpointDir()
+    if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root
 

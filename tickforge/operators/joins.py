@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 # Above it we leave the join to the planner: sort-merge with AQE, which can still
 # demote it to a broadcast from measured shuffle sizes, and splits skewed keys.
 DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
+# File-based estimates count compressed bytes on disk; a broadcast relation
+# is held decoded in memory, typically several times larger.  The estimate is
+# multiplied by this allowance before it is compared with the limit.
+COMPRESSION_ALLOWANCE = 4
 
 _UNITS = {"B": 1, "KiB": 1 << 10, "MiB": 1 << 20, "GiB": 1 << 30, "TiB": 1 << 40,
           "PiB": 1 << 50, "EiB": 1 << 60}
@@ -51,8 +55,9 @@ def estimate_is_upper_bound(df: DataFrame, plan: str | None = None) -> bool:
 
 
 def broadcast_if_small(df: DataFrame, limit: int | None = None) -> DataFrame:
-    """``F.broadcast(df)`` when its estimated size is a safe bound and within
-    ``limit``, else ``df`` unchanged (AQE then decides from measured sizes).
+    """``F.broadcast(df)`` when its estimated size is a safe bound and, with the
+    compression allowance, within ``limit``; else ``df`` unchanged (AQE then
+    decides from measured sizes).
 
     ``limit`` defaults to ``spark.tickforge.broadcastLimit`` or 64 MiB.
     """
@@ -60,6 +65,6 @@ def broadcast_if_small(df: DataFrame, limit: int | None = None) -> DataFrame:
         conf = df.sparkSession.conf.get("spark.tickforge.broadcastLimit", None)
         limit = int(conf) if conf else DEFAULT_BROADCAST_LIMIT
     plan = optimized_plan_with_costs(df)
-    if estimate_is_upper_bound(df, plan) and estimated_bytes(df, plan) <= limit:
+    if estimate_is_upper_bound(df, plan) and estimated_bytes(df, plan) * COMPRESSION_ALLOWANCE <= limit:
         return F.broadcast(df)
     return df

@@ -22,8 +22,9 @@ from tickforge.operators import (
 from tickforge.operators import endpoints as E
 from tickforge.operators.history import normalise_candle_time
 from tickforge.operators.joins import broadcast_if_small
+from tickforge.operators.master import UNIFIED_COLUMNS
 from tickforge.plans import staging, views as V
-from tickforge.sinks import list_master, request_status, write_candles
+from tickforge.sinks import list_master, request_status, write_candles, write_master
 from tickforge.sources import (
     parse_candles, parse_quotes, read_master_a, read_master_b, read_master_json, read_requests,
 )
@@ -117,6 +118,14 @@ def q_unified_master(spark, d):
     return unify_masters({"FEED_A": a, "Feed_B": b})
 
 
+def q_master_written(spark, d):
+    """O10 + O07: the unified master stored once as Parquet partitioned by broker."""
+    path = staging.staging_dir(spark, "master")
+    write_master(q_unified_master(spark, d), path)
+    back = spark.read.parquet(path)
+    return back.select(*UNIFIED_COLUMNS)
+
+
 def q_index_backfill(spark, d):
     master = _master_json(spark, d)
     # Index-like instruments: the map covers the PROMO and SMALL types.
@@ -322,6 +331,7 @@ def queries() -> dict[str, Query]:
         "candles_written": q_candles_written,
         "request_status": q_request_status,
         "unified_master": q_unified_master,
+        "master_written": q_master_written,
         "index_backfill": q_index_backfill,
         "rejected_requests": q_rejected_requests,
         "trailing_window": q_trailing_window,

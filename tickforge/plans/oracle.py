@@ -315,6 +315,7 @@ ORACLE["stream_enrich"] = with_views("""SELECT pos, instrument_token, exchange_t
   instrument_type, last_price, volume, oi FROM E""", "E")
 ORACLE["stream_ltp"] = ORACLE["ltp"]
 ORACLE["historical_stored"] = ORACLE["historical"]
+ORACLE["master_written"] = ORACLE["unified_master"]
 ORACLE["stream_quotes_merged"] = ORACLE["quotes_merged"]
 ORACLE["stream_bars"] = with_views(f"""SELECT {CANDLE_SEL} FROM B1
 WHERE bucket + INTERVAL 1 MINUTE - {LOCAL} <= (SELECT max(ts) FROM T) - INTERVAL 10 MINUTE""", "B1")

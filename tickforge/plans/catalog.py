@@ -248,11 +248,13 @@ def q_historical_stored(spark, d):
 
 
 def q_today_backfill(spark, d):
+    """Today's bar missing where it was a down bar (close < open); the full
+    quote lacks its timestamp where that day's volume is under 50."""
     c = V.candles_view(spark, d)
     today = F.lit(V.TODAY).cast("date")
-    c = c.where(~((F.col("trade_date") == today) & (F.col("exchange_token") % 2 == 0)))
+    c = c.where(~((F.col("trade_date") == today) & (F.col("close") < F.col("open"))))
     fq = full_market_quote(V.ticks_view(spark, d))
-    fq = fq.withColumn("timestamp", F.when(F.col("exchange_token") % 6 == 0, F.lit(None))
+    fq = fq.withColumn("timestamp", F.when(F.col("volume") < 50, F.lit(None))
                        .otherwise(F.col("timestamp")))
     out = backfill_today(c, fq, V.TODAY)
     return out.select(*CANDLE_OUT, F.date_format("trade_date", "yyyy-MM-dd").alias("trade_date"))

@@ -229,11 +229,11 @@ SELECT {CANDLE_SEL}, strftime(trade_date, '%Y-%m-%d') AS trade_date FROM C2
 UNION ALL
 SELECT exchange_token, strftime(last_ts + {LOCAL}, {FMT}) AS datetime, open, high, low, close, volume, oi,
   strftime(CAST(last_ts + {LOCAL} AS DATE), '%Y-%m-%d') AS trade_date
-FROM FQ WHERE exchange_token % 6 <> 0
+FROM FQ WHERE volume >= 50
   AND EXISTS (SELECT 1 FROM C2 WHERE C2.exchange_token = FQ.exchange_token)
   AND NOT EXISTS (SELECT 1 FROM C2 WHERE C2.exchange_token = FQ.exchange_token
                   AND C2.trade_date = DATE '2024-01-30')""", "C", "FQ",
-        extra=("C2 AS (SELECT * FROM C WHERE NOT (trade_date = DATE '2024-01-30' AND exchange_token % 2 = 0))",)),
+        extra=("C2 AS (SELECT * FROM C WHERE NOT (trade_date = DATE '2024-01-30' AND close < open))",)),
     "quotes_merged": with_views("""SELECT exchange_token, batch_no, quote_key, instrument_token, trading_symbol,
   instrument_type, last_price, volume, oi FROM QM""", "QM"),
     "quote_matrix": with_views(_MATRIX, "QM"),

@@ -130,3 +130,19 @@ def test_resolve_on_unified_master(spark):
                                 "instrument_type string")
     ok, _ = resolve_instruments(req, u, segment_col="segment")
     assert [r.instrument_key for r in ok.collect()] == ["NSE_EQ|A"]
+
+
+def test_first_match_ties_break_on_broker(spark):
+    a = spark.createDataFrame([("NSE_EQ|FROM-A", 7, "NSE_EQ", "A", 0)],
+                              "instrument_key string, exchange_token int, exchange string, tradingsymbol string, "
+                              "src_pos long")
+    b = spark.createDataFrame([("NSE_EQ|FROM-B", 7, "NSE_EQ", "B", 0)],
+                              "instrument_key string, exchange_token int, exchange string, tradingsymbol string, "
+                              "src_pos long")
+    u = unify_masters({"zeta": b, "alpha": a}, layouts={"zeta": "feed_a", "alpha": "feed_a"})
+    req = spark.createDataFrame([(0, 0, "7", "NSE", "EQ")],
+                                "request_id long, pos long, exchange_token string, exchange string, "
+                                "instrument_type string")
+    for _ in range(3):
+        ok, _ = resolve_instruments(req, u, segment_col="segment")
+        assert [r.instrument_key for r in ok.collect()] == ["NSE_EQ|FROM-A"]

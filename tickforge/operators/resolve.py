@@ -56,11 +56,16 @@ def validate_requests(requests: DataFrame, intervals: tuple[str, ...] | None = N
 def first_match(master: DataFrame, keys: list[str], order_col: str = "src_pos") -> DataFrame:
     """One master row per key: the row with the smallest ``order_col`` (file order).
 
-    Written as an aggregate, not a window, so duplicates of one key are combined
-    map-side before the shuffle.
+    On a unified master, file positions of two feeds can be equal; the broker
+    name then breaks the tie, so the pick is deterministic.  Written as an
+    aggregate, not a window, so duplicates of one key are combined map-side
+    before the shuffle.
     """
     others = [c for c in master.columns if c not in keys]
-    picked = F.min_by(F.struct(*[F.col(c) for c in others]), F.col(order_col)).alias("_row")
+    order = F.col(order_col)
+    if "broker" in master.columns and "broker" not in keys:
+        order = F.struct(F.col(order_col), F.col("broker"))
+    picked = F.min_by(F.struct(*[F.col(c) for c in others]), order).alias("_row")
     return master.groupBy(*keys).agg(picked).select(*keys, "_row.*")
 
 
@@ -79,8 +84,9 @@ def resolve_instruments(requests: DataFrame, master: DataFrame,
     """
     req = with_request_defaults(requests)
     valid, rejects = validate_requests(req)
+    tie = ["broker"] if "broker" in master.columns else []
     m = first_match(master.select("exchange_token", F.col(segment_col).alias("exchange"),
-                                  "instrument_key", "src_pos"),
+                                  "instrument_key", "src_pos", *tie),
                     ["exchange_token", "exchange"])
     m = m.select(F.col("exchange_token").alias("_m_token"), F.col("exchange").alias("_m_exchange"),
                  "instrument_key")

@@ -131,3 +131,11 @@ def test_update_mode_changelog(spark, landed, tmp_path):
     got = latest_state(spark, out, ["exchange_token"])
     batch = ltp_quote(spark.read.schema(SCHEMA).parquet(landed))
     assert rows(got, "exchange_token", "last_price") == rows(batch, "exchange_token", "last_price")
+
+
+def test_state_partitions_leave_session_conf(spark, landed, tmp_path):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    s = tick_stream(spark, landed, SCHEMA)
+    run_to_table(stream_ltp(s), str(tmp_path / "sp"), str(tmp_path / "ck7"), "complete", state_partitions=2)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert spark.read.parquet(str(tmp_path / "sp")).count() == 2

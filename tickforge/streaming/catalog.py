@@ -27,7 +27,9 @@ def _ticks(spark: SparkSession, d: str) -> DataFrame:
 
 def _run(spark, stream, name, mode) -> DataFrame:
     sink = staging_dir(spark, f"{name}-out")
-    run_to_table(stream, sink, staging_dir(spark, f"{name}-ckpt"), mode)
+    # State partitions sized to the cluster's cores, not the batch default.
+    run_to_table(stream, sink, staging_dir(spark, f"{name}-ckpt"), mode,
+                 state_partitions=spark.sparkContext.defaultParallelism)
     return spark.read.parquet(sink)
 
 

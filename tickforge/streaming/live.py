@@ -105,7 +105,8 @@ def stream_bars(ticks: DataFrame, interval: str = "1minute", lateness: str = "10
 
 
 def run_to_table(stream: DataFrame, sink_path: str, checkpoint: str,
-                 mode: str = "append", timeout_s: float | None = None) -> None:
+                 mode: str = "append", timeout_s: float | None = None,
+                 state_partitions: int | None = None) -> None:
     """Run a stream over everything available now, then stop.
 
     * ``append``   -- parquet file sink (finalised rows only);
@@ -116,7 +117,9 @@ def run_to_table(stream: DataFrame, sink_path: str, checkpoint: str,
     Each batch write is idempotent (file sink commit log, overwrite, or a
     batch-id partition replaced on retry), and checkpoints live under the
     shared checkpoint root, so a lost executor or a restarted query does not
-    duplicate rows.
+    duplicate rows.  ``state_partitions`` sets the number of state-store
+    partitions of a new query (fixed in its checkpoint from then on); by
+    default the session's ``spark.sql.shuffle.partitions`` applies.
     """
     if mode == "append":
         w = (stream.writeStream.format("parquet").option("path", sink_path)
@@ -135,7 +138,14 @@ def run_to_table(stream: DataFrame, sink_path: str, checkpoint: str,
              .option("checkpointLocation", checkpoint).outputMode("update"))
     else:
         raise ValueError(f"unknown output mode {mode!r}")
-    q = w.trigger(availableNow=True).start()
+    spark = stream.sparkSession
+    previous = spark.conf.get("spark.sql.shuffle.partitions")
+    if state_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        q = w.trigger(availableNow=True).start()   # the query keeps its own copy of the conf
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", previous)
     q.awaitTermination(timeout_s)
     if q.isActive:
         q.stop()

@@ -130,15 +130,16 @@ def scan_licenses(docs: DataFrame, texts: dict[str, str] | None = None, notices=
     known = catalogue(docs.sparkSession, texts).select(F.col("digest").alias("text_sha256"), "license_id")
     lines = F.split(F.coalesce(F.col(text_col).cast("string"), F.lit("")), "\n", -1)
     pairs = notices if notices is not None else NOTICES
-    found = F.flatten(F.transform(lines, lambda x: _notice_ids(x, pairs)))
+    known_lines = F.array(*[F.struct(digest(F.lit(t)).alias("d"), F.lit(i).alias("i")) for i, t in pairs])
+
+    def named(mine: Column) -> Column:
+        """The licence a line's digest names, as an array of none or one."""
+        return F.slice(F.transform(F.filter(known_lines, lambda k: k["d"] == mine), lambda k: k["i"]), 1, 1)
+
+    # Digests first: an expression inside the filter would be computed again for every notice.
+    found = F.flatten(F.transform(F.transform(lines, digest), named))
     rows = docs.select(F.col(id_col), digest(F.col(text_col)).alias("text_sha256"), found.alias("found"))
     return (rows.join(F.broadcast(known), "text_sha256", "left")
             .select(id_col, "text_sha256", "license_id", F.size("found").cast("long").alias("n_notices"),
                     F.array_join(F.array_sort(F.array_distinct("found")), ",").alias("notice_ids")))
 
-
-def _notice_ids(line: Column, pairs) -> Column:
-    """The licence named by a line that is a known notice, as an array of none or one."""
-    mine = digest(line)
-    known = F.array(*[F.struct(digest(F.lit(t)).alias("d"), F.lit(i).alias("i")) for i, t in pairs])
-    return F.slice(F.transform(F.filter(known, lambda k: k["d"] == mine), lambda k: k["i"]), 1, 1)

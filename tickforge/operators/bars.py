@@ -94,7 +94,7 @@ def ohlc_quote(ticks: DataFrame, interval: str = "1d", key: str = TICK_KEY,
     Output: ``key, datetime, open, high, low, close, volume, last_price``.
     """
     if interval not in ("1d", "I1", "I30"):
-        raise ValueError(f"Invalid interval: {interval}. Valid intervals are: ['1d', 'I1', 'I30']")
+        raise ValueError(f"no quote bar of length {interval!r}; use 1d, I1 or I30")
     last = latest_bar(bars(ticks, interval, tz, key), key)
     return last.select(key, "datetime", "open", "high", "low", "close", "volume",
                        F.col("close").alias("last_price"))

@@ -56,7 +56,7 @@ def ohlc_for_requests(requests: DataFrame, master: DataFrame, ticks: DataFrame,
                       tick_key: str = "exchange_token") -> tuple[DataFrame, DataFrame]:
     """``POST /ohlc-quote``; the interval must be one of ``1d``, ``I1``, ``I30``."""
     if interval not in QUOTE_INTERVALS:
-        raise ValueError(f"Invalid interval: {interval}. Valid intervals are: {list(QUOTE_INTERVALS)}")
+        raise ValueError(f"no quote bar of length {interval!r}; use one of {sorted(QUOTE_INTERVALS)}")
     resolved, rejects = resolve_instruments(requests, master)
     q = ohlc_quote(_requested_ticks(resolved, ticks, tick_key), interval, key=tick_key)
     return _attach(resolved, q, tick_key), rejects

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -63,7 +64,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):     # local-cluster is a cluster
             raise RuntimeError("set spark.checkpoint.dir to a shared folder; a machine-local "
                                "temp folder is only used in local mode")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="tickforge-ckpt-"))

@@ -27,14 +27,15 @@ def write_candles(candles: DataFrame, path: str, key: str = "exchange_token",
     """Write candles with exactly the record columns, partitioned by
     ``trade_date`` and sorted by time inside each file (O08).
 
-    Repartitioning on ``(trade_date, key)`` keeps one instrument-day in one
-    file without sending a whole day (or a whole hot instrument) to one task.
+    Rebalancing on ``trade_date`` gives each day few files, and AQE splits only a
+    day too large for one task.  Overwriting replaces the days written and keeps
+    the others.
     """
     cols = [key, *CANDLE_COLUMNS, "trade_date"]
     out = (candles.select(*cols)
-           .repartition("trade_date", key)
+           .hint("rebalance", "trade_date")
            .sortWithinPartitions("trade_date", key, "datetime"))
-    out.write.mode(mode).partitionBy("trade_date").format(fmt).save(path)
+    out.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("trade_date").format(fmt).save(path)
 
 
 # Response codes of the service (fixed values).

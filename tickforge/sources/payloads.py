@@ -74,7 +74,7 @@ def parse_candles(payloads: DataFrame, payload_col: str = "payload",
         return F.get(F.col("_c"), i)
 
     def as_long(i):
-        return F.coalesce(slot(i).try_cast("long"), slot(i).try_cast("double").cast("long"))
+        return F.coalesce(slot(i).try_cast("long"), slot(i).try_cast("double").try_cast("long"))
 
     typed = c.select(*carry, slot(0).alias("datetime"),
                      slot(1).try_cast("double").alias("open"),

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickforge.functions.exprs import format_local, to_market_time
+from tickforge.operators.joins import broadcast_if_small
 from tickforge.plans import views as V
 from tickforge.session import staging_dir
 from tickforge.plans.staging import stage_json_lines
@@ -38,7 +39,7 @@ def q_stream_enrich(spark, d):
     m = V.master_view(spark, d)
     keys = m.select(F.col("exchange_token").alias("_mt"), "instrument_key")
     eid = F.col("event_id")
-    quotes = (t.join(F.broadcast(keys), t["exchange_token"] == keys["_mt"])
+    quotes = (t.join(broadcast_if_small(keys), t["exchange_token"] == keys["_mt"])
               .select(eid.alias("pos"),
                       F.when(eid % 50 == 0, F.lit(None).cast("string"))
                        .when(eid % 77 == 0, F.concat(F.lit("NONE|"), F.col("exchange_token").cast("string")))

@@ -29,7 +29,7 @@ def test_read_master_a_gzip_first_match(spark, tmp_path):
                 "NSE_INDEX|Nifty 50,,,0,NSE_INDEX\n"
                 "BSE_EQ|B,x12,XYZ,5,BSE_EQ\n")
     m = read_master_a(spark, str(p))
-    assert dict(m.dtypes)["exchange_token"] == "int" and dict(m.dtypes)["lot_size"] == "string"
+    assert dict(m.dtypes)["exchange_token"] == "bigint" and dict(m.dtypes)["lot_size"] == "string"
     assert rows(m, "instrument_key", "exchange_token", "tradingsymbol") == sorted([
         ("NSE_EQ|A", 21195, "ABC"), ("NSE_EQ|A2", 21195, "ABC2"), ("NSE_INDEX|Nifty 50", None, None),
         ("BSE_EQ|B", None, "XYZ")], key=repr)
@@ -68,7 +68,7 @@ def test_read_master_json_and_backfill(spark, tmp_path):
         ("BSE_INDEX|SENSEX", "SENSEX"),             # kept
         ("NSE_EQ|X", None),                         # '' without a map entry becomes NULL
     ], key=repr)
-    assert set(out.columns) == {"instrument_key", "trading_symbol", "src_pos"}
+    assert set(out.columns) == {"instrument_key", "trading_symbol", "src_file", "src_pos"}
 
 
 def test_index_symbol_map_custom_keys(spark):

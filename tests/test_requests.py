@@ -74,11 +74,12 @@ def test_resolve_symbols(spark, requests, master):
     mb = mb.unionByName(spark.createDataFrame([(777, "NSE", None, 9)],
                                               "exchange_token int, exchange string, tradingsymbol string, "
                                               "src_pos long"))
-    ok, _ = resolve_symbols(requests, mb)
+    ok, bad = resolve_symbols(requests, mb)
     got = {(r.request_id, r.pos): r.symbol_key for r in ok.collect()}
     assert got[(1, 0)] == "NSE:ABC"
     assert got[(2, 1)] == "BSE:XYZ"
-    assert got[(2, 3)] is None             # NULL symbol stays NULL, no 'NSE:None'
+    assert (2, 3) not in got               # no symbol, so nothing to ask for
+    assert {(r.request_id, r.pos): r.reason for r in bad.collect()}[(2, 3)] == "missing_symbol"
     assert got[(3, 0)] == "NSE:ABC"        # feed B ignores the type
 
 

@@ -2,6 +2,6 @@
 
 from tickforge.functions.exprs import (  # noqa: F401
     exchange_segment, lenient_date, nth_part, strict_int, to_market_time, format_local,
-    epoch_micros,
+    lenient_long,
 )
-from tickforge.functions.intervals import INTERVALS, interval_spec  # noqa: F401
+from tickforge.functions.intervals import INTERVALS  # noqa: F401

@@ -37,8 +37,13 @@ def lenient_date(c) -> Column:
 
 
 def strict_int(c) -> Column:
-    """Token string -> INT, NULL when it is not a clean integer (ANSI ``try_cast``)."""
-    return _c(c).try_cast("int")
+    """Token string -> BIGINT, NULL when it is not a clean integer (ANSI ``try_cast``)."""
+    return _c(c).try_cast("long")
+
+
+def lenient_long(c) -> Column:
+    """Number text -> BIGINT; ``1200.0`` is 1200, text that is no number in range is NULL."""
+    return F.coalesce(_c(c).try_cast("long"), _c(c).try_cast("double").try_cast("long"))
 
 
 def to_market_time(ts, tz: str = MARKET_TZ) -> Column:
@@ -51,7 +56,3 @@ def to_market_time(ts, tz: str = MARKET_TZ) -> Column:
 
 def format_local(ts) -> Column:
     return F.date_format(_c(ts), LOCAL_FORMAT)
-
-
-def epoch_micros(ts) -> Column:
-    return F.unix_micros(_c(ts).cast("timestamp"))

@@ -19,10 +19,3 @@ INTERVALS = {
 }
 
 QUOTE_INTERVALS = ("1d", "I1", "I30")
-
-
-def interval_spec(name: str) -> str:
-    try:
-        return INTERVALS[name]
-    except KeyError:
-        raise ValueError(f"unknown interval {name!r}; known: {sorted(INTERVALS)}") from None

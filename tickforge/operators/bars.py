@@ -17,38 +17,59 @@ from tickforge.functions.intervals import INTERVALS
 
 TICK_KEY = "exchange_token"
 
+# Spacing of instants in a tick's order number: wider than the whole BIGINT range,
+# so adding any event_id never reaches the next microsecond.
+_STEP = 2 * 10 ** 19
 
-def _order(ts: str = "ts", tie: str = "event_id") -> Column:
-    return F.struct(F.col(ts).cast("timestamp"), F.col(tie))
+
+def key_columns(key: str | list[str] | tuple[str, ...]) -> list[str]:
+    """An instrument key is one column or several, e.g. ``["exchange", "exchange_token"]``."""
+    return [key] if isinstance(key, str) else list(key)
+
+
+def tick_order(ts: str = "ts", tie: str = "event_id") -> Column:
+    """``(ts, event_id)`` as one exact DECIMAL(38,0), which a hash aggregate can hold
+    (a struct would force a sort of every scan split).  ``tie`` is a BIGINT; NULL counts as 0.
+    A tick without a time has no order: it is never first or last."""
+    micros = F.unix_micros(F.col(ts).cast("timestamp")).cast("decimal(18,0)")
+    step = F.lit(str(_STEP)).cast("decimal(20,0)")
+    return (micros * step + F.coalesce(F.col(tie).cast("long"), F.lit(0)).cast("decimal(20,0)")).cast("decimal(38,0)")
 
 
 def ohlc_aggs(price: str = "price", qty: str = "qty", oi: str = "oi",
               ts: str = "ts", tie: str = "event_id") -> list[Column]:
-    """Aggregates of one bar; expand the result with ``ohlc_out()``.
-
-    Close, open interest and the last instant all come from the last tick, so
-    one ``max_by`` carries them together (one ordering buffer instead of three).
-    """
-    o = _order(ts, tie)
-    last = F.struct(F.col(price).alias("price"), F.col(oi).cast("long").alias("oi"),
-                    F.col(ts).cast("timestamp").alias("ts"))
+    """Aggregates of one bar, each over a fixed-width buffer."""
+    o = tick_order(ts, tie)
     return [
         F.min_by(F.col(price), o).alias("open"),
         F.max(F.col(price)).alias("high"),
         F.min(F.col(price)).alias("low"),
+        F.max_by(F.col(price), o).alias("close"),
         F.sum(F.col(qty)).cast("long").alias("volume"),
-        F.max_by(last, o).alias("_last"),
+        F.max_by(F.col(oi).cast("long"), o).alias("oi"),
+        F.max(F.col(ts).cast("timestamp")).alias("last_ts"),
     ]
 
 
 def ohlc_out(with_last_ts: bool = True) -> list[Column]:
-    """Projection of ``ohlc_aggs`` output to bar columns."""
-    cols = [F.col("open"), F.col("high"), F.col("low"), F.col("_last.price").alias("close"),
-            F.col("volume"), F.col("_last.oi").alias("oi")]
-    return cols + [F.col("_last.ts").alias("last_ts")] if with_last_ts else cols
+    """Bar columns of an ``ohlc_aggs`` result."""
+    cols = ["open", "high", "low", "close", "volume", "oi"]
+    return [F.col(c) for c in (cols + ["last_ts"] if with_last_ts else cols)]
 
 
-def bars(ticks: DataFrame, interval: str, tz: str = MARKET_TZ, key: str = TICK_KEY) -> DataFrame:
+def _since(ticks: DataFrame, since, tz: str) -> DataFrame:
+    """Ticks from local midnight of day ``since`` on (None: all).  Where the table has a
+    ``trade_date``, that prunes its partitions."""
+    if since is None:
+        return ticks
+    day = F.lit(str(since)).cast("date")
+    if "trade_date" in ticks.columns:
+        return ticks.where(F.col("trade_date") >= day)
+    return ticks.where(F.col("ts").cast("timestamp") >= F.to_utc_timestamp(day.cast("timestamp"), tz))
+
+
+def bars(ticks: DataFrame, interval: str, tz: str = MARKET_TZ,
+         key: str | list[str] = TICK_KEY) -> DataFrame:
     """All bars of ``interval`` (a name such as ``1minute``/``day`` or a Spark
     duration such as ``'15 minutes'``) per instrument (O24).
 
@@ -61,9 +82,10 @@ def bars(ticks: DataFrame, interval: str, tz: str = MARKET_TZ, key: str = TICK_K
     # Group on the bucket start alone (one timestamp, not the window struct):
     # smaller partial-aggregate rows to sort and shuffle.
     start = F.window(to_market_time("ts", tz), dur).start
-    agg = ticks.groupBy(F.col(key), start.alias("bar_start")).agg(*ohlc_aggs())
+    keys = key_columns(key)
+    agg = ticks.groupBy(*keys, start.alias("bar_start")).agg(*ohlc_aggs())
     return agg.select(
-        F.col(key),
+        *keys,
         F.col("bar_start"),
         format_local(F.col("bar_start")).alias("datetime"),
         F.to_date(F.col("bar_start")).alias("trade_date"),
@@ -71,43 +93,49 @@ def bars(ticks: DataFrame, interval: str, tz: str = MARKET_TZ, key: str = TICK_K
     )
 
 
-def ltp_quote(ticks: DataFrame, key: str = TICK_KEY, tz: str = MARKET_TZ) -> DataFrame:
-    """Last traded price per instrument (O21): ``key, last_price, last_time``."""
-    last = F.struct(F.col("price").alias("price"), F.col("ts").cast("timestamp").alias("ts"))
-    return (ticks.groupBy(key)
-            .agg(F.max_by(last, _order()).alias("_last"))
-            .select(key, F.col("_last.price").alias("last_price"),
-                    format_local(to_market_time("_last.ts", tz)).alias("last_time")))
+def ltp_quote(ticks: DataFrame, key: str | list[str] = TICK_KEY, tz: str = MARKET_TZ, since=None) -> DataFrame:
+    """Last traded price per instrument (O21): ``key, last_price, last_time``.
+
+    ``since`` (a day, here and below) leaves older ticks unread; an instrument
+    without ticks from then on has no row.
+    """
+    keys = key_columns(key)
+    return (_since(ticks, since, tz).groupBy(*keys)
+            .agg(F.max_by("price", tick_order()).alias("last_price"),
+                 F.max(F.col("ts").cast("timestamp")).alias("_ts"))
+            .select(*keys, "last_price", format_local(to_market_time("_ts", tz)).alias("last_time")))
 
 
-def latest_bar(bar_df: DataFrame, key: str = TICK_KEY) -> DataFrame:
+def latest_bar(bar_df: DataFrame, key: str | list[str] = TICK_KEY) -> DataFrame:
     """The most recent bar of each instrument (bars are one per (key, start))."""
-    cols = [c for c in bar_df.columns if c != key]
+    keys = key_columns(key)
+    cols = [c for c in bar_df.columns if c not in keys]
     picked = F.max_by(F.struct(*[F.col(c) for c in cols]), F.col("bar_start")).alias("_b")
-    return bar_df.groupBy(key).agg(picked).select(key, "_b.*")
+    return bar_df.groupBy(*keys).agg(picked).select(*keys, "_b.*")
 
 
-def ohlc_quote(ticks: DataFrame, interval: str = "1d", key: str = TICK_KEY,
-               tz: str = MARKET_TZ) -> DataFrame:
+def ohlc_quote(ticks: DataFrame, interval: str = "1d", key: str | list[str] = TICK_KEY,
+               tz: str = MARKET_TZ, since=None) -> DataFrame:
     """Latest bar per instrument for a quote interval ``1d``/``I1``/``I30``.
 
     Output: ``key, datetime, open, high, low, close, volume, last_price``.
     """
     if interval not in ("1d", "I1", "I30"):
         raise ValueError(f"no quote bar of length {interval!r}; use 1d, I1 or I30")
-    last = latest_bar(bars(ticks, interval, tz, key), key)
-    return last.select(key, "datetime", "open", "high", "low", "close", "volume",
+    last = latest_bar(bars(_since(ticks, since, tz), interval, tz, key), key)
+    return last.select(*key_columns(key), "datetime", "open", "high", "low", "close", "volume",
                        F.col("close").alias("last_price"))
 
 
-def full_market_quote(ticks: DataFrame, key: str = TICK_KEY, tz: str = MARKET_TZ) -> DataFrame:
+def full_market_quote(ticks: DataFrame, key: str | list[str] = TICK_KEY, tz: str = MARKET_TZ,
+                      since=None) -> DataFrame:
     """Full quote per instrument (O23): the day bar of the instrument's latest
     market day as an ``ohlc`` struct, that day's ``volume``, the last ``oi``,
     ``last_price`` and ``timestamp`` (instant of the last tick).
     """
-    last = latest_bar(bars(ticks, "day", tz, key), key)
+    last = latest_bar(bars(_since(ticks, since, tz), "day", tz, key), key)
     return last.select(
-        key,
+        *key_columns(key),
         F.col("trade_date"),
         F.struct("open", "high", "low", "close").alias("ohlc"),
         F.col("close").alias("last_price"),

@@ -4,8 +4,10 @@ Each takes a request table instead of one HTTP body and returns
 ``(rows, rejects)``: rows keyed by ``(request_id, pos)`` and rejects with a
 ``reason``.  ``sinks.request_status`` turns both into per-request envelopes.
 
-Ticks and candles are keyed by ``exchange_token`` here (``tick_key``); the
-master supplies it per resolved item.
+A bare token is not an instrument: two exchanges may use the same number.  Ticks
+and candles are matched on ``instrument_key`` where they carry it, else on
+``(exchange, exchange_token)``; only a table with neither (one exchange's own) is
+matched on the token.
 """
 
 from __future__ import annotations
@@ -15,11 +17,13 @@ from pyspark.sql import functions as F
 
 from tickforge.functions.exprs import MARKET_TZ, format_local, lenient_date
 from tickforge.functions.intervals import QUOTE_INTERVALS
-from tickforge.operators.bars import full_market_quote, ltp_quote, ohlc_quote
+from tickforge.operators.bars import full_market_quote, key_columns, ltp_quote, ohlc_quote
 from tickforge.operators.history import historical_data
 from tickforge.operators.joins import broadcast_if_small
 from tickforge.operators.master import backfill_index_symbols, unify_masters
-from tickforge.operators.resolve import resolve_instruments, with_request_defaults
+from tickforge.operators.resolve import (
+    resolve_instruments, resolve_symbols, validate_requests, with_request_defaults,
+)
 
 
 def master_data(feeds: dict[str, DataFrame], layouts: dict[str, str] | None = None,
@@ -29,45 +33,91 @@ def master_data(feeds: dict[str, DataFrame], layouts: dict[str, str] | None = No
     return backfill_index_symbols(m, symbol_map).withColumnRenamed("trading_symbol", "tradingsymbol")
 
 
-def _requested_ticks(resolved: DataFrame, ticks: DataFrame, tick_key: str) -> DataFrame:
-    # Aggregate only the requested instruments: the distinct token set is
+def instrument_key_of(table: DataFrame) -> list[str]:
+    """The columns that identify an instrument in a tick or candle table: its
+    ``instrument_key``, else ``(exchange, exchange_token)``, else the token alone (one
+    exchange's table, where tokens are unique)."""
+    for key in (["instrument_key"], ["exchange", "exchange_token"]):
+        if set(key) <= set(table.columns):
+            return key
+    return ["exchange_token"]
+
+
+def _request_column(c: str):
+    return F.col("token_int" if c == "exchange_token" else c)
+
+
+def _requested_ticks(resolved: DataFrame, ticks: DataFrame, key: list[str]) -> DataFrame:
+    # Aggregate only the requested instruments: the distinct key set is
     # combined map-side and, when small, broadcast into a semi-join on the scan.
-    key_type = dict(ticks.dtypes)[tick_key]
-    wanted = resolved.select(F.col("token_int").cast(key_type).alias(tick_key)).distinct()
-    return ticks.join(broadcast_if_small(wanted), tick_key, "left_semi")
+    types = dict(ticks.dtypes)
+    wanted = resolved.select(*[_request_column(c).cast(types[c]).alias(c) for c in key]).distinct()
+    return ticks.join(broadcast_if_small(wanted), key, "left_semi")
 
 
-def _attach(resolved: DataFrame, quotes: DataFrame, tick_key: str) -> DataFrame:
-    q = quotes.withColumnRenamed(tick_key, "_q_key")
-    out = resolved.join(q, resolved["token_int"] == q["_q_key"])
+def _attach(resolved: DataFrame, quotes: DataFrame, key: list[str]) -> DataFrame:
     # The request's token text is replaced by the resolved integer token.
-    return out.drop("_q_key", "exchange_token").withColumnRenamed("token_int", "exchange_token")
+    r = resolved.drop("exchange_token").withColumnRenamed("token_int", "exchange_token")
+    q = quotes.withColumnsRenamed({c: f"_q_{c}" for c in key})
+    out = r.join(q, [r[c] == q[f"_q_{c}"] for c in key])
+    return out.drop(*[f"_q_{c}" for c in key])
+
+
+def _tick_key(ticks: DataFrame, tick_key) -> list[str]:
+    return key_columns(tick_key) if tick_key else instrument_key_of(ticks)
 
 
 def ltp_for_requests(requests: DataFrame, master: DataFrame, ticks: DataFrame,
-                     tick_key: str = "exchange_token") -> tuple[DataFrame, DataFrame]:
+                     tick_key: str | list[str] | None = None, since=None) -> tuple[DataFrame, DataFrame]:
     """``POST /ltp-quote`` over a request table."""
+    key = _tick_key(ticks, tick_key)
     resolved, rejects = resolve_instruments(requests, master)
-    q = ltp_quote(_requested_ticks(resolved, ticks, tick_key), key=tick_key)
-    return _attach(resolved, q, tick_key), rejects
+    q = ltp_quote(_requested_ticks(resolved, ticks, key), key=key, since=since)
+    return _attach(resolved, q, key), rejects
 
 
-def ohlc_for_requests(requests: DataFrame, master: DataFrame, ticks: DataFrame, interval: str = "1d",
-                      tick_key: str = "exchange_token") -> tuple[DataFrame, DataFrame]:
-    """``POST /ohlc-quote``; the interval must be one of ``1d``, ``I1``, ``I30``."""
-    if interval not in QUOTE_INTERVALS:
+def ltp_for_symbols(requests: DataFrame, master_b: DataFrame, ticks: DataFrame,
+                    tick_key: str | list[str] | None = None, since=None) -> tuple[DataFrame, DataFrame]:
+    """Feed B's ``POST /ltp-quote``: items are asked for by ``EXCHANGE:SYMBOL``
+    (``symbol_key`` in the rows); an instrument without a symbol is rejected."""
+    key = _tick_key(ticks, tick_key)
+    resolved, rejects = resolve_symbols(requests, master_b)
+    q = ltp_quote(_requested_ticks(resolved, ticks, key), key=key, since=since)
+    return _attach(resolved, q, key), rejects
+
+
+def ohlc_for_requests(requests: DataFrame, master: DataFrame, ticks: DataFrame, interval: str | None = None,
+                      tick_key: str | list[str] | None = None, since=None) -> tuple[DataFrame, DataFrame]:
+    """``POST /ohlc-quote``.
+
+    Each item's ``interval_name`` must be one of ``1d``, ``I1``, ``I30`` (else it is
+    rejected: ``bad_interval``) and names the bar it gets; ``interval`` sets one for
+    the whole table instead.
+    """
+    if interval is not None and interval not in QUOTE_INTERVALS:
         raise ValueError(f"no quote bar of length {interval!r}; use one of {sorted(QUOTE_INTERVALS)}")
-    resolved, rejects = resolve_instruments(requests, master)
-    q = ohlc_quote(_requested_ticks(resolved, ticks, tick_key), interval, key=tick_key)
-    return _attach(resolved, q, tick_key), rejects
+    key = _tick_key(ticks, tick_key)
+    if interval is not None:
+        resolved, rejects = resolve_instruments(requests, master)
+        q = ohlc_quote(_requested_ticks(resolved, ticks, key), interval, key=key, since=since)
+        return _attach(resolved, q, key), rejects
+    valid, bad = validate_requests(requests, intervals=QUOTE_INTERVALS)
+    resolved, rejects = resolve_instruments(valid.drop("token_int"), master)
+    out = None
+    for name in QUOTE_INTERVALS:
+        mine = resolved.where(F.col("interval_name") == name)
+        part = _attach(mine, ohlc_quote(_requested_ticks(mine, ticks, key), name, key=key, since=since), key)
+        out = part if out is None else out.unionByName(part)
+    return out, with_request_defaults(bad).unionByName(rejects)
 
 
 def full_quote_for_requests(requests: DataFrame, master: DataFrame, ticks: DataFrame,
-                            tick_key: str = "exchange_token") -> tuple[DataFrame, DataFrame]:
+                            tick_key: str | list[str] | None = None, since=None) -> tuple[DataFrame, DataFrame]:
     """``POST /full-mkt-quote`` over a request table."""
+    key = _tick_key(ticks, tick_key)
     resolved, rejects = resolve_instruments(requests, master)
-    q = full_market_quote(_requested_ticks(resolved, ticks, tick_key), key=tick_key)
-    return _attach(resolved, q, tick_key), rejects
+    q = full_market_quote(_requested_ticks(resolved, ticks, key), key=key, since=since)
+    return _attach(resolved, q, key), rejects
 
 
 HISTORY_REQUIRED = ["exchange_token", "interval_name", "from_date", "to_date", "instrument_type"]
@@ -75,7 +125,7 @@ HISTORY_REQUIRED = ["exchange_token", "interval_name", "from_date", "to_date", "
 
 def historical_for_requests(requests: DataFrame, master: DataFrame, candles: DataFrame,
                             full_quotes: DataFrame | None = None, today=None,
-                            key: str = "exchange_token", tz: str = MARKET_TZ,
+                            key: str | list[str] | None = None, tz: str = MARKET_TZ,
                             sort: bool = True) -> tuple[DataFrame, DataFrame]:
     """``POST /historical-data`` over a request table.
 
@@ -87,7 +137,7 @@ def historical_for_requests(requests: DataFrame, master: DataFrame, candles: Dat
     present, is matched too).  When ``today``
     and ``full_quotes`` are given, a request whose range ends today and whose
     candles lack today's bar gets one built from the quote, as the service did.
-    Output rows: ``request_id, exchange_token, datetime, open, high, low,
+    Output rows: ``request_id``, the instrument's key columns, ``datetime, open, high, low,
     close, volume, oi``.  With ``sort=True`` each request's rows sit together
     in one partition in time order, as the service returned them (hash
     partitioning plus a sort within partitions: no sampling pass over the
@@ -107,10 +157,12 @@ def historical_for_requests(requests: DataFrame, master: DataFrame, candles: Dat
     flagged = with_request_defaults(req.withColumn("_reason", reason))
     bad_params = flagged.where(F.col("_reason").isNotNull()).withColumnRenamed("_reason", "reason")
     resolved, rejects = resolve_instruments(flagged.where(F.col("_reason").isNull()).drop("_reason"), master)
-    probe = resolved.select("request_id", F.col("token_int").cast("long").alias(key), "from_date",
+    keys = key_columns(key) if key else instrument_key_of(candles)
+    types = dict(candles.dtypes)
+    probe = resolved.select("request_id", *[_request_column(c).cast(types[c]).alias(c) for c in keys], "from_date",
                             "to_date", "interval_name")
     extra = ("interval_name",) if "interval_name" in candles.columns else ()
-    hist = historical_data(probe, candles, key=key, extra_keys=extra)
+    hist = historical_data(probe, candles, key=keys, extra_keys=extra)
     out = hist
     if today is not None and full_quotes is not None:
         day = lenient_date(F.lit(str(today)))
@@ -118,14 +170,14 @@ def historical_for_requests(requests: DataFrame, master: DataFrame, candles: Dat
         # again (a small slice) instead of re-reading the whole result, and
         # decide "has candles" and "has today's candle" in one aggregate.
         due = probe.where(lenient_date("to_date") == day)
-        due_hist = historical_data(due, candles, key=key, extra_keys=extra)
+        due_hist = historical_data(due, candles, key=keys, extra_keys=extra)
         flags = due_hist.groupBy("request_id").agg(
             F.max(F.when(lenient_date(F.substring("datetime", 1, 10)) == day, 1).otherwise(0)).alias("_today"))
         lacking = flags.where(F.col("_today") == 0).select("request_id")
         q = full_quotes.where(F.col("ohlc").isNotNull() & F.col("timestamp").isNotNull())
         local = F.from_utc_timestamp(F.col("timestamp").cast("timestamp"), tz)
-        added = due.join(lacking, "request_id", "left_semi").join(q, key).select(
-            "request_id", key, format_local(local).alias("datetime"),
+        added = due.join(lacking, "request_id", "left_semi").join(q, keys).select(
+            "request_id", *keys, format_local(local).alias("datetime"),
             F.col("ohlc.open").alias("open"), F.col("ohlc.high").alias("high"),
             F.col("ohlc.low").alias("low"), F.col("ohlc.close").alias("close"),
             F.col("volume").cast("long").alias("volume"), F.col("oi").cast("long").alias("oi"))
@@ -136,4 +188,4 @@ def historical_for_requests(requests: DataFrame, master: DataFrame, candles: Dat
 
 
 __all__ = ["master_data", "ltp_for_requests", "ohlc_for_requests", "full_quote_for_requests",
-           "historical_for_requests"]
+           "ltp_for_symbols", "historical_for_requests"]

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickforge.functions.exprs import MARKET_TZ, format_local, lenient_date
+from tickforge.operators.bars import key_columns
 from tickforge.operators.joins import broadcast_if_small
 from tickforge.operators.sequencing import explode_days
 from tickforge.schemas import CANDLE_COLUMNS
@@ -43,7 +44,7 @@ def trailing_window(candles: DataFrame, as_of, days: int = 10,
     return candles.where(F.col(date_col).between(F.date_sub(end, days), end))
 
 
-def historical_data(requests: DataFrame, candles: DataFrame, key: str = "exchange_token",
+def historical_data(requests: DataFrame, candles: DataFrame, key: str | list[str] = "exchange_token",
                     from_col: str = "from_date", to_col: str = "to_date",
                     request_col: str = "request_id", extra_keys: tuple[str, ...] = ()) -> DataFrame:
     """Per request, the candles of its instrument with ``from <= trade_date <= to``.
@@ -55,21 +56,21 @@ def historical_data(requests: DataFrame, candles: DataFrame, key: str = "exchang
     oi`` -- sort with ``orderBy(request_id, datetime)`` where order matters.
     ``extra_keys`` (e.g. ``interval_name``) must match between request and candle.
     """
-    extra = list(extra_keys)
+    keys, extra = key_columns(key), list(extra_keys)
     probe = explode_days(
-        requests.select(F.col(request_col), F.col(key), *extra,
+        requests.select(F.col(request_col), *keys, *extra,
                         lenient_date(from_col).alias("_from"),
                         lenient_date(to_col).alias("_to")),
-        F.col("_from"), F.col("_to"), out="_day").select(request_col, key, *extra, "_day")
-    c = candles.select(F.col(key).alias("_c_key"), F.col("trade_date").alias("_c_day"),
-                       *[F.col(k).alias(f"_c_{k}") for k in extra], *CANDLE_COLUMNS)
-    cond = (F.col(key) == F.col("_c_key")) & (F.col("_day") == F.col("_c_day"))
-    for k in extra:
+        F.col("_from"), F.col("_to"), out="_day").select(request_col, *keys, *extra, "_day")
+    c = candles.select(F.col("trade_date").alias("_c_day"),
+                       *[F.col(k).alias(f"_c_{k}") for k in keys + extra], *CANDLE_COLUMNS)
+    cond = F.col("_day") == F.col("_c_day")
+    for k in keys + extra:
         cond = cond & (F.col(k) == F.col(f"_c_{k}"))
     # The probe's size estimate ignores the day explode, so broadcast_if_small
     # declines it: AQE picks broadcast or sort-merge from the measured size.
     joined = broadcast_if_small(probe).join(c, cond)
-    return joined.select(request_col, key, *CANDLE_COLUMNS)
+    return joined.select(request_col, *keys, *CANDLE_COLUMNS)
 
 
 def backfill_today(candles: DataFrame, full_quotes: DataFrame, today,
@@ -88,12 +89,11 @@ def backfill_today(candles: DataFrame, full_quotes: DataFrame, today,
     if not range_ends_today:
         return base
     day = _as_date(today)
-    # Distinct keys are combined map-side, so a hot instrument costs one row per task.
-    has_candles = candles.select(key).distinct()
-    has_today = candles.where(F.col("trade_date") == day).select(key).distinct()
+    # One aggregate, combined map-side: a hot instrument costs one row per task.
+    lacking = (candles.groupBy(key).agg(F.max(F.col("trade_date").eqNullSafe(day)).alias("_today"))
+               .where(~F.col("_today")).select(key))
     q = (full_quotes.where(F.col("ohlc").isNotNull() & F.col("timestamp").isNotNull())
-         .join(has_candles, key, "left_semi")
-         .join(has_today, key, "left_anti"))
+         .join(lacking, key, "left_semi"))
     local = F.from_utc_timestamp(F.col("timestamp").cast("timestamp"), tz)
     added = q.select(
         F.col(key), F.to_date(local).alias("trade_date"),
@@ -108,7 +108,8 @@ def backfill_today(candles: DataFrame, full_quotes: DataFrame, today,
 
 
 def chunk_coverage(chunks: DataFrame, candles: DataFrame, key: str = "exchange_token",
-                   request_col: str = "request_id", failed: DataFrame | None = None) -> DataFrame:
+                   request_col: str = "request_id", failed: DataFrame | None = None,
+                   requests: DataFrame | None = None) -> DataFrame:
     """Planned vs returned chunks per request.
 
     ``chunks`` comes from ``plan_date_chunks`` (``chunk_no, chunk_from,
@@ -116,7 +117,9 @@ def chunk_coverage(chunks: DataFrame, candles: DataFrame, key: str = "exchange_t
     bounded by instruments x days -- then joined to the chunk days.  Output per
     request: ``n_chunks``, ``empty_chunks``, ``n_candles``, ``retrieved``
     (1 when any candle came back) and, when ``failed`` (rows ``request_id,
-    chunk_no`` of rejected chunk payloads) is given, ``failed_chunks``.
+    chunk_no`` of rejected chunk payloads) is given, ``failed_chunks``.  With
+    ``requests`` a request that has no chunk (a reversed range) is listed too,
+    with zero counts.
     """
     daily = candles.groupBy(F.col(key).alias("_c_key"), F.col("trade_date").alias("_c_day")) \
         .agg(F.count(F.lit(1)).alias("_n"))
@@ -134,5 +137,8 @@ def chunk_coverage(chunks: DataFrame, candles: DataFrame, key: str = "exchange_t
         per_chunk = per_chunk.join(marks, (F.col(request_col) == F.col("_f_req"))
                                    & (F.col("chunk_no") == F.col("_f_chunk")), "left")
         aggs.append(F.sum(F.coalesce(F.col("_failed"), F.lit(0))).cast("long").alias("failed_chunks"))
-    return (per_chunk.groupBy(request_col).agg(*aggs)
-            .withColumn("retrieved", F.when(F.col("n_candles") > 0, 1).otherwise(0)))
+    covered = per_chunk.groupBy(request_col).agg(*aggs)
+    if requests is not None:
+        counts = [c for c in covered.columns if c != request_col]
+        covered = requests.select(request_col).distinct().join(covered, request_col, "left").na.fill(0, counts)
+    return (covered.withColumn("retrieved", F.when(F.col("n_candles") > 0, 1).otherwise(0)))

@@ -9,36 +9,58 @@ from pyspark.sql import functions as F
 from tickforge.functions.exprs import exchange_segment, nth_part
 from tickforge.functions.index_keys import INDEX_KEYS
 from tickforge.operators.joins import broadcast_if_small
+from tickforge.schemas import MASTER_B_TYPES
 
-# Columns of the unified master, in order.
+# Leading columns of the unified master, in order; a feed's other columns follow.
 UNIFIED_COLUMNS = ["broker", "instrument_key", "exchange_token", "exchange", "segment",
                    "instrument_type", "tradingsymbol", "name", "src_pos"]
 
 
+def _rest(df: DataFrame, used: set[str]) -> list:
+    """The feed's other columns.  Contract details get one type in every feed; a name
+    that the unified master computes itself is kept as ``feed_<name>``."""
+    out = []
+    for c in df.columns:
+        if c in used:
+            continue
+        col = F.col(f"`{c}`")
+        if c in UNIFIED_COLUMNS:
+            out.append(col.alias(f"feed_{c}"))
+        elif c in MASTER_B_TYPES:
+            out.append(col.try_cast(MASTER_B_TYPES[c]).alias(c))
+        else:
+            out.append(col)
+    return out
+
+
 def _feed_a(df: DataFrame) -> DataFrame:
     # Feed A encodes the type in the exchange column: NSE_EQ -> exchange NSE, type EQ.
+    name = F.col("name") if "name" in df.columns else F.lit(None)
     return df.select(
         F.col("instrument_key"),
-        F.col("exchange_token").cast("int").alias("exchange_token"),
+        F.col("exchange_token").try_cast("long").alias("exchange_token"),
         nth_part("exchange", "_", 1).alias("exchange"),
         F.col("exchange").alias("segment"),
         exchange_segment("exchange").alias("instrument_type"),
         F.col("tradingsymbol"),
-        F.lit(None).cast("string").alias("name"),
+        name.cast("string").alias("name"),
         F.col("src_pos").cast("long").alias("src_pos"),
+        *_rest(df, {"instrument_key", "exchange_token", "exchange", "tradingsymbol", "name", "src_pos"}),
     )
 
 
 def _feed_b(df: DataFrame) -> DataFrame:
     return df.select(
         F.col("instrument_token").cast("string").alias("instrument_key"),
-        F.col("exchange_token").cast("int").alias("exchange_token"),
+        F.col("exchange_token").try_cast("long").alias("exchange_token"),
         F.col("exchange"),
         F.col("segment"),
         F.col("instrument_type"),
         F.col("tradingsymbol"),
         F.col("name"),
         F.col("src_pos").cast("long").alias("src_pos"),
+        *_rest(df, {"instrument_token", "exchange_token", "exchange", "segment", "instrument_type",
+                    "tradingsymbol", "name", "src_pos"}),
     )
 
 
@@ -51,8 +73,9 @@ def unify_masters(feeds: dict[str, DataFrame], layouts: dict[str, str] | None =
 
     ``feeds`` maps a broker name (case-insensitive) to its master; ``layouts``
     maps the broker to ``feed_a`` / ``feed_b`` (default: the broker name
-    itself).  An unknown broker or layout raises before any job runs.  The
-    union is by name, so a feed's missing columns come out NULL.
+    itself).  An unknown broker or layout raises before any job runs.  Every
+    column of every feed is kept (expiry, strike, lot size, ...); the union is by
+    name, so a feed's missing columns come out NULL.
     """
     layouts = {k.lower(): v.lower() for k, v in (layouts or {}).items()}
     parts = []
@@ -67,7 +90,7 @@ def unify_masters(feeds: dict[str, DataFrame], layouts: dict[str, str] | None =
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
-    return out.select(*UNIFIED_COLUMNS)
+    return out.select(*UNIFIED_COLUMNS, *[c for c in out.columns if c not in UNIFIED_COLUMNS])
 
 
 def index_symbol_map(keys: DataFrame | None = None, spark=None, key_col: str = "instrument_key") -> DataFrame:

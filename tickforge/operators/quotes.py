@@ -6,36 +6,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickforge.functions.exprs import exchange_segment
+from tickforge.functions.exprs import exchange_segment, nth_part
 from tickforge.operators.joins import broadcast_if_small
 from tickforge.operators.resolve import first_match
 
 
 def enrich_quotes(quotes: DataFrame, master: DataFrame,
                   token_col: str = "instrument_token") -> tuple[DataFrame, DataFrame]:
-    """Attach ``trading_symbol``, ``instrument_type`` and the new key
+    """Attach ``trading_symbol``, ``instrument_type``, ``exchange`` and the new key
     ``exchange_token`` to quote rows whose ``instrument_token`` is a master
-    ``instrument_key`` (O17).
+    ``instrument_key`` (O17).  A master with a ``segment`` column (feed B, or the
+    unified master, which also gives ``broker``) names exchange and type itself;
+    feed A encodes both in ``exchange``.
 
     Returns ``(enriched, rejects)``: rows with a NULL token
     (``missing_instrument_token``) or no master row (``unknown_instrument``) are
     set aside instead of failing the batch.
     """
-    m = first_match(master.select("instrument_key", "exchange_token", "exchange",
-                                  "tradingsymbol", "src_pos"), ["instrument_key"])
-    m = m.select(F.col("instrument_key").alias("_m_key"),
-                 F.col("exchange_token").alias("_m_token"),
-                 F.col("tradingsymbol").alias("_m_symbol"),
-                 exchange_segment("exchange").alias("_m_type"))
+    plain = {"segment", "instrument_type"} <= set(master.columns)
+    kind = F.col("instrument_type") if plain else exchange_segment("exchange")
+    venue = F.col("exchange") if plain else nth_part("exchange", "_", 1)
+    wanted = {"trading_symbol": F.col("tradingsymbol"), "instrument_type": kind, "exchange": venue,
+              "exchange_token": F.col("exchange_token")}
+    if "broker" in master.columns:
+        wanted["broker"] = F.col("broker")
+    order = [F.col(c) for c in ("src_file", "src_pos", "broker") if c in master.columns]
+    m = first_match(master.select(F.col("instrument_key").alias("_m_key"), *order,
+                                  *[c.alias(f"_m_{n}") for n, c in wanted.items()]), ["_m_key"])
+    m = m.select("_m_key", *[f"_m_{n}" for n in wanted])
     joined = quotes.join(broadcast_if_small(m), quotes[token_col] == m["_m_key"], "left")
     enriched = (joined.where(F.col("_m_key").isNotNull())
-                .withColumns({"trading_symbol": F.col("_m_symbol"), "instrument_type": F.col("_m_type"),
-                              "exchange_token": F.col("_m_token")})
-                .drop("_m_key", "_m_token", "_m_symbol", "_m_type"))
+                .withColumns({n: F.col(f"_m_{n}") for n in wanted})
+                .drop("_m_key", *[f"_m_{n}" for n in wanted]))
     reason = (F.when(F.col(token_col).isNull(), F.lit("missing_instrument_token"))
               .otherwise(F.lit("unknown_instrument")))
     rejects = (joined.where(F.col("_m_key").isNull())
-               .drop("_m_key", "_m_token", "_m_symbol", "_m_type")
+               .drop("_m_key", *[f"_m_{n}" for n in wanted])
                .withColumn("reason", reason))
     return enriched, rejects
 
@@ -46,11 +52,15 @@ def merge_quote_batches(quotes: DataFrame, key_cols: list[str] | None = None,
 
     "Last" is the largest ``(batch_no, entry_pos)``: later batches overwrite
     earlier ones, and within a batch later entries overwrite earlier ones.  The
-    default key is ``(broker, exchange, exchange_token)`` where those columns
-    exist; pass ``['exchange_token']`` for the service's original key, under
-    which equal tokens of two exchanges overwrite each other.
+    default key is ``(exchange, exchange_token)``, with ``broker`` where the
+    quotes carry it (a single feed has none); without an exchange it raises.  Pass
+    ``['exchange_token']`` for the service's original key, under which equal
+    tokens of two exchanges overwrite each other.
     """
     if key_cols is None:
+        lacking = {"exchange", "exchange_token"} - set(quotes.columns)
+        if lacking:
+            raise ValueError(f"the default merge key needs {sorted(lacking)}; name key_cols")
         key_cols = [c for c in ("broker", "exchange", "exchange_token") if c in quotes.columns]
     others = [c for c in quotes.columns if c not in key_cols]
     order = F.struct(*[F.col(c) for c in order_cols])

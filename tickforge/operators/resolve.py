@@ -56,19 +56,23 @@ def validate_requests(requests: DataFrame, intervals: tuple[str, ...] | None = N
 def first_match(master: DataFrame, keys: list[str], order_col: str = "src_pos") -> DataFrame:
     """One master row per key: the row with the smallest ``order_col`` (file order).
 
-    On a unified master, file positions of two feeds can be equal; the broker
+    File order is ``(src_file, src_pos)`` where the reader gave the file.  On a
+    unified master, file positions of two feeds can be equal; the broker
     name then breaks the tie, so the pick is deterministic.  Written as an
     aggregate, not a window, so duplicates of one key are combined map-side
     before the shuffle.
     """
     others = [c for c in master.columns if c not in keys]
-    order = F.col(order_col)
-    if "broker" in master.columns and "broker" not in keys:
-        order = F.struct(F.col(order_col), F.col("broker"))
+    order = F.struct(*[F.col(c) for c in _ordering(master, order_col) if c not in keys])
     picked = F.min_by(F.struct(*[F.col(c) for c in others]), order).alias("_row")
     return master.groupBy(*keys).agg(picked).select(*keys, "_row.*")
 
 
+def _ordering(master: DataFrame, order_col: str = "src_pos") -> list[str]:
+    """Columns that put master rows in file order."""
+    return [c for c in ("src_file", order_col, "broker") if c in master.columns]
+
+
 def _segment_key():
     return F.concat(F.col("exchange"), F.lit("_"), F.col("instrument_type"))
 
@@ -84,9 +88,8 @@ def resolve_instruments(requests: DataFrame, master: DataFrame,
     """
     req = with_request_defaults(requests)
     valid, rejects = validate_requests(req)
-    tie = ["broker"] if "broker" in master.columns else []
     m = first_match(master.select("exchange_token", F.col(segment_col).alias("exchange"),
-                                  "instrument_key", "src_pos", *tie),
+                                  "instrument_key", *_ordering(master)),
                     ["exchange_token", "exchange"])
     m = m.select(F.col("exchange_token").alias("_m_token"), F.col("exchange").alias("_m_exchange"),
                  "instrument_key")
@@ -103,22 +106,24 @@ def resolve_instruments(requests: DataFrame, master: DataFrame,
 
 def resolve_symbols(requests: DataFrame, master_b: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Feed-B resolution (O15): match ``(exchange_token, exchange)`` without the
-    type; the result key is ``EXCHANGE:SYMBOL`` (NULL when the symbol is NULL).
+    type; the result key is ``EXCHANGE:SYMBOL``.  An instrument without a symbol
+    cannot be asked for, so its items are rejected (``missing_symbol``).
     """
     req = with_request_defaults(requests)
     valid, rejects = validate_requests(req)
-    m = first_match(master_b.select("exchange_token", "exchange", "tradingsymbol", "src_pos"),
+    m = first_match(master_b.select("exchange_token", "exchange", "tradingsymbol", *_ordering(master_b)),
                     ["exchange_token", "exchange"])
     m = m.select(F.col("exchange_token").alias("_m_token"), F.col("exchange").alias("_m_exchange"),
                  "tradingsymbol")
     cond = [valid["token_int"] == m["_m_token"], valid["exchange"] == m["_m_exchange"]]
     joined = valid.join(broadcast_if_small(m), cond, "left")
-    resolved = (joined.where(F.col("_m_token").isNotNull())
+    named = F.col("_m_token").isNotNull() & F.col("tradingsymbol").isNotNull()
+    resolved = (joined.where(named)
                 .withColumn("symbol_key", F.concat(F.col("exchange"), F.lit(":"), F.col("tradingsymbol")))
                 .drop("_m_token", "_m_exchange"))
-    missing = (joined.where(F.col("_m_token").isNull())
-               .drop("_m_token", "_m_exchange", "tradingsymbol", "token_int")
-               .withColumn("reason", F.lit("not_in_master")))
+    missing = (joined.where(~named)
+               .withColumn("reason", F.when(F.col("_m_token").isNull(), "not_in_master").otherwise("missing_symbol"))
+               .drop("_m_token", "_m_exchange", "tradingsymbol", "token_int"))
     return resolved, rejects.unionByName(missing)
 
 

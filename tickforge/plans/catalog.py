@@ -70,6 +70,14 @@ def q_requests_json(spark, d):
                        "interval_name")
 
 
+def q_history_requests_json(spark, d):
+    """O06 on history bodies: ``interval``, ``from_date`` and ``to_date`` as the service names them."""
+    r = V.history_service_requests_view(spark, d).withColumnRenamed("interval_name", "interval")
+    back = read_requests(spark, staging.stage_json_lines(r, "history-requests"))
+    return back.select("request_id", "exchange_token", "exchange", "instrument_type", "interval_name",
+                       "from_date", "to_date")
+
+
 def q_quotes_parsed(spark, d):
     rows, _ = parse_quotes(V.quote_payloads(spark, d))
     return rows.select("batch_no", "quote_key", "instrument_token", F.col("last_price").alias("ltp"),
@@ -104,18 +112,29 @@ def q_candles_written(spark, d):
 
 
 def q_request_status(spark, d):
-    """Envelopes of the LTP endpoint over every request."""
-    r = V.requests_view(spark, d)
-    rows, bad = E.ltp_for_requests(r, V.master_view(spark, d), V.ticks_view(spark, d))
-    return request_status(r, bad, rows)
+    """Envelopes of the LTP endpoint, each item a request of its own; the batches of tokens
+    that end in 9 failed."""
+    r = V.requests_view(spark, d).drop("request_id").withColumn("request_id", F.col("pos"))
+    rows, bad = E.ltp_for_requests(r, V.listed_master_view(spark, d), V.exchange_ticks_view(spark, d))
+    return request_status(r, bad, rows, errors=r.where(F.col("exchange_token").endswith("9")))
 
 
 # --- masters (O10-O11) -------------------------------------------------------
 
+MASTER_OUT = [*UNIFIED_COLUMNS, "last_price", "expiry", "strike", "tick_size", "lot_size"]
+
+
+def _feeds(spark, d):
+    return {"FEED_A": V.master_view(spark, d), "Feed_B": V.master_b_view(spark, d)}
+
+
 def q_unified_master(spark, d):
-    a = V.master_view(spark, d).where(F.col("venue") == "NSE")
-    b = V.master_b_view(spark, d).where(F.col("exchange") == "BSE")
-    return unify_masters({"FEED_A": a, "Feed_B": b})
+    return unify_masters(_feeds(spark, d)).select(*MASTER_OUT)
+
+
+def q_master_data(spark, d):
+    """``GET /master-data``: both feeds whole, with contract details."""
+    return E.master_data(_feeds(spark, d), symbol_map=_index_map(spark, d)).select(*MASTER_OUT)
 
 
 def q_master_written(spark, d):
@@ -123,16 +142,19 @@ def q_master_written(spark, d):
     path = staging.staging_dir(spark, "master")
     write_master(q_unified_master(spark, d), path)
     back = spark.read.parquet(path)
-    return back.select(*UNIFIED_COLUMNS)
+    return back.select(*MASTER_OUT)
 
 
-def q_index_backfill(spark, d):
-    master = _master_json(spark, d)
+def _index_map(spark, d):
     # Index-like instruments: the map covers the PROMO and SMALL types.
     keys = (V.master_view(spark, d)
             .where(F.col("exchange").endswith("_PROMO") | F.col("exchange").endswith("_SMALL"))
             .select("instrument_key"))
-    out = backfill_index_symbols(master, index_symbol_map(keys))
+    return index_symbol_map(keys)
+
+
+def q_index_backfill(spark, d):
+    out = backfill_index_symbols(_master_json(spark, d), _index_map(spark, d))
     return out.select("instrument_key", "trading_symbol")
 
 
@@ -144,18 +166,22 @@ def q_rejected_requests(spark, d):
 
 
 def q_resolved(spark, d):
-    ok, _ = resolve_instruments(V.requests_view(spark, d), V.master_view(spark, d))
+    ok, _ = resolve_instruments(V.requests_view(spark, d), V.listed_master_view(spark, d))
     return ok.select("request_id", "pos", F.col("token_int").alias("exchange_token"), "instrument_key")
 
 
 def q_resolved_symbol(spark, d):
-    mb = V.master_b_view(spark, d)
-    ok, _ = resolve_symbols(V.requests_view(spark, d), mb)
+    ok, _ = resolve_symbols(V.requests_view(spark, d), V.listed_master_b_view(spark, d))
     return ok.select("request_id", "pos", F.col("token_int").alias("exchange_token"), "symbol_key")
 
 
+def q_unresolved_symbol(spark, d):
+    _, bad = resolve_symbols(V.requests_view(spark, d), V.listed_master_b_view(spark, d))
+    return bad.select("request_id", "pos", "exchange_token", "reason")
+
+
 def q_unresolved(spark, d):
-    bad = unresolved_requests(V.requests_view(spark, d), V.master_view(spark, d))
+    bad = unresolved_requests(V.requests_view(spark, d), V.listed_master_view(spark, d))
     return bad.select("request_id", "pos", "exchange_token", "reason")
 
 
@@ -163,27 +189,30 @@ def q_unresolved(spark, d):
 
 def _enriched(spark, d):
     rows, _ = parse_quotes(V.quote_payloads(spark, d))
-    ok, _ = enrich_quotes(rows, V.master_view(spark, d))
+    ok, _ = enrich_quotes(rows, V.listed_master_view(spark, d))
     return ok
 
 
 def q_quotes_enriched(spark, d):
-    return _enriched(spark, d).select("batch_no", "quote_key", "instrument_token", "exchange_token",
-                                      "trading_symbol", "instrument_type", "last_price", "volume", "oi")
+    return _enriched(spark, d).select("batch_no", "quote_key", "instrument_token", "exchange",
+                                      "exchange_token", "trading_symbol", "instrument_type", "last_price", "volume", "oi")
 
 
-def _merged(spark, d):
-    cols = ["exchange_token", "batch_no", "entry_pos", "quote_key", "instrument_token",
-            "trading_symbol", "instrument_type", "last_price", "volume", "oi"]
-    return merge_quote_batches(_enriched(spark, d).select(*cols), key_cols=["exchange_token"])
+MERGED = ["exchange", "exchange_token", "batch_no", "entry_pos", "quote_key", "instrument_token",
+          "trading_symbol", "instrument_type", "last_price", "volume", "oi"]
 
 
 def q_quotes_merged(spark, d):
-    return _merged(spark, d).drop("entry_pos")
+    return merge_quote_batches(_enriched(spark, d).select(*MERGED)).drop("entry_pos")
+
+
+def q_quotes_merged_legacy(spark, d):
+    """The service's own key: equal tokens of two exchanges overwrite each other."""
+    return merge_quote_batches(_enriched(spark, d).select(*MERGED), key_cols=["exchange_token"]).drop("entry_pos")
 
 
 def q_quote_matrix(spark, d):
-    return quote_matrix(_merged(spark, d), MATRIX_TOKENS, MATRIX_FIELDS)
+    return quote_matrix(q_quotes_merged_legacy(spark, d), MATRIX_TOKENS, MATRIX_FIELDS)
 
 
 def q_ltp(spark, d):
@@ -209,12 +238,13 @@ def _flat_quote(fq):
 
 
 def q_full_quote_enriched(spark, d):
-    """Flagship: full quote per instrument with its symbol and type."""
+    """Flagship: full quote per instrument with its symbol and type (NULL where the master
+    does not list it)."""
     fq = _flat_quote(full_market_quote(V.ticks_view(spark, d)))
     m = V.master_view(spark, d).select(F.col("exchange_token").alias("_mt"),
                                        F.col("tradingsymbol").alias("trading_symbol"),
                                        exchange_segment("exchange").alias("instrument_type"))
-    out = fq.join(broadcast_if_small(m), fq["exchange_token"] == m["_mt"])
+    out = fq.join(broadcast_if_small(m), fq["exchange_token"] == m["_mt"], "left")
     return out.select("exchange_token", "trading_symbol", "instrument_type", "trade_date", "open", "high",
                       "low", "close", "last_price", "volume", "oi", "timestamp")
 
@@ -261,8 +291,8 @@ def q_today_backfill(spark, d):
 
 
 def q_chunk_coverage(spark, d):
-    chunks = plan_date_chunks(V.history_requests_view(spark, d), days=3)
-    return chunk_coverage(chunks, V.candles_view(spark, d))
+    h = V.history_requests_view(spark, d)
+    return chunk_coverage(plan_date_chunks(h, days=3), V.candles_view(spark, d), requests=h)
 
 
 def _key_batches(size):
@@ -273,8 +303,8 @@ def _key_batches(size):
 
 def q_key_batches_symbols(spark, d):
     """Feed-B LTP batches: resolved ``EXCHANGE:SYMBOL`` keys, 750 per call."""
-    ok, _ = resolve_symbols(V.requests_view(spark, d), V.master_b_view(spark, d))
-    keys = ok.where(F.col("symbol_key").isNotNull()).select("request_id", "pos", "symbol_key")
+    ok, _ = resolve_symbols(V.requests_view(spark, d), V.listed_master_b_view(spark, d))
+    keys = ok.select("request_id", "pos", "symbol_key")
     return plan_key_batches(keys, 750, key_col="symbol_key")
 
 
@@ -294,21 +324,43 @@ def q_date_chunks_legacy(spark, d):
 
 # --- endpoints over request tables ------------------------------------------
 
+def _endpoint(spark, d):
+    return V.requests_view(spark, d), V.listed_master_view(spark, d), V.exchange_ticks_view(spark, d)
+
+
+OHLC_OUT = ["request_id", "pos", "instrument_key", "datetime", "open", "high", "low", "close", "volume",
+            "last_price"]
+
+
 def q_ltp_for_requests(spark, d):
-    rows, _ = E.ltp_for_requests(V.requests_view(spark, d), V.master_view(spark, d), V.ticks_view(spark, d))
+    rows, _ = E.ltp_for_requests(*_endpoint(spark, d))
     return rows.select("request_id", "pos", "instrument_key", "last_price", "last_time")
 
 
+def q_ltp_for_symbols(spark, d):
+    rows, _ = E.ltp_for_symbols(V.requests_view(spark, d), V.listed_master_b_view(spark, d),
+                                V.exchange_ticks_view(spark, d))
+    return rows.select("request_id", "pos", "symbol_key", "last_price", "last_time")
+
+
 def q_ohlc_for_requests(spark, d):
-    rows, _ = E.ohlc_for_requests(V.requests_view(spark, d), V.master_view(spark, d), V.ticks_view(spark, d),
-                                  "I30")
-    return rows.select("request_id", "pos", "instrument_key", "datetime", "open", "high", "low", "close",
-                       "volume", "last_price")
+    """Each item gets the bar its own interval names."""
+    rows, _ = E.ohlc_for_requests(*_endpoint(spark, d))
+    return rows.select(*OHLC_OUT, "interval_name")
+
+
+def q_ohlc_for_requests_i30(spark, d):
+    rows, _ = E.ohlc_for_requests(*_endpoint(spark, d), "I30")
+    return rows.select(*OHLC_OUT)
+
+
+def q_ohlc_rejects(spark, d):
+    _, bad = E.ohlc_for_requests(*_endpoint(spark, d))
+    return bad.select("request_id", "pos", "reason")
 
 
 def q_full_quote_for_requests(spark, d):
-    rows, _ = E.full_quote_for_requests(V.requests_view(spark, d), V.master_view(spark, d),
-                                        V.ticks_view(spark, d))
+    rows, _ = E.full_quote_for_requests(*_endpoint(spark, d))
     return _flat_quote(rows).drop("exchange_token")
 
 
@@ -326,6 +378,7 @@ def queries() -> dict[str, Query]:
         "master_b_csv": q_master_b_csv,
         "master_json": q_master_json,
         "requests_json": q_requests_json,
+        "history_requests_json": q_history_requests_json,
         "quotes_parsed": q_quotes_parsed,
         "candles_parsed": q_candles_parsed,
         "candle_time": q_candle_time,
@@ -334,17 +387,20 @@ def queries() -> dict[str, Query]:
         "request_status": q_request_status,
         "unified_master": q_unified_master,
         "master_written": q_master_written,
+        "master_data": q_master_data,
         "index_backfill": q_index_backfill,
         "rejected_requests": q_rejected_requests,
         "trailing_window": q_trailing_window,
         "resolved": q_resolved,
         "resolved_symbol": q_resolved_symbol,
         "unresolved": q_unresolved,
+        "unresolved_symbol": q_unresolved_symbol,
         "quotes_enriched": q_quotes_enriched,
         "historical": q_historical,
         "historical_stored": q_historical_stored,
         "today_backfill": q_today_backfill,
         "quotes_merged": q_quotes_merged,
+        "quotes_merged_legacy": q_quotes_merged_legacy,
         "ltp": q_ltp,
         "ohlc_1d": _ohlc("1d"),
         "ohlc_i1": _ohlc("I1"),
@@ -363,7 +419,10 @@ def queries() -> dict[str, Query]:
         "date_chunks": q_date_chunks,
         "date_chunks_legacy": q_date_chunks_legacy,
         "ltp_for_requests": q_ltp_for_requests,
+        "ltp_for_symbols": q_ltp_for_symbols,
         "ohlc_for_requests": q_ohlc_for_requests,
+        "ohlc_for_requests_i30": q_ohlc_for_requests_i30,
+        "ohlc_rejects": q_ohlc_rejects,
         "full_quote_for_requests": q_full_quote_for_requests,
         "historical_for_requests": q_historical_for_requests,
     }

@@ -11,10 +11,10 @@ _SYMBOL = ("CASE WHEN p_partkey % 7 = 0 THEN '' WHEN p_partkey % 11 = 0 THEN NUL
            "ELSE upper(replace(p_name, ' ', '')) || CAST(p_partkey AS VARCHAR) END")
 
 
-def _bars_cte(name: str, bucket: str) -> str:
+def _bars_cte(name: str, bucket: str, src: str = "T", keys: str = "exchange_token") -> str:
     b = bucket.format(ts=f"(ts + {LOCAL})")
     return f"""{name} AS (
-  SELECT exchange_token, {b} AS bucket,
+  SELECT {keys}, {b} AS bucket,
          strftime({b}, {FMT}) AS datetime,
          CAST({b} AS DATE) AS trade_date,
          first(price ORDER BY ts, event_id) AS open, max(price) AS high, min(price) AS low,
@@ -22,7 +22,7 @@ def _bars_cte(name: str, bucket: str) -> str:
          CAST(sum(qty) AS BIGINT) AS volume,
          first(oi ORDER BY ts DESC, event_id DESC) AS oi,
          max(ts) AS last_ts
-  FROM T GROUP BY exchange_token, {b})"""
+  FROM {src} GROUP BY {keys}, {b})"""
 
 
 BUCKETS = {
@@ -34,52 +34,75 @@ BUCKETS = {
 
 _RV = """RV AS (SELECT request_id, pos, coalesce(exchange_token, '') AS exchange_token,
                  coalesce(exchange, 'NSE') AS exchange, coalesce(instrument_type, '') AS instrument_type,
-                 interval_name, try_cast(coalesce(exchange_token, '') AS INTEGER) AS token_int FROM R)"""
+                 interval_name, try_cast(coalesce(exchange_token, '') AS BIGINT) AS token_int FROM R)"""
 
 CTES = {
-    "M": f"""M AS (SELECT {_VENUE} AS venue, CAST(p_partkey AS INTEGER) AS exchange_token,
+    "M": f"""M AS (SELECT {_VENUE} AS venue, CAST(p_partkey AS BIGINT) AS exchange_token,
   {_VENUE} || '_' || p_type AS exchange,
   {_VENUE} || '_' || p_type || '|' || p_name || ' ' || CAST(p_partkey AS VARCHAR) AS instrument_key,
   {_SYMBOL} AS tradingsymbol, CAST(p_partkey AS BIGINT) AS src_pos FROM part)""",
-    "MD": """MD AS (SELECT * FROM (SELECT M.*, row_number() OVER (PARTITION BY exchange_token, exchange
-  ORDER BY src_pos) AS rn FROM M) WHERE rn = 1)""",
+    "MD": """MD AS (SELECT * FROM (SELECT MX.*, row_number() OVER (PARTITION BY exchange_token, exchange
+  ORDER BY src_pos) AS rn FROM MX) WHERE rn = 1)""",
+    "MX": """MX AS (SELECT * FROM M UNION ALL
+  SELECT v AS venue, exchange_token + CASE WHEN exchange_token % 3 = 2 THEN 3000000000 ELSE 0 END,
+    v || '_' || split_part(exchange, '_', 2),
+    v || '_' || split_part(exchange, '_', 2) || '|' || split_part(instrument_key, '|', 2) || ' copy',
+    tradingsymbol || 'C', src_pos + 3000000000
+  FROM (SELECT *, CASE WHEN exchange_token % 3 <> 0 THEN venue WHEN venue = 'NSE' THEN 'BSE' ELSE 'NSE' END AS v
+        FROM M))""",
     "MB": f"""MB AS (SELECT CAST(p_partkey * 10 + 7 AS BIGINT) AS instrument_token,
-  CAST(p_partkey AS INTEGER) AS exchange_token, {_SYMBOL} AS tradingsymbol, p_name AS name,
+  CAST(p_partkey AS BIGINT) AS exchange_token, {_SYMBOL} AS tradingsymbol, p_name AS name,
   p_retailprice AS last_price,
   CASE WHEN p_size % 2 = 0 THEN NULL ELSE DATE '2024-02-01' + CAST(p_size AS INTEGER) END AS expiry,
   CAST(p_size AS DOUBLE) AS strike, CAST(0.05 AS DOUBLE) AS tick_size, CAST(p_size AS BIGINT) AS lot_size,
   p_type AS instrument_type, {_VENUE} || '-' || p_type AS segment, {_VENUE} AS exchange,
   CAST(p_partkey AS BIGINT) AS src_pos FROM part)""",
-    "MBD": """MBD AS (SELECT * FROM (SELECT MB.*, row_number() OVER (PARTITION BY exchange_token, exchange
-  ORDER BY src_pos) AS rn FROM MB) WHERE rn = 1)""",
+    "MBD": """MBD AS (SELECT * FROM (SELECT MBX.*, row_number() OVER (PARTITION BY exchange_token, exchange
+  ORDER BY src_pos) AS rn FROM MBX) WHERE rn = 1)""",
+    "MBX": """MBX AS (SELECT * FROM MB UNION ALL
+  SELECT * REPLACE (exchange_token + CASE WHEN exchange_token % 3 = 2 THEN 3000000000 ELSE 0 END AS exchange_token,
+    tradingsymbol || 'C' AS tradingsymbol, src_pos + 3000000000 AS src_pos) FROM MB)""",
     "T": """T AS (SELECT event_id, user_id AS exchange_token, ts, value AS price,
   CAST(json_extract_string(props, '$.k') AS BIGINT) AS qty, event_id % 1000 AS oi FROM events)""",
+    "TX": """TX AS (SELECT T.*, CASE WHEN event_id % 2 = 0 THEN 'NSE' ELSE 'BSE' END AS exchange FROM T)""",
     "R": """R AS (SELECT o_orderkey % 500 AS request_id, o_orderkey AS pos,
   CASE WHEN o_orderkey % 97 = 0 THEN '' WHEN o_orderkey % 101 = 0 THEN NULL
-       ELSE CAST((o_custkey * 3) % (SELECT CAST(count(*) * 11 / 10 AS BIGINT) FROM part) AS VARCHAR) END
-    AS exchange_token,
-  CASE WHEN o_orderkey % 3 = 0 THEN NULL WHEN o_orderkey % 3 = 1 THEN 'NSE' ELSE 'BSE' END AS exchange,
-  CASE o_orderkey % 6 WHEN 0 THEN 'ECONOMY' WHEN 1 THEN 'MEDIUM' WHEN 2 THEN 'STANDARD'
-       WHEN 3 THEN 'PROMO' WHEN 4 THEN 'SMALL' ELSE 'LARGE' END AS instrument_type,
+       ELSE CAST(tok + CASE WHEN o_orderkey % 10 = 7 THEN 3000000000 ELSE 0 END AS VARCHAR) END AS exchange_token,
+  CASE WHEN o_orderkey % 9 = 0 THEN NULL WHEN o_orderkey % 4 = 0 THEN 'NSE' WHEN o_orderkey % 4 = 1 THEN 'BSE'
+       WHEN tok % 2 = 0 THEN 'NSE' ELSE 'BSE' END AS exchange,
+  CASE WHEN o_orderkey % 8 = 0 THEN other ELSE coalesce(p_type, other) END AS instrument_type,
   CASE o_orderkey % 5 WHEN 0 THEN '1d' WHEN 1 THEN 'I1' WHEN 2 THEN 'I30' WHEN 3 THEN '5m' ELSE '1d' END
     AS interval_name
-  FROM orders)""",
+  FROM (SELECT o_orderkey, CAST((o_custkey * 3) % (SELECT CAST(count(*) * 11 / 10 AS BIGINT) FROM part) AS BIGINT) AS tok,
+               CASE o_orderkey % 6 WHEN 0 THEN 'ECONOMY' WHEN 1 THEN 'MEDIUM' WHEN 2 THEN 'STANDARD'
+                 WHEN 3 THEN 'PROMO' WHEN 4 THEN 'SMALL' ELSE 'LARGE' END AS other FROM orders) o
+  LEFT JOIN part ON p_partkey = tok)""",
     "RV": _RV,
     "Q": """Q AS (SELECT CAST(floor(T.event_id / 1000) AS BIGINT) AS batch_no, T.event_id AS pos,
   CASE WHEN T.event_id % 50 = 0 THEN NULL
        WHEN T.event_id % 77 = 0 THEN 'NONE|' || CAST(T.exchange_token AS VARCHAR)
+       WHEN T.event_id % 4 = 3 THEN coalesce(X.instrument_key, M.instrument_key)
        ELSE M.instrument_key END AS instrument_token,
   T.price AS ltp, T.qty AS volume, T.oi AS oi
-  FROM T JOIN M ON M.exchange_token = T.exchange_token)""",
+  FROM T JOIN M ON M.exchange_token = T.exchange_token
+  LEFT JOIN MX X ON X.exchange_token = M.exchange_token AND X.exchange <> M.exchange)""",
     "E": """E AS (SELECT Q.batch_no, Q.pos, CAST(Q.pos AS VARCHAR) AS quote_key, Q.instrument_token,
-  M.exchange_token, M.tradingsymbol AS trading_symbol, split_part(M.exchange, '_', 2) AS instrument_type,
-  Q.ltp AS last_price, Q.volume, Q.oi FROM Q JOIN M ON M.instrument_key = Q.instrument_token)""",
+  MX.venue AS exchange, MX.exchange_token, MX.tradingsymbol AS trading_symbol,
+  split_part(MX.exchange, '_', 2) AS instrument_type,
+  Q.ltp AS last_price, Q.volume, Q.oi FROM Q JOIN MX ON MX.instrument_key = Q.instrument_token)""",
+    "QX": """QX AS (SELECT * FROM (SELECT E.*, row_number() OVER (PARTITION BY exchange, exchange_token
+  ORDER BY batch_no DESC, pos DESC) AS rn FROM E) WHERE rn = 1)""",
     "QM": """QM AS (SELECT * FROM (SELECT E.*, row_number() OVER (PARTITION BY exchange_token
   ORDER BY batch_no DESC, pos DESC) AS rn FROM E) WHERE rn = 1)""",
     "B1": _bars_cte("B1", BUCKETS["1 minute"]),
     "B5": _bars_cte("B5", BUCKETS["5 minutes"]),
     "B30": _bars_cte("B30", BUCKETS["30 minutes"]),
     "C": _bars_cte("C", BUCKETS["1 day"]),
+    "X1": _bars_cte("X1", BUCKETS["1 minute"], "TX", "exchange, exchange_token"),
+    "X30": _bars_cte("X30", BUCKETS["30 minutes"], "TX", "exchange, exchange_token"),
+    "XD": _bars_cte("XD", BUCKETS["1 day"], "TX", "exchange, exchange_token"),
+    "LX": f"""LX AS (SELECT exchange, exchange_token, first(price ORDER BY ts DESC, event_id DESC) AS last_price,
+  strftime(max(ts) + {LOCAL}, {FMT}) AS last_time FROM TX GROUP BY exchange, exchange_token)""",
     "FQ": """FQ AS (SELECT * FROM (SELECT C.*, row_number() OVER (PARTITION BY exchange_token
   ORDER BY bucket DESC) AS rn FROM C) WHERE rn = 1)""",
     "H": """H AS (SELECT o_orderkey AS request_id,
@@ -98,12 +121,23 @@ CTES = {
   CASE WHEN H.request_id % 190 = 0 THEN NULL ELSE 'day' END AS interval_name,
   strftime(H.from_date, '%Y-%m-%d') AS from_date, strftime(H.to_date, '%Y-%m-%d') AS to_date
   FROM H LEFT JOIN M ON M.exchange_token = H.exchange_token)""",
+    "U": """U AS (SELECT 'feed_a' AS broker, instrument_key, exchange_token,
+  split_part(exchange, '_', 1) AS exchange, exchange AS segment, split_part(exchange, '_', 2) AS instrument_type,
+  tradingsymbol, CAST(NULL AS VARCHAR) AS name, src_pos, CAST(NULL AS DOUBLE) AS last_price,
+  CAST(NULL AS DATE) AS expiry, CAST(NULL AS DOUBLE) AS strike, CAST(NULL AS DOUBLE) AS tick_size,
+  CAST(NULL AS BIGINT) AS lot_size FROM M
+UNION ALL
+SELECT 'feed_b' AS broker, CAST(instrument_token AS VARCHAR), exchange_token, exchange, segment, instrument_type,
+  tradingsymbol, name, src_pos, last_price, expiry, strike, tick_size, lot_size FROM MB)""",
+    "MP": """MP AS (SELECT DISTINCT instrument_key AS k, upper(trim(split_part(instrument_key, '|', 2))) AS sym
+  FROM M WHERE split_part(exchange, '_', 2) IN ('PROMO', 'SMALL'))""",
     "RB": """RB AS (SELECT event_type AS request_id, event_id AS pos,
   'NSE_EQ|' || CAST(user_id AS VARCHAR) AS instrument_key FROM events)""",
 }
 
 # CTE dependencies, so a query names only what it reads.
-DEPS = {"L": ["T"], "HR": ["H", "M"], "MD": ["M"], "MBD": ["MB"], "RV": ["R"], "Q": ["T", "M"], "E": ["Q", "M"], "QM": ["E"],
+DEPS = {"U": ["M", "MB"], "MP": ["M"], "L": ["T"], "HR": ["H", "M"], "MX": ["M"], "MBX": ["MB"], "MD": ["MX"], "MBD": ["MBX"], "RV": ["R"], "Q": ["T", "M", "MX"],
+        "E": ["Q", "MX"], "QM": ["E"], "QX": ["E"], "TX": ["T"], "X1": ["TX"], "X30": ["TX"], "XD": ["TX"], "LX": ["TX"],
         "B1": ["T"], "B5": ["T"], "B30": ["T"], "C": ["T"], "FQ": ["C"]}
 
 
@@ -179,23 +213,17 @@ ORACLE = {
   FROM M""", "M"),
     "candles_written": with_views(f"SELECT {CANDLE_SEL}, strftime(trade_date, '%Y-%m-%d') AS trade_date FROM C",
                                   "C"),
-    "request_status": with_views(f"""SELECT q.request_id,
-  CASE WHEN coalesce(n_bad, 0) > 0 THEN 400 WHEN coalesce(n_got, 0) = 0 THEN 404 ELSE 200 END AS status_code,
-  CASE WHEN coalesce(n_bad, 0) > 0 THEN 'invalid' WHEN coalesce(n_got, 0) = 0 THEN 'no data'
-       ELSE 'success' END AS status,
-  CAST(coalesce(n_got, 0) AS BIGINT) AS n_items, CAST(coalesce(n_bad, 0) AS BIGINT) AS n_rejected
-FROM (SELECT DISTINCT request_id FROM R) q
-LEFT JOIN (SELECT request_id, count(*) AS n_bad FROM RV
-           WHERE NOT EXISTS (SELECT 1 FROM MD WHERE {_MATCH}) GROUP BY request_id) b USING (request_id)
-LEFT JOIN (SELECT RV.request_id, count(*) AS n_got FROM RV JOIN MD ON {_MATCH}
-           WHERE RV.token_int IN (SELECT exchange_token FROM T) GROUP BY RV.request_id) g USING (request_id)""",
-                                 "R", "RV", "MD", "T"),
-    "unified_master": with_views("""SELECT 'feed_a' AS broker, instrument_key, exchange_token,
-  split_part(exchange, '_', 1) AS exchange, exchange AS segment, split_part(exchange, '_', 2) AS instrument_type,
-  tradingsymbol, CAST(NULL AS VARCHAR) AS name, src_pos FROM M WHERE venue = 'NSE'
-UNION ALL
-SELECT 'feed_b' AS broker, CAST(instrument_token AS VARCHAR), exchange_token, exchange, segment, instrument_type,
-  tradingsymbol, name, src_pos FROM MB WHERE exchange = 'BSE'""", "M", "MB"),
+    "request_status": with_views(f"""SELECT RV.pos AS request_id,
+  CASE WHEN MD.instrument_key IS NULL THEN 400 WHEN RV.exchange_token LIKE '%9' THEN 500
+       WHEN LX.exchange_token IS NULL THEN 404 ELSE 200 END AS status_code,
+  CASE WHEN MD.instrument_key IS NULL THEN 'invalid' WHEN RV.exchange_token LIKE '%9' THEN 'error'
+       WHEN LX.exchange_token IS NULL THEN 'no data' ELSE 'success' END AS status,
+  CAST(CASE WHEN LX.exchange_token IS NULL THEN 0 ELSE 1 END AS BIGINT) AS n_items,
+  CAST(CASE WHEN MD.instrument_key IS NULL THEN 1 ELSE 0 END AS BIGINT) AS n_rejected
+FROM RV LEFT JOIN MD ON {_MATCH}
+LEFT JOIN LX ON MD.instrument_key IS NOT NULL AND LX.exchange_token = RV.token_int
+  AND LX.exchange = RV.exchange""", "RV", "MD", "LX"),
+    "unified_master": with_views("SELECT * FROM U", "U"),
     "index_backfill": with_views("""SELECT M.instrument_key,
   CASE WHEN M.tradingsymbol = '' THEN mp.sym ELSE M.tradingsymbol END AS trading_symbol
 FROM M LEFT JOIN (SELECT DISTINCT instrument_key AS k, upper(trim(split_part(instrument_key, '|', 2))) AS sym
@@ -205,7 +233,7 @@ FROM M LEFT JOIN (SELECT DISTINCT instrument_key AS k, upper(trim(split_part(ins
   SELECT request_id, pos,
     CASE WHEN interval_name IS NULL OR interval_name NOT IN ('1d', 'I1', 'I30') THEN 'bad_interval'
          WHEN exchange_token IS NULL OR exchange_token = '' THEN 'missing_token'
-         WHEN try_cast(exchange_token AS INTEGER) IS NULL THEN 'bad_token' END AS reason
+         WHEN try_cast(exchange_token AS BIGINT) IS NULL THEN 'bad_token' END AS reason
   FROM R) WHERE reason IS NOT NULL""", "R"),
     "trailing_window": with_views(f"""SELECT {CANDLE_SEL} FROM C
   WHERE trade_date BETWEEN DATE '2024-01-09' AND DATE '2024-01-19'""", "C"),
@@ -213,14 +241,22 @@ FROM M LEFT JOIN (SELECT DISTINCT instrument_key AS k, upper(trim(split_part(ins
   FROM RV JOIN MD ON {_MATCH}""", "RV", "MD"),
     "resolved_symbol": with_views("""SELECT RV.request_id, RV.pos, RV.token_int AS exchange_token,
   RV.exchange || ':' || MBD.tradingsymbol AS symbol_key
-  FROM RV JOIN MBD ON MBD.exchange_token = RV.token_int AND MBD.exchange = RV.exchange""", "RV", "MBD"),
+  FROM RV JOIN MBD ON MBD.exchange_token = RV.token_int AND MBD.exchange = RV.exchange
+  WHERE MBD.tradingsymbol IS NOT NULL""", "RV", "MBD"),
+    "unresolved_symbol": with_views("""SELECT * FROM (
+  SELECT request_id, pos, RV.exchange_token,
+    CASE WHEN RV.exchange_token = '' THEN 'missing_token' WHEN token_int IS NULL THEN 'bad_token'
+         WHEN MBD.exchange_token IS NULL THEN 'not_in_master'
+         WHEN MBD.tradingsymbol IS NULL THEN 'missing_symbol' END AS reason
+  FROM RV LEFT JOIN MBD ON MBD.exchange_token = RV.token_int AND MBD.exchange = RV.exchange)
+  WHERE reason IS NOT NULL""", "RV", "MBD"),
     "unresolved": with_views(f"""SELECT request_id, pos, exchange_token, reason FROM (
   SELECT request_id, pos, exchange_token,
     CASE WHEN exchange_token = '' THEN 'missing_token' WHEN token_int IS NULL THEN 'bad_token'
          WHEN NOT EXISTS (SELECT 1 FROM MD WHERE {_MATCH}) THEN 'not_in_master' END AS reason
   FROM RV) WHERE reason IS NOT NULL""", "RV", "MD"),
-    "quotes_enriched": with_views("""SELECT batch_no, quote_key, instrument_token, exchange_token, trading_symbol,
-  instrument_type, last_price, volume, oi FROM E""", "E"),
+    "quotes_enriched": with_views("""SELECT batch_no, quote_key, instrument_token, exchange, exchange_token,
+  trading_symbol, instrument_type, last_price, volume, oi FROM E""", "E"),
     "historical": with_views(f"""SELECT H.request_id, C.exchange_token, C.datetime, C.open, C.high, C.low,
   C.close, C.volume, C.oi FROM H JOIN C ON C.exchange_token = H.exchange_token
   AND C.trade_date BETWEEN H.from_date AND H.to_date""", "H", "C"),
@@ -234,8 +270,10 @@ FROM FQ WHERE volume >= 50
   AND NOT EXISTS (SELECT 1 FROM C2 WHERE C2.exchange_token = FQ.exchange_token
                   AND C2.trade_date = DATE '2024-01-30')""", "C", "FQ",
         extra=("C2 AS (SELECT * FROM C WHERE NOT (trade_date = DATE '2024-01-30' AND close < open))",)),
-    "quotes_merged": with_views("""SELECT exchange_token, batch_no, quote_key, instrument_token, trading_symbol,
-  instrument_type, last_price, volume, oi FROM QM""", "QM"),
+    "quotes_merged": with_views("""SELECT exchange, exchange_token, batch_no, quote_key, instrument_token,
+  trading_symbol, instrument_type, last_price, volume, oi FROM QX""", "QX"),
+    "quotes_merged_legacy": with_views("""SELECT exchange, exchange_token, batch_no, quote_key, instrument_token,
+  trading_symbol, instrument_type, last_price, volume, oi FROM QM""", "QM"),
     "quote_matrix": with_views(_MATRIX, "QM"),
     "ltp": with_views(f"""SELECT exchange_token, first(price ORDER BY ts DESC, event_id DESC) AS last_price,
   strftime(max(ts) + {LOCAL}, {FMT}) AS last_time FROM T GROUP BY exchange_token""", "T"),
@@ -246,15 +284,15 @@ FROM FQ WHERE volume >= 50
     "full_quote_enriched": with_views(f"""SELECT f.exchange_token, M.tradingsymbol AS trading_symbol,
   split_part(M.exchange, '_', 2) AS instrument_type, f.trade_date, f.open, f.high, f.low, f.close,
   f.last_price, f.volume, f.oi, f.timestamp
-FROM ({_FULL_QUOTE}) f JOIN M ON M.exchange_token = f.exchange_token""", "FQ", "M"),
+FROM ({_FULL_QUOTE}) f LEFT JOIN M ON M.exchange_token = f.exchange_token""", "FQ", "M"),
     "bars_1minute": with_views(f"SELECT {CANDLE_SEL} FROM B1", "B1"),
     "bars_5minute": with_views(f"SELECT {CANDLE_SEL} FROM B5", "B5"),
     "bars_30minute": with_views(f"SELECT {CANDLE_SEL} FROM B30", "B30"),
     "bars_day": with_views(f"SELECT {CANDLE_SEL} FROM C", "C"),
-    "chunk_coverage": with_views("""SELECT request_id, count(*) AS n_chunks,
-  CAST(sum(CASE WHEN n = 0 THEN 1 ELSE 0 END) AS BIGINT) AS empty_chunks, CAST(sum(n) AS BIGINT) AS n_candles,
-  CASE WHEN sum(n) > 0 THEN 1 ELSE 0 END AS retrieved
-FROM (SELECT CH.request_id, CH.chunk_no, coalesce(sum(D.n), 0) AS n
+    "chunk_coverage": with_views("""SELECT H.request_id, count(n) AS n_chunks,
+  CAST(coalesce(sum(CASE WHEN n = 0 THEN 1 ELSE 0 END), 0) AS BIGINT) AS empty_chunks,
+  CAST(coalesce(sum(n), 0) AS BIGINT) AS n_candles, CASE WHEN sum(n) > 0 THEN 1 ELSE 0 END AS retrieved
+FROM H LEFT JOIN (SELECT CH.request_id, CH.chunk_no, coalesce(sum(D.n), 0) AS n
       FROM (SELECT H.request_id, H.exchange_token, k AS chunk_no,
                    H.from_date + CAST(k * 3 AS INTEGER) AS chunk_from,
                    least(H.from_date + CAST(k * 3 + 2 AS INTEGER), H.to_date) AS chunk_to
@@ -262,8 +300,8 @@ FROM (SELECT CH.request_id, CH.chunk_no, coalesce(sum(D.n), 0) AS n
                   FROM H WHERE from_date <= to_date) H) CH
       LEFT JOIN (SELECT exchange_token, trade_date, count(*) AS n FROM C GROUP BY 1, 2) D
         ON D.exchange_token = CH.exchange_token AND D.trade_date BETWEEN CH.chunk_from AND CH.chunk_to
-      GROUP BY CH.request_id, CH.chunk_no)
-GROUP BY request_id""", "H", "C"),
+      GROUP BY CH.request_id, CH.chunk_no) G ON G.request_id = H.request_id
+GROUP BY H.request_id""", "H", "C"),
     "key_batches_750": _key_batches(750),
     "key_batches_450": _key_batches(450),
     "date_chunks": _date_chunks(False),
@@ -281,17 +319,46 @@ FROM (SELECT S.*, CAST((row_number() OVER (PARTITION BY request_id ORDER BY pos,
             FROM RV JOIN MBD ON MBD.exchange_token = RV.token_int AND MBD.exchange = RV.exchange
             WHERE MBD.tradingsymbol IS NOT NULL) S)
 GROUP BY request_id, batch_no""", "RV", "MBD")
-ORACLE["ltp_for_requests"] = with_views(f"""SELECT RV.request_id, RV.pos, MD.instrument_key, L.last_price,
-  L.last_time FROM RV JOIN MD ON {_MATCH} JOIN L ON L.exchange_token = RV.token_int""", "RV", "MD", "L")
-ORACLE["ohlc_for_requests"] = with_views(f"""SELECT RV.request_id, RV.pos, MD.instrument_key, b.datetime, b.open,
-  b.high, b.low, b.close, b.volume, b.close AS last_price
-FROM RV JOIN MD ON {_MATCH}
-JOIN (SELECT * FROM (SELECT B30.*, row_number() OVER (PARTITION BY exchange_token ORDER BY bucket DESC) AS rn
-      FROM B30) WHERE rn = 1) b ON b.exchange_token = RV.token_int""", "RV", "MD", "B30")
+_HERE = "{0}.exchange_token = RV.token_int AND {0}.exchange = RV.exchange"
+_RESOLVED = f"FROM RV JOIN MD ON {_MATCH}"
+
+
+def _last_bar(b: str) -> str:
+    return f"""(SELECT * FROM (SELECT {b}.*, row_number() OVER (PARTITION BY exchange, exchange_token
+      ORDER BY bucket DESC) AS rn FROM {b}) WHERE rn = 1)"""
+
+
+def _ohlc_rows(b: str, extra: str = "", where: str = "") -> str:
+    return f"""SELECT RV.request_id, RV.pos, MD.instrument_key, b.datetime, b.open, b.high, b.low, b.close,
+  b.volume, b.close AS last_price{extra} {_RESOLVED} JOIN {_last_bar(b)} b ON {_HERE.format("b")} {where}"""
+
+
+ORACLE["ltp_for_requests"] = with_views(f"""SELECT RV.request_id, RV.pos, MD.instrument_key, LX.last_price,
+  LX.last_time {_RESOLVED} JOIN LX ON {_HERE.format("LX")}""", "RV", "MD", "LX")
+ORACLE["ltp_for_symbols"] = with_views(f"""SELECT RV.request_id, RV.pos,
+  RV.exchange || ':' || MBD.tradingsymbol AS symbol_key, LX.last_price, LX.last_time
+FROM RV JOIN MBD ON {_HERE.format("MBD")} JOIN LX ON {_HERE.format("LX")}
+WHERE MBD.tradingsymbol IS NOT NULL""", "RV", "MBD", "LX")
+ORACLE["ohlc_for_requests_i30"] = with_views(_ohlc_rows("X30"), "RV", "MD", "X30")
+ORACLE["ohlc_for_requests"] = with_views(" UNION ALL ".join(
+    _ohlc_rows(b, ", RV.interval_name", f"WHERE RV.interval_name = '{i}'")
+    for b, i in (("XD", "1d"), ("X1", "I1"), ("X30", "I30"))), "RV", "MD", "XD", "X1", "X30")
+ORACLE["ohlc_rejects"] = with_views(f"""SELECT request_id, pos, reason FROM (
+  SELECT request_id, pos,
+    CASE WHEN interval_name IS NULL OR interval_name NOT IN ('1d', 'I1', 'I30') THEN 'bad_interval'
+         WHEN exchange_token = '' THEN 'missing_token' WHEN token_int IS NULL THEN 'bad_token'
+         WHEN NOT EXISTS (SELECT 1 FROM MD WHERE {_MATCH}) THEN 'not_in_master' END AS reason
+  FROM RV) WHERE reason IS NOT NULL""", "RV", "MD")
 ORACLE["full_quote_for_requests"] = with_views(f"""SELECT RV.request_id, RV.pos, MD.instrument_key,
-  strftime(FQ.trade_date, '%Y-%m-%d') AS trade_date, FQ.open, FQ.high, FQ.low, FQ.close, FQ.close AS last_price,
-  FQ.volume, FQ.oi, strftime(FQ.last_ts + {LOCAL}, {FMT}) AS timestamp
-FROM RV JOIN MD ON {_MATCH} JOIN FQ ON FQ.exchange_token = RV.token_int""", "RV", "MD", "FQ")
+  strftime(b.trade_date, '%Y-%m-%d') AS trade_date, b.open, b.high, b.low, b.close, b.close AS last_price,
+  b.volume, b.oi, strftime(b.last_ts + {LOCAL}, {FMT}) AS timestamp
+{_RESOLVED} JOIN {_last_bar("XD")} b ON {_HERE.format("b")}""", "RV", "MD", "XD")
+ORACLE["history_requests_json"] = with_views("""SELECT request_id, coalesce(exchange_token, '') AS exchange_token,
+  coalesce(exchange, 'NSE') AS exchange, coalesce(instrument_type, '') AS instrument_type, interval_name,
+  from_date, to_date FROM HR""", "H", "M", "HR")
+ORACLE["master_data"] = with_views("""SELECT U.* REPLACE (
+  CASE WHEN tradingsymbol = '' THEN MP.sym ELSE tradingsymbol END AS tradingsymbol)
+FROM U LEFT JOIN MP ON MP.k = U.instrument_key""", "U", "MP")
 ORACLE["historical_for_requests"] = with_views(f"""SELECT request_id, exchange_token, datetime, open, high, low,
   close, volume, oi FROM HIST
 UNION ALL
@@ -302,8 +369,8 @@ WHERE CAST(RES.to_date AS DATE) = DATE '2024-01-30'
   AND EXISTS (SELECT 1 FROM HIST WHERE HIST.request_id = RES.request_id)
   AND NOT EXISTS (SELECT 1 FROM HIST WHERE HIST.request_id = RES.request_id
                   AND HIST.trade_date = DATE '2024-01-30')""", "HR", "M", "MD", "C", "FQ", extra=(
-    """RES AS (SELECT HR.*, try_cast(HR.exchange_token AS INTEGER) AS token_int FROM HR
-        JOIN MD ON MD.exchange_token = try_cast(HR.exchange_token AS INTEGER)
+    """RES AS (SELECT HR.*, try_cast(HR.exchange_token AS BIGINT) AS token_int FROM HR
+        JOIN MD ON MD.exchange_token = try_cast(HR.exchange_token AS BIGINT)
          AND MD.exchange = coalesce(HR.exchange, 'NSE') || '_' || HR.instrument_type
         WHERE coalesce(HR.exchange_token, '') <> '' AND coalesce(HR.interval_name, '') <> ''
           AND coalesce(HR.from_date, '') <> '' AND coalesce(HR.to_date, '') <> ''

@@ -68,7 +68,7 @@ def master_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     venue = _venue(pk)
     return p.select(
         venue.alias("venue"),
-        pk.cast("int").alias("exchange_token"),
+        pk.cast("long").alias("exchange_token"),
         F.concat(venue, F.lit("_"), F.col("p_type")).alias("exchange"),
         F.concat(venue, F.lit("_"), F.col("p_type"), F.lit("|"), F.col("p_name"), F.lit(" "),
                  pk.cast("string")).alias("instrument_key"),
@@ -85,7 +85,7 @@ def master_b_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     venue = _venue(pk)
     return p.select(
         (pk * 10 + 7).cast("long").alias("instrument_token"),
-        pk.cast("int").alias("exchange_token"),
+        pk.cast("long").alias("exchange_token"),
         _symbol(pk, F.col("p_name")).alias("tradingsymbol"),
         F.col("p_name").alias("name"),
         F.col("p_retailprice").alias("last_price"),
@@ -101,6 +101,41 @@ def master_b_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Tokens above the 32-bit range: a shifted copy of the smaller ones.
+BIG = 3_000_000_000
+
+
+@view
+def listed_master_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MX: M plus one further listing per part -- the same token on the other exchange
+    (which quotes may name), a later row for the same key, or a token above 2**31."""
+    m = master_view(spark, sf_dir)
+    tok, third = F.col("exchange_token"), F.col("exchange_token") % 3
+    venue = F.when(third == 0, F.when(F.col("venue") == "NSE", "BSE").otherwise("NSE")).otherwise(F.col("venue"))
+    segment = F.concat(venue, F.lit("_"), F.split_part("exchange", F.lit("_"), F.lit(2)))
+    copy = m.select(
+        venue.alias("venue"),
+        F.when(third == 2, tok + BIG).otherwise(tok).alias("exchange_token"),
+        segment.alias("exchange"),
+        F.concat(segment, F.lit("|"), F.split_part("instrument_key", F.lit("|"), F.lit(2)), F.lit(" copy"))
+         .alias("instrument_key"),
+        F.concat("tradingsymbol", F.lit("C")).alias("tradingsymbol"),
+        (F.col("src_pos") + BIG).alias("src_pos"))
+    return m.unionByName(copy)
+
+
+@view
+def listed_master_b_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MBX: MB plus a later row or a big token per part, as in MX."""
+    m = master_b_view(spark, sf_dir)
+    tok, third = F.col("exchange_token"), F.col("exchange_token") % 3
+    copy = m.withColumns({
+        "exchange_token": F.when(third == 2, tok + BIG).otherwise(tok),
+        "tradingsymbol": F.concat("tradingsymbol", F.lit("C")),
+        "src_pos": F.col("src_pos") + BIG})
+    return m.unionByName(copy)
+
+
 @view
 def ticks_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T: ticks; ``ts`` stays as read (TIMESTAMP_NTZ, taken as UTC)."""
@@ -115,38 +150,67 @@ def ticks_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@view
+def exchange_ticks_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """TX: T of two exchanges that use the same tokens."""
+    return ticks_view(spark, sf_dir).withColumn(
+        "exchange", F.when(F.col("event_id") % 2 == 0, "NSE").otherwise("BSE"))
+
+
 @view
 def requests_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """R: request items, with empty, NULL, unknown and mismatched tokens."""
+    """R: request items; most resolve, others have empty, NULL, unknown, mismatched or
+    very large tokens."""
     o = table(spark, sf_dir, "orders")
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_type")
     ok = F.col("o_orderkey")
     n_tok = table(spark, sf_dir, "part").select(
         (F.count(F.lit(1)) * 11 / 10).cast("long")).scalar()
+    o = o.select("o_orderkey", ((F.col("o_custkey") * 3) % n_tok).cast("long").alias("_tok"))
+    o = o.join(p, F.col("_tok") == F.col("p_partkey"), "left")
     token = (F.when(ok % 97 == 0, F.lit(""))
              .when(ok % 101 == 0, F.lit(None).cast("string"))
-             .otherwise(((F.col("o_custkey") * 3) % n_tok).cast("string")))
-    exch = (F.when(ok % 3 == 0, F.lit(None).cast("string"))
-            .when(ok % 3 == 1, F.lit("NSE")).otherwise(F.lit("BSE")))
-    itype = (F.when(ok % 6 == 0, "ECONOMY").when(ok % 6 == 1, "MEDIUM").when(ok % 6 == 2, "STANDARD")
+             .otherwise((F.col("_tok") + F.when(ok % 10 == 7, BIG).otherwise(0)).cast("string")))
+    exch = (F.when(ok % 9 == 0, F.lit(None).cast("string"))
+            .when(ok % 4 == 0, F.lit("NSE")).when(ok % 4 == 1, F.lit("BSE"))
+            .otherwise(_venue(F.col("_tok"))))
+    other = (F.when(ok % 6 == 0, "ECONOMY").when(ok % 6 == 1, "MEDIUM").when(ok % 6 == 2, "STANDARD")
              .when(ok % 6 == 3, "PROMO").when(ok % 6 == 4, "SMALL").otherwise("LARGE"))
+    itype = F.when(ok % 8 == 0, other).otherwise(F.coalesce("p_type", other))
     ivl = (F.when(ok % 5 == 0, "1d").when(ok % 5 == 1, "I1").when(ok % 5 == 2, "I30")
            .when(ok % 5 == 3, "5m").otherwise("1d"))
     return o.select((ok % 500).alias("request_id"), ok.alias("pos"), token.alias("exchange_token"),
                     exch.alias("exchange"), itype.alias("instrument_type"), ivl.alias("interval_name"))
 
 
+def quote_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per token: its key in M and, where MX lists it on the other exchange, that key."""
+    m, x = master_view(spark, sf_dir), listed_master_view(spark, sf_dir)
+    home = m.select(F.col("exchange_token").alias("_mt"), F.col("exchange").alias("_home"), "instrument_key")
+    away = x.select(F.col("exchange_token").alias("_xt"), F.col("exchange").alias("_away"),
+                    F.col("instrument_key").alias("_away_key"))
+    return (home.join(away, (F.col("_mt") == F.col("_xt")) & (F.col("_home") != F.col("_away")), "left")
+            .select("_mt", "instrument_key", "_away_key"))
+
+
+def quote_token():
+    """Instrument token of a quote: some are NULL or unknown, some name the other exchange."""
+    eid = F.col("event_id")
+    return (F.when(eid % 50 == 0, F.lit(None).cast("string"))
+            .when(eid % 77 == 0, F.concat(F.lit("NONE|"), F.col("exchange_token").cast("string")))
+            .when(eid % 4 == 3, F.coalesce("_away_key", "instrument_key"))
+            .otherwise(F.col("instrument_key")))
+
+
 @view
 def quotes_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q: quote entries of T, 1,000 per batch, some with NULL or unknown tokens."""
+    """Q: quote entries of T, 1,000 per batch."""
     t = ticks_view(spark, sf_dir)
-    m = master_view(spark, sf_dir).select(F.col("exchange_token").alias("_mt"), "instrument_key")
+    m = quote_keys(spark, sf_dir)
     eid = F.col("event_id")
-    token = (F.when(eid % 50 == 0, F.lit(None).cast("string"))
-             .when(eid % 77 == 0, F.concat(F.lit("NONE|"), F.col("exchange_token").cast("string")))
-             .otherwise(F.col("instrument_key")))
     return (t.join(m, t["exchange_token"] == m["_mt"])
             .select(F.floor(eid / 1000).cast("long").alias("batch_no"), eid.alias("pos"),
-                    token.alias("instrument_token"), F.col("price").alias("ltp"),
+                    quote_token().alias("instrument_token"), F.col("price").alias("ltp"),
                     F.col("qty").alias("volume"), F.col("oi")))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 # file is kept as a string.
 MASTER_A_TYPES = {
     "instrument_key": T.StringType(),
-    "exchange_token": T.IntegerType(),
+    "exchange_token": T.LongType(),
     "exchange": T.StringType(),
     "tradingsymbol": T.StringType(),
 }
@@ -14,7 +14,7 @@ MASTER_A_TYPES = {
 # Feed-B master: the full column list, ``strike`` forced to double.
 MASTER_B_TYPES = {
     "instrument_token": T.LongType(),
-    "exchange_token": T.IntegerType(),
+    "exchange_token": T.LongType(),
     "tradingsymbol": T.StringType(),
     "name": T.StringType(),
     "last_price": T.DoubleType(),
@@ -37,6 +37,14 @@ REQUEST = T.StructType([
     T.StructField("interval_name", T.StringType()),
 ])
 
+# A landed request item may also carry the history body's fields.
+REQUEST_BODY = T.StructType([
+    *REQUEST.fields,
+    T.StructField("interval", T.StringType()),
+    T.StructField("from_date", T.StringType()),
+    T.StructField("to_date", T.StringType()),
+])
+
 OHLC = T.StructType([
     T.StructField("open", T.DoubleType()),
     T.StructField("high", T.DoubleType()),
@@ -50,8 +58,8 @@ QUOTE_ENTRY = T.StructType([
     T.StructField("instrument_token", T.StringType()),
     T.StructField("last_price", T.DoubleType()),
     T.StructField("ohlc", OHLC),
-    T.StructField("volume", T.LongType()),
-    T.StructField("oi", T.LongType()),
+    T.StructField("volume", T.StringType()),      # vendors also send 1200.0
+    T.StructField("oi", T.StringType()),
     T.StructField("timestamp", T.StringType()),
 ])
 
@@ -70,13 +78,3 @@ CANDLE_PAYLOAD = T.StructType([
 
 # The candle table's fixed output columns, in order.
 CANDLE_COLUMNS = ["datetime", "open", "high", "low", "close", "volume", "oi"]
-
-CANDLE = T.StructType([
-    T.StructField("datetime", T.StringType()),
-    T.StructField("open", T.DoubleType()),
-    T.StructField("high", T.DoubleType()),
-    T.StructField("low", T.DoubleType()),
-    T.StructField("close", T.DoubleType()),
-    T.StructField("volume", T.LongType()),
-    T.StructField("oi", T.LongType()),
-])

@@ -2,9 +2,10 @@
 
 Files are read with a header and every column as a string; the known columns
 are then cast by name (a declared CSV schema would bind by position).  Unknown
-columns are kept as strings.  ``src_pos`` records file order for first-match
-lookups: a gzip file is one partition, and the splits of one plain file keep
-their order, so ``monotonically_increasing_id`` follows the file.
+columns are kept as strings.  ``(src_file, src_pos)`` records file order for
+first-match lookups: Spark may read a larger file first, so the file name comes
+first; the splits of one file keep their order, so within it
+``monotonically_increasing_id`` follows the file.
 """
 
 from __future__ import annotations
@@ -22,19 +23,20 @@ def _typed(df: DataFrame, types: dict) -> DataFrame:
             cols.append(F.col(f"`{c}`").try_cast(types[c]).alias(c))
         else:
             cols.append(F.col(f"`{c}`"))
-    return df.select(*cols)
+    return df.select(*cols, *([] if "src_pos" in df.columns else [F.col("_metadata")]))
 
 
 def _with_pos(df: DataFrame) -> DataFrame:
     if "src_pos" in df.columns:
         return df.withColumn("src_pos", F.col("src_pos").try_cast("long"))
-    return df.withColumn("src_pos", F.monotonically_increasing_id())
+    return df.withColumns({"src_file": F.col("_metadata.file_path"), "src_pos": F.monotonically_increasing_id()}) \
+        .drop("_metadata")
 
 
 def read_master_a(spark: SparkSession, path: str) -> DataFrame:
     """Feed-A master CSV (plain or ``.gz``) with header.
 
-    ``exchange_token`` becomes INT (NULL when not an integer); empty fields
+    ``exchange_token`` becomes BIGINT (NULL when not an integer); empty fields
     read as NULL, as in the vendor's own tooling.
     """
     raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
@@ -58,5 +60,5 @@ def read_master_json(spark: SparkSession, path: str, multi_line: bool = True) ->
     df = (spark.read.option("multiLine", multi_line)
           .option("primitivesAsString", True).json(path))
     if "exchange_token" in df.columns:
-        df = df.withColumn("exchange_token", F.col("exchange_token").try_cast("int"))
+        df = df.withColumn("exchange_token", F.col("exchange_token").try_cast("long"))
     return _with_pos(df)

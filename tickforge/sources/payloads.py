@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickforge.functions.exprs import MARKET_TZ
+from tickforge.functions.exprs import MARKET_TZ, lenient_long
 from tickforge.operators.history import normalise_candle_time
 from tickforge.schemas import CANDLE_PAYLOAD, QUOTE_ENTRY, QUOTE_PAYLOAD
 
@@ -45,7 +45,9 @@ def parse_quotes(payloads: DataFrame, payload_col: str = "payload",
         good = good.withColumn("_raw", F.from_json(F.col(payload_col), raw_schema).getField("data"))
     rows = good.select(*carry, *(["_raw"] if keep_raw else []),
                        F.posexplode(F.col("_p.data")).alias("entry_pos", "quote_key", "_e"))
-    fields = [F.col(f"_e.{f.name}").alias(f.name) for f in QUOTE_ENTRY.fields]
+    counts = ("volume", "oi")
+    fields = [(lenient_long(f"_e.{f.name}") if f.name in counts else F.col(f"_e.{f.name}")).alias(f.name)
+              for f in QUOTE_ENTRY.fields]
     raw = F.element_at(F.col("_raw"), F.col("quote_key"))
     if raw_as_variant:
         raw = F.try_parse_json(raw)
@@ -62,7 +64,8 @@ def parse_candles(payloads: DataFrame, payload_col: str = "payload",
     Each candle is ``[datetime, open, high, low, close, volume, oi]``; slots are
     read as strings and cast one by one, a missing slot (6-slot candles) gives
     NULL.  ``datetime`` is rendered in market time and ``trade_date`` added.
-    An empty ``candles`` array gives no rows and no reject.
+    An empty ``candles`` array gives no rows and no reject; a candle whose time
+    cannot be read is a reject row (``bad_candle_time``).
     """
     carry = [c for c in payloads.columns if c != payload_col]
     p = payloads.withColumn("_p", F.from_json(F.col(payload_col), CANDLE_PAYLOAD))
@@ -73,13 +76,12 @@ def parse_candles(payloads: DataFrame, payload_col: str = "payload",
     def slot(i):
         return F.get(F.col("_c"), i)
 
-    def as_long(i):
-        return F.coalesce(slot(i).try_cast("long"), slot(i).try_cast("double").try_cast("long"))
-
     typed = c.select(*carry, slot(0).alias("datetime"),
                      slot(1).try_cast("double").alias("open"),
                      slot(2).try_cast("double").alias("high"),
                      slot(3).try_cast("double").alias("low"),
                      slot(4).try_cast("double").alias("close"),
-                     as_long(5).alias("volume"), as_long(6).alias("oi"))
-    return normalise_candle_time(typed, "datetime", tz), rejects
+                     lenient_long(slot(5)).alias("volume"), lenient_long(slot(6)).alias("oi"))
+    timed = normalise_candle_time(typed, "datetime", tz)
+    bad_time = timed.where(F.col("trade_date").isNull()).select(*carry, F.lit("bad_candle_time").alias("reason"))
+    return timed.where(F.col("trade_date").isNotNull()), rejects.unionByName(bad_time)

@@ -36,14 +36,12 @@ def _run(spark, stream, name, mode) -> DataFrame:
 
 def q_stream_enrich(spark, d):
     t = _ticks(spark, d)
-    m = V.master_view(spark, d)
-    keys = m.select(F.col("exchange_token").alias("_mt"), "instrument_key")
+    m = V.listed_master_view(spark, d)
+    keys = V.quote_keys(spark, d)
     eid = F.col("event_id")
     quotes = (t.join(broadcast_if_small(keys), t["exchange_token"] == keys["_mt"])
               .select(eid.alias("pos"),
-                      F.when(eid % 50 == 0, F.lit(None).cast("string"))
-                       .when(eid % 77 == 0, F.concat(F.lit("NONE|"), F.col("exchange_token").cast("string")))
-                       .otherwise(F.col("instrument_key")).alias("instrument_token"),
+                      V.quote_token().alias("instrument_token"),
                       F.col("price").alias("last_price"), F.col("qty").alias("volume"), "oi"))
     enriched, _ = stream_enrich(quotes, m)
     out = _run(spark, enriched, "stream_enrich", "append")
@@ -66,9 +64,9 @@ def q_stream_quotes_merged(spark, d):
     """Quote payloads of every batch landed as JSON lines, merged live."""
     landed = stage_json_lines(V.quote_payloads(spark, d), "quote-payloads")
     s = payload_stream(spark, landed, "batch_no long, payload string")
-    cols = ["exchange_token", "batch_no", "entry_pos", "quote_key", "instrument_token",
+    cols = ["exchange", "exchange_token", "batch_no", "entry_pos", "quote_key", "instrument_token",
             "trading_symbol", "instrument_type", "last_price", "volume", "oi"]
-    merged = stream_merged_quotes(s, V.master_view(spark, d), key_cols=["exchange_token"])
+    merged = stream_merged_quotes(s, V.listed_master_view(spark, d))
     out = _run(spark, merged, "stream_quotes_merged", "complete")
     return out.select(*[c for c in cols if c != "entry_pos"])
 

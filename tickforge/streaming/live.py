@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from tickforge.functions.exprs import MARKET_TZ, format_local
 from tickforge.functions.intervals import INTERVALS
-from tickforge.operators.bars import TICK_KEY, ohlc_aggs, ohlc_out
+from tickforge.operators.bars import TICK_KEY, ohlc_aggs, ohlc_out, tick_order
 from tickforge.operators.quotes import enrich_quotes, merge_quote_batches
 from tickforge.sources.payloads import parse_quotes
 
@@ -32,10 +32,13 @@ def _duration_seconds(dur: str) -> int:
     return int(n) * _SECONDS[unit]
 
 
-def zone_offset_seconds(tz: str, at: _dt.datetime | None = None) -> int:
-    """UTC offset of ``tz`` (the market zone has no daylight saving)."""
-    at = at or _dt.datetime(2024, 1, 1)
-    return int(ZoneInfo(tz).utcoffset(at).total_seconds())
+def zone_offset_seconds(tz: str) -> int:
+    """UTC offset of ``tz``.  A window's start offset is fixed for the whole stream, so a
+    zone whose clock changes over the year is refused."""
+    offsets = {ZoneInfo(tz).utcoffset(_dt.datetime(2024, m, 1)) for m in range(1, 13)}
+    if len(offsets) > 1:
+        raise ValueError(f"{tz} changes its UTC offset over the year; stream bars need a fixed one")
+    return int(offsets.pop().total_seconds())
 
 
 def tick_stream(spark: SparkSession, path: str, schema: T.StructType | str,
@@ -76,8 +79,7 @@ def stream_merged_quotes(payloads: DataFrame, master: DataFrame,
 
 def stream_ltp(ticks: DataFrame, key: str = TICK_KEY) -> DataFrame:
     """Running last price per instrument (state: one row per instrument)."""
-    order = F.struct(F.col("ts").cast("timestamp"), F.col("event_id"))
-    return ticks.groupBy(key).agg(F.max_by("price", order).alias("last_price"),
+    return ticks.groupBy(key).agg(F.max_by("price", tick_order()).alias("last_price"),
                                   F.max(F.col("ts").cast("timestamp")).alias("last_ts"))
 
 

@@ -78,6 +78,17 @@ def test_unified_master_keeps_contract_columns(spark, master):
     assert (got["NSE_EQ|A"].instrument_type, got["NSE_EQ|A"].feed_instrument_type) == ("EQ", "OPTIDX")
 
 
+def test_endpoints_take_the_unified_master(spark, master, ticks):
+    b = spark.createDataFrame([(7, BIG + 1, "X", "EQ", "NSE", "NSE", 0)],
+                              "instrument_token long, exchange_token long, tradingsymbol string, instrument_type string, "
+                              "segment string, exchange string, src_pos long").withColumn("name", F.lit("N"))
+    u = unify_masters({"feed_a": master, "feed_b": b})
+    req = spark.createDataFrame([(1, 0, "5", "NSE", "EQ", "1d"), (2, 0, str(BIG + 1), "NSE", "EQ", "1d")], REQ)
+    ok, bad = resolve_instruments(req, u)
+    assert rows(ok, "request_id", "instrument_key") == [(1, "NSE_EQ|A"), (2, "7")] and bad.count() == 0
+    assert rows(ltp_for_requests(req, u, ticks)[0], "request_id", "last_price") == [(1, 10.0)]
+
+
 def test_first_match_follows_file_order(spark, tmp_path):
     head = "instrument_key,exchange_token,tradingsymbol,exchange\n"
     (tmp_path / "part-0.csv").write_text(head + "FIRST,1,A,NSE_EQ\n")

@@ -78,17 +78,21 @@ def _segment_key():
 
 
 def resolve_instruments(requests: DataFrame, master: DataFrame,
-                        segment_col: str = "exchange") -> tuple[DataFrame, DataFrame]:
+                        segment_col: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Feed-A resolution (O14): ``exchange_token = int(token)`` and
     ``exchange = '<exchange>_<instrument_type>'``; the first master row supplies
-    ``instrument_key``.  On the unified master pass ``segment_col="segment"``.
+    ``instrument_key``.  On the unified master (it has ``broker``) exchange and type
+    are columns of their own and are matched as such, whichever the feed.
+    ``segment_col`` names another composite column.
 
     Returns ``(resolved, unresolved)``.  ``unresolved`` holds items that failed
     validation (``reason`` from O12) or matched no master row (``not_in_master``).
     """
     req = with_request_defaults(requests)
     valid, rejects = validate_requests(req)
-    m = first_match(master.select("exchange_token", F.col(segment_col).alias("exchange"),
+    unified = segment_col is None and {"broker", "instrument_type"} <= set(master.columns)
+    segment = _segment_key() if unified else F.col(segment_col or "exchange")
+    m = first_match(master.select("exchange_token", segment.alias("exchange"),
                                   "instrument_key", *_ordering(master)),
                     ["exchange_token", "exchange"])
     m = m.select(F.col("exchange_token").alias("_m_token"), F.col("exchange").alias("_m_exchange"),

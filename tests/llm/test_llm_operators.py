@@ -103,6 +103,30 @@ def test_line_dedup_inserts_and_deletes(spark):
     assert deduped(nothing, docs) == sorted([(i, t or "", len((t or "").split("\n")), 0) for i, t in first], key=repr)
 
 
+def knows_all(index):
+    """Whether each shard's filter knows every key of its exact counts."""
+    filters = {r.shard: CuckooFilter.load(r.filter) for r in index.filters.collect()}
+    keys = defaultdict(list)
+    for r in index.counts.select("shard", "key").collect():
+        keys[r.shard].append(bytes(r.key))
+    return all(filters[s].has(np.array([int.from_bytes(k[:8], "big") for k in ks], np.uint64)).all()
+               for s, ks in keys.items())
+
+
+def test_line_filters_know_every_key(spark):
+    one, two, three = (frame(spark, [(i, "\n".join(f"a line of doc {i} number {k}" for k in range(n)))])
+                       for i, n in ((1, 30_000), (2, 30_000), (3, 90_000)))
+    index = LineIndex.create(spark).insert(one, keys_per_shard=70_000).insert(two, keys_per_shard=70_000)
+    assert index.shards == 1 and knows_all(index)
+    # Some keys of the second document look like keys of the first to the filter.
+    assert knows_all(index.delete(one))
+    again = index.delete(one).insert(frame(spark, [(4, two.first().text)]), keys_per_shard=70_000)
+    assert again.counts.count() == 30_000 and again.counts.where("n_refs = 2").count() == 30_000
+    grown = index.insert(three, keys_per_shard=40_000)
+    assert grown.shards == 4 and knows_all(grown) and grown.counts.count() == 150_000
+    assert grown.delete(three).counts.count() == 60_000
+
+
 def test_cuckoo_filter():
     h = np.random.default_rng(1).integers(0, 1 << 63, 20_000, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     f = CuckooFilter.sized(len(h))

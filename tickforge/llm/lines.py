@@ -161,15 +161,16 @@ def _shard(key: Column, shards: int) -> Column:
 
 def _update_shard(key, left: pa.Table, right: pa.Table) -> pa.Table:
     """One shard's new keys against its filter: which it may know, and the filter afterwards.
-    ``gone`` keys leave the filter first."""
+    ``gone`` keys leave the filter first; ``sure`` keys are known to be new and are added unasked."""
     stored = [x for x in right.column("filter").to_pylist() if x is not None]
     keys = left.column("key").combine_chunks()
-    gone = np.asarray(left.column("gone").combine_chunks().to_pylist(), bool)
+    gone = np.asarray(left.column("gone").to_pylist(), bool)
+    sure = np.asarray(left.column("sure").to_pylist(), bool)
     h = _hash64(keys) if len(keys) else np.zeros(0, np.uint64)
     held = right.column("keys").to_pylist()[0] if len(stored) else 0
     f = CuckooFilter.load(stored[0]) if stored else CuckooFilter.sized(int((~gone).sum()))
     f.remove(h[gone])
-    known = f.has(h) & ~gone if stored else np.zeros(len(h), bool)
+    known = f.has(h) & ~gone & ~sure if stored else np.zeros(len(h), bool)
     fresh = h[~known & ~gone]
     full = held + len(fresh) > 0.9 * f.table.size or not f.add(fresh)
     n = len(keys)
@@ -183,6 +184,18 @@ def _update_shard(key, left: pa.Table, right: pa.Table) -> pa.Table:
     })
 
 
+def _fill_shard(t: pa.Table) -> pa.Table:
+    return pa.table({"shard": t.column("shard").slice(0, 1),
+                     "filter": pa.array([_filled(_hash64(t.column("key").combine_chunks())).dump()], pa.binary()),
+                     "keys": pa.array([t.num_rows], pa.int64())})
+
+
+def _fill(counts: DataFrame) -> DataFrame:
+    """Filters made from exact counts."""
+    return (counts.select("shard", "key").groupBy("shard")
+            .applyInArrow(_fill_shard, "shard int, filter binary, keys long"))
+
+
 def _per_key(refs: DataFrame) -> DataFrame:
     """Exact counts; a key is in at least two documents when its first and last holder differ."""
     return refs.groupBy("key").agg(F.count(F.lit(1)).alias("n_refs"), F.min("doc_id").alias("first_doc"),
@@ -243,7 +256,8 @@ class LineIndex:
             refs.write.parquet(f"{base}/refs")
         return new
 
-    def _probe(self, keys: DataFrame, shards: int, filters: DataFrame) -> DataFrame:
+    def _probe(self, keys: DataFrame, filters: DataFrame, gone: bool = False, sure: bool = False) -> DataFrame:
+        keys = keys.select("key", "shard", F.lit(gone).alias("gone"), F.lit(sure).alias("sure"))
         return reliable(keys.groupBy("shard").cogroup(filters.groupBy("shard")).applyInArrow(
             _update_shard, "key binary, known boolean, filter binary, keys long, shard int"))
 
@@ -251,12 +265,7 @@ class LineIndex:
         """The filters after a change; full ones are filled again from the exact counts."""
         kept = probed.where("key IS NULL").select("shard", "filter", "keys")
         full = kept.where(F.length("filter") == 0).select("shard")
-        fresh = (counts.join(full, "shard", "left_semi").select("shard", "key")
-                 .groupBy("shard").applyInArrow(
-                     lambda t: pa.table({
-                         "shard": t.column("shard").slice(0, 1),
-                         "filter": pa.array([_filled(_hash64(t.column("key").combine_chunks())).dump()], pa.binary()),
-                         "keys": pa.array([t.num_rows], pa.int64())}), "shard int, filter binary, keys long"))
+        fresh = _fill(counts.join(full, "shard", "left_semi"))
         out = kept.where(F.length("filter") > 0).unionAll(fresh)
         if untouched is not None:
             out = out.unionAll(untouched.join(kept.select("shard"), "shard", "left_anti")
@@ -265,9 +274,9 @@ class LineIndex:
 
     def insert(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                keys_per_shard: int = 200_000, keep_refs: bool = True) -> LineIndex:
-        """Add documents (ids not yet in the index).  The first insert fixes the number of
-        shards so that a shard's keys fit a task.  ``keep_refs=False`` saves the
-        reference table of an index that will never delete."""
+        """Add documents (ids not yet in the index).  Shards are numbered so that a shard's keys
+        fit a task; an index that has outgrown its shards twice over is cut anew.
+        ``keep_refs=False`` saves the reference table of an index that will never delete."""
         ship(self.spark)
         refs = references(docs, self.min_chars, id_col, text_col)
         if keep_refs:
@@ -277,10 +286,10 @@ class LineIndex:
         batch = batch.withColumn("shard", _shard(F.col("key"), shards))
         empty = self.spark.createDataFrame([], "shard int, filter binary, keys long")
         filters = self.filters if self.version else empty
-        probed = self._probe(batch.select("key", "shard", F.lit(False).alias("gone")), shards, filters)
+        probed = self._probe(batch.select("key", "shard"), filters)
         rows = batch.select(*_COUNTS)
         if not self.version:
-            counts = rows
+            counts, filters = rows, self._refilled(probed, rows, None)
         else:
             maybe = probed.where("known").select("key")
             new = rows.join(maybe, "key", "left_anti")
@@ -292,11 +301,21 @@ class LineIndex:
                 .alias("n_refs"), F.least("o.first_doc", "n.first_doc").alias("first_doc"),
                 F.greatest("o.last_doc", "n.last_doc").alias("last_doc"))
             counts = reliable(merged.unionByName(new))
+            # Keys that the filter took for others' are new as well and must enter it, or
+            # deleting those others would make it forget these.
+            full = probed.where("key IS NULL").where(F.length("filter") == 0).select("shard")
+            missed = again.select("n.key", "n.shard").join(self.counts, "key", "left_anti").join(full, "shard", "left_anti")
+            filters = reliable(self._refilled(probed, counts, filters))
+            filters = reliable(self._refilled(self._probe(missed, filters, sure=True), counts, filters))
+            held = filters.agg(F.sum("keys")).first()[0] or 0
+            if held > 2 * keys_per_shard * shards:
+                shards = -(-held // keys_per_shard)
+                counts = counts.withColumn("shard", _shard(F.col("key"), shards))
+                filters = _fill(counts)
         all_refs = None
         if keep_refs:
             all_refs = self.refs.unionByName(refs) if self.version else refs
-        return self._next(counts, self._refilled(probed, counts, filters if self.version else None),
-                          all_refs, shards)
+        return self._next(counts, filters, all_refs, shards)
 
     def delete(self, ids: DataFrame, id_col: str = "doc_id") -> LineIndex:
         """Take documents out again by their ids."""
@@ -310,7 +329,7 @@ class LineIndex:
         counts = reliable(self.counts.join(touched, "key", "left_anti").unionByName(still))
         dead = touched.join(now.select("key"), "key", "left_anti").withColumn(
             "shard", _shard(F.col("key"), self.shards))
-        probed = self._probe(dead.select("key", "shard", F.lit(True).alias("gone")), self.shards, self.filters)
+        probed = self._probe(dead, self.filters, gone=True)
         return self._next(counts, self._refilled(probed, counts, self.filters), refs, self.shards)
 
     def dedup(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -454,6 +454,13 @@ def test_embedding_dedup(spark):
     assert embedding_dedup(df.limit(0)).count() == 0
 
 
+def test_embedding_extremes(spark):
+    rows = [(1, [1e200, 2e200]), (2, [1e-200, 2e-200]), (3, [5e-324, -5e-324]), (4, [-1e308, 1e308]), (5, [3.0, 6.0])]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in
+           embedding_dedup(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), 0.95).collect()}
+    assert got == {1: (2, 1), 2: (2, 1), 5: (2, 1), 3: (0, 3), 4: (0, 4)}
+
+
 def test_components(spark):
     rng = np.random.default_rng(3)
     e = [(k, k + 1) for k in range(60)] + [(1000, 1000 + k) for k in range(200)] + rng.integers(2000, 2200, (150, 2)).tolist() + [(5, None)]

@@ -115,6 +115,8 @@ def fit_grid(x: np.ndarray, threshold: float, centres: int, recall: float, trial
 
 def _unit(flat: np.ndarray, dim: int) -> np.ndarray:
     x = flat.reshape(-1, dim).astype(np.float64)
+    # By a power of two first, which is exact, so that no square over- or underflows.
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 

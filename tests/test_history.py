@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from tickforge.operators import (
-    backfill_today, bars, chunk_coverage, full_market_quote, historical_data, ltp_quote, ohlc_quote,
-    plan_date_chunks, trailing_window,
+    backfill_today, bars, chunk_coverage, explode_days, full_market_quote, historical_data, latest_bar, ltp_quote,
+    newest_bars, ohlc_quote, plan_date_chunks, trailing_window,
 )
 
 
@@ -75,6 +75,38 @@ def test_minute_bars_and_quotes(ticks):
     assert str(fq[2].trade_date) == "2024-01-01"
 
 
+@pytest.mark.parametrize("limit", ["67108864", "1"])
+@pytest.mark.parametrize("interval", ["1d", "I1", "I30"])
+def test_newest_bars_equal_the_last_of_all_bars(spark, limit, interval):
+    """Both ways -- buckets broadcast, or all bars built -- with NULL keys, times and ties."""
+    ticks = spark.sql("""SELECT IF(id % 7 = 0, NULL, id % 7) AS exchange_token, IF(id % 3 = 0, 'NSE', 'BSE') AS exchange,
+        CASE WHEN id % 11 = 0 THEN NULL WHEN id % 7 = 6 THEN NULL
+             ELSE timestamp_seconds(1704067200 + (id * 7919) % 300000) END AS ts,
+        CAST(id AS DOUBLE) AS price, id % 5 AS qty, id AS oi, id - 50 AS event_id FROM range(2000)""")
+    key = ["exchange", "exchange_token"]
+    spark.conf.set("spark.tickforge.broadcastLimit", limit)
+    try:
+        got = newest_bars(ticks, interval, key=key)
+        assert rows(got) == rows(latest_bar(bars(ticks, interval, key=key), key).select(got.columns))
+        plan = got._jdf.queryExecution().toString()
+        assert ("LeftSemi" in plan) == (limit != "1")
+    finally:
+        spark.conf.unset("spark.tickforge.broadcastLimit")
+    assert newest_bars(ticks.limit(0), "day", key=key).count() == 0
+
+
+def test_days_of_very_long_ranges(spark):
+    df = spark.sql("""SELECT * FROM VALUES (1, DATE'2024-01-30', DATE'2024-03-02'), (2, DATE'2024-05-05', DATE'2024-05-05'),
+                      (3, DATE'2024-05-06', DATE'2024-05-05'), (4, DATE'0001-01-01', DATE'9999-12-31'),
+                      (5, CAST(NULL AS DATE), DATE'2024-01-01') t(id, a, b)""")
+    days = explode_days(df, F.col("a"), F.col("b"), out="day")
+    assert days.columns == ["id", "a", "b", "day"]
+    got = {r.id: (r.n, r.d, str(r.lo), str(r.hi)) for r in days.groupBy("id").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("day").alias("d"), F.min("day").alias("lo"), F.max("day").alias("hi")).collect()}
+    assert got == {1: (33, 33, "2024-01-30", "2024-03-02"), 2: (1, 1, "2024-05-05", "2024-05-05"),
+                   4: (3652059, 3652059, "0001-01-01", "9999-12-31")}
+
+
 @pytest.fixture()
 def candles(spark):
     data = [(1, "2024-01-08 00:00:00", "2024-01-08"), (1, "2024-01-09 00:00:00", "2024-01-09"),

@@ -1,7 +1,7 @@
 """DataFrame operators (pure DataFrame -> DataFrame functions)."""
 
 from tickforge.operators.bars import (  # noqa: F401
-    bars, full_market_quote, latest_bar, ltp_quote, ohlc_quote,
+    bars, full_market_quote, latest_bar, ltp_quote, newest_bars, ohlc_quote,
 )
 from tickforge.operators.history import (  # noqa: F401
     backfill_today, chunk_coverage, historical_data, normalise_candle_time, trailing_window,

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from tickforge.functions.exprs import MARKET_TZ, format_local, to_market_time
 from tickforge.functions.intervals import INTERVALS
+from tickforge.operators.joins import broadcast_limit
+from tickforge.session import checkpoint_root
 
 TICK_KEY = "exchange_token"
 
@@ -114,6 +116,37 @@ def latest_bar(bar_df: DataFrame, key: str | list[str] = TICK_KEY) -> DataFrame:
     return bar_df.groupBy(*keys).agg(picked).select(*keys, "_b.*")
 
 
+def newest_bars(ticks: DataFrame, interval: str, tz: str = MARKET_TZ,
+                key: str | list[str] = TICK_KEY) -> DataFrame:
+    """The most recent bar of each instrument without building the others.
+
+    A first pass over key and time finds each instrument's last bucket (a reliable
+    checkpoint, one row per instrument); only ticks of those buckets are then
+    aggregated.  The buckets are broadcast as a filter on the scan while their
+    measured size is within ``broadcast_limit``; beyond it, and on streams, all
+    bars are built -- shuffling partial bars is cheaper than shuffling every tick.
+    """
+    keys = key_columns(key)
+    if ticks.isStreaming:
+        return latest_bar(bars(ticks, interval, tz, key), key)
+    checkpoint_root(ticks.sparkSession)
+    bucket = F.window(to_market_time("ts", tz), INTERVALS.get(interval, interval)).start
+    last = ticks.groupBy(*keys).agg(F.max(F.col("ts")).alias("ts")).withColumn("_b_start", bucket)
+    last = last.select(*[F.col(k).alias(f"_b_{i}") for i, k in enumerate(keys)], "_b_start").checkpoint()
+    width = F.lit(64)
+    for i in range(len(keys)):
+        width = width + F.coalesce(F.octet_length(F.col(f"_b_{i}").cast("string")), F.lit(0)) + 16
+    held = last.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
+    if held > broadcast_limit(ticks.sparkSession):
+        return latest_bar(bars(ticks, interval, tz, key), key)
+    # Null-safe: ticks without a key are a group of their own, as in any grouping.
+    cond = F.col("_bar") == F.col("_b_start")
+    for i, k in enumerate(keys):
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_b_{i}"))
+    recent = ticks.withColumn("_bar", bucket).join(F.broadcast(last), cond, "left_semi").drop("_bar")
+    return bars(recent, interval, tz, key)
+
+
 def ohlc_quote(ticks: DataFrame, interval: str = "1d", key: str | list[str] = TICK_KEY,
                tz: str = MARKET_TZ, since=None) -> DataFrame:
     """Latest bar per instrument for a quote interval ``1d``/``I1``/``I30``.
@@ -122,7 +155,7 @@ def ohlc_quote(ticks: DataFrame, interval: str = "1d", key: str | list[str] = TI
     """
     if interval not in ("1d", "I1", "I30"):
         raise ValueError(f"no quote bar of length {interval!r}; use 1d, I1 or I30")
-    last = latest_bar(bars(_since(ticks, since, tz), interval, tz, key), key)
+    last = newest_bars(_since(ticks, since, tz), interval, tz, key)
     return last.select(*key_columns(key), "datetime", "open", "high", "low", "close", "volume",
                        F.col("close").alias("last_price"))
 
@@ -133,7 +166,7 @@ def full_market_quote(ticks: DataFrame, key: str | list[str] = TICK_KEY, tz: str
     market day as an ``ohlc`` struct, that day's ``volume``, the last ``oi``,
     ``last_price`` and ``timestamp`` (instant of the last tick).
     """
-    last = latest_bar(bars(_since(ticks, since, tz), "day", tz, key), key)
+    last = newest_bars(_since(ticks, since, tz), "day", tz, key)
     return last.select(
         *key_columns(key),
         F.col("trade_date"),

@@ -86,6 +86,13 @@ def ltp_for_symbols(requests: DataFrame, master_b: DataFrame, ticks: DataFrame,
     return _attach(resolved, q, key), rejects
 
 
+def ohlc_items(requests: DataFrame, master: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The OHLC items that can be served, resolved, and the rejects; no tick is read."""
+    valid, bad = validate_requests(requests, intervals=QUOTE_INTERVALS)
+    resolved, rejects = resolve_instruments(valid.drop("token_int"), master)
+    return resolved, with_request_defaults(bad).unionByName(rejects)
+
+
 def ohlc_for_requests(requests: DataFrame, master: DataFrame, ticks: DataFrame, interval: str | None = None,
                       tick_key: str | list[str] | None = None, since=None) -> tuple[DataFrame, DataFrame]:
     """``POST /ohlc-quote``.
@@ -101,14 +108,13 @@ def ohlc_for_requests(requests: DataFrame, master: DataFrame, ticks: DataFrame,
         resolved, rejects = resolve_instruments(requests, master)
         q = ohlc_quote(_requested_ticks(resolved, ticks, key), interval, key=key, since=since)
         return _attach(resolved, q, key), rejects
-    valid, bad = validate_requests(requests, intervals=QUOTE_INTERVALS)
-    resolved, rejects = resolve_instruments(valid.drop("token_int"), master)
+    resolved, rejects = ohlc_items(requests, master)
     out = None
     for name in QUOTE_INTERVALS:
         mine = resolved.where(F.col("interval_name") == name)
         part = _attach(mine, ohlc_quote(_requested_ticks(mine, ticks, key), name, key=key, since=since), key)
         out = part if out is None else out.unionByName(part)
-    return out, with_request_defaults(bad).unionByName(rejects)
+    return out, rejects
 
 
 def full_quote_for_requests(requests: DataFrame, master: DataFrame, ticks: DataFrame,
@@ -187,5 +193,5 @@ def historical_for_requests(requests: DataFrame, master: DataFrame, candles: Dat
     return out, bad_params.unionByName(rejects, allowMissingColumns=True)
 
 
-__all__ = ["master_data", "ltp_for_requests", "ohlc_for_requests", "full_quote_for_requests",
+__all__ = ["master_data", "ltp_for_requests", "ohlc_for_requests", "full_quote_for_requests", "ohlc_items",
            "ltp_for_symbols", "historical_for_requests"]

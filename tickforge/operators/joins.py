@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Upper bound (bytes, optimizer estimate) for sides we broadcast explicitly.
@@ -54,6 +54,12 @@ def estimate_is_upper_bound(df: DataFrame, plan: str | None = None) -> bool:
     return not any(line.lstrip(" :+-").startswith("Generate ") for line in text.splitlines())
 
 
+def broadcast_limit(spark: SparkSession) -> int:
+    """``spark.tickforge.broadcastLimit`` in bytes, or 64 MiB."""
+    conf = spark.conf.get("spark.tickforge.broadcastLimit", None)
+    return int(conf) if conf else DEFAULT_BROADCAST_LIMIT
+
+
 def broadcast_if_small(df: DataFrame, limit: int | None = None) -> DataFrame:
     """``F.broadcast(df)`` when its estimated size is a safe bound and, with the
     compression allowance, within ``limit``; else ``df`` unchanged (AQE then
@@ -62,8 +68,7 @@ def broadcast_if_small(df: DataFrame, limit: int | None = None) -> DataFrame:
     ``limit`` defaults to ``spark.tickforge.broadcastLimit`` or 64 MiB.
     """
     if limit is None:
-        conf = df.sparkSession.conf.get("spark.tickforge.broadcastLimit", None)
-        limit = int(conf) if conf else DEFAULT_BROADCAST_LIMIT
+        limit = broadcast_limit(df.sparkSession)
     plan = optimized_plan_with_costs(df)
     if estimate_is_upper_bound(df, plan) and estimated_bytes(df, plan) * COMPRESSION_ALLOWANCE <= limit:
         return F.broadcast(df)

@@ -101,6 +101,13 @@ def plan_date_chunks(requests: DataFrame, from_col: str = "from_date", to_col: s
 
 
 def explode_days(df: DataFrame, from_col: Column, to_col: Column, out: str = "trade_date") -> DataFrame:
-    """One row per calendar day of ``[from, to]`` (empty for reversed ranges)."""
-    return (df.where(from_col <= to_col)
-            .withColumn(out, F.explode(F.sequence(from_col, to_col))))
+    """One row per calendar day of ``[from, to]`` (empty for reversed ranges).
+
+    Months first, then their days, so that no row ever holds an array of a whole
+    range, however long.
+    """
+    ranged = df.withColumns({"_first": from_col, "_last": to_col}).where("_first <= _last")
+    months = ranged.withColumn("_month", F.explode(F.sequence(F.trunc("_first", "MM"), F.col("_last"),
+                                                              F.expr("INTERVAL 1 MONTH"))))
+    days = F.sequence(F.greatest("_first", "_month"), F.least("_last", F.last_day("_month")))
+    return months.withColumn(out, F.explode(days)).drop("_first", "_last", "_month")

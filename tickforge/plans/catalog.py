@@ -355,7 +355,8 @@ def q_ohlc_for_requests_i30(spark, d):
 
 
 def q_ohlc_rejects(spark, d):
-    _, bad = E.ohlc_for_requests(*_endpoint(spark, d))
+    requests, master, _ = _endpoint(spark, d)
+    _, bad = E.ohlc_items(requests, master)
     return bad.select("request_id", "pos", "reason")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from tickforge.operators import bars, ltp_quote
-from tickforge.streaming import run_to_table, stream_bars, stream_enrich, stream_ltp, tick_stream
+from tickforge.streaming import latest_result, run_to_table, stream_bars, stream_enrich, stream_ltp, tick_stream
 
 SCHEMA = "event_id long, exchange_token long, ts timestamp, price double, qty long, oi long"
 
@@ -62,7 +62,7 @@ def test_stream_ltp_equals_batch(spark, landed, tmp_path):
     s = tick_stream(spark, landed, SCHEMA, max_files_per_trigger=1)
     out = str(tmp_path / "ltp")
     run_to_table(stream_ltp(s), out, str(tmp_path / "ck2"), "complete")
-    got = spark.read.parquet(out)
+    got = latest_result(spark, out)
     batch = ltp_quote(spark.read.schema(SCHEMA).parquet(landed))  # no watermark: same rows
     assert rows(got, "exchange_token", "last_price") == rows(batch, "exchange_token", "last_price")
 
@@ -72,7 +72,7 @@ def test_stream_day_bars_equal_batch_on_ordered_files(spark, landed, tmp_path):
     out = str(tmp_path / "day")
     # One batch, generous lateness: nothing dropped; day windows start at local midnight.
     run_to_table(stream_bars(s, "day", "1 day", dedup=False), out, str(tmp_path / "ck3"), "complete")
-    got = spark.read.parquet(out)
+    got = latest_result(spark, out)
     batch = bars(spark.read.schema(SCHEMA).parquet(landed), "day")
     assert rows(got, "exchange_token", "datetime", "high", "volume") == \
         rows(batch, "exchange_token", "datetime", "high", "volume")
@@ -116,7 +116,7 @@ def test_stream_merged_quotes_last_write_wins(spark, tmp_path):
     out = str(tmp_path / "merged")
     run_to_table(stream_merged_quotes(s, master, key_cols=["exchange_token"]), out, str(tmp_path / "ck5"),
                  "complete")
-    got = spark.read.parquet(out)
+    got = latest_result(spark, out)
     assert rows(got, "exchange_token", "last_price", "batch_no", "quote_key") == [(1, 4.0, 1, "d"),
                                                                                 (2, 2.0, 0, "b")]
 
@@ -138,4 +138,13 @@ def test_state_partitions_leave_session_conf(spark, landed, tmp_path):
     s = tick_stream(spark, landed, SCHEMA)
     run_to_table(stream_ltp(s), str(tmp_path / "sp"), str(tmp_path / "ck7"), "complete", state_partitions=2)
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
-    assert spark.read.parquet(str(tmp_path / "sp")).count() == 2
+    assert latest_result(spark, str(tmp_path / "sp")).count() == 2
+
+
+def test_complete_mode_keeps_earlier_versions_readable(spark, landed, tmp_path):
+    s = tick_stream(spark, landed, SCHEMA, max_files_per_trigger=1)
+    out = str(tmp_path / "versions")
+    run_to_table(stream_ltp(s), out, str(tmp_path / "ck8"), "complete")
+    versions = spark.read.parquet(out)
+    assert versions.select("_batch_id").distinct().count() == len(BATCHES)
+    assert latest_result(spark, out).count() == versions.select("exchange_token").distinct().count()

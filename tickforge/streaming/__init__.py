@@ -1,6 +1,6 @@
 """Live versions of the quote jobs as Structured Streaming queries."""
 
 from tickforge.streaming.live import (  # noqa: F401
-    latest_state, payload_stream, run_to_table, stream_bars, stream_enrich, stream_ltp, stream_merged_quotes,
-    tick_stream,
+    latest_result, latest_state, payload_stream, run_to_table, stream_bars, stream_enrich, stream_ltp,
+    stream_merged_quotes, tick_stream,
 )

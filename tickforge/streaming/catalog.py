@@ -12,7 +12,8 @@ from tickforge.plans import views as V
 from tickforge.session import staging_dir
 from tickforge.plans.staging import stage_json_lines
 from tickforge.streaming.live import (
-    payload_stream, run_to_table, stream_bars, stream_enrich, stream_ltp, stream_merged_quotes, tick_stream,
+    latest_result, payload_stream, run_to_table, stream_bars, stream_enrich, stream_ltp, stream_merged_quotes,
+    tick_stream,
 )
 
 LATENESS = "10 minutes"
@@ -31,7 +32,7 @@ def _run(spark, stream, name, mode) -> DataFrame:
     # State partitions sized to the cluster's cores, not the batch default.
     run_to_table(stream, sink, staging_dir(spark, f"{name}-ckpt"), mode,
                  state_partitions=spark.sparkContext.defaultParallelism)
-    return spark.read.parquet(sink)
+    return latest_result(spark, sink) if mode == "complete" else spark.read.parquet(sink)
 
 
 def q_stream_enrich(spark, d):

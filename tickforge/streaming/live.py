@@ -112,12 +112,14 @@ def run_to_table(stream: DataFrame, sink_path: str, checkpoint: str,
     """Run a stream over everything available now, then stop.
 
     * ``append``   -- parquet file sink (finalised rows only);
-    * ``complete`` -- the whole result table rewritten each micro-batch;
+    * ``complete`` -- the whole result table, a version in a folder of its own per
+      micro-batch, so that readers keep the last one while the next is written; read
+      it back with ``latest_result``;
     * ``update``   -- changed rows appended as a changelog with ``_batch_id``;
       read it back with ``latest_state``.
 
-    Each batch write is idempotent (file sink commit log, overwrite, or a
-    batch-id partition replaced on retry), and checkpoints live under the
+    Each batch write is idempotent (file sink commit log, or a batch-id folder
+    replaced on retry), and checkpoints live under the
     shared checkpoint root, so a lost executor or a restarted query does not
     duplicate rows.  ``state_partitions`` sets the number of state-store
     partitions of a new query (fixed in its checkpoint from then on); by
@@ -127,8 +129,8 @@ def run_to_table(stream: DataFrame, sink_path: str, checkpoint: str,
         w = (stream.writeStream.format("parquet").option("path", sink_path)
              .option("checkpointLocation", checkpoint).outputMode("append"))
     elif mode == "complete":
-        def write_all(batch: DataFrame, _batch_id: int) -> None:
-            batch.write.mode("overwrite").parquet(sink_path)
+        def write_all(batch: DataFrame, batch_id: int) -> None:
+            batch.write.mode("overwrite").parquet(f"{sink_path}/_batch_id={batch_id}")
         w = (stream.writeStream.foreachBatch(write_all)
              .option("checkpointLocation", checkpoint).outputMode("complete"))
     elif mode == "update":
@@ -156,6 +158,15 @@ def run_to_table(stream: DataFrame, sink_path: str, checkpoint: str,
         raise q.exception()
 
 
+def latest_result(spark: SparkSession, sink_path: str) -> DataFrame:
+    """The newest version that a ``complete``-mode stream has written."""
+    versions = spark.read.parquet(sink_path)
+    newest = versions.select(F.max("_batch_id")).first()[0]     # one number, from partition names
+    if newest is None:                                          # the versions hold no row
+        return versions.drop("_batch_id")
+    return versions.where(F.col("_batch_id") == newest).drop("_batch_id")
+
+
 def latest_state(spark: SparkSession, sink_path: str, key_cols: list[str]) -> DataFrame:
     """Current result of an ``update``-mode changelog: the newest row per key
     (an aggregate, combined map-side)."""

@@ -49,3 +49,17 @@ def test_key_batches_read_checkpoint(spark):
 def test_stored_history_prunes_date_partitions(spark):
     plan = _plan(catalog.q_historical_stored(spark, SF_SMALL))
     assert "dynamicpruning" in plan
+
+
+def test_stored_quotes_and_windows_prune_date_partitions(spark):
+    for job in (catalog.q_full_quote_stored, catalog.q_trailing_window_stored):
+        df = job(spark, SF_SMALL)
+        filters = [ln for ln in _plan(df).splitlines() if "PartitionFilters: [" in ln]
+        assert any("trade_date" in ln.split("PartitionFilters: [")[1].split("]")[0] for ln in filters)
+
+
+def test_latest_bars_read_only_the_last_bucket(spark):
+    plan = _plan(catalog._ohlc("I1")(spark, SF_SMALL))
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan and "SortAggregate" not in plan
+    final = plan.split("== Initial Plan ==")[0]
+    assert final.count("Exchange hashpartitioning") == 1       # one bar per instrument is shuffled

@@ -24,7 +24,7 @@ from tickforge.operators.history import normalise_candle_time
 from tickforge.operators.joins import broadcast_if_small
 from tickforge.operators.master import UNIFIED_COLUMNS
 from tickforge.plans import staging, views as V
-from tickforge.sinks import list_master, request_status, write_candles, write_master
+from tickforge.sinks import list_master, request_status, write_candles, write_master, write_ticks
 from tickforge.sources import (
     parse_candles, parse_quotes, read_master_a, read_master_b, read_master_json, read_requests,
 )
@@ -230,6 +230,14 @@ def q_full_quote(spark, d):
     return _flat_quote(fq)
 
 
+def q_full_quote_stored(spark, d):
+    """O23 over ticks stored by market day, for instruments traded since a day: older
+    partitions are not read."""
+    path = staging.staging_dir(spark, "ticks-by-day")
+    write_ticks(V.ticks_view(spark, d), path)
+    return _flat_quote(full_market_quote(spark.read.parquet(path), since=V.AS_OF))
+
+
 def _flat_quote(fq):
     carry = [c for c in ("request_id", "pos", "instrument_key") if c in fq.columns]
     return fq.select(*carry, "exchange_token", F.date_format("trade_date", "yyyy-MM-dd").alias("trade_date"),
@@ -262,6 +270,13 @@ def q_trailing_window(spark, d):
     return out.select(*CANDLE_OUT)
 
 
+def q_trailing_window_stored(spark, d):
+    """O13 over candles stored by day: the window prunes date partitions."""
+    path = staging.staging_dir(spark, "candles-by-day")
+    write_candles(V.candles_view(spark, d), path)
+    return trailing_window(spark.read.parquet(path), V.AS_OF, days=10).select(*CANDLE_OUT)
+
+
 def q_historical(spark, d):
     h = historical_data(V.history_requests_view(spark, d), V.candles_view(spark, d))
     return h.select("request_id", *CANDLE_OUT)
@@ -392,6 +407,7 @@ def queries() -> dict[str, Query]:
         "index_backfill": q_index_backfill,
         "rejected_requests": q_rejected_requests,
         "trailing_window": q_trailing_window,
+        "trailing_window_stored": q_trailing_window_stored,
         "resolved": q_resolved,
         "resolved_symbol": q_resolved_symbol,
         "unresolved": q_unresolved,
@@ -407,6 +423,7 @@ def queries() -> dict[str, Query]:
         "ohlc_i1": _ohlc("I1"),
         "ohlc_i30": _ohlc("I30"),
         "full_quote": q_full_quote,
+        "full_quote_stored": q_full_quote_stored,
         "full_quote_enriched": q_full_quote_enriched,
         "bars_1minute": _bars("1minute"),
         "bars_5minute": _bars("5minute"),

@@ -236,6 +236,8 @@ FROM M LEFT JOIN (SELECT DISTINCT instrument_key AS k, upper(trim(split_part(ins
          WHEN try_cast(exchange_token AS BIGINT) IS NULL THEN 'bad_token' END AS reason
   FROM R) WHERE reason IS NOT NULL""", "R"),
     "trailing_window": with_views(f"""SELECT {CANDLE_SEL} FROM C
+  WHERE trade_date BETWEEN DATE '2024-01-09' AND DATE '2024-01-19'""", "C"),
+    "trailing_window_stored": with_views(f"""SELECT {CANDLE_SEL} FROM C
   WHERE trade_date BETWEEN DATE '2024-01-09' AND DATE '2024-01-19'""", "C"),
     "resolved": with_views(f"""SELECT RV.request_id, RV.pos, RV.token_int AS exchange_token, MD.instrument_key
   FROM RV JOIN MD ON {_MATCH}""", "RV", "MD"),
@@ -281,6 +283,7 @@ FROM FQ WHERE volume >= 50
     "ohlc_i1": _latest("B1"),
     "ohlc_i30": _latest("B30"),
     "full_quote": with_views(_FULL_QUOTE, "FQ"),
+    "full_quote_stored": with_views(f"{_FULL_QUOTE} WHERE trade_date >= DATE '2024-01-20'", "FQ"),
     "full_quote_enriched": with_views(f"""SELECT f.exchange_token, M.tradingsymbol AS trading_symbol,
   split_part(M.exchange, '_', 2) AS instrument_type, f.trade_date, f.open, f.high, f.low, f.close,
   f.last_price, f.volume, f.oi, f.timestamp

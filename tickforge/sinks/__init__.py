@@ -1,5 +1,5 @@
-"""Outputs: master dump (O07), candle files (O08), per-request status."""
+"""Outputs: master dump (O07), candle files (O08), tick files, per-request status."""
 
 from tickforge.sinks.outputs import (  # noqa: F401
-    list_master, request_status, write_candles, write_master,
+    list_master, request_status, write_candles, write_master, write_ticks,
 )

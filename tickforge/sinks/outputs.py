@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickforge.functions.exprs import MARKET_TZ, to_market_time
 from tickforge.schemas import CANDLE_COLUMNS
 
 
@@ -38,6 +39,16 @@ def write_candles(candles: DataFrame, path: str, key: str = "exchange_token",
     out.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("trade_date").format(fmt).save(path)
 
 
+def write_ticks(ticks: DataFrame, path: str, tz: str = MARKET_TZ, fmt: str = "parquet", mode: str = "overwrite") -> None:
+    """Store ticks by market day (``trade_date``), which ``since`` then prunes.
+
+    A tick without a time goes to Spark's default partition.  Overwriting replaces
+    the days written and keeps the others.
+    """
+    out = ticks.withColumn("trade_date", F.to_date(to_market_time("ts", tz))).hint("rebalance", "trade_date")
+    out.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("trade_date").format(fmt).save(path)
+
+
 # Response codes of the service (fixed values).
 STATUS_OK, STATUS_BAD_REQUEST, STATUS_NOT_FOUND, STATUS_ERROR = 200, 400, 404, 500
 

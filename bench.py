@@ -23,7 +23,8 @@ HEADLINE = [
     "resolved", "unresolved", "request_status", "quotes_enriched", "quotes_merged",
     "historical", "today_backfill", "chunk_coverage", "key_batches_750", "date_chunks",
     "candles_parsed", "ltp_for_requests", "full_quote_for_requests", "historical_for_requests",
-    "stream_bars",
+    "stream_bars", "master_a_csv", "master_json", "requests_json", "candles_written", "master_written",
+    "ohlc_for_requests",
 ]
 
 

@@ -22,6 +22,8 @@ BASE_CONF = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # Checkpoint files go when nothing refers to their rows any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

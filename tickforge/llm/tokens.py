@@ -34,7 +34,9 @@ from tickforge.llm.common import blocks, reliable, ship
 # White space of the tokenizers' patterns and Python's that the fast split does not handle.
 _OTHER_SPACE = "[\\t\\r\\x0b\\x0c\\x1c-\\x1f\\x{85}\\x{180e}\\x{200b}]|[\\p{Zl}\\p{Zp}]|\\x{a0}|\\x{1680}|[\\x{2000}-\\x{200a}]|\\x{202f}|\\x{205f}|\\x{3000}"
 _NOT_PLAIN = "^ | $|[ \\n]{2}|" + _OTHER_SPACE
-_CACHE_WORDS = 400_000
+# What a worker remembers: words (about 200 bytes each) and their characters in all.
+_CACHE_WORDS = 1_000_000
+_CACHE_CHARS = 1 << 25
 _GROUP = 500
 
 
@@ -66,12 +68,20 @@ class WordEncoder:
         self.library = _library(path)
         ids = self.library.encode(self.MARK, add_special_tokens=False).ids
         self.mark = ids[0] if len(ids) == 1 else None
-        self._clear()
-
-    def _clear(self) -> None:
         self.place: dict[str, int] = {}     # word -> its number
         self.first = np.zeros(1, np.int64)  # where each word's ids start, and their end
         self.pool = np.zeros(0, np.uint32)
+        self.chars = 0
+
+    def _forget_but(self, words: list[str]) -> None:
+        """Make room, keeping the given words where known: those seen now are the likeliest to come again."""
+        kept = [w for w in words if w in self.place]
+        old = np.fromiter((self.place[w] for w in kept), np.int64, len(kept))
+        start, n = self.first[old], self.first[old + 1] - self.first[old]
+        self.first = np.concatenate(([0], np.cumsum(n)))
+        self.pool = self.pool[np.arange(self.first[-1]) + np.repeat(start - self.first[:-1], n)]
+        self.place = {w: i for i, w in enumerate(kept)}
+        self.chars = sum(map(len, kept))
 
     def _learn(self, words: list[str]) -> None:
         together = [w for w in words if self.mark is not None and self.MARK not in w]
@@ -107,12 +117,12 @@ class WordEncoder:
         offsets = offsets - offsets[0]
         coded = words.flatten().dictionary_encode()
         names = coded.dictionary.to_pylist()
-        if len(self.place) + len(names) > _CACHE_WORDS and len(self.place):
-            self._clear()
-        get = self.place.get
-        new = [w for w in names if get(w) is None]
+        new = [w for w in names if w not in self.place]
         if new:
+            if len(self.place) + len(new) > _CACHE_WORDS or self.chars > _CACHE_CHARS:
+                self._forget_but(names)
             self._learn(new)
+            self.chars += sum(map(len, new))
         number = np.fromiter(map(self.place.__getitem__, names), np.int64, len(names))
         index = number[coded.indices.to_numpy()] if len(names) else np.zeros(0, np.int64)
         start = self.first[index]
@@ -144,6 +154,7 @@ class PieceCounter:
         # The split below holds for tokenizers that keep a single line end as one token.
         self.line = lone[0] if len(lone) == 1 and probe.count(lone[0]) == 3 else None
         self.counts: dict[str, int] = {}
+        self.chars = 0
 
     def _learn(self, pieces: list[str]) -> None:
         groups = [pieces[i:i + _GROUP] for i in range(0, len(pieces), _GROUP)]
@@ -179,10 +190,12 @@ class PieceCounter:
         names = coded.dictionary.to_pylist()
         keys = [w[1:] if w[:1] == "\n" else " " + w for w in names]
         extra = np.fromiter((w[:1] == "\n" for w in names), np.int64, len(names))
-        if len(self.counts) + len(keys) > _CACHE_WORDS and self.counts:
-            self.counts = {}
         new = list({k for k in keys if k not in self.counts})
+        if len(self.counts) + len(new) > _CACHE_WORDS or self.chars > _CACHE_CHARS:
+            self.counts = {k: self.counts[k] for k in keys if k in self.counts}    # the likeliest to come again
+            self.chars = sum(map(len, self.counts))
         self._learn(new)
+        self.chars += sum(map(len, new))
         n = np.fromiter(map(self.counts.__getitem__, keys), np.int64, len(keys)) + extra
         total = np.concatenate(([0], np.cumsum(n[coded.indices.to_numpy()])))
         out[keep] = np.diff(total[offsets]) - 1         # the first piece's mark is not in the text

@@ -461,6 +461,27 @@ def test_embedding_extremes(spark):
     assert got == {1: (2, 1), 2: (2, 1), 5: (2, 1), 3: (0, 3), 4: (0, 4)}
 
 
+@pytest.mark.parametrize("shape", ["rank 4", "rank 8", "1/i"])
+def test_embedding_recall_anisotropic(spark, shape):
+    """Vectors that differ along few axes, where the codebooks' boundaries lie."""
+    rng = np.random.default_rng(4)
+    n, dim = 4000, 64
+    if shape == "1/i":
+        x = rng.standard_normal((n, dim)) / np.arange(1, dim + 1)
+    else:
+        x = rng.standard_normal((n, int(shape[5:]))) @ rng.standard_normal((int(shape[5:]), dim))
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    near = x @ x.T >= 0.95
+    want = near.sum(1) - 1
+    got = {r.vec_id: r for r in embedding_dedup(df, 0.95).collect()}
+    found = np.array([got[i].n_links for i in range(n)])
+    print(shape, want.sum() // 2, found.sum() / want.sum())
+    assert (found <= want).all() and found.sum() >= 0.98 * want.sum()
+    label = brute_components(range(n), [(a, b) for a, b in zip(*np.nonzero(near)) if a < b])
+    assert np.mean([got[i].component_id == label[i] for i in range(n)]) > 0.97
+
+
 def test_components(spark):
     rng = np.random.default_rng(3)
     e = [(k, k + 1) for k in range(60)] + [(1000, 1000 + k) for k in range(200)] + rng.integers(2000, 2200, (150, 2)).tolist() + [(5, None)]

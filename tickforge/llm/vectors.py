@@ -4,12 +4,14 @@ Vectors are cut in two halves, each half has its own codebook (k-means on a boun
 the product of the codebooks is a grid of cells.  Every vector is filed in one cell.  To find a
 vector's neighbours the cells are visited in the order of the multi-sequence algorithm --
 increasing sum of the two halves' distances, from two sorted lists and a heap -- and
-the visit ends at the target recall: as many cells as were needed, on sample vectors moved
-to exactly the threshold's cosine in random directions, to reach the moved vector's cell
-in ``recall`` of the trials.  Everything met is verified by its cosine in double precision.
+the visit ends at the target recall: as many cells as it takes for ``recall`` of the trial
+pairs to be met from either side.  The trial pairs are real: sample vectors with their exact
+neighbours among all vectors, and sample vectors moved towards their nearest one to exactly the
+threshold's cosine.  Everything met is verified by its cosine in double precision.
 
 1. equal vectors collapse to one row with a weight and the smallest id;
-2. codebooks and the number of visits are fitted on a bounded sample; all vectors are indexed;
+2. codebooks are fitted on a bounded sample, the number of visits on the links that a bounded
+   number of sample vectors have among all vectors; all vectors are indexed;
 3. every vector is a resident of its own cell and a probe of the other visited cells;
 4. a cell's residents and probes are cut into blocks of about ``block`` rows; every pair of resident
    blocks, and of a resident and a probe block, is a group of its own, so no cell is held whole;
@@ -30,10 +32,10 @@ import heapq
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickforge.llm.common import connected_components, forest, reliable, ship
+from tickforge.llm.common import connected_components, forest, mix, reliable, ship
 
 
 # --------------------------------------------------------------- codebooks
@@ -91,23 +93,45 @@ class Grid:
             out[i] = [a * m + b for a, b in multi_sequence(d1[i], d2[i], n)]
         return out
 
+    def need(self, x: np.ndarray, y: np.ndarray, step: int = 256) -> np.ndarray:
+        """Visits after which either vector of each pair (x[i], y[i]) has met the other's cell."""
+        out = np.empty(len(x), np.int64)
+        for lo in range(0, len(x), step):
+            a, b = x[lo:lo + step], y[lo:lo + step]
+            k, sides = np.arange(len(a)), []
+            for d, cell in ((self.distances(a), self.cells(b)), (self.distances(b), self.cells(a))):
+                at = d[0][k, cell // len(self.two)] + d[1][k, cell % len(self.two)]
+                sides.append((d[0][:, :, None] + d[1][:, None, :] <= at[:, None, None]).sum((1, 2)))
+            out[lo:lo + step] = np.minimum(*sides)
+        return out
+
+
+def visits_for(need: np.ndarray, weight: np.ndarray, recall: float) -> int:
+    """The fewest visits that are enough for ``recall`` of the weight (1 without trials)."""
+    if not len(need):
+        return 1
+    order = np.argsort(need, kind="stable")
+    sums = np.cumsum(weight[order])
+    return int(need[order][min(np.searchsorted(sums, recall * sums[-1] * (1 - 1e-12)), len(need) - 1)])
 
-def fit_grid(x: np.ndarray, threshold: float, centres: int, recall: float, trials: int = 2000, seed: int = 7) -> Grid:
-    """Codebooks on the unit rows of ``x``, and visits for the target recall."""
+
+def fit_grid(x: np.ndarray, threshold: float, centres: int, recall: float, trials: int = 2000) -> Grid:
+    """Codebooks on the unit rows of ``x``, and visits for the target recall of pairs at exactly the
+    threshold's cosine: rows of ``x`` and the same moved towards their nearest other row."""
     h = max(1, x.shape[1] // 2)
     grid = Grid(kmeans(x[:, :h], centres), kmeans(x[:, h:], centres) if x.shape[1] > h else np.zeros((1, 0)))
-    rng = np.random.default_rng(seed)
-    q = x[rng.integers(0, len(x), trials)]
-    noise = rng.standard_normal(q.shape)
-    noise -= (noise * q).sum(1, keepdims=True) * q
-    norm = np.linalg.norm(noise, axis=1, keepdims=True)
-    moved = threshold * q + np.sqrt(max(0.0, 1 - threshold ** 2)) * noise / np.maximum(norm, 1e-12)
-    most = min(256, len(grid.one) * len(grid.two))
-    seen = grid.visited(q, most) == grid.cells(moved)[:, None]
-    rank = np.where(seen.any(1), seen.argmax(1), most)
-    # A pair is found from either side, so one side may miss it with the square root of the loss.
-    one_side = 1 - np.sqrt(max(0.0, 1 - recall))
-    grid.visits = int(min(most, np.sort(rank)[int(np.ceil(one_side * trials)) - 1] + 1))
+    q = x[:trials]
+    near = np.zeros(len(q), np.int64)
+    for lo in range(0, len(q), 256):
+        cosine = q[lo:lo + 256] @ x.T
+        cosine[np.arange(len(cosine)), np.arange(lo, lo + len(cosine))] = -2
+        near[lo:lo + 256] = cosine.argmax(1)
+    away = x[near] - (x[near] * q).sum(1, keepdims=True) * q
+    norm = np.linalg.norm(away, axis=1, keepdims=True)
+    moved = threshold * q + np.sqrt(max(0.0, 1 - threshold ** 2)) * away / np.maximum(norm, 1e-12)
+    ok = norm[:, 0] > 1e-9
+    need = grid.need(q[ok], moved[ok])
+    grid.visits = visits_for(need, np.ones(len(need)), recall)
     return grid
 
 
@@ -143,6 +167,40 @@ def _file(grid: Grid, dim: int):
     return run
 
 
+def _least(q: np.ndarray, h: np.ndarray, keep: int) -> np.ndarray:
+    """Positions of the ``keep`` smallest h of each q."""
+    order = np.lexsort((h, q))
+    q = q[order]
+    return order[np.arange(len(q)) - np.searchsorted(q, q) < keep]
+
+
+def _trials(grid: Grid, dim: int, node: np.ndarray, x: np.ndarray, threshold: float, keep: int):
+    """Vectors -> per sample vector ``x[q]`` (``node[q]``) that has links here: what ``keep`` of them,
+    drawn by hash, need in visits; ``n``, on one of these rows, counts all."""
+    def run(batches):
+        total = np.zeros(len(x), np.int64)
+        held = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)]
+        for b in batches:
+            for lo in range(0, b.num_rows, 2048):
+                part = b.slice(lo, 2048)
+                y, other = _unit(_floats(part.column("v")), dim), part.column("node").to_numpy()
+                q, j = np.nonzero(x @ y.T >= threshold)
+                ok = node[q] != other[j]
+                q, j = q[ok], j[ok]
+                total += np.bincount(q, minlength=len(x))
+                h = (mix(mix(node[q].astype(np.uint64)) ^ other[j].astype(np.uint64)) >> np.uint64(1)).astype(np.int64)
+                at = _least(q, h, keep)
+                held = [np.concatenate(c) for c in zip(held, (q[at], h[at], grid.need(x[q[at]], y[j[at]])))]
+                at = _least(held[0], held[1], keep)
+                held = [c[at] for c in held]
+        q, h, need = held
+        first = np.diff(q, prepend=-1) != 0
+        yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(h), pa.array(need), pa.array(np.where(first, total[q], 0))],
+                                         names=["q", "h", "need", "n"])
+
+    return run
+
+
 def _judge(threshold: float, dim: int, grid: Grid, step: int = 512):
     """One group of a cell: residents of block ``bi`` against residents of block ``bj``, or against
     probes (``bj`` < 0).  Gives per vector the weight of the links counted here and a forest link."""
@@ -218,7 +276,8 @@ def embedding_dedup(vectors: DataFrame, threshold: float = 0.95, recall: float =
                     vec_col: str = "embedding") -> DataFrame:
     """``vec_id``, ``n_links``, ``component_id``, ``kept`` for every row of ``vectors``.
 
-    ``sample`` bounds the vectors that codebooks and visits are fitted on; all are indexed.
+    ``sample`` bounds the vectors that codebooks and visits are fitted on; all are indexed.  Visits
+    are as many as ``recall`` takes, up to the whole grid.
     """
     ship(vectors.sparkSession)
     kind = "array<float>" if dict(vectors.dtypes)[vec_col] == "array<float>" else "array<double>"
@@ -254,12 +313,27 @@ def embedding_dedup(vectors: DataFrame, threshold: float = 0.95, recall: float =
                       component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(False)).alias("kept"))
 
 
+def _visits(distinct: DataFrame, grid: Grid, dim: int, node: np.ndarray, x: np.ndarray, threshold: float,
+            recall: float, trials: int = 2000, keep: int = 8) -> int:
+    """Visits for the target recall of the links that ``trials`` sample vectors have among all
+    vectors, with every link counted alike and with every linked vector counted alike."""
+    seen = distinct.select("node", "v").mapInArrow(
+        _trials(grid, dim, node[:trials], x[:trials], threshold, keep), "q long, h long, need long, n long")
+    of = Window.partitionBy("q")
+    seen = (seen.select("q", "need", F.sum("n").over(of).alias("n"), F.row_number().over(of.orderBy("h", "need")).alias("r"))
+            .where(F.col("r") <= keep).select("q", "need", "n").collect())      # at most trials * keep rows
+    q, need, n = np.array(seen, dtype=np.int64).reshape(-1, 3).T
+    kept = np.bincount(q)[q] if len(q) else n
+    return max(visits_for(need, n / kept, recall), visits_for(need, 1 / kept, recall))
+
+
 def _links_of(distinct: DataFrame, dim: int, threshold: float, recall: float, sample: int, centres: int,
               block: int) -> DataFrame:
     """(node, n, low): per group and node, the weight of its links there and a forest link."""
-    drawn = distinct.orderBy(F.xxhash64("v"), "node").limit(sample).select("v").collect()   # at most `sample` rows
+    drawn = distinct.orderBy(F.xxhash64("v"), "node").limit(sample).select("node", "v").collect()   # at most `sample` rows
     x = _unit(np.array([r.v for r in drawn], dtype=np.float64), dim)
     grid = fit_grid(x, threshold, min(centres, max(1, len(x) // 8)), recall)
+    grid.visits = max(grid.visits, _visits(distinct, grid, dim, np.array([r.node for r in drawn]), x, threshold, recall))
     filed = distinct.select("node", "weight", "v").mapInArrow(
         _file(grid, dim), f"cell long, own boolean, home long, node long, weight long, v {dict(distinct.dtypes)['v']}")
     filed = reliable(filed)

@@ -4,7 +4,7 @@ import hashlib
 import os
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -17,7 +17,7 @@ from tickforge.llm.common import connected_components
 from tickforge.llm.decontam import contamination, drop_contaminated
 from tickforge.llm.licenses import TEXTS, scan_licenses
 from tickforge.llm.lines import CuckooFilter, LineIndex
-from tickforge.llm.packing import best_fit, complete_bins, lower_bound, pack
+from tickforge.llm.packing import best_fit, complete_bins, fillings, lower_bound, pack, search_bins
 from tickforge.llm.simhash import allocate, bit_statistics, fingerprint_of, probes, simhash_dedup, simhash_links
 from tickforge.llm.tokens import huge_counts, token_counts
 from tickforge.llm.toxicity import drop_toxic, score_toxicity, train_chain
@@ -262,6 +262,27 @@ def test_bins():
     assert complete_bins({}, 10) == []
 
 
+def test_bin_search_is_whole():
+    """Each of these once ended above the bound: too few nodes for one descent, or fillings left out."""
+    many = Counter(np.random.default_rng(0).integers(50, 1400, 5000).tolist())
+    for counts, cap in ((many, 2048),
+                        ({13: 4, 9: 7, 12: 3, 1: 4, 4: 4, 3: 1, 8: 2, 10: 2, 11: 1, 7: 3, 5: 1, 6: 2}, 20)):
+        patterns, bound, _, spent = search_bins(counts, cap)
+        assert sum(n for n, _ in patterns) == bound == lower_bound(counts, cap) and not spent
+        got = Counter()
+        for n, lengths in patterns:
+            assert sum(lengths) <= cap
+            for x in lengths:
+                got[x] += n
+        assert got == Counter(counts)
+    # Fillings of more than three pieces, and all that are not dominated.
+    left = np.zeros(11, dtype=np.int64)
+    left[[1, 2, 3, 4]] = 1
+    assert [x for x in fillings(left, 10) if x] == [(4, 3, 2, 1)]
+    left[[4, 6]] = 0, 1
+    assert [x for x in fillings(left, 0) if x] == [(6, 3, 1)]
+
+
 def check_packing(rows, docs, capacity):
     lib = tokenizers.Tokenizer.from_file(paths.path("word_bpe_49k.json"))
     want = defaultdict(list)

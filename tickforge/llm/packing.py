@@ -8,9 +8,11 @@ is at most ``capacity`` counts, however many documents there are.  On those coun
 * a lower bound (Martello and Toth's L2) ends the search when the incumbent meets it;
 * otherwise bin completion: take the longest length left, enumerate the fillings of
   the bin around it that no other filling dominates, best fit first, apply one as
-  often as the counts allow and go on depth first; a branch is cut as soon as its
-  waste exceeds what a better solution than the incumbent could waste.  The search
-  stops after ``max_nodes`` nodes and then returns the best incumbent.
+  often as the counts allow and go on depth first (later also once, so that fillings
+  mix freely); a branch is cut only when its waste exceeds what a better solution than
+  the incumbent could waste.  Fillings are enumerated one at a time, as the search comes
+  back for them, so none is left out.  The search ends when all is searched, or after
+  ``max_nodes`` nodes (by default several descents) with the best incumbent.
 
 The result is a list of patterns (a filling and how often it is used).  Each piece
 gets its rank among the pieces of its length -- numbered without holding a length in one
@@ -22,6 +24,8 @@ packed separately.  An empty table gives an empty result.
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import zlib
 
 import numpy as np
@@ -85,95 +89,141 @@ def best_fit(counts: dict[int, int], cap: int) -> list[tuple[int, tuple[int, ...
     return [(n, lengths) for groups in open_.values() for n, lengths in groups]
 
 
-def fillings(left: np.ndarray, room: int, width: int) -> list[tuple[int, ...]]:
-    """Undominated fillings of ``room`` by at most three lengths, best fit first.
+def dominated(extra: tuple[int, ...], waste: int, spare: int) -> bool:
+    """Whether a piece in ``spare`` (a bit per length) fits in place of several pieces of ``extra``,
+    of a shorter one, or in the room that is wasted."""
+    one = more = 0                          # bit s: one piece, several pieces are s long together
+    for x in extra:
+        more |= (one | more) << x
+        one |= 1 << x
 
-    A filling whose every piece can be exchanged for a no smaller one of another
-    filling is dominated: with one piece only the longest fitting one remains, and a
-    pair or triple remains only if it fills more than those with fewer pieces.
+    def upto(bits, n):                      # every bit also 1..n higher
+        width = 1
+        while width <= n:
+            step = min(width, n + 1 - width)
+            bits |= bits << step
+            width += step
+        return bits
+
+    longer = upto(one | 1, waste - 1) << 1 if waste else 0
+    return bool((upto(more, waste) | longer) & spare)
+
+
+def fillings(left: np.ndarray, most: int):
+    """Every undominated filling of ``len(left) - 1`` that wastes at most ``most``, best fit and then
+    longest pieces first, one at a time; None for each dominated one, so that the caller counts it.
+    ``left``: how many pieces there are of each length.
+
+    A filling is dominated if another one differs only by a single piece where this has shorter
+    ones, or none: whatever packs the rest beside this one also packs it beside the other.
     """
-    fit = np.flatnonzero(left[:room + 1]).tolist()[::-1]        # longest first
-    if not fit:
-        return [()]
-    out, best = [(fit[0],)], fit[0]
-    if best == room:
-        return out
-    below = np.zeros(room + 1, dtype=np.int64)                  # longest length there is up to each limit
-    below[fit] = fit
-    below = np.maximum.accumulate(below).tolist()
-
-    def longest(limit, used):
-        x = below[limit] if limit > 0 else 0
-        while x and left[x] <= used.count(x):
-            x = below[x - 1]
-        return x
-
-    pairs = []
-    for a in fit[:256]:
-        b = longest(min(a, room - a), (a,))
-        if b and a + b > best:
-            pairs.append((a, b))
-            if a + b == room:
-                return [(a, b)]                                 # nothing fills more
-    pairs.sort(key=sum, reverse=True)
-    out += pairs[:width]
-    best = max([best, *map(sum, pairs[:1])])
-    for a in fit[:64]:
-        for b in fit[:64]:
-            if b > a or a + b >= room or left[b] <= (a == b):
+    room = len(left) - 1
+    present = np.flatnonzero(left).tolist()
+    have = left[present].tolist()
+    inside, sums = (1 << (room + 1)) - 1, [1]           # sums[i], bit s: lengths before the i-th make s
+    for x, n in zip(present, have):
+        s, n, k = sums[-1], min(n, room // x), 1
+        while n:
+            k = min(k, n)
+            s |= (s << k * x) & inside
+            n, k = n - k, 2 * k
+        sums.append(s)
+
+    def exact(i, t):
+        """Pieces of the first ``i`` lengths that are ``t`` long together."""
+        if not t:
+            yield ()
+            return
+        for k in range(min(i, bisect.bisect_right(present, t)) - 1, -1, -1):
+            if not sums[k + 1] >> t & 1:
+                return
+            x = present[k]
+            for c in range(min(have[k], t // x), 0, -1):
+                if sums[k] >> (t - c * x) & 1:
+                    for rest in exact(k, t - c * x):
+                        yield (x,) * c + rest
+
+    every = sum(1 << x for x in present)
+    for waste in range(min(most, room) + 1):
+        if sums[-1] >> (room - waste) & 1:
+            for extra in exact(len(present), room - waste):
+                spare = every
+                for x in set(extra):
+                    if extra.count(x) == left[x]:
+                        spare &= ~(1 << x)
+                yield None if dominated(extra, waste, spare) else extra
+
+
+def choices(left: np.ndarray, top: int, cap: int, most: int):
+    """(times, lengths) of the bins around ``top``: each filling as often as the counts allow, then
+    each once, so that any mixture of them can be reached."""
+    beside = left[:cap - top + 1].copy()
+    if top < len(beside):
+        beside[top] -= 1
+    for once in (False, True):
+        for extra in fillings(beside, most):
+            if extra is None:
+                yield None
                 continue
-            c = longest(min(b, room - a - b), (a, b))
-            if c and a + b + c > best:
-                out.append((a, b, c))
-                if a + b + c == room:
-                    return [(a, b, c)]
-    return sorted(out, key=sum, reverse=True)[:width]
+            lengths = (top, *extra)
+            times = int(min(left[x] // lengths.count(x) for x in set(lengths)))
+            if not once or times > 1:
+                yield 1 if once else times, lengths
 
 
-def complete_bins(counts: dict[int, int], cap: int, max_nodes: int = 2000, width: int = 3):
-    """Patterns for all pieces: (times, lengths).  See the module text for the search."""
+def search_bins(counts: dict[int, int], cap: int, max_nodes: int | None = None):
+    """Patterns for all pieces, the lower bound, nodes and whether the nodes ran out.
+
+    One descent takes about two nodes per distinct length, however many pieces there are;
+    by default there are nodes for eight descents.
+    """
     counts = {int(k): int(v) for k, v in counts.items() if v}
     best = best_fit(counts, cap)
     bins, bound = sum(n for n, _ in best), lower_bound(counts, cap)
     total = sum(k * v for k, v in counts.items())
-    start = np.zeros(cap + 1, dtype=np.int64)
+    max_nodes = max(2000, 16 * len(counts)) if max_nodes is None else max_nodes
+    left = np.zeros(cap + 1, dtype=np.int64)
     for k, v in counts.items():
-        start[k] = v
-    stack, nodes = [(start, None, 0, 0)], 0         # counts left, chosen patterns (linked), bins, waste
-    while stack and nodes < max_nodes and bins > bound:
-        left, done, used, waste = stack.pop()
+        left[k] = v
+    path, used, waste, nodes, deeper = [], 0, 0, 0, True    # path: [length, chosen bin, further choices]
+    while bins > bound and nodes < max_nodes:
+        if deeper:
+            present = np.flatnonzero(left)
+            if not len(present):
+                bins, best, deeper = used, [put for _, put, _ in path], False
+                continue
+            path.append([int(present[-1]), None, None])
+        elif not path:
+            break                                           # all is searched
+        at = path[-1]
+        if at[1]:
+            times, lengths = at[1]
+            for x in lengths:
+                left[x] += times
+            used, waste = used - times, waste - times * (cap - sum(lengths))
+            if at[2] is None:       # made anew only when the search comes back: it holds all partial sums
+                at[2] = itertools.islice(choices(left, at[0], cap, (bins - 1) * cap - total - waste), 1, None)
+            put = next(at[2], False)
+            while put is None and nodes < max_nodes:
+                put, nodes = next(at[2], False), nodes + 1
+        else:                       # the first filling is never dominated
+            put = next(choices(left, at[0], cap, (bins - 1) * cap - total - waste), False)
         nodes += 1
-        allowed = (bins - 1) * cap - total          # what a better solution may waste in all
-        if waste > allowed:
-            continue
-        present = np.flatnonzero(left)
-        if not len(present):
-            bins, best = used, []
-            while done:
-                best.append(done[1])
-                done = done[0]
+        if not put:
+            path.pop()
+            deeper = False
             continue
-        top = int(present[-1])
-        left[top] -= 1
-        choice = fillings(left, cap - top, width)
-        left[top] += 1
-        for extra in reversed(choice):              # the best fit is popped first
-            lengths, rest = [top, *extra], cap - top - sum(extra)
-            while rest:                             # fill what is left on, longest first
-                more = next((x for x in present[:np.searchsorted(present, rest, side="right")][::-1].tolist()
-                             if left[x] > lengths.count(x)), 0)
-                if not more:
-                    break
-                lengths.append(more)
-                rest -= more
-            need = {x: lengths.count(x) for x in lengths}
-            times = int(min(left[x] // c for x, c in need.items()))
-            if waste + rest * times <= allowed:
-                after = left.copy()
-                for x, c in need.items():
-                    after[x] -= c * times
-                stack.append((after, (done, (times, tuple(lengths))), used + times, waste + rest * times))
-    return best
+        at[1], (times, lengths) = put, put
+        for x in lengths:
+            left[x] -= times
+        used, waste = used + times, waste + times * (cap - sum(lengths))
+        deeper = waste <= (bins - 1) * cap - total          # what a better solution may waste in all
+    return best, bound, nodes, bins > bound and nodes >= max_nodes
+
+
+def complete_bins(counts: dict[int, int], cap: int, max_nodes: int | None = None):
+    """Patterns for all pieces: (times, lengths).  See the module text for the search."""
+    return search_bins(counts, cap, max_nodes)[0]
 
 
 # --------------------------------------------------------------- pieces and places
@@ -225,7 +275,7 @@ def _slots(patterns, stride: int) -> dict[str, np.ndarray]:
     return {"key": key, "copies": copies, "seq": seq, "offset": offset}
 
 
-def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, max_nodes: int = 2000,
+def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, max_nodes: int | None = None,
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every piece with its ``sequence_id`` and ``offset``."""
     pieces = reliable(token_pieces(docs, tokenizer, capacity, end_id, id_col, text_col))

@@ -9,9 +9,12 @@ import corpus_pipeline
 from tickforge.llm import licenses
 from tickforge.llm.chat import chat_digests, format_chats
 from tickforge.llm.decontam import contamination
+from tickforge.llm.divergence import source_divergence
+from tickforge.llm.fim import fill_in_middle, fim_digests
 from tickforge.llm.licenses import scan_licenses
 from tickforge.llm.lines import LineIndex
 from tickforge.llm.packing import pack
+from tickforge.llm.repeats import remove_repeats
 from tickforge.llm.simhash import simhash_dedup
 from tickforge.llm.tokens import token_counts
 from tickforge.llm.toxicity import score_toxicity
@@ -76,6 +79,19 @@ def op10_embedding_dedup(spark, sf_dir):
     return embedding_dedup(_table(spark, sf_dir, "embeddings"), threshold=0.95)
 
 
+def op11_suffix_array_dedup(spark, sf_dir):
+    cut = remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"), length=200)
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op12_fill_in_middle(spark, sf_dir):
+    return fim_digests(fill_in_middle(_table(spark, sf_dir, "documents")))
+
+
+def op13_source_divergence(spark, sf_dir):
+    return source_divergence(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -83,7 +99,8 @@ def pipeline(spark, sf_dir):
 def queries():
     return {f.__name__: f for f in (
         op1_license_scan, op2_line_dedup, op3_chat_format, op4_url_filter, op5_decontamination, op6_best_fit_packing,
-        op7_token_counts, op8_simhash_dedup, op9_toxicity, op10_embedding_dedup, pipeline)}
+        op7_token_counts, op8_simhash_dedup, op9_toxicity, op10_embedding_dedup, op11_suffix_array_dedup,
+        op12_fill_in_middle, op13_source_divergence, pipeline)}
 
 
 # --------------------------------------------------------------- DuckDB SQL
@@ -179,7 +196,72 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM docs LEFT JOIN n_hit USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
-ORACLE = {"op1_license_scan": _OP1, "op2_line_dedup": _OP2, "op3_chat_format": _OP3, "op5_decontamination": _OP5}
+# Bytes as hex digits, in pieces of 256 window starts; a byte goes if one of the 200 windows on it repeats.
+_OP11 = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+p AS (SELECT r, k, substr(x, 512 * k + 1, 912) AS x, len(x) // 2 - 256 * k AS n
+      FROM (SELECT r, x, unnest(range(0, (len(x) + 511) // 512)) AS k FROM d)),
+w AS (SELECT r, 256 * k + j AS i, substr(x, 2 * j + 1, 2) AS byte, CASE WHEN n >= j + 200 THEN md5(substr(x, 2 * j + 1, 400)) END AS h
+      FROM (SELECT *, unnest(range(0, least(256, n))) AS j FROM p)),
+c AS (SELECT h FROM w WHERE h IS NOT NULL GROUP BY h HAVING count(*) > 1),
+m AS (SELECT r, i, byte, max(CASE WHEN c.h IS NOT NULL THEN 1 ELSE 0 END)
+             OVER (PARTITION BY r ORDER BY i ROWS BETWEEN 199 PRECEDING AND CURRENT ROW) AS gone
+      FROM w LEFT JOIN c ON w.h = c.h),
+e AS (SELECT *, lag(gone, 1, 0) OVER (PARTITION BY r ORDER BY i) AS before FROM m),
+s AS (SELECT r, sum(gone) AS n_removed, count(*) FILTER (gone = 1 AND before = 0) AS n_spans,
+             string_agg(byte, '' ORDER BY i) FILTER (gone = 0) AS kept FROM e GROUP BY r)
+SELECT doc_id, len(x) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM d LEFT JOIN s USING (r)
+"""
+
+_OP12 = """
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS d FROM documents),
+h AS (SELECT doc_id, text, CAST(length(text) AS BIGINT) AS n,
+             CAST('0x' || substr(d, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(d, 9, 8) AS BIGINT) AS h2,
+             CAST('0x' || substr(d, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(d, 25, 8) AS BIGINT) AS h4 FROM t),
+f AS (SELECT doc_id, text, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+             CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90
+                  THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+c AS (SELECT *, substring(text, 1, a) AS pre, substring(text, a + 1, b - a) AS mid, substring(text, b + 1) AS suf FROM f)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                   WHEN 'spm' THEN '<S>' || suf || '<P>' || pre || '<M>' || mid ELSE text END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM c
+"""
+
+_OP13 = f"""
+WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all(translate(coalesce(text, ''), {_AZ}),
+                                     '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+u AS (SELECT id, lang, source, unnest(w) AS term FROM d),
+l AS (SELECT lang, term, count(*)::HUGEINT AS c FROM u GROUP BY 1, 2 HAVING count(DISTINCT id) >= 3),
+lt AS (SELECT lang, count(*)::HUGEINT AS v, sum(c) AS n FROM l GROUP BY 1),
+k AS (SELECT u.lang, u.source, u.term, count(*)::HUGEINT AS c FROM u JOIN l USING (lang, term) GROUP BY 1, 2, 3),
+g AS (SELECT lang, source, coalesce(n, 0) AS n, coalesce(v, 0) AS v
+      FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN (SELECT lang, v FROM lt) USING (lang)
+      LEFT JOIN (SELECT lang, source, sum(c) AS n FROM k GROUP BY 1, 2) USING (lang, source)),
+p AS (SELECT g.lang, g.source, l.term, coalesce(k.c, 0) AS c, 1 + (1000000000 * (coalesce(k.c, 0) + 1)) // (g.n + g.v) AS p
+      FROM g JOIN l USING (lang) LEFT JOIN k ON k.lang = g.lang AND k.source = g.source AND k.term = l.term),
+pair AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+                coalesce(s.value, 0) AS value
+         FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+         LEFT JOIN (SELECT x.lang, x.source, y.source AS other, sum(((x.p - y.p) * (x.p - y.p)) // y.p) AS value
+                    FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY 1, 2, 3) s
+           ON s.lang = a.lang AND s.source = a.source AND s.other = b.source),
+term AS (SELECT p.lang, p.source, 'term' AS part, p.term AS item, ((p.p - q.q) * (p.p - q.q)) // q.q AS value
+         FROM p JOIN (SELECT l.lang, term, 1 + (1000000000 * (c + 1)) // (n + v) AS q FROM l JOIN lt USING (lang)) q
+           ON p.lang = q.lang AND p.term = q.term WHERE p.c > 0 AND p.p > q.q),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+      FROM (SELECT * FROM pair UNION ALL SELECT * FROM term))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM r WHERE part = 'pair' OR rank <= 200
+"""
+
+ORACLE = {"op1_license_scan": _OP1, "op2_line_dedup": _OP2, "op3_chat_format": _OP3, "op5_decontamination": _OP5,
+          "op11_suffix_array_dedup": _OP11, "op12_fill_in_middle": _OP12, "op13_source_divergence": _OP13}
 
 
 def oracle_sql():

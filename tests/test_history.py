@@ -167,3 +167,91 @@ def test_chunk_coverage_failed_chunks(spark, candles):
     failed = spark.createDataFrame([(10, 1), (10, 1)], "request_id long, chunk_no long")
     cov = chunk_coverage(plan_date_chunks(req, days=3), candles, failed=failed)
     assert rows(cov, "request_id", "n_chunks", "failed_chunks", "n_candles") == [(10, 2, 1, 2)]
+
+
+KEYED = "exchange string, exchange_token long, interval_name string, datetime string, open double"
+
+
+@pytest.fixture()
+def two_venues(spark):
+    data = [("NSE", 1, "day", "2024-01-08 00:00:00", 1.0), ("BSE", 1, "day", "2024-01-08 00:00:00", 2.0),
+            ("NSE", 1, "day", "2024-01-20 00:00:00", 3.0), ("NSE", 1, "30minute", "2024-01-08 09:30:00", 4.0)]
+    return spark.createDataFrame(data, KEYED).selectExpr(
+        "*", "to_date(substring(datetime, 1, 10)) AS trade_date", "open AS high", "open AS low", "open AS close",
+        "1L AS volume", "0L AS oi")
+
+
+def test_stored_candles_keep_exchange_and_interval(spark, two_venues, tmp_path):
+    from tickforge.sinks import save_candles, write_candles
+    write_candles(two_venues, str(tmp_path / "files"))
+    saved = save_candles(two_venues, "two_venues_candles", str(tmp_path / "table"), buckets=3)
+    try:
+        for stored in (spark.read.parquet(str(tmp_path / "files")), saved):
+            assert rows(stored, "exchange", "interval_name", "open") == rows(two_venues, "exchange", "interval_name", "open")
+            req = spark.createDataFrame([(1, "NSE", 1, "2024-01-01", "2024-01-31"), (2, "BSE", 1, "2024-01-08", "2024-01-08")],
+                                        "request_id long, exchange string, exchange_token long, from_date string, to_date string")
+            day = stored.where("interval_name = 'day'")
+            assert rows(historical_data(req, day), "request_id", "exchange", "open") == [
+                (1, "NSE", 1.0), (1, "NSE", 3.0), (2, "BSE", 2.0)]
+        # One day saved again replaces that day only; another layout is refused.
+        again = two_venues.where("trade_date = DATE'2024-01-20'").withColumn("open", F.lit(9.0))
+        assert rows(save_candles(again, "two_venues_candles", buckets=3), "open") == [(1.0,), (2.0,), (4.0,), (9.0,)]
+        with pytest.raises(ValueError, match="bucketed"):
+            save_candles(again, "two_venues_candles", buckets=4)
+        with pytest.raises(ValueError, match="bucketed"):
+            save_candles(again, "two_venues_candles", key="exchange_token", buckets=3)
+    finally:
+        spark.sql("DROP TABLE IF EXISTS two_venues_candles")
+
+
+def test_composite_keys_everywhere(spark, two_venues):
+    key = ["exchange", "exchange_token"]
+    q = spark.createDataFrame([(x, 1, (7.0, 8.0, 6.0, 7.5), 3, 4, "2024-01-20 05:00:00") for x in ("NSE", "BSE")],
+                              "exchange string, exchange_token long, ohlc struct<open:double,high:double,low:double,close:double>, "
+                              "volume long, oi long, timestamp string").withColumn("timestamp", F.to_timestamp("timestamp"))
+    for k in (None, key):
+        out = backfill_today(two_venues, q, "2024-01-20", key=k).where("open = 7.0")
+        assert rows(out, "exchange", "interval_name") == [("BSE", "day"), ("NSE", "30minute")]
+    req = spark.createDataFrame([(5, "NSE", 1, "2024-01-08", "2024-01-20"), (5, "BSE", 1, "2024-01-08", "2024-01-20")],
+                                "request_id long, exchange string, exchange_token long, from_date string, to_date string")
+    chunks = plan_date_chunks(req, days=5)
+    failed = spark.createDataFrame([(5, 1, "BSE", 1)], "request_id long, chunk_no long, exchange string, exchange_token long")
+    day = two_venues.where("interval_name = 'day'")
+    each = chunk_coverage(chunks, day, key=key, failed=failed, per_instrument=True, requests=req)
+    assert rows(each, "exchange", "n_chunks", "empty_chunks", "n_candles", "failed_chunks", "retrieved") == [
+        ("BSE", 3, 2, 1, 1, 1), ("NSE", 3, 1, 2, 0, 1)]
+    whole = chunk_coverage(chunks, day, failed=failed)
+    assert rows(whole, "n_chunks", "empty_chunks", "n_candles", "failed_chunks", "retrieved") == [(6, 3, 3, 1, 2)]
+
+
+def test_rolled_bars_equal_bars_of_ticks(spark):
+    from tickforge.operators import bar_partials, roll_up
+    ticks = spark.sql("""SELECT id - 1000 AS event_id, IF(id % 4 = 0, NULL, id % 4) AS exchange_token, IF(id % 3 = 0, 'NSE', 'BSE') AS exchange,
+        CASE WHEN id % 13 = 0 THEN NULL ELSE timestamp_seconds((id * 7919) % 300000 DIV 30 * 30 - 100000) END AS ts,
+        CAST(IF(id % 17 = 0, NULL, id) AS DOUBLE) AS price, id % 5 AS qty, IF(id % 7 = 0, NULL, id) AS oi FROM range(4000)""")
+    stored = bar_partials(ticks).repartition(7)
+    for interval in ("1minute", "5minute", "30minute", "day", "15 minutes"):
+        want = bars(ticks, interval)
+        assert rows(roll_up(stored, interval).select(want.columns)) == rows(want)
+    with pytest.raises(ValueError, match="do not make"):
+        roll_up(bar_partials(ticks, "30minute"), "5minute", source="30minute")
+
+
+def test_bar_store_equals_a_rebuild(spark, tmp_path):
+    """The same batch twice, a late one, one for an old day, corrections, ticks without a time."""
+    from tickforge.operators import bar_partials
+    from tickforge.sinks import BarStore
+    ticks = spark.sql("""SELECT id AS event_id, id % 3 AS exchange_token, IF(id % 2 = 0, 'NSE', 'BSE') AS exchange,
+        CASE WHEN id % 50 = 0 THEN NULL ELSE timestamp_seconds(1704067200 + (id * 7919) % 400000) END AS ts,
+        CAST(id AS DOUBLE) AS price, id % 5 AS qty, id AS oi FROM range(800)""")
+    store = BarStore(spark, str(tmp_path / "store"))
+    wrong = ticks.withColumn("price", F.when(F.col("event_id") % 5 == 0, 0.0).otherwise(F.col("price")))
+    store.merge(wrong.where("event_id < 500"), first=True)
+    kept = {str(r.trade_date) for r in store.bars.select("trade_date").distinct().collect()}
+    for batch in (ticks.where("event_id >= 300"), ticks.where("event_id >= 300"), ticks.where("event_id < 400"),
+                  ticks.where("event_id IN (1, 2, 50)")):
+        store.merge(batch)
+    want = bar_partials(ticks)
+    assert rows(store.bars.select(want.columns)) == rows(want)
+    assert rows(store.ticks.select(ticks.columns)) == rows(ticks)
+    assert kept <= {str(r.trade_date) for r in store.bars.select("trade_date").distinct().collect()}

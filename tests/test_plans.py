@@ -36,8 +36,65 @@ def test_tick_scan_is_pruned(spark):
 def test_history_joins_on_instrument_day(spark):
     plan = _plan(catalog.q_historical(spark, SF_SMALL))
     assert "Generate explode(sequence" in plan
-    join = [ln for ln in plan.splitlines() if "Join" in ln][0]
-    assert "_day" in join and "_c_day" in join
+    joins = [ln for ln in plan.splitlines() if "Join [_unit" in ln]
+    assert any("_c_trade_date" in ln and "trunc" not in ln for ln in joins)        # short ranges: (instrument, day)
+    assert any("trunc(_c_trade_date" in ln for ln in joins)                        # long ones: (instrument, month)
+
+
+def test_stored_candles_are_not_shuffled(spark):
+    """A history job over the bucketed table deals out the requests only."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = catalog.q_historical_stored(spark, SF_SMALL)
+        final = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = final.splitlines()
+    scans = [i for i, ln in enumerate(lines) if "FileScan parquet spark_catalog" in ln and "Bucketed: true" in ln]
+    assert len(scans) == 2                                                         # by day and by month
+    for i in scans:
+        join = max(k for k in range(i) if "SortMergeJoin" in lines[k])
+        depth = [ln.index(ln.lstrip(" :+-")) for ln in lines]
+        above = [k for k in range(join, i) if depth[k] < depth[i] and all(depth[m] > depth[k] for m in range(k + 1, i + 1))]
+        assert not any("Exchange" in lines[k] for k in above)
+
+
+def test_month_probes_follow_the_candles(spark):
+    """A request for all time asks for as many rows as the candles have months."""
+    from tickforge.operators import history
+    candles = spark.sql("SELECT 1L AS exchange_token, date_add(DATE'2024-01-20', CAST(id AS INT)) AS trade_date FROM range(60)")
+    for c in history.CANDLE_COLUMNS:
+        candles = candles.withColumn(c, F.lit(c))
+    items = spark.sql("SELECT 1L AS request_id, 1L AS exchange_token, DATE'0001-01-01' AS from_date, DATE'9999-12-31' AS to_date")
+    df = history.historical_data(items, candles)
+    assert df.count() == 60
+    seen = []
+    original = history.broadcast_if_small
+    history.broadcast_if_small = lambda side: seen.append(side) or original(side)
+    try:
+        history.historical_data(items, candles)
+        assert [x.count() for x in seen] == [0, 3]
+        seen.clear()
+        assert history.historical_data(items, candles.limit(0)).count() == 0 and seen[1].count() == 0
+    finally:
+        history.broadcast_if_small = original
+
+
+def test_coverage_spreads_no_days(spark):
+    plan = _plan(catalog.q_chunk_coverage(spark, SF_SMALL))
+    assert plan.count("Generate explode") <= plan.count("posexplode") and "reduce" in plan or "aggregate(" in plan
+
+
+def test_rolled_bars_read_no_ticks(spark):
+    for job in (catalog._rolled("day"), catalog._rolled("30minute")):
+        df = job(spark, SF_SMALL)
+        assert "events.parquet" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ohlc_endpoint_reads_ticks_once_more(spark):
+    """The instruments' last ticks come from a checkpoint; the answer scans the ticks once."""
+    plan = catalog.q_ohlc_for_requests(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("events.parquet") == 1
 
 
 def test_key_batches_read_checkpoint(spark):

@@ -1,10 +1,11 @@
 """DataFrame operators (pure DataFrame -> DataFrame functions)."""
 
 from tickforge.operators.bars import (  # noqa: F401
-    bars, full_market_quote, latest_bar, ltp_quote, newest_bars, ohlc_quote,
+    bar_partials, bars, full_market_quote, instrument_key_of, latest_bar, ltp_quote, newest_bars, ohlc_quote, roll_up,
+    wanted_bars,
 )
 from tickforge.operators.history import (  # noqa: F401
-    backfill_today, chunk_coverage, historical_data, normalise_candle_time, trailing_window,
+    backfill_today, chunk_coverage, historical_data, history_to_today, normalise_candle_time, trailing_window,
 )
 from tickforge.operators.joins import broadcast_if_small, estimated_bytes  # noqa: F401
 from tickforge.operators.master import (  # noqa: F401

@@ -15,15 +15,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickforge.functions.exprs import MARKET_TZ, format_local, lenient_date
-from tickforge.functions.intervals import QUOTE_INTERVALS
-from tickforge.operators.bars import full_market_quote, key_columns, ltp_quote, ohlc_quote
-from tickforge.operators.history import historical_data
+from tickforge.functions.exprs import MARKET_TZ, lenient_date
+from tickforge.functions.intervals import QUOTE_INTERVALS, interval_duration
+from tickforge.operators.bars import full_market_quote, keys_of, ltp_quote, ohlc_quote, wanted_bars
+from tickforge.operators.history import historical_data, history_to_today
 from tickforge.operators.joins import broadcast_if_small
 from tickforge.operators.master import backfill_index_symbols, unify_masters
 from tickforge.operators.resolve import (
     resolve_instruments, resolve_symbols, validate_requests, with_request_defaults,
 )
+from tickforge.schemas import CANDLE_COLUMNS
+from tickforge.session import checkpoint_root
 
 
 def master_data(feeds: dict[str, DataFrame], layouts: dict[str, str] | None = None,
@@ -33,16 +35,6 @@ def master_data(feeds: dict[str, DataFrame], layouts: dict[str, str] | None = No
     return backfill_index_symbols(m, symbol_map).withColumnRenamed("trading_symbol", "tradingsymbol")
 
 
-def instrument_key_of(table: DataFrame) -> list[str]:
-    """The columns that identify an instrument in a tick or candle table: its
-    ``instrument_key``, else ``(exchange, exchange_token)``, else the token alone (one
-    exchange's table, where tokens are unique)."""
-    for key in (["instrument_key"], ["exchange", "exchange_token"]):
-        if set(key) <= set(table.columns):
-            return key
-    return ["exchange_token"]
-
-
 def _request_column(c: str):
     return F.col("token_int" if c == "exchange_token" else c)
 
@@ -63,14 +55,10 @@ def _attach(resolved: DataFrame, quotes: DataFrame, key: list[str]) -> DataFrame
     return out.drop(*[f"_q_{c}" for c in key])
 
 
-def _tick_key(ticks: DataFrame, tick_key) -> list[str]:
-    return key_columns(tick_key) if tick_key else instrument_key_of(ticks)
-
-
 def ltp_for_requests(requests: DataFrame, master: DataFrame, ticks: DataFrame,
                      tick_key: str | list[str] | None = None, since=None) -> tuple[DataFrame, DataFrame]:
     """``POST /ltp-quote`` over a request table."""
-    key = _tick_key(ticks, tick_key)
+    key = keys_of(ticks, tick_key)
     resolved, rejects = resolve_instruments(requests, master)
     q = ltp_quote(_requested_ticks(resolved, ticks, key), key=key, since=since)
     return _attach(resolved, q, key), rejects
@@ -80,7 +68,7 @@ def ltp_for_symbols(requests: DataFrame, master_b: DataFrame, ticks: DataFrame,
                     tick_key: str | list[str] | None = None, since=None) -> tuple[DataFrame, DataFrame]:
     """Feed B's ``POST /ltp-quote``: items are asked for by ``EXCHANGE:SYMBOL``
     (``symbol_key`` in the rows); an instrument without a symbol is rejected."""
-    key = _tick_key(ticks, tick_key)
+    key = keys_of(ticks, tick_key)
     resolved, rejects = resolve_symbols(requests, master_b)
     q = ltp_quote(_requested_ticks(resolved, ticks, key), key=key, since=since)
     return _attach(resolved, q, key), rejects
@@ -99,28 +87,30 @@ def ohlc_for_requests(requests: DataFrame, master: DataFrame, ticks: DataFrame,
 
     Each item's ``interval_name`` must be one of ``1d``, ``I1``, ``I30`` (else it is
     rejected: ``bad_interval``) and names the bar it gets; ``interval`` sets one for
-    the whole table instead.
+    the whole table instead.  All intervals are served by one pass over the instruments' last ticks.
     """
     if interval is not None and interval not in QUOTE_INTERVALS:
         raise ValueError(f"no quote bar of length {interval!r}; use one of {sorted(QUOTE_INTERVALS)}")
-    key = _tick_key(ticks, tick_key)
+    key = keys_of(ticks, tick_key)
     if interval is not None:
         resolved, rejects = resolve_instruments(requests, master)
         q = ohlc_quote(_requested_ticks(resolved, ticks, key), interval, key=key, since=since)
         return _attach(resolved, q, key), rejects
     resolved, rejects = ohlc_items(requests, master)
-    out = None
-    for name in QUOTE_INTERVALS:
-        mine = resolved.where(F.col("interval_name") == name)
-        part = _attach(mine, ohlc_quote(_requested_ticks(mine, ticks, key), name, key=key, since=since), key)
-        out = part if out is None else out.unionByName(part)
-    return out, rejects
+    # Resolved once: the wanted buckets and the answers are read from the same rows.
+    checkpoint_root(requests.sparkSession)
+    resolved = resolved.checkpoint()
+    types = dict(ticks.dtypes)
+    wanted = resolved.select(*[_request_column(c).cast(types[c]).alias(c) for c in key], "interval_name").distinct()
+    found = wanted_bars(ticks, wanted, key=key, since=since)
+    q = found.select(*key, "interval_name", "datetime", "open", "high", "low", "close", "volume", F.col("close").alias("last_price"))
+    return _attach(resolved, q, [*key, "interval_name"]), rejects
 
 
 def full_quote_for_requests(requests: DataFrame, master: DataFrame, ticks: DataFrame,
                             tick_key: str | list[str] | None = None, since=None) -> tuple[DataFrame, DataFrame]:
     """``POST /full-mkt-quote`` over a request table."""
-    key = _tick_key(ticks, tick_key)
+    key = keys_of(ticks, tick_key)
     resolved, rejects = resolve_instruments(requests, master)
     q = full_market_quote(_requested_ticks(resolved, ticks, key), key=key, since=since)
     return _attach(resolved, q, key), rejects
@@ -132,23 +122,23 @@ HISTORY_REQUIRED = ["exchange_token", "interval_name", "from_date", "to_date", "
 def historical_for_requests(requests: DataFrame, master: DataFrame, candles: DataFrame,
                             full_quotes: DataFrame | None = None, today=None,
                             key: str | list[str] | None = None, tz: str = MARKET_TZ,
-                            sort: bool = True) -> tuple[DataFrame, DataFrame]:
+                            sort: bool = True, intervals=None, days=None) -> tuple[DataFrame, DataFrame]:
     """``POST /historical-data`` over a request table.
 
-    Requests carry ``request_id, exchange, exchange_token, instrument_type,
-    interval_name, from_date, to_date``.  A request missing a required field is
+    Items carry ``request_id, pos, exchange, exchange_token, instrument_type,
+    interval_name, from_date, to_date``.  An item missing a required field is
     rejected (``missing_parameters``), one with an unparseable date
-    (``bad_date``); the rest are resolved against the master.  ``candles``
-    holds bars of the requested interval (an ``interval_name`` column, when
-    present, is matched too).  When ``today``
-    and ``full_quotes`` are given, a request whose range ends today and whose
-    candles lack today's bar gets one built from the quote, as the service did.
-    Output rows: ``request_id``, the instrument's key columns, ``datetime, open, high, low,
-    close, volume, oi``.  With ``sort=True`` each request's rows sit together
-    in one partition in time order, as the service returned them (hash
-    partitioning plus a sort within partitions: no sampling pass over the
-    join, and one request holds at most its date range of bars);
-    ``sort=False`` leaves them unordered for further processing.
+    (``bad_date``); the rest are resolved against the master.  Where ``candles`` has an
+    ``interval_name``, an item gets the candles of the interval it names -- ``day``, ``1day`` and ``1d``
+    are one -- and an item whose interval is unknown or not in the table is rejected
+    (``bad_interval``); ``intervals`` names those in the table where they are known, else they are
+    looked up.  When ``today`` and ``full_quotes`` are given, an item whose range ends today and whose
+    own candles lack today's bar gets one built from the quote, as the service did; an item
+    without candles gets none.
+    Output rows: ``request_id``, ``pos``, the instrument's key columns, ``interval_name``, ``datetime, open,
+    high, low, close, volume, oi``.  With ``sort=True`` each item's rows sit together
+    in one partition in time order, as the service returned them; items of one request may lie in
+    several partitions, so a request of any size spreads over the cluster.
     """
     req = requests
     if "pos" not in req.columns:
@@ -158,39 +148,35 @@ def historical_for_requests(requests: DataFrame, master: DataFrame, candles: Dat
         cond = F.col(c).isNull() | (F.col(c).cast("string") == "")
         missing = cond if missing is None else (missing | cond)
     bad_dates = lenient_date("from_date").isNull() | lenient_date("to_date").isNull()
-    reason = (F.when(missing, F.lit("missing_parameters"))
-              .when(bad_dates, F.lit("bad_date")))
+    req = req.withColumn("_interval", interval_duration(F.col("interval_name")))
+    extra = ()
+    reason = F.when(missing, F.lit("missing_parameters")).when(bad_dates, F.lit("bad_date"))
+    if "interval_name" in candles.columns:
+        extra = ("_interval",)
+        candles = candles.withColumn("_interval", interval_duration(F.col("interval_name")))
+        if intervals is None:
+            held = candles.select(F.collect_set("_interval")).scalar()      # at most one name per known duration
+        else:
+            held = F.array_distinct(F.transform(F.array(*[F.lit(x) for x in intervals]), interval_duration))
+        reason = reason.when(~F.coalesce(F.array_contains(held, F.col("_interval")), F.lit(False)), F.lit("bad_interval"))
     flagged = with_request_defaults(req.withColumn("_reason", reason))
-    bad_params = flagged.where(F.col("_reason").isNotNull()).withColumnRenamed("_reason", "reason")
+    bad_params = (flagged.where(F.col("_reason").isNotNull()).withColumnRenamed("_reason", "reason").drop("_interval"))
     resolved, rejects = resolve_instruments(flagged.where(F.col("_reason").isNull()).drop("_reason"), master)
-    keys = key_columns(key) if key else instrument_key_of(candles)
+    keys = keys_of(candles, key)
     types = dict(candles.dtypes)
-    probe = resolved.select("request_id", *[_request_column(c).cast(types[c]).alias(c) for c in keys], "from_date",
-                            "to_date", "interval_name")
-    extra = ("interval_name",) if "interval_name" in candles.columns else ()
-    hist = historical_data(probe, candles, key=keys, extra_keys=extra)
-    out = hist
+    probe = resolved.select("request_id", "pos", *[_request_column(c).cast(types[c]).alias(c) for c in keys], "from_date",
+                            "to_date", "interval_name", "_interval")
+    item = ["request_id", "pos", "interval_name"]
     if today is not None and full_quotes is not None:
-        day = lenient_date(F.lit(str(today)))
-        # Only requests ending today can get the extra bar: join just those
-        # again (a small slice) instead of re-reading the whole result, and
-        # decide "has candles" and "has today's candle" in one aggregate.
-        due = probe.where(lenient_date("to_date") == day)
-        due_hist = historical_data(due, candles, key=keys, extra_keys=extra)
-        flags = due_hist.groupBy("request_id").agg(
-            F.max(F.when(lenient_date(F.substring("datetime", 1, 10)) == day, 1).otherwise(0)).alias("_today"))
-        lacking = flags.where(F.col("_today") == 0).select("request_id")
-        q = full_quotes.where(F.col("ohlc").isNotNull() & F.col("timestamp").isNotNull())
-        local = F.from_utc_timestamp(F.col("timestamp").cast("timestamp"), tz)
-        added = due.join(lacking, "request_id", "left_semi").join(q, keys).select(
-            "request_id", *keys, format_local(local).alias("datetime"),
-            F.col("ohlc.open").alias("open"), F.col("ohlc.high").alias("high"),
-            F.col("ohlc.low").alias("low"), F.col("ohlc.close").alias("close"),
-            F.col("volume").cast("long").alias("volume"), F.col("oi").cast("long").alias("oi"))
-        out = hist.unionByName(added)
+        out = history_to_today(probe, candles, full_quotes, today, item, keys, extra, tz, days)
+    else:
+        out = historical_data(probe, candles, key=keys, request_col=item, extra_keys=extra, days=days)
+        if sort:
+            out = out.repartition("request_id", "pos")
     if sort:
-        out = out.repartition("request_id").sortWithinPartitions("request_id", "datetime")
-    return out, bad_params.unionByName(rejects, allowMissingColumns=True)
+        out = out.sortWithinPartitions("request_id", "pos", "datetime")
+    return (out.select("request_id", "pos", *keys, "interval_name", *CANDLE_COLUMNS),
+            bad_params.unionByName(rejects.drop("_interval"), allowMissingColumns=True))
 
 
 __all__ = ["master_data", "ltp_for_requests", "ohlc_for_requests", "full_quote_for_requests", "ohlc_items",

@@ -14,17 +14,19 @@ from pyspark.sql import functions as F
 from tickforge.functions.exprs import exchange_segment, format_local, to_market_time
 from tickforge.functions.intervals import QUOTE_INTERVALS
 from tickforge.operators import (
-    backfill_index_symbols, backfill_today, bars, chunk_coverage, enrich_quotes,
+    backfill_index_symbols, backfill_today, bar_partials, bars, chunk_coverage, enrich_quotes,
     full_market_quote, historical_data, index_symbol_map, ltp_quote, merge_quote_batches,
     ohlc_quote, plan_date_chunks, plan_key_batches, quote_matrix, resolve_instruments,
-    resolve_symbols, trailing_window, unify_masters, unresolved_requests, validate_requests,
+    resolve_symbols, roll_up, trailing_window, unify_masters, unresolved_requests, validate_requests,
 )
 from tickforge.operators import endpoints as E
 from tickforge.operators.history import normalise_candle_time
 from tickforge.operators.joins import broadcast_if_small
 from tickforge.operators.master import UNIFIED_COLUMNS
 from tickforge.plans import staging, views as V
-from tickforge.sinks import list_master, request_status, write_candles, write_master, write_ticks
+from tickforge.sinks import (
+    BarStore, list_master, request_status, save_candles, write_candles, write_master, write_ticks,
+)
 from tickforge.sources import (
     parse_candles, parse_quotes, read_master_a, read_master_b, read_master_json, read_requests,
 )
@@ -74,7 +76,7 @@ def q_history_requests_json(spark, d):
     """O06 on history bodies: ``interval``, ``from_date`` and ``to_date`` as the service names them."""
     r = V.history_service_requests_view(spark, d).withColumnRenamed("interval_name", "interval")
     back = read_requests(spark, staging.stage_json_lines(r, "history-requests"))
-    return back.select("request_id", "exchange_token", "exchange", "instrument_type", "interval_name",
+    return back.select("request_id", "pos", "exchange_token", "exchange", "instrument_type", "interval_name",
                        "from_date", "to_date")
 
 
@@ -104,11 +106,27 @@ def q_master_list(spark, d):
                        ["instrument_key", "exchange_token", "exchange", "tradingsymbol", "venue", "src_pos"])
 
 
+STORED_OUT = ["exchange", "exchange_token", "interval_name", "datetime", "open", "high", "low", "close", "volume", "oi"]
+
+
 def q_candles_written(spark, d):
+    """Candles of two exchanges and two intervals written by day and read back."""
     path = staging.staging_dir(spark, "candles")
-    write_candles(V.candles_view(spark, d), path)
+    write_candles(V.exchange_candles_view(spark, d), path)
     back = spark.read.parquet(path)
-    return back.select(*CANDLE_OUT, F.date_format("trade_date", "yyyy-MM-dd").alias("trade_date"))
+    return back.select(*STORED_OUT, F.date_format("trade_date", "yyyy-MM-dd").alias("trade_date"))
+
+
+def _candle_table(spark, d) -> DataFrame:
+    """CX as a bucketed catalog table of its own."""
+    path = staging.staging_dir(spark, "candle-table")
+    name = "candles_" + path.rsplit("-", 1)[1]
+    return save_candles(V.exchange_candles_view(spark, d), name, path, buckets=spark.sparkContext.defaultParallelism)
+
+
+def q_candles_saved(spark, d):
+    """The same in a table bucketed by instrument inside its days."""
+    return _candle_table(spark, d).select(*STORED_OUT, F.date_format("trade_date", "yyyy-MM-dd").alias("trade_date"))
 
 
 def q_request_status(spark, d):
@@ -263,6 +281,33 @@ def _bars(interval):
     return q
 
 
+def _partials(spark, d) -> DataFrame:
+    """Minute partial bars of T, stored by day."""
+    path = staging.staging_dir(spark, "minute-bars")
+    bar_partials(V.ticks_view(spark, d), "1minute").write.partitionBy("trade_date").parquet(path)
+    return spark.read.parquet(path)
+
+
+def _rolled(interval):
+    def q(spark, d):
+        return roll_up(_partials(spark, d), interval).select(*CANDLE_OUT)
+    return q
+
+
+def q_bars_incremental(spark, d):
+    """O24 kept up to date: the days up to AS_OF land first, some ticks with a wrong price; then the rest
+    with the corrections, once and again.  The minute bars are those of a rebuild."""
+    t = V.ticks_view(spark, d)
+    early = F.to_date(to_market_time("ts")) <= F.lit(V.AS_OF).cast("date")
+    wrong = early & (F.col("qty") > 90)
+    store = BarStore(spark, staging.staging_dir(spark, "bar-store"))
+    store.merge(t.where(early).withColumn("price", F.when(wrong, F.col("price") * 2).otherwise(F.col("price"))), first=True)
+    for _ in range(2):
+        store.merge(t.where(~early | wrong))
+    return store.bars.select("exchange_token", format_local("bar_start").alias("datetime"), "open", "high", "low", "close",
+                             "volume", "oi")
+
+
 # --- history (O13, O18, O19, O25, O27, O28) ---------------------------------
 
 def q_trailing_window(spark, d):
@@ -283,26 +328,24 @@ def q_historical(spark, d):
 
 
 def q_historical_stored(spark, d):
-    """O18 over candles stored by ``write_candles`` (partitioned by trade date):
-    the day-keyed join prunes date partitions at run time."""
-    path = staging.staging_dir(spark, "candles-by-day")
-    write_candles(V.candles_view(spark, d), path)
-    stored = spark.read.parquet(path)
-    h = historical_data(V.history_requests_view(spark, d), stored)
-    return h.select("request_id", *CANDLE_OUT)
+    """O18 over a candle table partitioned by day and bucketed by instrument: the join prunes
+    days at run time and does not shuffle the candles."""
+    h = historical_data(V.exchange_history_view(spark, d), _candle_table(spark, d), request_col=["request_id", "pos"],
+                        extra_keys=("interval_name",))
+    return h.select("request_id", "pos", "exchange", *CANDLE_OUT)
 
 
 def q_today_backfill(spark, d):
-    """Today's bar missing where it was a down bar (close < open); the full
+    """Today's bar missing where it was a down bar (close < open), per exchange and interval; the full
     quote lacks its timestamp where that day's volume is under 50."""
-    c = V.candles_view(spark, d)
+    c = V.exchange_candles_view(spark, d)
     today = F.lit(V.TODAY).cast("date")
     c = c.where(~((F.col("trade_date") == today) & (F.col("close") < F.col("open"))))
-    fq = full_market_quote(V.ticks_view(spark, d))
+    fq = full_market_quote(V.exchange_ticks_view(spark, d))
     fq = fq.withColumn("timestamp", F.when(F.col("volume") < 50, F.lit(None))
                        .otherwise(F.col("timestamp")))
     out = backfill_today(c, fq, V.TODAY)
-    return out.select(*CANDLE_OUT, F.date_format("trade_date", "yyyy-MM-dd").alias("trade_date"))
+    return out.select(*STORED_OUT, F.date_format("trade_date", "yyyy-MM-dd").alias("trade_date"))
 
 
 def q_chunk_coverage(spark, d):
@@ -310,6 +353,22 @@ def q_chunk_coverage(spark, d):
     return chunk_coverage(plan_date_chunks(h, days=3), V.candles_view(spark, d), requests=h)
 
 
+def _item_chunks(spark, d):
+    """HX's items planned in chunks of 5 days (those for all time left out: a million chunks each);
+    the payload of every second chunk of the tokens that end in 3 failed."""
+    h = V.exchange_history_view(spark, d)
+    chunks = plan_date_chunks(h.where("to_date < DATE'9999-01-01'"), days=5)
+    failed = chunks.where((F.col("chunk_no") % 2 == 1) & (F.col("exchange_token") % 10 == 3))
+    return h, chunks, failed.select("request_id", "chunk_no", "exchange", "exchange_token")
+
+
+def q_chunk_coverage_items(spark, d):
+    """O25 per request and instrument of two exchanges, failed payloads counted."""
+    h, chunks, failed = _item_chunks(spark, d)
+    return chunk_coverage(chunks, V.exchange_candles_view(spark, d).where("interval_name = 'day'"), failed=failed,
+                          requests=h, per_instrument=True)
+
+
 def _key_batches(size):
     def q(spark, d):
         return plan_key_batches(V.batch_keys_view(spark, d), size)
@@ -380,11 +439,19 @@ def q_full_quote_for_requests(spark, d):
     return _flat_quote(rows).drop("exchange_token")
 
 
+def _history_job(spark, d):
+    return E.historical_for_requests(V.history_service_requests_view(spark, d), V.listed_master_view(spark, d),
+                                     V.exchange_candles_view(spark, d), full_market_quote(V.exchange_ticks_view(spark, d)),
+                                     V.TODAY, intervals=["day", "30minute"])
+
+
 def q_historical_for_requests(spark, d):
-    candles = V.candles_view(spark, d).withColumn("interval_name", F.lit("day"))
-    rows, _ = E.historical_for_requests(V.history_service_requests_view(spark, d), V.master_view(spark, d),
-                                        candles, full_market_quote(V.ticks_view(spark, d)), V.TODAY)
-    return rows
+    """Several items per request, candles of two exchanges and two intervals, today's bar per item."""
+    return _history_job(spark, d)[0]
+
+
+def q_historical_rejects(spark, d):
+    return _history_job(spark, d)[1].select("request_id", "pos", "reason")
 
 
 def queries() -> dict[str, Query]:
@@ -400,6 +467,7 @@ def queries() -> dict[str, Query]:
         "candle_time": q_candle_time,
         "master_list": q_master_list,
         "candles_written": q_candles_written,
+        "candles_saved": q_candles_saved,
         "request_status": q_request_status,
         "unified_master": q_unified_master,
         "master_written": q_master_written,
@@ -429,7 +497,12 @@ def queries() -> dict[str, Query]:
         "bars_5minute": _bars("5minute"),
         "bars_30minute": _bars("30minute"),
         "bars_day": _bars("day"),
+        "bars_5minute_rolled": _rolled("5minute"),
+        "bars_30minute_rolled": _rolled("30minute"),
+        "bars_day_rolled": _rolled("day"),
+        "bars_incremental": q_bars_incremental,
         "chunk_coverage": q_chunk_coverage,
+        "chunk_coverage_items": q_chunk_coverage_items,
         "quote_matrix": q_quote_matrix,
         "key_batches_750": _key_batches(750),
         "key_batches_450": _key_batches(450),
@@ -443,6 +516,7 @@ def queries() -> dict[str, Query]:
         "ohlc_rejects": q_ohlc_rejects,
         "full_quote_for_requests": q_full_quote_for_requests,
         "historical_for_requests": q_historical_for_requests,
+        "historical_rejects": q_historical_rejects,
     }
     q.update(streams.queries())
     return q

@@ -114,13 +114,29 @@ CTES = {
   CAST(o_orderdate AS DATE) + CAST((o_orderkey * 37) % 2600 - 1 AS INTEGER) AS to_date FROM orders)""",
     "L": f"""L AS (SELECT exchange_token, first(price ORDER BY ts DESC, event_id DESC) AS last_price,
   strftime(max(ts) + {LOCAL}, {FMT}) AS last_time FROM T GROUP BY exchange_token)""",
-    "HR": """HR AS (SELECT H.request_id,
-  CASE WHEN H.request_id % 170 = 0 THEN '' ELSE CAST(H.exchange_token AS VARCHAR) END AS exchange_token,
-  M.venue AS exchange,
-  CASE WHEN H.request_id % 13 = 0 THEN 'PROMO' ELSE split_part(M.exchange, '_', 2) END AS instrument_type,
-  CASE WHEN H.request_id % 190 = 0 THEN NULL ELSE 'day' END AS interval_name,
-  strftime(H.from_date, '%Y-%m-%d') AS from_date, strftime(H.to_date, '%Y-%m-%d') AS to_date
-  FROM H LEFT JOIN M ON M.exchange_token = H.exchange_token)""",
+    "CX": """CX AS (SELECT exchange, exchange_token, 'day' AS interval_name, datetime, open, high, low, close, volume, oi,
+  trade_date FROM XD UNION ALL SELECT exchange, exchange_token, '30minute', datetime, open, high, low, close, volume, oi,
+  trade_date FROM X30)""",
+    "FX": """FX AS (SELECT * FROM (SELECT XD.*, row_number() OVER (PARTITION BY exchange, exchange_token
+  ORDER BY bucket DESC) AS rn FROM XD) WHERE rn = 1)""",
+    "HX": """HX AS (SELECT CAST(request_id // 4 AS BIGINT) AS request_id, request_id AS pos,
+  CASE WHEN request_id % 2 = 0 THEN 'NSE' ELSE 'BSE' END AS exchange, exchange_token,
+  CASE WHEN request_id % 3 = 0 THEN '30minute' ELSE 'day' END AS interval_name,
+  CASE WHEN request_id % 16 = 0 THEN DATE '0001-01-01' WHEN request_id % 16 = 1 THEN DATE '2023-12-15'
+       ELSE from_date END AS from_date,
+  CASE WHEN request_id % 16 = 0 THEN DATE '9999-12-31' WHEN request_id % 16 = 1 THEN DATE '2024-02-20'
+       ELSE to_date END AS to_date FROM H)""",
+    "HR": """HR AS (SELECT CAST(ok // 4 AS BIGINT) AS request_id, ok AS pos,
+  CASE WHEN ok % 170 = 0 THEN '' ELSE CAST(tok AS VARCHAR) END AS exchange_token,
+  CASE WHEN tok % 3 = 0 AND ok % 2 = 0 THEN CASE M.venue WHEN 'NSE' THEN 'BSE' WHEN 'BSE' THEN 'NSE' END
+       ELSE M.venue END AS exchange,
+  CASE WHEN ok % 13 = 0 THEN 'PROMO' ELSE split_part(M.exchange, '_', 2) END AS instrument_type,
+  CASE WHEN ok % 190 = 0 THEN NULL WHEN ok % 23 = 0 THEN '2hour' WHEN ok % 29 = 0 THEN '5minute' WHEN ok % 4 = 0 THEN 'day'
+       WHEN ok % 4 = 1 THEN '1day' WHEN ok % 4 = 2 THEN '1d' ELSE '30minute' END AS interval_name,
+  strftime(from_date, '%Y-%m-%d') AS from_date, strftime(to_date, '%Y-%m-%d') AS to_date
+  FROM (SELECT H.request_id AS ok, from_date, to_date, H.exchange_token + CASE WHEN H.request_id % 11 = 3
+          THEN (SELECT count(DISTINCT user_id) FROM events) ELSE 0 END AS tok FROM H) H2
+  LEFT JOIN M ON M.exchange_token = tok)""",
     "U": """U AS (SELECT 'feed_a' AS broker, instrument_key, exchange_token,
   split_part(exchange, '_', 1) AS exchange, exchange AS segment, split_part(exchange, '_', 2) AS instrument_type,
   tradingsymbol, CAST(NULL AS VARCHAR) AS name, src_pos, CAST(NULL AS DOUBLE) AS last_price,
@@ -136,7 +152,7 @@ SELECT 'feed_b' AS broker, CAST(instrument_token AS VARCHAR), exchange_token, ex
 }
 
 # CTE dependencies, so a query names only what it reads.
-DEPS = {"U": ["M", "MB"], "MP": ["M"], "L": ["T"], "HR": ["H", "M"], "MX": ["M"], "MBX": ["MB"], "MD": ["MX"], "MBD": ["MBX"], "RV": ["R"], "Q": ["T", "M", "MX"],
+DEPS = {"CX": ["XD", "X30"], "FX": ["XD"], "HX": ["H"], "U": ["M", "MB"], "MP": ["M"], "L": ["T"], "HR": ["H", "M"], "MX": ["M"], "MBX": ["MB"], "MD": ["MX"], "MBD": ["MBX"], "RV": ["R"], "Q": ["T", "M", "MX"],
         "E": ["Q", "MX"], "QM": ["E"], "QX": ["E"], "TX": ["T"], "X1": ["TX"], "X30": ["TX"], "XD": ["TX"], "LX": ["TX"],
         "B1": ["T"], "B5": ["T"], "B30": ["T"], "C": ["T"], "FQ": ["C"]}
 
@@ -211,8 +227,7 @@ ORACLE = {
   strftime(CAST(ts + {LOCAL} AS DATE), '%Y-%m-%d') AS trade_date FROM T""", "T"),
     "master_list": with_views("""SELECT instrument_key, exchange_token, exchange, tradingsymbol, venue, src_pos
   FROM M""", "M"),
-    "candles_written": with_views(f"SELECT {CANDLE_SEL}, strftime(trade_date, '%Y-%m-%d') AS trade_date FROM C",
-                                  "C"),
+    "candles_written": with_views("SELECT * REPLACE (strftime(trade_date, '%Y-%m-%d') AS trade_date) FROM CX", "CX"),
     "request_status": with_views(f"""SELECT RV.pos AS request_id,
   CASE WHEN MD.instrument_key IS NULL THEN 400 WHEN RV.exchange_token LIKE '%9' THEN 500
        WHEN LX.exchange_token IS NULL THEN 404 ELSE 200 END AS status_code,
@@ -263,15 +278,15 @@ FROM M LEFT JOIN (SELECT DISTINCT instrument_key AS k, upper(trim(split_part(ins
   C.close, C.volume, C.oi FROM H JOIN C ON C.exchange_token = H.exchange_token
   AND C.trade_date BETWEEN H.from_date AND H.to_date""", "H", "C"),
     "today_backfill": with_views(f"""
-SELECT {CANDLE_SEL}, strftime(trade_date, '%Y-%m-%d') AS trade_date FROM C2
+SELECT * REPLACE (strftime(trade_date, '%Y-%m-%d') AS trade_date) FROM C2
 UNION ALL
-SELECT exchange_token, strftime(last_ts + {LOCAL}, {FMT}) AS datetime, open, high, low, close, volume, oi,
-  strftime(CAST(last_ts + {LOCAL} AS DATE), '%Y-%m-%d') AS trade_date
-FROM FQ WHERE volume >= 50
-  AND EXISTS (SELECT 1 FROM C2 WHERE C2.exchange_token = FQ.exchange_token)
-  AND NOT EXISTS (SELECT 1 FROM C2 WHERE C2.exchange_token = FQ.exchange_token
-                  AND C2.trade_date = DATE '2024-01-30')""", "C", "FQ",
-        extra=("C2 AS (SELECT * FROM C WHERE NOT (trade_date = DATE '2024-01-30' AND close < open))",)),
+SELECT FX.exchange, FX.exchange_token, S.interval_name, strftime(last_ts + {LOCAL}, {FMT}) AS datetime, open, high, low,
+  close, volume, oi, strftime(CAST(last_ts + {LOCAL} AS DATE), '%Y-%m-%d') AS trade_date
+FROM FX JOIN (SELECT exchange, exchange_token, interval_name FROM C2 GROUP BY 1, 2, 3
+              HAVING count(*) FILTER (trade_date = DATE '2024-01-30') = 0) S
+  ON S.exchange = FX.exchange AND S.exchange_token = FX.exchange_token
+WHERE volume >= 50""", "CX", "FX",
+        extra=("C2 AS (SELECT * FROM CX WHERE NOT (trade_date = DATE '2024-01-30' AND close < open))",)),
     "quotes_merged": with_views("""SELECT exchange, exchange_token, batch_no, quote_key, instrument_token,
   trading_symbol, instrument_type, last_price, volume, oi FROM QX""", "QX"),
     "quotes_merged_legacy": with_views("""SELECT exchange, exchange_token, batch_no, quote_key, instrument_token,
@@ -356,35 +371,62 @@ ORACLE["full_quote_for_requests"] = with_views(f"""SELECT RV.request_id, RV.pos,
   strftime(b.trade_date, '%Y-%m-%d') AS trade_date, b.open, b.high, b.low, b.close, b.close AS last_price,
   b.volume, b.oi, strftime(b.last_ts + {LOCAL}, {FMT}) AS timestamp
 {_RESOLVED} JOIN {_last_bar("XD")} b ON {_HERE.format("b")}""", "RV", "MD", "XD")
-ORACLE["history_requests_json"] = with_views("""SELECT request_id, coalesce(exchange_token, '') AS exchange_token,
+ORACLE["history_requests_json"] = with_views("""SELECT request_id, pos, coalesce(exchange_token, '') AS exchange_token,
   coalesce(exchange, 'NSE') AS exchange, coalesce(instrument_type, '') AS instrument_type, interval_name,
   from_date, to_date FROM HR""", "H", "M", "HR")
 ORACLE["master_data"] = with_views("""SELECT U.* REPLACE (
   CASE WHEN tradingsymbol = '' THEN MP.sym ELSE tradingsymbol END AS tradingsymbol)
 FROM U LEFT JOIN MP ON MP.k = U.instrument_key""", "U", "MP")
-ORACLE["historical_for_requests"] = with_views(f"""SELECT request_id, exchange_token, datetime, open, high, low,
-  close, volume, oi FROM HIST
+_HR_NULL = " OR ".join(f"coalesce({c}, '') = ''" for c in (
+    "HR.exchange_token", "HR.interval_name", "HR.from_date", "HR.to_date", "HR.instrument_type"))
+_HR_MATCH = ("MD.exchange_token = try_cast(HR.exchange_token AS BIGINT) "
+             "AND MD.exchange = coalesce(HR.exchange, 'NSE') || '_' || HR.instrument_type")
+_HR_SERIES = "CASE WHEN HR.interval_name IN ('day', '1day', '1d') THEN 'day' WHEN HR.interval_name = '30minute' THEN '30minute' END"
+ORACLE["historical_for_requests"] = with_views(f"""SELECT request_id, pos, exchange, exchange_token, interval_name, datetime,
+  open, high, low, close, volume, oi FROM HIST
 UNION ALL
-SELECT RES.request_id, FQ.exchange_token, strftime(FQ.last_ts + {LOCAL}, {FMT}) AS datetime, FQ.open, FQ.high,
-  FQ.low, FQ.close, FQ.volume, FQ.oi
-FROM RES JOIN FQ ON FQ.exchange_token = RES.token_int
+SELECT RES.request_id, RES.pos, RES.exchange, RES.token_int, RES.interval_name, strftime(FX.last_ts + {LOCAL}, {FMT}) AS datetime,
+  FX.open, FX.high, FX.low, FX.close, FX.volume, FX.oi
+FROM RES JOIN FX ON FX.exchange_token = RES.token_int AND FX.exchange = RES.exchange
 WHERE CAST(RES.to_date AS DATE) = DATE '2024-01-30'
-  AND EXISTS (SELECT 1 FROM HIST WHERE HIST.request_id = RES.request_id)
-  AND NOT EXISTS (SELECT 1 FROM HIST WHERE HIST.request_id = RES.request_id
-                  AND HIST.trade_date = DATE '2024-01-30')""", "HR", "M", "MD", "C", "FQ", extra=(
-    """RES AS (SELECT HR.*, try_cast(HR.exchange_token AS BIGINT) AS token_int FROM HR
-        JOIN MD ON MD.exchange_token = try_cast(HR.exchange_token AS BIGINT)
-         AND MD.exchange = coalesce(HR.exchange, 'NSE') || '_' || HR.instrument_type
-        WHERE coalesce(HR.exchange_token, '') <> '' AND coalesce(HR.interval_name, '') <> ''
-          AND coalesce(HR.from_date, '') <> '' AND coalesce(HR.to_date, '') <> ''
-          AND coalesce(HR.instrument_type, '') <> '')""",
-    """HIST AS (SELECT RES.request_id, C.exchange_token, C.datetime, C.open, C.high, C.low, C.close, C.volume,
-         C.oi, C.trade_date FROM RES JOIN C ON C.exchange_token = RES.token_int
-         AND C.trade_date BETWEEN CAST(RES.from_date AS DATE) AND CAST(RES.to_date AS DATE))"""))
+  AND EXISTS (SELECT 1 FROM HIST WHERE HIST.pos = RES.pos)
+  AND NOT EXISTS (SELECT 1 FROM HIST WHERE HIST.pos = RES.pos
+                  AND HIST.trade_date = DATE '2024-01-30')""", "HR", "M", "MD", "CX", "FX", extra=(
+    f"""RES AS (SELECT HR.* REPLACE (coalesce(HR.exchange, 'NSE') AS exchange), try_cast(HR.exchange_token AS BIGINT) AS token_int,
+          {_HR_SERIES} AS series FROM HR JOIN MD ON {_HR_MATCH} WHERE NOT ({_HR_NULL}) AND {_HR_SERIES} IS NOT NULL)""",
+    """HIST AS (SELECT RES.request_id, RES.pos, RES.exchange, CX.exchange_token, RES.interval_name, CX.datetime, CX.open, CX.high,
+         CX.low, CX.close, CX.volume, CX.oi, CX.trade_date FROM RES JOIN CX ON CX.exchange_token = RES.token_int
+         AND CX.exchange = RES.exchange AND CX.interval_name = RES.series
+         AND CX.trade_date BETWEEN CAST(RES.from_date AS DATE) AND CAST(RES.to_date AS DATE))"""))
+ORACLE["historical_rejects"] = with_views(f"""SELECT request_id, pos, reason FROM (SELECT request_id, pos,
+  CASE WHEN {_HR_NULL} THEN 'missing_parameters' WHEN {_HR_SERIES} IS NULL THEN 'bad_interval'
+       WHEN NOT EXISTS (SELECT 1 FROM MD WHERE {_HR_MATCH}) THEN 'not_in_master' END AS reason FROM HR)
+WHERE reason IS NOT NULL""", "HR", "MD")
+ORACLE["historical_stored"] = with_views("""SELECT HX.request_id, HX.pos, CX.exchange, CX.exchange_token, CX.datetime, CX.open,
+  CX.high, CX.low, CX.close, CX.volume, CX.oi FROM HX JOIN CX ON CX.exchange = HX.exchange
+  AND CX.exchange_token = HX.exchange_token AND CX.interval_name = HX.interval_name
+  AND CX.trade_date BETWEEN HX.from_date AND HX.to_date""", "HX", "CX")
+ORACLE["candles_saved"] = ORACLE["candles_written"]
+for _name in ("5minute", "30minute", "day"):
+    ORACLE[f"bars_{_name}_rolled"] = ORACLE[f"bars_{_name}"]
+ORACLE["bars_incremental"] = ORACLE["bars_1minute"]
+ORACLE["chunk_coverage_items"] = with_views("""SELECT R.request_id, R.exchange, R.exchange_token, count(n) AS n_chunks,
+  CAST(coalesce(sum(CASE WHEN n = 0 THEN 1 ELSE 0 END), 0) AS BIGINT) AS empty_chunks, CAST(coalesce(sum(n), 0) AS BIGINT) AS n_candles,
+  CAST(coalesce(sum(CASE WHEN chunk_no % 2 = 1 AND R.exchange_token % 10 = 3 THEN 1 ELSE 0 END), 0) AS BIGINT) AS failed_chunks,
+  CASE WHEN sum(n) > 0 THEN 1 ELSE 0 END AS retrieved
+FROM (SELECT DISTINCT request_id, exchange, exchange_token FROM HX) R LEFT JOIN (
+  SELECT CH.request_id, CH.exchange, CH.exchange_token, CH.pos, CH.chunk_no, count(XD.trade_date) AS n
+  FROM (SELECT HX.*, k AS chunk_no, from_date + CAST(k * 5 AS INTEGER) AS chunk_from,
+               least(from_date + CAST(k * 5 + 4 AS INTEGER), to_date) AS chunk_to
+        FROM (SELECT HX.*, unnest(generate_series(0, CAST((to_date - from_date) // 5 AS BIGINT))) AS k
+              FROM HX WHERE from_date <= to_date AND to_date < DATE '9999-01-01') HX) CH
+  LEFT JOIN XD ON XD.exchange = CH.exchange AND XD.exchange_token = CH.exchange_token
+    AND XD.trade_date BETWEEN CH.chunk_from AND CH.chunk_to
+  GROUP BY 1, 2, 3, 4, 5) G ON G.request_id = R.request_id AND G.exchange = R.exchange AND G.exchange_token = R.exchange_token
+GROUP BY 1, 2, 3""", "HX", "XD")
 ORACLE["stream_enrich"] = with_views("""SELECT pos, instrument_token, exchange_token, trading_symbol,
   instrument_type, last_price, volume, oi FROM E""", "E")
 ORACLE["stream_ltp"] = ORACLE["ltp"]
-ORACLE["historical_stored"] = ORACLE["historical"]
 ORACLE["master_written"] = ORACLE["unified_master"]
 ORACLE["stream_quotes_merged"] = ORACLE["quotes_merged"]
 ORACLE["stream_bars"] = with_views(f"""SELECT {CANDLE_SEL} FROM B1

@@ -295,22 +295,55 @@ def batch_keys_view(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.concat(F.lit("NSE_EQ|"), F.col("user_id").cast("string")).alias("instrument_key"))
 
 
+@view
+def exchange_candles_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CX: day and 30-minute candles of TX, two exchanges that use the same tokens."""
+    t = exchange_ticks_view(spark, sf_dir)
+    out = None
+    for name in ("day", "30minute"):
+        b = bars(t, name).withColumn("interval_name", F.lit(name))
+        b = b.select("exchange", "exchange_token", "interval_name", "datetime", "open", "high", "low", "close", "volume",
+                     "oi", "trade_date")
+        out = b if out is None else out.unionByName(b)
+    return out
+
+
+@view
+def exchange_history_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """HX: H's items over CX, four to a request; some ask for all time or for ten weeks."""
+    h = history_requests_view(spark, sf_dir)
+    ok = F.col("request_id")
+    return h.select(
+        F.floor(ok / 4).cast("long").alias("request_id"), ok.alias("pos"),
+        F.when(ok % 2 == 0, "NSE").otherwise("BSE").alias("exchange"), "exchange_token",
+        F.when(ok % 3 == 0, "30minute").otherwise("day").alias("interval_name"),
+        F.when(ok % 16 == 0, F.lit("0001-01-01")).when(ok % 16 == 1, F.lit("2023-12-15"))
+         .otherwise(F.date_format("from_date", "yyyy-MM-dd")).cast("date").alias("from_date"),
+        F.when(ok % 16 == 0, F.lit("9999-12-31")).when(ok % 16 == 1, F.lit("2024-02-20"))
+         .otherwise(F.date_format("to_date", "yyyy-MM-dd")).cast("date").alias("to_date"))
+
+
 @view
 def history_service_requests_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """HR: H as the history endpoint receives it -- strings, with the instrument's
-    exchange and type from the master, some missing parameters and wrong types."""
+    """HR: H's items as the history endpoint receives them, four to a request -- strings, with the
+    exchange and type from the master (or the token's other exchange), several names of one
+    interval, instruments without candles, missing parameters, wrong types, unknown intervals."""
     h = history_requests_view(spark, sf_dir)
     m = master_view(spark, sf_dir).select(F.col("exchange_token").alias("_mt"), "venue",
                                           F.col("exchange").alias("_mx"))
+    ok = F.col("request_id")
+    h = h.withColumn("exchange_token", F.col("exchange_token") + F.when(ok % 11 == 3, n_tokens(spark, sf_dir)).otherwise(0))
     j = h.join(m, h["exchange_token"] == m["_mt"], "left")
-    rid = F.col("request_id")
+    other = (F.col("exchange_token") % 3 == 0) & (ok % 2 == 0)
     return j.select(
-        "request_id",
-        F.when(rid % 170 == 0, F.lit("")).otherwise(F.col("exchange_token").cast("string")).alias("exchange_token"),
-        F.col("venue").alias("exchange"),
-        F.when(rid % 13 == 0, F.lit("PROMO")).otherwise(F.split_part("_mx", F.lit("_"), F.lit(2)))
+        F.floor(ok / 4).cast("long").alias("request_id"), ok.alias("pos"),
+        F.when(ok % 170 == 0, F.lit("")).otherwise(F.col("exchange_token").cast("string")).alias("exchange_token"),
+        F.when(other, F.when(F.col("venue") == "NSE", "BSE").when(F.col("venue") == "BSE", "NSE"))
+         .otherwise(F.col("venue")).alias("exchange"),
+        F.when(ok % 13 == 0, F.lit("PROMO")).otherwise(F.split_part("_mx", F.lit("_"), F.lit(2)))
          .alias("instrument_type"),
-        F.when(rid % 190 == 0, F.lit(None).cast("string")).otherwise(F.lit("day")).alias("interval_name"),
+        F.when(ok % 190 == 0, F.lit(None).cast("string")).when(ok % 23 == 0, "2hour").when(ok % 29 == 0, "5minute")
+         .when(ok % 4 == 0, "day").when(ok % 4 == 1, "1day").when(ok % 4 == 2, "1d").otherwise("30minute").alias("interval_name"),
         F.date_format("from_date", "yyyy-MM-dd").alias("from_date"),
         F.date_format("to_date", "yyyy-MM-dd").alias("to_date"),
     )

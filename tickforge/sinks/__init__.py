@@ -3,3 +3,4 @@
 from tickforge.sinks.outputs import (  # noqa: F401
     list_master, request_status, write_candles, write_master, write_ticks,
 )
+from tickforge.sinks.stores import BarStore, save_candles  # noqa: F401

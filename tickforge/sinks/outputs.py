@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickforge.functions.exprs import MARKET_TZ, to_market_time
-from tickforge.schemas import CANDLE_COLUMNS
+from tickforge.sinks.stores import candle_layout
 
 
 def list_master(master: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -23,19 +23,20 @@ def write_master(master: DataFrame, path: str, partition_col: str = "broker",
     w.parquet(path)
 
 
-def write_candles(candles: DataFrame, path: str, key: str = "exchange_token",
+def write_candles(candles: DataFrame, path: str, key: str | list[str] | None = None,
                   fmt: str = "parquet", mode: str = "overwrite") -> None:
-    """Write candles with exactly the record columns, partitioned by
-    ``trade_date`` and sorted by time inside each file (O08).
+    """Write candles with the record columns and every column that identifies their series
+    (``key``, and of broker, exchange, token, instrument key and interval those present),
+    partitioned by ``trade_date`` and sorted by instrument and time inside each file (O08).
 
     Rebalancing on ``trade_date`` gives each day few files, and AQE splits only a
     day too large for one task.  Overwriting replaces the days written and keeps
-    the others.
+    the others.  ``save_candles`` keeps a bucketed table instead.
     """
-    cols = [key, *CANDLE_COLUMNS, "trade_date"]
+    keys, cols = candle_layout(candles, key)
     out = (candles.select(*cols)
            .hint("rebalance", "trade_date")
-           .sortWithinPartitions("trade_date", key, "datetime"))
+           .sortWithinPartitions("trade_date", *keys, "datetime"))
     out.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("trade_date").format(fmt).save(path)
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from tickforge.functions.exprs import MARKET_TZ, format_local
 from tickforge.functions.intervals import INTERVALS
-from tickforge.operators.bars import TICK_KEY, ohlc_aggs, ohlc_out, tick_order
+from tickforge.operators.bars import keys_of, ohlc_aggs, ohlc_out, tick_order
 from tickforge.operators.quotes import enrich_quotes, merge_quote_batches
 from tickforge.sources.payloads import parse_quotes
 
@@ -77,14 +77,15 @@ def stream_merged_quotes(payloads: DataFrame, master: DataFrame,
     return merge_quote_batches(enriched, key_cols=key_cols)
 
 
-def stream_ltp(ticks: DataFrame, key: str = TICK_KEY) -> DataFrame:
-    """Running last price per instrument (state: one row per instrument)."""
-    return ticks.groupBy(key).agg(F.max_by("price", tick_order()).alias("last_price"),
+def stream_ltp(ticks: DataFrame, key: str | list[str] | None = None) -> DataFrame:
+    """Running last price per instrument (state: one row per instrument); ``key`` is by default
+    what identifies one in ``ticks``."""
+    return ticks.groupBy(*keys_of(ticks, key)).agg(F.max_by("price", tick_order()).alias("last_price"),
                                   F.max(F.col("ts").cast("timestamp")).alias("last_ts"))
 
 
 def stream_bars(ticks: DataFrame, interval: str = "1minute", lateness: str = "10 minutes",
-                tz: str = MARKET_TZ, key: str = TICK_KEY, dedup: bool = True) -> DataFrame:
+                tz: str = MARKET_TZ, key: str | list[str] | None = None, dedup: bool = True) -> DataFrame:
     """Bars in event time, emitted once their window is behind the watermark.
 
     Windows are laid on UTC instants with a start offset so that they begin on
@@ -99,9 +100,10 @@ def stream_bars(ticks: DataFrame, interval: str = "1minute", lateness: str = "10
     if dedup:
         s = s.dropDuplicatesWithinWatermark(["event_id"])
     w = F.window("ts", dur, dur, f"{offset} seconds")
-    agg = s.groupBy(F.col(key), w.alias("_w")).agg(*ohlc_aggs())
+    keys = keys_of(ticks, key)
+    agg = s.groupBy(*keys, w.alias("_w")).agg(*ohlc_aggs())
     local = F.from_utc_timestamp(F.col("_w.start"), tz)
-    return agg.select(F.col(key), format_local(local).alias("datetime"),
+    return agg.select(*keys, format_local(local).alias("datetime"),
                       *ohlc_out(with_last_ts=False),
                       F.col("_w.end").alias("window_end"))
 

@@ -240,6 +240,7 @@ def test_divergence_folds_copies_within_bounds(spark, monkeypatch):
     import tickforge.llm.divergence as divergence
     monkeypatch.setattr(divergence, "FOLD_BYTES", 500)
     monkeypatch.setattr(divergence, "PASS_BYTES", 300)
+    monkeypatch.setattr(divergence, "HELD_ROWS", 40)
     import pyarrow as pa
     rows = divergence_rows()
     batch = pa.RecordBatch.from_arrays([pa.array([x or "" for x in c]) for c in zip(*[(la, s, t) for t, la, s in rows])],

@@ -29,7 +29,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,7 +39,9 @@ SCALE = 1_000_000_000
 #: Bytes of distinct text that a task folds before it passes them on.
 FOLD_BYTES = 32 << 20
 #: Bytes of text tokenized by one numpy pass.
-PASS_BYTES = 1 << 20
+PASS_BYTES = 2 << 20
+#: Counted rows that a task holds before it adds them up.
+HELD_ROWS = 1_500_000
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -141,29 +142,48 @@ def _count_texts(lang: str, rows: list[tuple[str, dict[str, int]]]) -> pa.Table:
     return pa.concat_tables(out) if out else None
 
 
+def _added(tables: list[pa.Table]) -> pa.Table:
+    """Counts of equal (lang, term, source) added up."""
+    whole = pa.concat_tables(tables).combine_chunks()
+    out = whole.group_by(["lang", "term", "source"]).aggregate([("n", "sum"), ("df", "sum")])
+    return out.select(["lang", "term", "source", "n_sum", "df_sum"]).rename_columns(["lang", "term", "source", "n", "df"])
+
+
 def _tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Folds sorted by (lang, digest): those of one text meet, then it is tokenized once."""
+    """Folds sorted by (lang, digest): those of one text meet, then it is tokenized once.  Counts
+    are added up within the task before they are passed on."""
     lang, rows, size, last = None, [], 0, None
+    counted: list[pa.Table] = []
+    held = 0
 
-    def flush():
+    def count():
+        nonlocal held
         table = _count_texts(lang, rows)
-        return table.to_batches() if table is not None else []
+        if table is not None:
+            counted.append(table)
+            held += table.num_rows
 
     for batch in batches:
         for la, digest, text, sources, times in zip(*(batch.column(i).to_pylist() for i in range(5))):
             if (la, digest) == last:
-                held = rows[-1][1]
+                by_source = rows[-1][1]
                 for s, k in zip(sources, times):
-                    held[s] = held.get(s, 0) + k
+                    by_source[s] = by_source.get(s, 0) + k
                 continue
-            if rows and (la != lang or size > 4 * PASS_BYTES):
-                yield from flush()
+            if rows and (la != lang or size > PASS_BYTES):
+                count()
                 rows, size = [], 0
+                if held > HELD_ROWS:
+                    counted, held = [_added(counted)], 0
+                    if counted[0].num_rows > HELD_ROWS // 2:
+                        yield from counted.pop().to_batches(max_chunksize=100_000)
             lang, last = la, (la, digest)
             rows.append((text, dict(zip(sources, times))))
             size += len(text)
     if rows:
-        yield from flush()
+        count()
+    if counted:
+        yield from _added(counted).to_batches(max_chunksize=100_000)
 
 
 def collapse(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
@@ -174,18 +194,27 @@ def collapse(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", so
     return rows.mapInArrow(_fold, _FOLDED)
 
 
-def term_counts(folded: DataFrame) -> DataFrame:
-    """(lang, term, source, n, df): occurrences of a term in a source, and its documents that hold it."""
+def term_counts(folded: DataFrame, min_docs: int) -> DataFrame:
+    """(lang, term, source, n, lang_n): occurrences in a source and in the language of the terms that
+    at least ``min_docs`` of its documents hold."""
     met = folded.repartition("lang", "digest").sortWithinPartitions("lang", "digest")
     counted = met.mapInArrow(_tokenize, "lang string, term string, source string, n long, df long")
-    return counted.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
+    # One shuffle by term serves both the counts per source and those of the language.
+    counts = (counted.repartition("lang", "term").groupBy("lang", "term", "source")
+              .agg(F.sum("n").alias("n"), F.sum("df").alias("df")))
+    term = Window.partitionBy("lang", "term")
+    return (counts.withColumns({"lang_n": F.sum("n").over(term), "lang_df": F.sum("df").over(term)})
+            .where(F.col("lang_df") >= min_docs).select("lang", "term", "source", "n", "lang_n"))
 
 
 def _p(count: Column, total: Column, kept: Column) -> Column:
-    """1 + floor(scale * (count + 1) / (total + kept)), exact for any count."""
+    """1 + floor(scale * (count + 1) / (total + kept)), exact for any count; never above the
+    scale by more than one, so it is a long."""
     top = (count + 1).cast("decimal(28,0)") * F.lit(SCALE).cast("decimal(10,0)")
-    # An integer quotient; never above the scale itself, so it is a long again.
-    return F.call_function("div", top, (total + kept).cast("decimal(28,0)")) + 1
+    exact = F.call_function("div", top, (total + kept).cast("decimal(28,0)"))
+    # Up to here the product is a long itself.
+    fits = count < (1 << 63) // SCALE - 1
+    return F.when(fits, F.call_function("div", (count + 1) * F.lit(SCALE), total + kept)).otherwise(exact) + 1
 
 
 def _f(p: Column, q: Column) -> Column:
@@ -206,10 +235,7 @@ def source_divergence(docs: DataFrame, text_col: str = "text", lang_col: str = "
 
     def read(c):
         return F.coalesce(F.col(c).cast("string"), F.lit(""))
-    counts = stored(term_counts(collapse(docs, text_col, lang_col, source_col)), "counts")
-    kept = (counts.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"), F.sum("df").alias("df"))
-            .where(F.col("df") >= min_docs).drop("df"))
-    held = stored(counts.drop("df").join(kept, ["lang", "term"]), "held")
+    held = stored(term_counts(collapse(docs, text_col, lang_col, source_col), min_docs), "held")
 
     # One row per group, terms or not: size, terms it holds, the p of a term it lacks.
     lang = (held.groupBy("lang", "term").agg(F.first("lang_n").alias("c"))
@@ -221,10 +247,9 @@ def source_divergence(docs: DataFrame, text_col: str = "text", lang_col: str = "
     zero = F.when(F.col("v") > 0, _p(F.lit(0), F.col("total"), F.col("v")))
     groups = stored(groups.withColumn("p0", zero), "groups")
 
-    sized = held.join(groups, ["lang", "source"])
-    own = sized.select("lang", "source", "term", "n", _p(F.col("n"), F.col("total"), F.col("v")).alias("p"), "p0",
-                       _p(F.col("lang_n"), F.col("lang_total"), F.col("v")).alias("q"))
-    own = stored(own, "own")
+    own = held.join(groups, ["lang", "source"]).select(
+        "lang", "source", "term", _p(F.col("n"), F.col("total"), F.col("v")).alias("p"), "p0",
+        _p(F.col("lang_n"), F.col("lang_total"), F.col("v")).alias("q"))
 
     by_value = Window.partitionBy("lang", "source").orderBy(F.col("value").desc(), "item")
     term = (own.where("p > q").select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"),
@@ -241,11 +266,9 @@ def source_divergence(docs: DataFrame, text_col: str = "text", lang_col: str = "
     # Terms that both hold: their value, without what the two sums above took for them.
     a = own.select("lang", "term", "source", "p", "p0")
     b = own.select("lang", "term", F.col("source").alias("item"), F.col("p").alias("q"), F.col("p0").alias("q0"))
-    both = (a.join(b, ["lang", "term"]).where("source <> item").groupBy("lang", "source", "item", "p", "q", "p0", "q0")
-            .agg(F.count(F.lit(1)).alias("k")))
-    p, q, p0, q0, k = (F.col(c) for c in ("p", "q", "p0", "q0", "k"))
-    shared = both.groupBy("lang", "source", "item").agg(
-        F.sum(k * (_f(p, q) - _f(p, q0) - _f(p0, q) + _f(p0, q0))).alias("value"))
+    p, q, p0, q0 = (F.col(c) for c in ("p", "q", "p0", "q0"))
+    shared = (a.join(b, ["lang", "term"]).where("source <> item").groupBy("lang", "source", "item")
+              .agg(F.sum(_f(p, q) - _f(p, q0) - _f(p0, q) + _f(p0, q0)).alias("value")))
     # Terms that neither holds (terms of both are counted twice here, and put right above).
     g, o = groups.alias("g"), groups.alias("o")
     pairs = (g.join(o, F.col("g.lang") == F.col("o.lang")).where("g.source <> o.source")

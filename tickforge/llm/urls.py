@@ -4,15 +4,18 @@ Rules decide first: a rule is a host and a path prefix; it fits its host and all
 when the url's path starts with the rule's, and the longest fitting rule wins.  The urls that
 rules decide are the labelled urls; trees are boosted on their lexical features -- length,
 depth, digit ratio, entropy, parameter and hyphen counts, host labels, and how often urls of the
-same host suffix are blocked -- and judge the urls that no rule fits.
+same host suffix and domain are blocked -- and judge the urls that no rule fits.
 
-The trees are fitted on at most ``sample`` labelled urls (smallest hash first, so the choice does
-not depend on how the table is cut); features are computed and urls judged for the whole table.  The
-rules are a bounded parameter and become part of the expression; suffix statistics come from
-the sample, so they are bounded too.
+Suffix and domain statistics are taken from all distinct labelled urls, by aggregation and a
+shuffle join.  The trees are fitted on urls of one half (by hash) with the rates of the other half, so
+no training row's label shows in its rates -- leaving out just its own would show it, reversed.  Only the rows that the trees
+are fitted on are bounded: ``sample`` distinct urls of their half, smallest hash first.  So neither the
+cut of the table, nor repeats of a url, nor further rows of other domains change what a page's
+features are.  The rules are a bounded parameter and become part of the expression.
 
 Nulls: a NULL url, or one without ``://``, has an empty host and path.  Without labelled
-urls of both kinds there is nothing to learn: the rest is allowed (or takes the only label).
+urls of both kinds there is nothing to learn: the rest is allowed (or takes the only, or the more frequent, label).
+Repeated rows give repeated rows, judged alike; an empty table gives none.
 """
 
 from __future__ import annotations
@@ -76,43 +79,70 @@ def lexical(urls: DataFrame) -> DataFrame:
             .drop("_chars"))
 
 
-def _with_rates(rows: DataFrame, stats: dict[str, DataFrame], prior: float) -> DataFrame:
+#: Tasks that the urls of one suffix or domain are dealt over when they are joined with its rate.
+_SALTS = 16
+
+
+def _with_rates(rows: DataFrame, stats: dict[str, DataFrame], prior: float, weight: float,
+                half: bool = False) -> DataFrame:
+    """``<k>_rate`` per suffix and domain, drawn to ``prior`` with ``weight``; ``half``: of the urls that no
+    tree is fitted on."""
+    rows = rows.withColumn("_salt", F.pmod(F.xxhash64("url"), F.lit(_SALTS)))
+    bad, n = ("_half_bad", "_half_n") if half else ("_bad", "_n")
     for k, table in stats.items():
-        rows = (rows.join(F.broadcast(table), k, "left")
-                .withColumn(f"{k}_rate", F.coalesce(f"{k}_rate", F.lit(prior))))
-    return rows
+        every = table.select(k, F.col(bad).alias("_b"), F.col(n).alias("_k"),
+                             F.explode(F.sequence(F.lit(0).cast("long"), F.lit(_SALTS - 1).cast("long"))).alias("_salt"))
+        rate = (F.coalesce("_b", F.lit(0.0)) + weight * prior) / (F.coalesce("_k", F.lit(0.0)) + weight)
+        rows = rows.join(every, [k, "_salt"], "left").withColumn(f"{k}_rate", rate).drop("_b", "_k")
+    return rows.drop("_salt")
+
+
+def _fitted_half() -> Column:
+    """Whether trees may be fitted on a url."""
+    return F.pmod(F.xxhash64("url", F.lit(1)), F.lit(2)) == 0
 
 
 class UrlModel:
     """Boosted trees over lexical features; ``constant`` when there was nothing to learn."""
 
-    def __init__(self, trees, stats: dict[str, DataFrame], prior: float, constant: str | None):
-        self.trees, self.stats, self.prior, self.constant = trees, stats, prior, constant
+    def __init__(self, trees, stats: dict[str, DataFrame], prior: float, weight: float, constant: str | None):
+        self.trees, self.stats, self.prior, self.weight, self.constant = trees, stats, prior, weight, constant
 
     def judge(self, urls: DataFrame) -> DataFrame:
         """``urls`` (with url, host, path) plus ``score``, the probability of block."""
         if self.constant is not None:
             return urls.withColumn("score", F.lit(1.0 if self.constant == "block" else 0.0))
-        rows = _with_rates(lexical(urls), self.stats, self.prior)
+        rows = _with_rates(lexical(urls), self.stats, self.prior, self.weight)
         rows = VectorAssembler(inputCols=FEATURES, outputCol="_features").transform(rows)
         scored = self.trees.transform(rows).withColumn("score", vector_to_array("probability")[1])
         return scored.select(*urls.columns, "score")
 
 
 def train_urls(labelled: DataFrame, sample: int = 20_000, trees: int = 10, depth: int = 4, weight: float = 10.0) -> UrlModel:
-    """Fit on at most ``sample`` rows of ``labelled`` (url, host, path, label: 1.0 for block)."""
-    rows = reliable(lexical(labelled.orderBy(F.xxhash64("url"), "url", "label").limit(sample)))
-    seen = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("bad")).first()
+    """Statistics from all distinct rows of ``labelled`` (url, host, path, label: 1.0 for block); trees
+    fitted on at most ``sample`` of them."""
+    known = reliable(lexical(labelled.distinct()).select("url", "host", "path", "label", "suffix", "domain"))
+    seen = known.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("bad")).first()
     if not seen.n or seen.bad in (0, seen.n):
-        return UrlModel(None, {}, 0.0, "block" if seen.n and seen.bad else "allow")
+        return UrlModel(None, {}, 0.0, weight, "block" if seen.n and seen.bad else "allow")
     prior = seen.bad / seen.n
-    stats = {k: reliable(rows.groupBy(k).agg(((F.sum("label") + weight * prior) / (F.count(F.lit(1)) + weight))
-                                             .alias(f"{k}_rate"))) for k in ("suffix", "domain")}
-    rows = _with_rates(rows, stats, prior)
-    rows = VectorAssembler(inputCols=FEATURES, outputCol="_features").transform(rows).select("_features", "label")
+    other = F.when(_fitted_half(), 0.0).otherwise(1.0)
+    stats = {k: reliable(known.groupBy(k).agg(
+        F.sum("label").alias("_bad"), F.sum(F.lit(1.0)).alias("_n"), F.sum(other * F.col("label")).alias("_half_bad"),
+        F.sum(other).alias("_half_n"))) for k in ("suffix", "domain")}
+    drawn = (known.where(_fitted_half()).select("url", "host", "path", "label")
+             .orderBy(F.xxhash64("url"), "url", "label").limit(sample))
+    if drawn.select("label").distinct().count() < 2:
+        return UrlModel(None, {}, prior, weight, "block" if prior >= 0.5 else "allow")
+    rows = _with_rates(lexical(drawn), stats, prior, weight, half=True)
+    rows = VectorAssembler(inputCols=FEATURES, outputCol="_features").transform(rows)
+    # At most `sample` rows, in a fixed order, so that a fit can be repeated.
+    rows = reliable(rows.select("_features", "label", "url").orderBy(F.xxhash64("url"), "url", "label").limit(sample)
+                    .select("_features", "label"))
+    # Each split sees a third of the features: where several tell the urls apart, all have a say.
     fit = GBTClassifier(featuresCol="_features", labelCol="label", maxIter=trees, maxDepth=depth, stepSize=0.3, seed=1,
-                        predictionCol="_prediction").fit(rows)
-    return UrlModel(fit, stats, prior, None)
+                        featureSubsetStrategy="onethird", predictionCol="_prediction").fit(rows)
+    return UrlModel(fit, stats, prior, weight, None)
 
 
 def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]], threshold: float = 0.5, id_col: str = "page_id",

@@ -5,8 +5,9 @@ words and the probabilities of all earlier categories.  The earlier probabilitie
 later model is trained on are out-of-fold predictions, so they carry the errors that they have on
 unseen documents.
 
-Training, on at most ``sample`` labelled documents (smallest hash of the id first; the bound is a
-parameter): their distinct words are counted per category over the cluster, the ``features``
+Training, on at most ``sample`` labelled texts (smallest hash of the id first; the bound is a
+parameter, and holds for rows: labels without a document use up none of it, and copies of one text
+under one id are one): their distinct words are counted per category over the cluster, the ``features``
 words with the largest G statistic are kept, and logistic models are fitted on their
 presence.  That design matrix is at most ``sample`` x ``features`` bits.  Scoring scans
 every whole text once, hashing a block's words together.
@@ -98,7 +99,7 @@ def _distinct_words(batches):
             if len(words) else np.zeros((0, 2), np.uint64)
         cuts = np.searchsorted(pairs[:, 0], np.arange(len(text) + 1, dtype=np.uint64))
         hashes = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(pairs[:, 1].copy().view(np.int64)))
-        yield pa.RecordBatch.from_arrays([rows.column("id"), hashes], names=["id", "words"])
+        yield pa.RecordBatch.from_arrays([rows.column("id"), rows.column("h"), hashes], names=["id", "h", "words"])
 
 
 def _g(a: Column, b: Column, c: Column, d: Column) -> Column:
@@ -119,12 +120,16 @@ def train_chain(docs: DataFrame, labels: DataFrame, categories: dict[str, Column
     known = labels.select(F.col(id_col).alias("id"), *[c.cast("int").alias(f"y{k}") for k, c in
                                                        enumerate(categories.values())])
     known = known.dropna().groupBy("id").agg(*[F.max(f"y{k}").alias(f"y{k}") for k in range(len(names))])
-    known = known.orderBy(F.xxhash64("id"), "id").limit(sample)
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    # The sample is bounded, so the documents need no shuffle.
-    drawn = texts.join(F.broadcast(known), "id", "left_semi")
-    words = drawn.mapInArrow(_distinct_words, f"id {dict(docs.dtypes)[id_col]}, words array<long>")
-    rows = reliable(words.join(F.broadcast(known), "id"))
+    text = F.col(text_col).cast("string")
+    texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("h"), text.alias("text"))
+    # Bounded rows are drawn from those that exist; an id held by many rows is folded before it is shuffled.
+    pairs = (texts.select("id", "h").distinct().join(known, "id")
+             .orderBy(F.xxhash64("id"), "id", "h").limit(sample))
+    pairs = reliable(pairs)
+    drawn = texts.join(F.broadcast(pairs.select("id", "h")), ["id", "h"], "left_semi")
+    words = (drawn.mapInArrow(_distinct_words, f"id {dict(docs.dtypes)[id_col]}, h long, words array<long>")
+             .dropDuplicates(["id", "h"]))
+    rows = reliable(words.join(F.broadcast(pairs), ["id", "h"]))
     ys = [f"y{k}" for k in range(len(names))]
     totals = rows.agg(F.count(F.lit(1)).alias("n"), *[F.coalesce(F.sum(y), F.lit(0)).alias(y) for y in ys]).first()
     per_word = (rows.select(*ys, F.explode("words").alias("word")).groupBy("word")

@@ -18,7 +18,9 @@ from tickforge.llm.decontam import contamination, drop_contaminated
 from tickforge.llm.licenses import TEXTS, scan_licenses
 from tickforge.llm.lines import CuckooFilter, LineIndex
 from tickforge.llm.packing import best_fit, complete_bins, fillings, lower_bound, pack, search_bins
-from tickforge.llm.simhash import allocate, bit_statistics, fingerprint_of, probes, simhash_dedup, simhash_links
+from tickforge.llm.simhash import (
+    allocate, bit_statistics, fingerprint_of, keep_one_per_group, probes, simhash_dedup, simhash_links,
+)
 from tickforge.llm.tokens import huge_counts, token_counts
 from tickforge.llm.toxicity import drop_toxic, score_toxicity, train_chain
 from tickforge.llm.urls import filter_urls
@@ -197,6 +199,68 @@ def test_url_trees_held_out(spark):
     assert np.mean([(r.verdict == "block") == (r.page_id % 2 == 1) for r in got]) > 0.95
 
 
+def rule_by_hand(url, rules):
+    url = url or ""
+    rest = url.split("://", 1)[1] if "://" in url else ""
+    host = re.match(r"[^/?#]*", rest).group()
+    path = re.match(r"[^?#]*", rest[len(host):]).group()
+    host = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in host)
+    fits = [(len(h) + len(p), h + p, v) for h, p, v in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    _, rule, verdict = max(fits, default=(0, None, None))
+    return host, path, rule, verdict
+
+
+URL_SQL = """
+WITH u AS (SELECT page_id, CASE WHEN instr(coalesce(url, ''), '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+p AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+r(h, x, verdict) AS (VALUES {rules})
+SELECT page_id, host, path, rule, verdict FROM (
+  SELECT p.*, r.h || r.x AS rule, verdict, row_number() OVER (PARTITION BY page_id ORDER BY length(r.h || r.x) DESC NULLS LAST) AS k
+  FROM p LEFT JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, x)) WHERE k = 1
+"""
+
+
+def test_url_rules_against_brute_force_and_sql(spark):
+    import duckdb
+    from tickforge.llm.queries import URL_RULES
+    rng = np.random.default_rng(8)
+    parts = ["example", "EXAMPLE", "org", "com", "net", ".", ".", "/", "/es/", "/en/1", "/de/", "/fr/", "?", "#", "://", "http://",
+             "é", "a", " ", "\n"]
+    urls = ["".join(rng.choice(parts, rng.integers(0, 9))) for _ in range(1500)] + [None, "", "http://example.org", "x://.org/"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: r for r in filter_urls(pages, URL_RULES).collect()}
+    want = [rule_by_hand(u, URL_RULES) for u in urls]
+    assert [(got[k].host, got[k].path, got[k].rule) for k in range(len(urls))] == [w[:3] for w in want]
+    assert all(got[k].verdict == w[3] for k, w in enumerate(want) if w[3])
+    assert {r.verdict for r in got.values()} <= {"allow", "block"}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages AS SELECT * FROM '/root/testdata/sf0.001/pages.parquet'")
+    sql = con.sql(URL_SQL.format(rules=", ".join(map(str, URL_RULES)))).fetchall()
+    job = filter_urls(spark.read.parquet("/root/testdata/sf0.001/pages.parquet"), URL_RULES)
+    assert sorted(tuple(r) for r in job.select("page_id", "host", "path", "rule").collect()) == sorted(r[:4] for r in sql)
+    ruled = job.where("rule IS NOT NULL").select("page_id", "verdict").collect()
+    assert sorted(map(tuple, ruled)) == sorted((r[0], r[4]) for r in sql if r[4])
+
+
+def test_url_verdicts_do_not_depend_on_repeats(spark):
+    """25,000 copies of one labelled url, more than the sample, change no other page's score."""
+    rules = [("good.com", "/", "allow"), ("bad.com", "/", "block"), ("good.net", "/", "allow")]
+    urls = [f"http://{'good' if k % 2 else 'bad'}.com/{'news' if k % 2 else k * 7919}/{k}" for k in range(600)]
+    open_ = [f"http://h{k}.net/{k * 104729}/{k}" for k in range(200)] + ["http://x.com/news/1"]
+    rows = list(enumerate(urls + open_))
+    once = {r.page_id: (r.verdict, r.score) for r in filter_urls(
+        spark.createDataFrame(rows, "page_id long, url string"), rules).collect()}
+    again = rows + [(100_000 + k, "http://good.net/a") for k in range(25_000)]
+    rows1 = rows + [(100_000, "http://good.net/a")]
+    one = {r.page_id: (r.verdict, r.score) for r in filter_urls(
+        spark.createDataFrame(rows1, "page_id long, url string"), rules).collect()}
+    many = {r.page_id: (r.verdict, r.score) for r in filter_urls(
+        spark.createDataFrame(again, "page_id long, url string").repartition(7), rules).collect()}
+    assert all(many[k] == one[k] for k, _ in rows) and len(once) == len(rows)
+    assert {many[k][0] for k in range(100_000, 125_000)} == {"allow"}
+
+
 # --------------------------------------------------------------- 5 decontamination
 
 def tokens(text):
@@ -439,6 +503,37 @@ def test_toxicity(spark):
     assert score_toxicity(docs.limit(0), chain).count() == 0
 
 
+def test_toxicity_sample_bounds_rows(spark, monkeypatch):
+    """A labelled id held by many rows and labels without a document neither fill nor break the bound."""
+    import tickforge.llm.toxicity as toxicity
+    rows = [(k, f"plain words number {k}" + (" scum" if k % 2 else "")) for k in range(40)]
+    rows += [(0, f"same id text {k % 50}") for k in range(400)]
+    docs = frame(spark, rows)
+    marks = spark.createDataFrame([(k, int(k % 2)) for k in range(40)] + [(10_000 + k, 1) for k in range(500)], "doc_id long, toxic int")
+    seen = []
+    fit = toxicity.Chain.fit
+    monkeypatch.setattr(toxicity.Chain, "fit", lambda self, x, *rest: seen.append(len(x)) or fit(self, x, *rest))
+    train_chain(docs, marks, {"toxic": F.col("toxic") == 1})
+    assert seen.pop() == 40 + 50            # distinct texts of existing ids
+    chain = train_chain(docs, marks, {"toxic": F.col("toxic") == 1}, sample=60)
+    assert seen.pop() == 60
+    got = {r.doc_id: r.toxic for r in score_toxicity(docs.where("doc_id > 0"), chain).collect()}
+    assert np.mean([got[k] == bool(k % 2) for k in got]) > 0.9
+
+
+def test_one_row_of_each_simhash_group_stays(spark):
+    a, b, c, e = (" ".join(words_of(40, k)) for k in (1, 2, 3, 4))
+    rows = [(1, a), (1, b), (2, c), (3, c), (3, e), (3, e), (None, a), (None, None), (4, None), (5, ""), (9, a)]
+    docs = spark.createDataFrame([(i, t, f"x{k}", k) for k, (i, t) in enumerate(rows)],
+                                 "doc_id long, text string, _each string, row int").repartition(4)
+    got = keep_one_per_group(docs)
+    assert got.columns == docs.columns
+    kept = sorted(((r.doc_id, r.text) for r in got.collect()), key=repr)
+    assert kept == sorted([(1, a), (1, b), (2, c), (3, e), (None, a), (None, None), (4, None)], key=repr)
+    assert {tuple(r) for r in got.collect()} <= {tuple(r) for r in docs.collect()}
+    assert keep_one_per_group(docs.limit(0)).count() == 0
+
+
 # --------------------------------------------------------------- 10 embeddings
 
 def test_multi_sequence():

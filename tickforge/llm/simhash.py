@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickforge.llm.common import blocks, connected_components, forest, reliable, ship
+from tickforge.session import staging_dir
 
 BITS = 64
 _CHUNK = 1 << 15
@@ -285,6 +286,16 @@ def simhash_links(distinct: DataFrame, max_bits: int = 3, block: int = 8192) ->
             .mapInArrow(_verify(max_bits), "a long, b long").distinct())
 
 
+def _groups(fps: DataFrame, max_bits: int) -> DataFrame:
+    """(fp, rep, component): per distinct fingerprint of rows with an id their smallest id and the
+    smallest fingerprint reachable.  Ids may repeat, so fingerprints are the nodes."""
+    distinct = reliable(fps.where("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("rep")))
+    nodes = distinct.select("fp", F.col("fp").alias("rep"))
+    comp = connected_components(simhash_links(nodes, max_bits))
+    return distinct.join(comp, distinct["fp"] == comp["node"], "left").select(
+        "fp", "rep", F.coalesce("component", "fp").alias("component"))
+
+
 def simhash_dedup(docs: DataFrame, shingle: int = 3, max_bits: int = 3, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
     """``doc_id``, ``fingerprint`` (16 hex digits) and ``component_id`` for every row of ``docs``.
@@ -292,15 +303,47 @@ def simhash_dedup(docs: DataFrame, shingle: int = 3, max_bits: int = 3, id_col:
     Repeated rows give repeated output rows; an empty table gives none.
     """
     fps = reliable(fingerprints(docs, shingle, id_col, text_col))
-    distinct = reliable(fps.where("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("rep")))
-    # Two fingerprints can share a smallest doc_id when rows repeat an id: those nodes are one,
-    # so ids are told apart by the fingerprint itself.
-    nodes = distinct.select("fp", F.col("fp").alias("rep"))
-    comp = connected_components(simhash_links(nodes, max_bits))
-    joined = distinct.join(comp, distinct["fp"] == comp["node"], "left").select(
-        "fp", "rep", F.coalesce("component", "fp").alias("component"))
+    joined = _groups(fps, max_bits)
     least = joined.groupBy("component").agg(F.min("rep").alias("component_id"))
     by_fp = joined.join(least, "component").select("fp", "component_id")
     return (fps.join(by_fp, "fp", "left")
             .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                     F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")))
+
+
+def keep_one_per_group(docs: DataFrame, shingle: int = 3, max_bits: int = 3, id_col: str = "doc_id",
+                       text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each group of linked rows one stays.
+
+    It is the row with the smallest id; among rows that share it the one with the smallest hash
+    of text, then of its other columns.  Different texts under one id that do not link all stay, each for its own
+    group; rows without an id link with nothing and stay.  Columns of any name are kept.
+    """
+    folder = staging_dir(docs.sparkSession, "simhash-rows")
+    names = docs.columns
+    plain = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
+    # Row numbers are written down with the rows, so that a retried task cannot renumber them.
+    plain.withColumn("row", F.monotonically_increasing_id()).write.parquet(folder)
+    rows = docs.sparkSession.read.parquet(folder)
+    doc, text = f"c{names.index(id_col)}", f"c{names.index(text_col)}"
+    fps = reliable(_row_fingerprints(rows.where(F.col(doc).isNotNull()), shingle, doc, text))
+    by_fp = _groups(fps, max_bits).select("fp", "component")
+    order = F.struct("doc_id", "text_hash", "row_hash", "row")
+    first = fps.join(by_fp, "fp").groupBy("component").agg(F.min(order).alias("o")).select(F.col("o.row").alias("row"))
+    kept = rows.join(first, "row", "left_semi").unionByName(rows.where(F.col(doc).isNull()))
+    return kept.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])
+
+
+def _row_fingerprints(rows: DataFrame, shingle: int, doc: str, text: str) -> DataFrame:
+    """(row, doc_id, fp, text_hash, row_hash) of numbered rows."""
+    def scan(batches):
+        for batch, texts in blocks(batches, "text"):
+            fp = np.fromiter((fingerprint_of(t, shingle) for t in texts.to_pylist()), np.uint64, len(texts))
+            keep = [batch.column(c) for c in ("row", "doc_id", "text_hash", "row_hash")]
+            yield pa.RecordBatch.from_arrays([*keep, pa.array(fp.view(np.int64))], names=["row", "doc_id", "text_hash", "row_hash", "fp"])
+
+    ship(rows.sparkSession)
+    every = [F.col(c).cast("string") for c in rows.columns if c not in ("row", text)]
+    return (rows.select("row", F.col(doc).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"),
+                        F.xxhash64(*every).alias("row_hash"), F.col(text).cast("string").alias("text"))
+            .mapInArrow(scan, "row long, doc_id long, text_hash long, row_hash long, fp long"))

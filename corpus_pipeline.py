@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tickforge.llm.decontam import drop_contaminated
 from tickforge.llm.lines import LineIndex
 from tickforge.llm.packing import pack
-from tickforge.llm.simhash import simhash_dedup
+from tickforge.llm.simhash import keep_one_per_group
 from tickforge.llm.toxicity import Chain, drop_toxic, train_chain
 from tickforge.session import staging_dir
 
@@ -41,12 +41,8 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: the smallest id, once; rows without an id all stay."""
-    groups = simhash_dedup(docs, shingle=3, max_bits=3)
-    losers = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    left = docs.join(losers, "doc_id", "left_anti").select(docs.columns)
-    each = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
-    return left.withColumn("_each", each).dropDuplicates(["doc_id", "_each"]).select(docs.columns)
+    """One document of each group stays: the smallest id; rows without an id all stay."""
+    return keep_one_per_group(docs, shingle=3, max_bits=3)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from tickforge.operators.joins import broadcast_if_small, estimate_is_upper_bound
 from tickforge.plans import catalog
+from tickforge.session import apply_conf
 
 
 def _plan(df):
@@ -49,6 +50,8 @@ def test_stored_candles_are_not_shuffled(spark):
         final = df._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        apply_conf(spark)
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
     lines = final.splitlines()
     scans = [i for i, ln in enumerate(lines) if "FileScan parquet spark_catalog" in ln and "Bucketed: true" in ln]
     assert len(scans) == 2                                                         # by day and by month

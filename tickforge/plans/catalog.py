@@ -24,6 +24,7 @@ from tickforge.operators.history import normalise_candle_time
 from tickforge.operators.joins import broadcast_if_small
 from tickforge.operators.master import UNIFIED_COLUMNS
 from tickforge.plans import staging, views as V
+from tickforge.session import keep_buckets
 from tickforge.sinks import (
     BarStore, list_master, request_status, save_candles, write_candles, write_master, write_ticks,
 )
@@ -330,6 +331,7 @@ def q_historical(spark, d):
 def q_historical_stored(spark, d):
     """O18 over a candle table partitioned by day and bucketed by instrument: the join prunes
     days at run time and does not shuffle the candles."""
+    keep_buckets(spark)
     h = historical_data(V.exchange_history_view(spark, d), _candle_table(spark, d), request_col=["request_id", "pos"],
                         extra_keys=("interval_name",))
     return h.select("request_id", "pos", "exchange", *CANDLE_OUT)

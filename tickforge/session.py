@@ -20,8 +20,8 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
-    # A join on more columns than a table is bucketed by keeps the table in its buckets.
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # A join deals its sides out by all of its keys; keep_buckets() changes that for a session.
+    "spark.sql.requireAllClusterKeysForCoPartition": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     # Checkpoint files go when nothing refers to their rows any more.
@@ -58,6 +58,13 @@ def apply_conf(spark: SparkSession) -> None:
             spark.conf.set(k, v)
 
 
+def keep_buckets(spark: SparkSession) -> None:
+    """Let joins on more columns than a table is bucketed by read it in its buckets instead of
+    shuffling it.  For sessions that read bucketed candles; it holds for every join of the session
+    whose side is already dealt out by some of the keys, so leave it off where such keys are skewed."""
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and staged files.
 

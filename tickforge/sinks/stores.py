@@ -33,8 +33,8 @@ def save_candles(candles: DataFrame, table: str, path: str | None = None, key=No
     """Keep candles in the catalog table ``table``: Parquet under ``path`` (by default the warehouse),
     a partition per day, bucketed by the instrument within it, and return the table (O08).
 
-    A join of the table on its key columns (history, ``SHORT_DAYS`` or by month) reads it in its buckets and
-    does not shuffle it; only the requests are dealt out.  ``buckets`` is fixed when the table is
+    A history join of the table then reads it in its buckets and does not shuffle it -- only the
+    requests are dealt out -- in a session with ``session.keep_buckets``.  ``buckets`` is fixed when the table is
     made: choose it so that a bucket of the days usually read together fits a task.  One day's bucket
     is one file.  Saving to a table that exists replaces the days written and keeps the others;
     its key and buckets must be those it was made with.

@@ -44,15 +44,17 @@ from tickforge.llm.common import mix, ship, utf8
 from tickforge.session import staging_dir
 
 #: Window starts handled by one numpy pass.
-PASS = 1 << 20
+PASS = 1 << 19
 #: Cells of the bitmaps (8 MB).
 CELLS = 1 << 26
+#: Tasks that the members of one bucket are dealt over when they are joined with it.
+_SALTS = 16
 #: Anchors folded together in a task before they are passed on.
 FOLD = 400_000
 
 _BASE = 0x9E3779B97F4A7C15
 _U = np.uint64
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_powers: dict[str, np.ndarray] = {}
 
 _STEP = "kind int, tid long, len int, a int, lo int, hi int, inner long, outer long, w int"
 _ROW = ["tid", "len", "a", "lo", "hi"]
@@ -68,15 +70,15 @@ def shape(length: int) -> tuple[int, int]:
 
 def _gram_hashes(raw: np.ndarray, q: int) -> np.ndarray:
     """A hash of the q bytes from every offset."""
-    if not _powers:
-        for k, b in ((0, _BASE), (1, pow(_BASE, -1, 1 << 64))):
-            steps = np.full(PASS + (1 << 16), b, dtype=_U)
-            steps[0] = 1
-            _powers[k] = np.cumprod(steps, dtype=_U)
     n = len(raw)
+    if len(_powers.get("up", ())) < n:
+        for name, b in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
+            steps = np.full(max(n, PASS + 1024), b, dtype=_U)
+            steps[0] = 1
+            _powers[name] = np.cumprod(steps, dtype=_U)
     prefix = np.zeros(n + 1, _U)
-    np.cumsum((raw.astype(_U) + _U(1)) * _powers[0][:n], out=prefix[1:])
-    return mix((prefix[q:] - prefix[:-q]) * _powers[1][:n - q + 1])
+    np.cumsum((raw.astype(_U) + _U(1)) * _powers["up"][:n], out=prefix[1:])
+    return mix((prefix[q:] - prefix[:-q]) * _powers["down"][:n - q + 1])
 
 
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -367,6 +369,16 @@ def _windows(length: int):
     return run
 
 
+def _salted(members: DataFrame, buckets: DataFrame) -> DataFrame:
+    """Members joined with their bucket's row; a bucket with many is dealt over several tasks."""
+    salt = F.pmod(F.xxhash64("tid", "a"), F.lit(_SALTS)).cast("int")
+    every = buckets.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+    # One key of both, so that neither side can be dealt out by the bucket alone.
+    key = F.struct("inner", "salt").alias("key")
+    return (members.withColumn("salt", salt).select(*members.columns, key)
+            .join(every.select(key, *[c for c in buckets.columns if c != "inner"]), "key").drop("key"))
+
+
 _NODE = "inner long, tid long, len int, a int, lo int, hi int, ctx binary"
 _RANGE = "tid long, len int, lo int, hi int"
 
@@ -403,7 +415,7 @@ def repeated_ranges(docs: DataFrame, length: int = 200, text_col: str = "text",
     classes = met.where("first")
     mixed = (classes.groupBy("inner").agg(F.count(F.lit(1)).alias("m"), F.min("n").alias("least"))
              .where("m > 1 AND least = 1").select("inner", "m"))
-    nodes = stored(classes.join(mixed, "inner").groupBy("tid", "len")
+    nodes = stored(_salted(classes, mixed).groupBy("tid", "len")
                    .agg(F.collect_list(F.struct("inner", "m", "a", "lo", "hi")).alias("nodes")), "nodes")
     chosen = texts.mapInArrow(_chosen_texts(marks(nodes, "tid")), "tid long, len int, text string")
     left = stored(chosen.join(nodes, ["tid", "len"])
@@ -418,7 +430,7 @@ def repeated_ranges(docs: DataFrame, length: int = 200, text_col: str = "text",
             step = width // 8
             sub = stored(many.mapInArrow(_split(length, step), _NODE), "split")
             sizes = sub.groupBy("inner").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-            left = stored(sub.join(sizes, "inner"), "parts")
+            left = stored(_salted(sub, sizes), "parts")
             continue
         break
     single = stored(many.mapInArrow(_windows(length), _STEP), "windows")

@@ -87,14 +87,17 @@ def _with_rates(rows: DataFrame, stats: dict[str, DataFrame], prior: float, weig
                 half: bool = False) -> DataFrame:
     """``<k>_rate`` per suffix and domain, drawn to ``prior`` with ``weight``; ``half``: of the urls that no
     tree is fitted on."""
-    rows = rows.withColumn("_salt", F.pmod(F.xxhash64("url"), F.lit(_SALTS)))
+    salt = F.pmod(F.xxhash64("url"), F.lit(_SALTS))
     bad, n = ("_half_bad", "_half_n") if half else ("_bad", "_n")
     for k, table in stats.items():
         every = table.select(k, F.col(bad).alias("_b"), F.col(n).alias("_k"),
                              F.explode(F.sequence(F.lit(0).cast("long"), F.lit(_SALTS - 1).cast("long"))).alias("_salt"))
+        # One key of both, so that neither side can be dealt out by the suffix alone.
+        every = every.select(F.struct(k, "_salt").alias("_key"), "_b", "_k")
         rate = (F.coalesce("_b", F.lit(0.0)) + weight * prior) / (F.coalesce("_k", F.lit(0.0)) + weight)
-        rows = rows.join(every, [k, "_salt"], "left").withColumn(f"{k}_rate", rate).drop("_b", "_k")
-    return rows.drop("_salt")
+        rows = (rows.withColumn("_key", F.struct(F.col(k), salt.alias("_salt"))).join(every, "_key", "left")
+                .withColumn(f"{k}_rate", rate).drop("_key", "_b", "_k"))
+    return rows
 
 
 def _fitted_half() -> Column:

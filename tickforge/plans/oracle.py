@@ -431,3 +431,21 @@ ORACLE["master_written"] = ORACLE["unified_master"]
 ORACLE["stream_quotes_merged"] = ORACLE["quotes_merged"]
 ORACLE["stream_bars"] = with_views(f"""SELECT {CANDLE_SEL} FROM B1
 WHERE bucket + INTERVAL 1 MINUTE - {LOCAL} <= (SELECT max(ts) FROM T) - INTERVAL 10 MINUTE""", "B1")
+
+# Ticks in four drops: those of large quantity a drop late, the last hour before a drop's start twice.  A tick
+# is late when its time is not after the latest of all earlier drops less ten minutes.
+_STARTS = ("TIMESTAMP '2024-01-08'", "TIMESTAMP '2024-01-15'", "TIMESTAMP '2024-01-22'")
+_DUE = " + ".join(f"(CASE WHEN ts >= {s} THEN 1 ELSE 0 END)" for s in _STARTS)
+_AGAIN = " OR ".join(f"(ts >= {s} - INTERVAL 1 HOUR AND ts < {s})" for s in _STARTS)
+_DROPS = (
+    f"TD AS (SELECT T.*, least({_DUE} + CASE WHEN qty > 90 THEN 1 ELSE 0 END, 3) AS due, ({_AGAIN}) AS again FROM T)",
+    "DL AS (SELECT *, due AS drop_no FROM TD UNION ALL SELECT *, due + 1 AS drop_no FROM TD WHERE again AND due < 3)",
+    "MK AS (SELECT k, (SELECT max(ts) FROM DL WHERE drop_no < k) - INTERVAL 10 MINUTE AS mark FROM range(4) r(k))",
+    "OT AS (SELECT DISTINCT event_id, exchange_token, ts, price, qty, oi FROM DL JOIN MK ON k = drop_no WHERE mark IS NULL OR ts > mark)",
+)
+ORACLE["stream_late_ticks"] = with_views(f"""SELECT CAST(drop_no AS BIGINT) AS batch, event_id, exchange_token,
+  strftime(mark + {LOCAL}, {FMT}) AS mark FROM DL JOIN MK ON k = drop_no WHERE ts <= mark""", "T", extra=_DROPS)
+ORACLE["stream_bars_restarted"] = with_views(f"""SELECT {CANDLE_SEL} FROM BO
+WHERE bucket + INTERVAL 1 MINUTE - {LOCAL} <= (SELECT max(ts) FROM OT) - INTERVAL 10 MINUTE""", "T",
+                                             extra=(*_DROPS, _bars_cte("BO", BUCKETS["1 minute"], "OT")))
+ORACLE["stream_ltp_compacted"] = with_views("SELECT exchange, exchange_token, last_price, last_time FROM LX", "LX")

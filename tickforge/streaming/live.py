@@ -23,6 +23,7 @@ from tickforge.functions.intervals import INTERVALS
 from tickforge.operators.bars import keys_of, ohlc_aggs, ohlc_out, tick_order
 from tickforge.operators.quotes import enrich_quotes, merge_quote_batches
 from tickforge.sources.payloads import parse_quotes
+from tickforge.streaming.tables import committed
 
 _SECONDS = {"minute": 60, "minutes": 60, "hour": 3600, "hours": 3600, "day": 86400, "days": 86400}
 
@@ -161,12 +162,12 @@ def run_to_table(stream: DataFrame, sink_path: str, checkpoint: str,
 
 
 def latest_result(spark: SparkSession, sink_path: str) -> DataFrame:
-    """The newest version that a ``complete``-mode stream has written."""
-    versions = spark.read.parquet(sink_path)
-    newest = versions.select(F.max("_batch_id")).first()[0]     # one number, from partition names
-    if newest is None:                                          # the versions hold no row
-        return versions.drop("_batch_id")
-    return versions.where(F.col("_batch_id") == newest).drop("_batch_id")
+    """The newest version that a ``complete``-mode stream has committed (its folder's ``_SUCCESS``);
+    one that is being written is not seen."""
+    versions = committed(spark, sink_path, "_batch_id")
+    if not versions:
+        raise ValueError(f"no version has been committed to {sink_path}")
+    return spark.read.parquet(versions[max(versions)])
 
 
 def latest_state(spark: SparkSession, sink_path: str, key_cols: list[str]) -> DataFrame:

@@ -10,6 +10,7 @@ from conftest import rows
 from tickforge.functions.index_keys import INDEX_KEYS
 from tickforge.operators import backfill_index_symbols, index_symbol_map, resolve_instruments, unify_masters
 from tickforge.sinks import list_master, request_status, write_candles, write_master
+from tickforge.schemas import MASTER_JSON_TYPES
 from tickforge.sources import read_master_a, read_master_b, read_master_json
 
 
@@ -52,6 +53,43 @@ def test_read_master_b_types(spark, tmp_path):
     assert rows(m, "tradingsymbol", "strike") == [("INFY", 0.0), ("NIFTY24FEB22000CE", 22000.0)]
 
 
+def test_json_master_declares_its_fields(spark, tmp_path):
+    """Unknown fields are readable, odd values are NULL, no schema is inferred, bad files fail."""
+    data = [{"instrument_key": "A", "exchange_token": 5, "lot": {"size": [1, 2]}, "exchange": "NSE_EQ"},
+            {"instrument_key": "B", "exchange_token": "x", "trading_symbol": 7, "strike": 1.5},
+            {"a}b,{": ";},{", "instrument_key": None}, {}]
+    for k, part in enumerate((data[:2], data[2:], [])):
+        with gzip.open(tmp_path / f"m{k}.json.gz", "wt") as f:
+            json.dump(part, f, indent=k)
+    m = read_master_json(spark, str(tmp_path))
+    assert m.columns == ["instrument_key", "trading_symbol", "exchange_token", "exchange", "record", "src_file", "src_pos"]
+    assert rows(m, "instrument_key", "trading_symbol", "exchange_token", "exchange") == sorted([
+        ("A", None, 5, "NSE_EQ"), ("B", "7", None, None), (None, None, None, None), (None, None, None, None)], key=repr)
+    got = m.selectExpr("record:lot.size[1]::int AS lot", "record:strike::double AS strike", "record:`a}b,{`::string AS odd")
+    assert rows(got) == sorted([(2, None, None), (None, 1.5, None), (None, None, ";},{"), (None, None, None)], key=repr)
+    lines = tmp_path / "lines"
+    lines.mkdir()
+    (lines / "m.json").write_text("\n".join(json.dumps(x) for x in data) + "\n")
+    assert rows(read_master_json(spark, str(lines), multi_line=False), "instrument_key", "exchange_token") == \
+        rows(m, "instrument_key", "exchange_token")
+    from pyspark.sql import types as T
+    own = read_master_json(spark, str(tmp_path), fields={"instrument_key": T.StringType(), "strike": T.DoubleType()})
+    assert rows(own.where("strike IS NOT NULL"), "instrument_key", "strike") == [("B", 1.5)]
+    (tmp_path / "bad.json").write_text('[{"instrument_key": "A"')
+    with pytest.raises(Exception, match="MALFORMED|Malformed|malformed"):
+        read_master_json(spark, str(tmp_path / "bad.json")).collect()
+
+
+def test_json_arrays_have_a_fixed_size(spark, monkeypatch):
+    from tickforge.plans import staging
+    monkeypatch.setattr(staging, "ROWS_PER_ARRAY", 7)
+    df = spark.range(30).selectExpr("CAST(id AS STRING) AS instrument_key", "IF(id % 2 = 0, 'same', 'same') AS trading_symbol")
+    path = staging.stage_json_arrays(df, "arrays", "instrument_key")
+    sizes = [len(json.loads(r.value)) for r in spark.read.text(path, wholetext=True).collect()]
+    assert sorted(sizes) == [2, 7, 7, 7, 7]
+    assert rows(read_master_json(spark, path), "instrument_key") == rows(df, "instrument_key")
+
+
 def test_read_master_json_and_backfill(spark, tmp_path):
     p = tmp_path / "complete.json.gz"
     data = [{"instrument_key": "NSE_INDEX|Nifty Bank", "trading_symbol": ""},
@@ -68,7 +106,7 @@ def test_read_master_json_and_backfill(spark, tmp_path):
         ("BSE_INDEX|SENSEX", "SENSEX"),             # kept
         ("NSE_EQ|X", None),                         # '' without a map entry becomes NULL
     ], key=repr)
-    assert set(out.columns) == {"instrument_key", "trading_symbol", "src_file", "src_pos"}
+    assert set(out.columns) == set(m.columns) == {*MASTER_JSON_TYPES, "record", "src_file", "src_pos"}
 
 
 def test_index_symbol_map_custom_keys(spark):

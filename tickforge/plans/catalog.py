@@ -58,12 +58,14 @@ def q_master_b_csv(spark, d):
 
 def _master_json(spark, d):
     m = V.master_view(spark, d).select("instrument_key", F.col("tradingsymbol").alias("trading_symbol"),
-                                       "exchange_token", "exchange")
-    return read_master_json(spark, staging.stage_json_arrays(m, "master_json"))
+                                       "exchange_token", "exchange", "venue")
+    return read_master_json(spark, staging.stage_json_arrays(m, "master_json", "instrument_key"))
 
 
 def q_master_json(spark, d):
-    return _master_json(spark, d).select("instrument_key", "trading_symbol", "exchange_token", "exchange")
+    """``venue`` is no declared field: it is read from the record."""
+    venue = F.expr("record:venue::string").alias("venue")
+    return _master_json(spark, d).select("instrument_key", "trading_symbol", "exchange_token", "exchange", venue)
 
 
 def q_requests_json(spark, d):

@@ -214,7 +214,7 @@ ORACLE = {
     "master_b_csv": with_views("""SELECT instrument_token, exchange_token, nullif(tradingsymbol, '') AS tradingsymbol,
   name, last_price, strftime(expiry, '%Y-%m-%d') AS expiry, strike, tick_size, lot_size, instrument_type,
   segment, exchange FROM MB""", "MB"),
-    "master_json": with_views("""SELECT instrument_key, tradingsymbol AS trading_symbol, exchange_token, exchange
+    "master_json": with_views("""SELECT instrument_key, tradingsymbol AS trading_symbol, exchange_token, exchange, venue
   FROM M""", "M"),
     "requests_json": with_views("""SELECT request_id, pos, coalesce(exchange_token, '') AS exchange_token,
   coalesce(exchange, 'NSE') AS exchange, coalesce(instrument_type, '') AS instrument_type, interval_name

@@ -6,10 +6,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickforge.operators.joins import estimated_bytes
+from tickforge.operators.sequencing import ordinal_within
 from tickforge.session import staging_dir
 
-TARGET_FILE_BYTES = 32 * 1024 * 1024
+#: Objects per JSON array.
+ROWS_PER_ARRAY = 5_000
 
 
 def stage_csv(df: DataFrame, name: str, gzip: bool = True) -> str:
@@ -27,16 +28,15 @@ def stage_json_lines(df: DataFrame, name: str) -> str:
     return path
 
 
-def stage_json_arrays(df: DataFrame, name: str) -> str:
-    """Write ``df`` as gzip files that each hold one JSON array of objects.
-
-    Rows are hashed into enough groups that each array stays near
-    ``TARGET_FILE_BYTES``; no file is built from the whole table.
-    """
-    n = max(1, estimated_bytes(df) // TARGET_FILE_BYTES)
-    bucket = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(n))
-    arrays = (df.groupBy(bucket.alias("_b"))
+def stage_json_arrays(df: DataFrame, name: str, order_col: str) -> str:
+    """Write ``df`` as gzip files that each hold one JSON array of ``ROWS_PER_ARRAY`` objects, in
+    ``order_col``'s order; no array grows with the table."""
+    numbered = ordinal_within(df, [], [order_col])
+    arrays = (numbered.groupBy(F.floor((F.col("ordinal") - 1) / ROWS_PER_ARRAY).alias("_b"))
               .agg(F.to_json(F.collect_list(F.struct(*[F.col(c) for c in df.columns]))).alias("value")))
     path = staging_dir(df.sparkSession, name)
-    arrays.select("value").write.mode("overwrite").option("compression", "gzip").text(path)
-    return path
+    # One array per file: a file is read as one.
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (arrays.repartition(n, "_b").withColumn("part", F.col("_b")).select("value", "part").write.mode("overwrite")
+     .option("compression", "gzip").partitionBy("part").text(path))
+    return path + "/*"

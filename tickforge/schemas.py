@@ -27,6 +27,14 @@ MASTER_B_TYPES = {
     "exchange": T.StringType(),
 }
 
+# Declared fields of the JSON master; all others stay in its VARIANT column.
+MASTER_JSON_TYPES = {
+    "instrument_key": T.StringType(),
+    "trading_symbol": T.StringType(),
+    "exchange_token": T.LongType(),
+    "exchange": T.StringType(),
+}
+
 # One request item: all strings, as received.
 REQUEST = T.StructType([
     T.StructField("request_id", T.LongType()),

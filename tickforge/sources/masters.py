@@ -12,8 +12,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tickforge.schemas import MASTER_A_TYPES, MASTER_B_TYPES
+from tickforge.schemas import MASTER_A_TYPES, MASTER_B_TYPES, MASTER_JSON_TYPES
 
 
 def _typed(df: DataFrame, types: dict) -> DataFrame:
@@ -50,15 +51,23 @@ def read_master_b(spark: SparkSession, path: str) -> DataFrame:
     return _with_pos(_typed(raw, MASTER_B_TYPES))
 
 
-def read_master_json(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """JSON master (O03): a (gzip) JSON array of instrument objects.
+def read_master_json(spark: SparkSession, path: str, multi_line: bool = True,
+                     fields: dict[str, T.DataType] | None = None) -> DataFrame:
+    """JSON master (O03): (gzip) JSON arrays of instrument objects, or JSON lines.
 
-    Each file is one array, so it is read whole by one task; land the master as
-    several files to read it in parallel.  Keys keep their JSON names
+    The declared fields (``schemas.MASTER_JSON_TYPES``, or ``fields``) are typed columns, NULL where an
+    object lacks them or the value does not fit; the whole object is the VARIANT column ``record``, so
+    any other field can be read (``record:name::string``).  No pass over the files infers a schema.
+    A file is one array, read whole by one task; land the master as several files to read it in
+    parallel.  A file that is no JSON array fails the job.  Keys keep their JSON names
     (``trading_symbol`` here, with the underscore).
     """
-    df = (spark.read.option("multiLine", multi_line)
-          .option("primitivesAsString", True).json(path))
-    if "exchange_token" in df.columns:
-        df = df.withColumn("exchange_token", F.col("exchange_token").try_cast("long"))
-    return _with_pos(df)
+    if multi_line:
+        files = spark.read.text(path, wholetext=True).select("value", "_metadata")
+        objects = F.from_json("value", "array<variant>", {"mode": "FAILFAST"})
+        rows = files.where(F.trim("value") != "").select(F.explode(objects).alias("record"), "_metadata")
+    else:
+        rows = spark.read.option("singleVariantColumn", "record").json(path).select("record", "_metadata")
+    typed = [F.try_variant_get("record", f"$['{c}']", "string").try_cast(t).alias(c)
+             for c, t in (fields or MASTER_JSON_TYPES).items()]
+    return _with_pos(rows.select(*typed, "record", "_metadata"))

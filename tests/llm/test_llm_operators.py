@@ -105,6 +105,35 @@ def test_line_dedup_inserts_and_deletes(spark):
     assert deduped(nothing, docs) == sorted([(i, t or "", len((t or "").split("\n")), 0) for i, t in first], key=repr)
 
 
+def test_line_index_of_the_registered_runs(spark, tmp_path):
+    """The index that query and pipeline build: two inserts, a delete and an insert again; it can go on."""
+    import corpus_pipeline
+    rows = corpus() + [(500, "Shared line of text here\nfresh line of mine")]
+    docs = frame(spark, rows).repartition(5)
+    index = corpus_pipeline.line_index(spark, docs)
+    assert len(index.ref_parts) == 3 and len(index.gone) == 1
+    assert deduped(index, docs) == brute_lines(rows) and knows_all(index)
+    less = index.delete(frame(spark, [(9, None), (1, None)]))
+    rest = [r for r in rows if r[0] not in (1, 9)]
+    assert deduped(less, frame(spark, rest)) == brute_lines(rest) and knows_all(less)
+    again = less.insert(frame(spark, [r for r in rows if r[0] in (1, 9)]))
+    assert deduped(again, docs) == brute_lines(rows) and knows_all(again)
+    assert deduped(index, docs) == brute_lines(rows)           # a change leaves the index as it was
+    named = index.dedup(docs).columns
+    assert len(named) == len(set(named))
+
+
+def test_line_counts_are_merged_now_and_then(spark, monkeypatch):
+    monkeypatch.setattr(LineIndex, "MERGE", 3)
+    rows = corpus()
+    docs = frame(spark, rows)
+    index = LineIndex.create(spark).insert(docs)
+    for i in (9, 10, 1):
+        index = index.delete(frame(spark, [(i, None)])).insert(frame(spark, [r for r in rows if r[0] == i]))
+        assert len(index.count_parts) <= 3
+    assert deduped(index, docs) == brute_lines(rows) and knows_all(index)
+
+
 def knows_all(index):
     """Whether each shard's filter knows every key of its exact counts."""
     filters = {r.shard: CuckooFilter.load(r.filter) for r in index.filters.collect()}

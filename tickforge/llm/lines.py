@@ -1,9 +1,12 @@
 """Operator 2: reversible line dedup with sharded cuckoo filters over exact reference counts.
 
-State, as Parquet tables under one folder of the shared storage, a new version per change:
+State, as Parquet tables under one folder of the shared storage.  A change writes what it adds and
+returns a new index that names the parts; nothing written before is rewritten, so an index stays as it was:
 
-* ``refs``: (key, doc_id), one row per document that holds a line key;
-* ``counts``: (shard, key, n_refs, first_doc, last_doc), the exact reference counts;
+* ``refs``: (key, doc_id), one row per document that holds a line key: a part per insert, and the ids
+  deleted since;
+* ``counts``: (shard, key, n_refs, first_doc, last_doc), the exact reference counts: a part of new keys and
+  a part of changed keys per change (the later part holds; 0 references: gone), merged into one now and then;
 * ``filters``: one cuckoo filter per shard, holding the keys of that shard's counts.
 
 Inserting documents: their distinct (key, doc_id) references are counted per key, so a
@@ -21,13 +24,14 @@ are dropped from all but the smallest ``doc_id`` that holds them.
 
 Nulls: a NULL or empty text is one empty line; rows with a NULL ``doc_id`` hold no
 references and keep all lines.  Rows sharing a ``doc_id`` are one document in the counts
-and keep or lose lines alike.
+and keep or lose lines alike; they belong in one insert.
 """
 
 from __future__ import annotations
 
 import hashlib
 import uuid
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -35,7 +39,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickforge.llm.common import reliable, ship
+from tickforge.llm.common import ship
+from tickforge.operators.joins import broadcast_if_small
 from tickforge.session import staging_dir
 
 _BLANK = " \t\n\x0b\x0c\r"
@@ -160,12 +165,12 @@ def _shard(key: Column, shards: int) -> Column:
 
 
 def _update_shard(key, left: pa.Table, right: pa.Table) -> pa.Table:
-    """One shard's new keys against its filter: which it may know, and the filter afterwards.
+    """One shard's changed keys against its filter: which it may know, and the filter afterwards.
     ``gone`` keys leave the filter first; ``sure`` keys are known to be new and are added unasked."""
     stored = [x for x in right.column("filter").to_pylist() if x is not None]
     keys = left.column("key").combine_chunks()
-    gone = np.asarray(left.column("gone").to_pylist(), bool)
-    sure = np.asarray(left.column("sure").to_pylist(), bool)
+    gone = left.column("gone").to_numpy().astype(bool)
+    sure = left.column("sure").to_numpy().astype(bool)
     h = _hash64(keys) if len(keys) else np.zeros(0, np.uint64)
     held = right.column("keys").to_pylist()[0] if len(stored) else 0
     f = CuckooFilter.load(stored[0]) if stored else CuckooFilter.sized(int((~gone).sum()))
@@ -173,15 +178,16 @@ def _update_shard(key, left: pa.Table, right: pa.Table) -> pa.Table:
     known = f.has(h) & ~gone & ~sure if stored else np.zeros(len(h), bool)
     fresh = h[~known & ~gone]
     full = held + len(fresh) > 0.9 * f.table.size or not f.add(fresh)
-    n = len(keys)
-    return pa.table({
-        "key": pa.concat_arrays([keys.cast(pa.binary()), pa.array([None], pa.binary())]),
-        "known": pa.array([*known.tolist(), None], pa.bool_()),
+    out = left.select(["shard", "key", "n_refs", "first_doc", "last_doc"]).append_column("known", pa.array(known))
+    end = pa.table({
+        "shard": pa.array([key[0].as_py()], pa.int32()),
         # A full filter is dropped here and filled again from the exact keys.
-        "filter": pa.array([None] * n + [b"" if full else f.dump()], pa.binary()),
-        "keys": pa.array([None] * n + [held + len(fresh) - int(gone.sum())], pa.int64()),
-        "shard": pa.array([key[0].as_py()] * (n + 1), pa.int32()),
-    })
+        "filter": pa.array([b"" if full else f.dump()], pa.binary()),
+        "keys": pa.array([held + len(fresh) - int(gone.sum())], pa.int64())})
+    whole = pa.concat_tables([out, end], promote_options="default")
+    return whole.select(["shard", "key", "n_refs", "first_doc", "last_doc", "known", "filter", "keys"]).cast(pa.schema([
+        ("shard", pa.int32()), ("key", pa.binary()), ("n_refs", pa.int64()), ("first_doc", out.schema.field("first_doc").type),
+        ("last_doc", out.schema.field("last_doc").type), ("known", pa.bool_()), ("filter", pa.binary()), ("keys", pa.int64())]))
 
 
 def _fill_shard(t: pa.Table) -> pa.Table:
@@ -221,121 +227,144 @@ def _without(text: pd.Series, drop: pd.Series) -> pd.DataFrame:
     return pd.DataFrame({"text": kept, "n": dropped})
 
 
+@dataclass(frozen=True)
 class LineIndex:
-    """The line index in ``folder``; every change writes a new version and returns a new index."""
-
-    def __init__(self, spark: SparkSession, folder: str, version: str = "", shards: int = 0, min_chars: int = 10):
-        self.spark, self.folder, self.version = spark, folder, version
-        self.shards, self.min_chars = shards, min_chars
+    """The line index in ``folder``: the parts that make it.  Every change returns a new index."""
+
+    spark: SparkSession
+    folder: str
+    min_chars: int = 10
+    shards: int = 0
+    #: A folder per insert.
+    ref_parts: tuple[str, ...] = ()
+    #: (folder of deleted ids, how many of ``ref_parts`` they were deleted from).
+    gone: tuple[tuple[str, int], ...] = ()
+    #: (folder, "all", "new": its keys are in no earlier part, "over": it replaces earlier rows).
+    count_parts: tuple[tuple[str, str], ...] = ()
+    filter_part: str = ""
+
+    #: Count parts that are read together before they are merged into one.
+    MERGE = 12
 
     @classmethod
     def create(cls, spark: SparkSession, folder: str | None = None, min_chars: int = 10) -> LineIndex:
-        return cls(spark, folder or staging_dir(spark, "lines"), min_chars=min_chars)
+        return cls(spark, folder or staging_dir(spark, "lines"), min_chars)
+
+    def _store(self, df: DataFrame, name: str) -> str:
+        path = f"{self.folder}/{name}-{uuid.uuid4().hex[:12]}"
+        df.write.parquet(path)
+        return path
 
-    def _read(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{self.version}/{table}")
+    def _load(self, path: str) -> DataFrame:
+        return self.spark.read.parquet(path)
 
     @property
     def counts(self) -> DataFrame:
-        return self._read("counts")
+        rows = None
+        for path, kind in self.count_parts:
+            df = self._load(path)
+            part = df.where("key IS NOT NULL AND NOT known").select(*_COUNTS) if kind == "new" else df.select(*_COUNTS)
+            if rows is not None:
+                if kind == "over":
+                    rows = rows.join(broadcast_if_small(part.select("key")), "key", "left_anti").select(*_COUNTS)
+                part = rows.unionByName(part)
+            rows = part
+        return rows.where("n_refs > 0")
 
     @property
     def filters(self) -> DataFrame:
-        return self._read("filters")
+        return self._load(self.filter_part).where("filter IS NOT NULL").select("shard", "filter", "keys")
 
     @property
     def refs(self) -> DataFrame:
-        return self._read("refs")
-
-    def _next(self, counts: DataFrame, filters: DataFrame, refs: DataFrame | None, shards: int) -> LineIndex:
-        new = LineIndex(self.spark, self.folder, uuid.uuid4().hex[:12], shards, self.min_chars)
-        base = f"{self.folder}/{new.version}"
-        counts.write.parquet(f"{base}/counts")
-        filters.write.parquet(f"{base}/filters")
-        if refs is not None:
-            refs.write.parquet(f"{base}/refs")
-        return new
-
-    def _probe(self, keys: DataFrame, filters: DataFrame, gone: bool = False, sure: bool = False) -> DataFrame:
-        keys = keys.select("key", "shard", F.lit(gone).alias("gone"), F.lit(sure).alias("sure"))
-        return reliable(keys.groupBy("shard").cogroup(filters.groupBy("shard")).applyInArrow(
-            _update_shard, "key binary, known boolean, filter binary, keys long, shard int"))
-
-    def _refilled(self, probed: DataFrame, counts: DataFrame, untouched: DataFrame | None) -> DataFrame:
-        """The filters after a change; full ones are filled again from the exact counts."""
-        kept = probed.where("key IS NULL").select("shard", "filter", "keys")
-        full = kept.where(F.length("filter") == 0).select("shard")
-        fresh = _fill(counts.join(full, "shard", "left_semi"))
-        out = kept.where(F.length("filter") > 0).unionAll(fresh)
-        if untouched is not None:
-            out = out.unionAll(untouched.join(kept.select("shard"), "shard", "left_anti")
-                               .select("shard", "filter", "keys"))
+        out = None
+        for i, path in enumerate(self.ref_parts):
+            part = self._load(path)
+            for ids, upto in self.gone:
+                if i < upto:
+                    part = part.join(broadcast_if_small(self._load(ids)), "doc_id", "left_anti").select("key", "doc_id")
+            out = part if out is None else out.unionByName(part)
         return out
 
+    def _probe(self, keys: DataFrame, gone: bool = False, sure: bool = False) -> str:
+        ids = dict(keys.dtypes)["first_doc"]
+        keys = keys.select(*_COUNTS, F.lit(gone).alias("gone"), F.lit(sure).alias("sure"))
+        out = keys.groupBy("shard").cogroup(self.filters.groupBy("shard")).applyInArrow(
+            _update_shard, f"shard int, key binary, n_refs long, first_doc {ids}, last_doc {ids}, known boolean, "
+                           "filter binary, keys long")
+        return self._store(out, "probe")
+
+    def _refilled(self, probed: DataFrame, counts: DataFrame) -> str:
+        """The filters after a change; full ones are filled again from the exact counts, others stay."""
+        changed = probed.where("key IS NULL").select("shard", "filter", "keys")
+        full = changed.where(F.length("filter") == 0).select("shard")
+        fresh = _fill(counts.join(full, "shard", "left_semi"))
+        same = self.filters.join(changed.select("shard"), "shard", "left_anti").select("shard", "filter", "keys")
+        return self._store(changed.where(F.length("filter") > 0).unionAll(fresh).unionAll(same), "filters")
+
+    def _merged(self) -> LineIndex:
+        if len(self.count_parts) <= self.MERGE:
+            return self
+        return replace(self, count_parts=((self._store(self.counts, "counts"), "all"),))
+
     def insert(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-               keys_per_shard: int = 200_000, keep_refs: bool = True) -> LineIndex:
-        """Add documents (ids not yet in the index).  Shards are numbered so that a shard's keys
-        fit a task; an index that has outgrown its shards twice over is cut anew.
-        ``keep_refs=False`` saves the reference table of an index that will never delete."""
+               keys_per_shard: int = 200_000) -> LineIndex:
+        """Add documents (ids not in the index, or deleted from it).  Shards are numbered so that a shard's
+        keys fit a task; an index that has outgrown its shards twice over is cut anew."""
         ship(self.spark)
-        refs = references(docs, self.min_chars, id_col, text_col)
-        if keep_refs:
-            refs = reliable(refs)
-        batch = reliable(_per_key(refs))
-        shards = self.shards or max(1, -(-batch.count() // keys_per_shard))
-        batch = batch.withColumn("shard", _shard(F.col("key"), shards))
-        empty = self.spark.createDataFrame([], "shard int, filter binary, keys long")
-        filters = self.filters if self.version else empty
-        probed = self._probe(batch.select("key", "shard"), filters)
-        rows = batch.select(*_COUNTS)
-        if not self.version:
-            counts, filters = rows, self._refilled(probed, rows, None)
-        else:
-            maybe = probed.where("known").select("key")
-            new = rows.join(maybe, "key", "left_anti")
-            old = self.counts.alias("o")
-            again = rows.join(maybe, "key", "left_semi").alias("n")
-            merged = old.join(again, "key", "full").select(
-                F.coalesce("o.shard", "n.shard").alias("shard"), "key",
-                (F.coalesce("o.n_refs", F.lit(0).cast("long")) + F.coalesce("n.n_refs", F.lit(0).cast("long")))
-                .alias("n_refs"), F.least("o.first_doc", "n.first_doc").alias("first_doc"),
-                F.greatest("o.last_doc", "n.last_doc").alias("last_doc"))
-            counts = reliable(merged.unionByName(new))
-            # Keys that the filter took for others' are new as well and must enter it, or
-            # deleting those others would make it forget these.
-            full = probed.where("key IS NULL").where(F.length("filter") == 0).select("shard")
-            missed = again.select("n.key", "n.shard").join(self.counts, "key", "left_anti").join(full, "shard", "left_anti")
-            filters = reliable(self._refilled(probed, counts, filters))
-            filters = reliable(self._refilled(self._probe(missed, filters, sure=True), counts, filters))
-            held = filters.agg(F.sum("keys")).first()[0] or 0
-            if held > 2 * keys_per_shard * shards:
-                shards = -(-held // keys_per_shard)
-                counts = counts.withColumn("shard", _shard(F.col("key"), shards))
-                filters = _fill(counts)
-        all_refs = None
-        if keep_refs:
-            all_refs = self.refs.unionByName(refs) if self.version else refs
-        return self._next(counts, filters, all_refs, shards)
+        refs = self._store(references(docs, self.min_chars, id_col, text_col), "refs")
+        batch = _per_key(self._load(refs))
+        grown = replace(self, ref_parts=(*self.ref_parts, refs))
+        if not self.shards:
+            # Their number is an estimate, and the size of a shard no more than a guide.
+            n = self._load(refs).agg(F.approx_count_distinct("key")).first()[0]
+            shards = max(1, -(-n // keys_per_shard))
+            counts = self._store(batch.withColumn("shard", _shard(F.col("key"), shards)).select(*_COUNTS), "counts")
+            return replace(grown, shards=shards, count_parts=((counts, "all"),), filter_part=self._store(_fill(self._load(counts)), "filters"))
+        path = self._probe(batch.withColumn("shard", _shard(F.col("key"), self.shards)))
+        probed = self._load(path)
+        old = self.counts.select("key", *[F.col(c).alias(f"o_{c}") for c in _COUNTS[2:]])
+        again = probed.where("known").join(old, "key", "left")
+        # Keys that the filter took for others' are new as well: they have no old row.
+        changed = again.select(
+            "shard", "key", (F.col("n_refs") + F.coalesce("o_n_refs", F.lit(0).cast("long"))).alias("n_refs"),
+            F.least("first_doc", "o_first_doc").alias("first_doc"), F.greatest("last_doc", "o_last_doc").alias("last_doc"),
+            F.col("o_n_refs").isNull().alias("missed"))
+        over = self._store(changed, "counts")
+        grown = replace(grown, count_parts=(*self.count_parts, (path, "new"), (over, "over")))
+        grown = replace(grown, filter_part=grown._refilled(probed, grown.counts))
+        # They must enter the filter, or deleting those others would make it forget them.
+        full = probed.where("key IS NULL").where(F.length("filter") == 0).select("shard")
+        missed = self._load(over).where("missed").select(*_COUNTS).join(full, "shard", "left_anti")
+        if not missed.isEmpty():
+            grown = replace(grown, filter_part=grown._refilled(self._load(grown._probe(missed, sure=True)), grown.counts))
+        grown = grown._merged()
+        held = grown.filters.agg(F.sum("keys")).first()[0] or 0
+        if held > 2 * keys_per_shard * self.shards:
+            shards = -(-held // keys_per_shard)
+            counts = self._store(grown.counts.withColumn("shard", _shard(F.col("key"), shards)).select(*_COUNTS), "counts")
+            grown = replace(grown, shards=shards, count_parts=((counts, "all"),), filter_part=self._store(_fill(self._load(counts)), "filters"))
+        return grown
 
     def delete(self, ids: DataFrame, id_col: str = "doc_id") -> LineIndex:
         """Take documents out again by their ids."""
         ship(self.spark)
-        gone_ids = ids.select(F.col(id_col).alias("doc_id")).where("doc_id IS NOT NULL").distinct()
-        gone = reliable(self.refs.join(gone_ids, "doc_id", "left_semi"))
-        refs = reliable(self.refs.join(gone_ids, "doc_id", "left_anti"))
-        touched = gone.select("key").distinct()
-        now = _per_key(refs.join(touched, "key", "left_semi"))
-        still = now.withColumn("shard", _shard(F.col("key"), self.shards)).select(*_COUNTS)
-        counts = reliable(self.counts.join(touched, "key", "left_anti").unionByName(still))
-        dead = touched.join(now.select("key"), "key", "left_anti").withColumn(
-            "shard", _shard(F.col("key"), self.shards))
-        probed = self._probe(dead, self.filters, gone=True)
-        return self._next(counts, self._refilled(probed, counts, self.filters), refs, self.shards)
+        gone = self._store(ids.select(F.col(id_col).alias("doc_id")).where("doc_id IS NOT NULL").distinct(), "gone")
+        mine = broadcast_if_small(self._load(gone))
+        touched = self._load(self._store(self.refs.join(mine, "doc_id", "left_semi").select("key").distinct(), "touched"))
+        left = replace(self, gone=(*self.gone, (gone, len(self.ref_parts))))
+        now = _per_key(left.refs.join(broadcast_if_small(touched), "key", "left_semi"))
+        over = touched.join(now, "key", "left").select(
+            _shard(F.col("key"), self.shards).alias("shard"), "key", F.coalesce("n_refs", F.lit(0).cast("long")).alias("n_refs"),
+            "first_doc", "last_doc")
+        left = replace(left, count_parts=(*self.count_parts, (self._store(over, "counts"), "over")))
+        dead = self._load(left.count_parts[-1][0]).where("n_refs = 0")
+        return replace(left, filter_part=left._refilled(self._load(left._probe(dead, gone=True)), left.counts))._merged()
 
     def dedup(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               counts: bool = True) -> DataFrame:
         """``docs`` with ``text`` without its dropped lines and, with ``counts``, two more columns:
-        ``n_lines`` (before dropping) and ``n_dropped``."""
+        ``n_lines`` (before dropping) and ``n_dropped``, in place of columns of these names."""
         ship(self.spark)
         repeated = self.counts.where("first_doc <> last_doc").select("key", "first_doc")
         drop = (references(docs, self.min_chars, id_col, text_col).join(repeated, "key")
@@ -346,6 +375,7 @@ class LineIndex:
         cut = (docs.join(drop, F.col(id_col) == F.col("__line_doc"), "left")
                .withColumn("__line_cut", strip(text, "__line_keys")))
         n_lines = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
-        out = [F.col("__line_cut.text").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
+        out = [F.col("__line_cut.text").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns
+               if not (counts and c in ("n_lines", "n_dropped"))]
         more = [n_lines.cast("long").alias("n_lines"), F.col("__line_cut.n").alias("n_dropped")]
         return cut.select(*out, *(more if counts else []))

@@ -12,7 +12,6 @@ from tickforge.llm.decontam import contamination
 from tickforge.llm.divergence import source_divergence
 from tickforge.llm.fim import fill_in_middle, fim_digests
 from tickforge.llm.licenses import scan_licenses
-from tickforge.llm.lines import LineIndex
 from tickforge.llm.packing import pack
 from tickforge.llm.repeats import remove_repeats
 from tickforge.llm.simhash import simhash_dedup
@@ -37,9 +36,8 @@ def op1_license_scan(spark, sf_dir):
 
 def op2_line_dedup(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
-    index = LineIndex.create(spark).insert(docs, keep_refs=False)
-    texts = docs.select("doc_id", "text")
-    return index.dedup(texts).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+    return corpus_pipeline.line_index(spark, docs).dedup(docs.select("doc_id", "text")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
 def op3_chat_format(spark, sf_dir):

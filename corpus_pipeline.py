@@ -35,9 +35,18 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return drop_toxic(docs, toxicity_chain(docs, labels))
 
 
+def line_index(spark: SparkSession, docs: DataFrame) -> LineIndex:
+    """All documents in an index with references, as an index grows: half of the ids (by hash), then the
+    other half; the document with the smallest id is deleted and put back."""
+    half = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0
+    lines = docs.select("doc_id", "text")
+    index = LineIndex.create(spark).insert(lines.where(half)).insert(lines.where(~half))
+    first = docs.agg(F.min("doc_id").alias("doc_id"))
+    return index.delete(first).insert(lines.join(F.broadcast(first), "doc_id", "left_semi"))
+
+
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    index = LineIndex.create(spark).insert(docs, keep_refs=False)
-    return index.dedup(docs, counts=False)
+    return line_index(spark, docs).dedup(docs, counts=False)
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -67,6 +67,33 @@ def test_licenses(spark):
     assert scan_licenses(frame(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("head", [
+    "MIT License\n\nCopyright (c) 2020 A B\n\n", "The MIT License (MIT)\n\nCopyright © 2020 A\n", "(c) 2020 Foo\n", "© 2020 Foo\n",
+    "Copyright Foo 2020\n", "Copyright: 2020 Foo\n", "  The MIT Licence\n\n Copyright (C) <year> <name>\n\n", "Copyright [year] [name]\n",
+    "Copyright (c) 2019 A\nCopyright (c) 2020 B, C\nAll rights reserved.\n\n", "MIT LICENSE\n(C) 2001-2020 A B <a@b.c>\n"])
+def test_license_titles_and_copyright_lines(spark, head):
+    docs = frame(spark, [(1, head + TEXTS["MIT"]), (2, head + TEXTS["MIT"].replace("\n", " ").replace("(the", "( the"))])
+    assert {(r.doc_id, r.license_id) for r in scan_licenses(docs).collect()} == {(1, "MIT"), (2, "MIT")}
+
+
+def test_license_catalogue(spark):
+    """Long texts by digest, numbered lists with and without numbers, a catalogue of one's own."""
+    from tickforge.llm.licenses import DIGESTS
+    folder = "/usr/share/common-licenses"
+    names = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0",
+             "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0"}
+    assert set(names.values()) <= {k for k, _ in DIGESTS}
+    here = [(k, n) for k, n in enumerate(names) if os.path.exists(f"{folder}/{n}")]
+    rows = [(k, open(f"{folder}/{n}", encoding="utf-8", errors="replace").read()) for k, n in here]
+    bullets = TEXTS["BSD-3-Clause"].replace("1. ", "* ").replace("2. ", "* ").replace("3. ", "* ").replace("HOLDER OR", "OWNER OR")
+    rows += [(100, "BSD 3-Clause License\n\nCopyright (c) 2020, A\nAll rights reserved.\n\n" + bullets), (101, TEXTS["BSD-2-Clause"] + " x")]
+    got = {r.doc_id: r.license_id for r in scan_licenses(frame(spark, rows)).collect()}
+    assert got == {**{k: names[n] for k, n in here}, 100: "BSD-3-Clause", 101: None}
+    own = scan_licenses(frame(spark, [(1, "House rules apply."), (2, "x\nHouse note!")]), texts={"House": "House rules, apply"},
+                        notices=[("Note", "house note")]).collect()
+    assert {(r.doc_id, r.license_id, r.notice_ids) for r in own} == {(1, "House", ""), (2, None, "Note")}
+
+
 # --------------------------------------------------------------- 2 lines
 
 def brute_lines(rows, min_chars=10):

@@ -116,7 +116,8 @@ def _canonical_sql(text: str) -> str:
     t = f"regexp_replace({t}, '(^|\\n)[^a-z0-9\\n]*all rights reserved[^a-z0-9\\n]*(\\n|$)', '\\1', 'g')"
     for old, new in licenses.SPELLINGS:
         t = f"replace({t}, {_quoted(old)}, {_quoted(new)})"
-    return f"trim(regexp_replace({t}, {_quoted(licenses.PUNCTUATION)}, ' ', 'g'), ' ')"
+    t = f"trim(regexp_replace({t}, {_quoted(licenses.PUNCTUATION)}, ' ', 'g'), ' ')"
+    return f"regexp_replace({t}, {_quoted(licenses.TITLE)}, '')"
 
 
 def _values(pairs) -> str:
@@ -124,8 +125,9 @@ def _values(pairs) -> str:
 
 
 _OP1 = f"""
-WITH known AS (SELECT sha256({_canonical_sql('t')}) AS d, min(i) AS license_id
-               FROM (VALUES {_values(licenses.TEXTS.items())}) v(i, t) GROUP BY 1),
+WITH known AS (SELECT d, min(i) AS license_id FROM (
+  SELECT i, sha256({_canonical_sql('t')}) AS d FROM (VALUES {_values(licenses.known_texts())}) v(i, t)
+  UNION ALL SELECT * FROM (VALUES {_values(licenses.DIGESTS)}) v(i, d)) GROUP BY d),
 notices AS (SELECT sha256({_canonical_sql('t')}) AS d, min(i) AS i
             FROM (VALUES {_values(licenses.NOTICES)}) v(i, t) GROUP BY 1),
 lines AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents),

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tickforge.functions.exprs import MARKET_TZ, lenient_date
 from tickforge.functions.intervals import QUOTE_INTERVALS, interval_duration
 from tickforge.operators.bars import full_market_quote, keys_of, ltp_quote, ohlc_quote, wanted_bars
-from tickforge.operators.history import historical_data, history_to_today
+from tickforge.operators.history import Asked, historical_data, history_to_today
 from tickforge.operators.joins import broadcast_if_small
 from tickforge.operators.master import backfill_index_symbols, unify_masters
 from tickforge.operators.resolve import (
@@ -166,11 +166,16 @@ def historical_for_requests(requests: DataFrame, master: DataFrame, candles: Dat
     types = dict(candles.dtypes)
     probe = resolved.select("request_id", "pos", *[_request_column(c).cast(types[c]).alias(c) for c in keys], "from_date",
                             "to_date", "interval_name", "_interval")
+    # Resolved once: both levels of the range join and their day spans are read from the same rows.
+    checkpoint_root(requests.sparkSession)
+    probe = probe.checkpoint()
+    day = lenient_date(F.lit(str(today))) if today is not None else None
+    known = Asked(probe, day, extra[0] if extra and today is not None else None)
     item = ["request_id", "pos", "interval_name"]
     if today is not None and full_quotes is not None:
-        out = history_to_today(probe, candles, full_quotes, today, item, keys, extra, tz, days)
+        out = history_to_today(probe, candles, full_quotes, today, item, keys, extra, tz, days, known)
     else:
-        out = historical_data(probe, candles, key=keys, request_col=item, extra_keys=extra, days=days)
+        out = historical_data(probe, candles, key=keys, request_col=item, extra_keys=extra, days=days, known=known)
         if sort:
             out = out.repartition("request_id", "pos")
     if sort:

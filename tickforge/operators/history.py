@@ -30,6 +30,8 @@ def normalise_candle_time(candles: DataFrame, col: str = "datetime", tz: str = M
 def _as_date(v) -> Column:
     if isinstance(v, Column):
         return v
+    if v is None:
+        return F.lit(None).cast("date")
     if isinstance(v, (_dt.date, _dt.datetime)):
         v = v.strftime("%Y-%m-%d")
     return F.to_date(F.lit(v))
@@ -52,19 +54,35 @@ def _span(df: DataFrame, low: str, high: str) -> Column:
     return df.select(F.struct(F.min(low).alias("first"), F.max(high).alias("last"))).scalar()
 
 
-def _in_range(items: DataFrame, candles: DataFrame, keys: list[str], days=None) -> DataFrame:
+class Asked:
+    """What checkpointed items ask for, by one small job: the days that the short and the long ranges
+    span (None: there are none), and the values of a column among the items that end on ``day``."""
+
+    def __init__(self, items: DataFrame, day=None, series: str | None = None):
+        f, t = lenient_date("from_date"), lenient_date("to_date")
+        length = F.datediff(t, f)
+        short, long = (length >= 0) & (length < SHORT_DAYS), length >= SHORT_DAYS
+        due = F.collect_set(F.when(t == day, F.col(series))) if series else F.lit(None)
+        r = items.agg(*[F.struct(F.min(F.when(c, f)), F.max(F.when(c, t))).alias(n) for c, n in ((short, "short"), (long, "long"))],
+                      due.alias("due")).first()
+        self.short, self.long = ((tuple(x) if x[0] is not None else None) for x in (r.short, r.long))
+        self.due = r.due or []
+
+
+def _in_range(items: DataFrame, candles: DataFrame, keys: list[str], days=None, known: Asked | None = None) -> DataFrame:
     """``items`` (columns ``_from``, ``_to``) with the candles of their instrument and range.
 
     A range of up to ``SHORT_DAYS`` days becomes a row per day and is joined on ``(key, day)``; a longer
     one a row per month -- clipped to the days that the candles have (``days``, else their first and
     last) -- joined on ``(key, month)`` with the range as a residual condition.  Each of the two scans only
     the days between the first and last that its items ask for, so one without items reads nothing, and a
-    table stored by day is pruned to the days of the join as well.
+    table stored by day is pruned to the days of the join as well.  Where these days are ``known`` they are
+    constants, and a side without items is left out.
     """
-    if days is None:
+    if days is None and not (known and known.long is None):
         span = _span(candles, "trade_date", "trade_date")
         days = (span.getField("first"), span.getField("last"))
-    low, high = (_as_date(d) for d in days)
+    low, high = (_as_date(d) for d in days or (None, None))
     length = F.datediff("_to", "_from")
     short, long = items.where((length >= 0) & (length < SHORT_DAYS)), items.where(length >= SHORT_DAYS)
     near = short.withColumn("_unit", F.explode(F.sequence("_from", "_to")))
@@ -74,8 +92,15 @@ def _in_range(items: DataFrame, candles: DataFrame, keys: list[str], days=None)
     far = long.withColumn("_unit", F.explode(F.when(low.isNotNull() & high.isNotNull(), months)))
     out = None
     for side, asked, unit in ((near, short, F.col("_c_trade_date")), (far, long, F.trunc("_c_trade_date", "MM"))):
-        asked = _span(asked, "_from", "_to")
-        c = candles.where(F.col("trade_date").between(asked.getField("first"), asked.getField("last")))
+        if known is None:
+            asked = _span(asked, "_from", "_to")
+            first, last = asked.getField("first"), asked.getField("last")
+        else:
+            span = known.short if side is near else known.long
+            if span is None and not (side is far and out is None):
+                continue
+            first, last = (_as_date(x) for x in span or (None, None))
+        c = candles.where(F.col("trade_date").between(first, last))
         c = c.select(*[F.col(x).alias(f"_c_{x}") for x in dict.fromkeys([*keys, "trade_date", *CANDLE_COLUMNS, *(
             x for x in candles.columns if x.startswith("_"))])])
         cond = F.col("_unit") == unit
@@ -93,7 +118,7 @@ def _in_range(items: DataFrame, candles: DataFrame, keys: list[str], days=None)
 def historical_data(requests: DataFrame, candles: DataFrame, key: str | list[str] | None = None,
                     from_col: str = "from_date", to_col: str = "to_date",
                     request_col: str | list[str] = "request_id", extra_keys: tuple[str, ...] = (),
-                    days=None) -> DataFrame:
+                    days=None, known: Asked | None = None) -> DataFrame:
     """Per request, the candles of its instrument with ``from <= trade_date <= to``.
 
     ``key`` names the instrument's columns (by default what identifies one in ``candles``).  A range
@@ -108,7 +133,7 @@ def historical_data(requests: DataFrame, candles: DataFrame, key: str | list[str
     keys, carry = keys_of(candles, key), key_columns(request_col)
     items = requests.select(*carry, *keys, *extra_keys, lenient_date(from_col).alias("_from"),
                             lenient_date(to_col).alias("_to"))
-    met = _in_range(items, candles, [*keys, *extra_keys], days)
+    met = _in_range(items, candles, [*keys, *extra_keys], days, known)
     return met.select(*carry, *keys, *[F.col(f"_c_{c}").alias(c) for c in CANDLE_COLUMNS])
 
 
@@ -123,7 +148,7 @@ def _quote_candles(full_quotes: DataFrame, keys: list[str], tz: str) -> DataFram
 
 def history_to_today(items: DataFrame, candles: DataFrame, full_quotes: DataFrame, today,
                      item_cols: list[str], key: str | list[str] | None = None, extra_keys: tuple[str, ...] = (),
-                     tz: str = MARKET_TZ, days=None) -> DataFrame:
+                     tz: str = MARKET_TZ, days=None, known: Asked | None = None) -> DataFrame:
     """``historical_data`` per item, with today's bar from the full quote where it is due (O18 + O19).
 
     ``items`` carry ``item_cols`` (what makes an item, e.g. request and position), key columns,
@@ -138,14 +163,15 @@ def history_to_today(items: DataFrame, candles: DataFrame, full_quotes: DataFram
     quoted = _quote_candles(full_quotes, keys, tz).withColumns({"trade_date": day, "_quoted": F.lit(True)})
     for c in extra_keys:
         # A quote has no interval: it stands for today's bar at each that is asked for.
-        asked = items.where(lenient_date("to_date") == day).select(F.collect_set(c)).scalar()
+        asked = (items.where(lenient_date("to_date") == day).select(F.collect_set(c)).scalar() if known is None
+                 else F.array(*[F.lit(x) for x in known.due]).cast("array<string>"))
         quoted = quoted.withColumn(c, F.explode(asked))
     rows = items.select(*item_cols, *[c for c in (*keys, *extra_keys) if c not in item_cols],
                         lenient_date("from_date").alias("_from"), lenient_date("to_date").alias("_to"))
-    if days is None:
+    if days is None and not (known and known.long is None):
         days = _span(candles, "trade_date", "trade_date")
         days = (days.getField("first"), F.greatest(days.getField("last"), day))
-    met = _in_range(rows, marked.unionByName(quoted), [*keys, *extra_keys], days)
+    met = _in_range(rows, marked.unionByName(quoted), [*keys, *extra_keys], days, known)
     met = met.where(~F.col("_c__quoted") | (F.col("_to") == day))
     item = Window.partitionBy(*item_cols, "_from", "_to", *[c for c in (*keys, *extra_keys) if c not in item_cols])
     own = ~F.col("_c__quoted")

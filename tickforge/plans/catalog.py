@@ -444,8 +444,10 @@ def q_full_quote_for_requests(spark, d):
 
 
 def _history_job(spark, d):
+    path = staging.staging_dir(spark, "candles")
+    write_candles(V.exchange_candles_view(spark, d), path)
     return E.historical_for_requests(V.history_service_requests_view(spark, d), V.listed_master_view(spark, d),
-                                     V.exchange_candles_view(spark, d), full_market_quote(V.exchange_ticks_view(spark, d)),
+                                     spark.read.parquet(path), full_market_quote(V.exchange_ticks_view(spark, d)),
                                      V.TODAY, intervals=["day", "30minute"])
 
 

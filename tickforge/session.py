@@ -23,6 +23,8 @@ BASE_CONF = {
     # A join deals its sides out by all of its keys; keep_buckets() changes that for a session.
     "spark.sql.requireAllClusterKeysForCoPartition": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Rows of any width reach Python workers in batches of bounded memory.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
     "spark.ui.enabled": "false",
     # Checkpoint files go when nothing refers to their rows any more.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",

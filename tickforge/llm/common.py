@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tickforge.session import checkpoint_root
 
 # Bytes of text handled by one numpy pass inside a task; bounds its scratch memory.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 
 _U64 = np.uint64
 

@@ -40,17 +40,17 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickforge.llm.common import mix, ship, utf8
+from tickforge.llm.common import blocks, mix, ship, utf8
 from tickforge.session import staging_dir
 
 #: Window starts handled by one numpy pass.
-PASS = 1 << 19
+PASS = 1 << 18
 #: Cells of the bitmaps (8 MB).
 CELLS = 1 << 26
 #: Tasks that the members of one bucket are dealt over when they are joined with it.
 _SALTS = 16
 #: Anchors folded together in a task before they are passed on.
-FOLD = 400_000
+FOLD = 200_000
 
 _BASE = 0x9E3779B97F4A7C15
 _U = np.uint64
@@ -115,17 +115,10 @@ def anchors(raw: np.ndarray, offs: np.ndarray, length: int) -> Iterator[tuple[np
         yield a[first] + s, a[first] - start[last], a[first] - start[first], h[a[first]].view(np.int64)
 
 
-def _text_rows(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    text = batch.column("text")
-    raw, offs = utf8(pc.fill_null(text, ""))
-    return raw, offs, batch.column("tid").to_numpy(zero_copy_only=False)
-
-
 def _bucket_keys(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            raw, offs, _ = _text_rows(batch)
-            for *_, h in anchors(raw, offs, length):
+        for _, text in blocks(batches, "text"):
+            for *_, h in anchors(*utf8(text), length):
                 key, n = np.unique(h, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.minimum(n, 2).astype(np.int32))], ["key", "w"])
     return run
@@ -214,8 +207,9 @@ def _members(length: int, words):
     """The anchors of marked buckets, with the identifier of their whole run."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks, folder = words.value, _Folder(length)
-        for batch in batches:
-            raw, offs, tids = _text_rows(batch)
+        for rows, text in blocks(batches, "text"):
+            raw, offs = utf8(text)
+            tids = rows.column("tid").to_numpy(zero_copy_only=False)
             for at, lo, hi, h in anchors(raw, offs, length):
                 here = _marked(marks, h)
                 at, lo, hi, h = at[here], lo[here], hi[here], h[here]
@@ -257,20 +251,28 @@ def _chosen_texts(words):
     return run
 
 
+def _lists(column: pa.Array) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """Offsets and fields of a column of lists of structs without NULL structs, as arrays."""
+    offs = column.offsets.to_numpy()
+    flat = column.values.slice(offs[0], offs[-1] - offs[0])
+    return offs - offs[0], {f.name: flat.field(f.name).to_numpy(zero_copy_only=False) for f in flat.type}
+
+
 def _contexts(length: int):
     """The bytes of every chosen anchor's run, cut from its text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            raw, offs, tids = _text_rows(batch)
-            for i, nodes in enumerate(batch.column("nodes").to_pylist()):
-                text = raw[offs[i]:offs[i + 1]]
-                cols = [[x[c] for x in nodes] for c in ("inner", "m", "a", "lo", "hi")]
-                ctx = [text[x["a"] - x["hi"]:x["a"] - x["lo"] + length].tobytes() for x in nodes]
-                n = len(nodes)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([int(tids[i])] * n, pa.int64()), pa.array([len(text)] * n, pa.int32()),
-                     *(pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()))),
-                     pa.array(ctx, pa.binary())], names=["tid", "len", "inner", "m", "a", "lo", "hi", "ctx"])
+        for rows, text in blocks(batches, "text"):
+            raw, offs = utf8(text)
+            cuts, node = _lists(rows.column("nodes"))
+            of = np.repeat(np.arange(len(text)), np.diff(cuts))
+            start = offs[of] + node["a"] - node["hi"]
+            end = offs[of] + node["a"] - node["lo"] + length
+            ctx = [raw[x:y].tobytes() for x, y in zip(start.tolist(), end.tolist())]
+            tids = rows.column("tid").to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(tids[of]), pa.array((offs[of + 1] - offs[of]).astype(np.int32)),
+                 *(pa.array(node[c]) for c in ("inner", "m", "a", "lo", "hi")), pa.array(ctx, pa.binary())],
+                names=["tid", "len", "inner", "m", "a", "lo", "hi", "ctx"])
     return run
 
 
@@ -449,25 +451,26 @@ def keyed(docs: DataFrame, text_col: str) -> DataFrame:
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        raw, offs = utf8(pc.fill_null(batch.column("__text"), ""))
+    for rows, text in blocks(batches, "__text"):
+        raw, offs = utf8(text)
+        cuts, ranges = _lists(pc.fill_null(rows.column("ranges"), []))
         kept, removed, spans = [], [], []
-        for i, ranges in enumerate(batch.column("ranges").to_pylist()):
-            text = raw[offs[i]:offs[i + 1]]
-            if not ranges:
-                kept.append(text.tobytes())
+        for i in range(len(text)):
+            part = raw[offs[i]:offs[i + 1]]
+            lo, hi = (ranges[c][cuts[i]:cuts[i + 1]].astype(np.int64) for c in ("lo", "hi"))
+            if not len(lo):
+                kept.append(part.tobytes())
                 removed.append(0)
                 spans.append(0)
                 continue
-            pairs = np.array(sorted((x["lo"], x["hi"]) for x in ranges), np.int64)
-            s, e = _merged(pairs[:, 0], pairs[:, 1])
-            edges = np.concatenate(([0], np.column_stack((s, e)).ravel(), [len(text)])).reshape(-1, 2)
-            kept.append(b"".join(text[x:y].tobytes() for x, y in edges.tolist()))
+            order = np.lexsort((hi, lo))
+            s, e = _merged(lo[order], hi[order])
+            edges = np.concatenate(([0], np.column_stack((s, e)).ravel(), [len(part)])).reshape(-1, 2)
+            kept.append(b"".join(part[x:y].tobytes() for x, y in edges.tolist()))
             removed.append(int((e - s).sum()))
             spans.append(len(s))
-        keep = [batch.column(i) for i, c in enumerate(batch.schema.names) if c not in ("__text", "ranges")]
-        names = [c for c in batch.schema.names if c not in ("__text", "ranges")]
-        yield pa.RecordBatch.from_arrays([*keep, pa.array(kept, pa.binary()), pa.array(removed, pa.int64()),
+        names = [c for c in rows.schema.names if c not in ("__text", "ranges")]
+        yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in names), pa.array(kept, pa.binary()), pa.array(removed, pa.int64()),
                                           pa.array(spans, pa.int64())], names=[*names, "kept", "n_removed", "n_spans"])
 
 

@@ -24,7 +24,7 @@ HEADLINE = [
     "historical", "today_backfill", "chunk_coverage", "key_batches_750", "date_chunks",
     "candles_parsed", "ltp_for_requests", "full_quote_for_requests", "historical_for_requests",
     "stream_bars", "master_a_csv", "master_json", "requests_json", "candles_written", "master_written",
-    "ohlc_for_requests",
+    "ohlc_for_requests", "candles_saved", "historical_stored", "bars_day_rolled",
 ]
 
 

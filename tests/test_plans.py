@@ -71,16 +71,11 @@ def test_month_probes_follow_the_candles(spark):
     items = spark.sql("SELECT 1L AS request_id, 1L AS exchange_token, DATE'0001-01-01' AS from_date, DATE'9999-12-31' AS to_date")
     df = history.historical_data(items, candles)
     assert df.count() == 60
-    seen = []
-    original = history.broadcast_if_small
-    history.broadcast_if_small = lambda side: seen.append(side) or original(side)
-    try:
-        history.historical_data(items, candles)
-        assert [x.count() for x in seen] == [0, 3]
-        seen.clear()
-        assert history.historical_data(items, candles.limit(0)).count() == 0 and seen[1].count() == 0
-    finally:
-        history.broadcast_if_small = original
+    asked = items.selectExpr("from_date AS _from", "to_date AS _to")
+    near, far = history._probes(asked, *(F.lit(x).cast("date") for x in ("2024-01-20", "2024-03-19")))
+    assert (near.count(), far.count()) == (0, 3)
+    assert history._probes(asked, *[F.lit(None).cast("date")] * 2)[1].count() == 0
+    assert history.historical_data(items, candles.limit(0)).count() == 0
 
 
 def test_coverage_spreads_no_days(spark):

@@ -112,6 +112,9 @@ def full_quote_for_requests(requests: DataFrame, master: DataFrame, ticks: DataF
     """``POST /full-mkt-quote`` over a request table."""
     key = keys_of(ticks, tick_key)
     resolved, rejects = resolve_instruments(requests, master)
+    # Resolved once: two passes over the ticks and the answer read it.
+    checkpoint_root(requests.sparkSession)
+    resolved = resolved.checkpoint()
     q = full_market_quote(_requested_ticks(resolved, ticks, key), key=key, since=since)
     return _attach(resolved, q, key), rejects
 

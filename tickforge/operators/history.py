@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from tickforge.functions.exprs import MARKET_TZ, format_local, lenient_date
 from tickforge.operators.bars import key_columns, keys_of
-from tickforge.operators.joins import broadcast_if_small
 from tickforge.schemas import CANDLE_COLUMNS
 
 
@@ -69,6 +68,20 @@ class Asked:
         self.due = r.due or []
 
 
+def _probes(items: DataFrame, low: Column, high: Column) -> tuple[DataFrame, DataFrame]:
+    """Ranges of up to ``SHORT_DAYS`` days as a row per day, longer ones as a row per month of
+    [low, high]; the day or month is ``_unit``."""
+    length = F.datediff("_to", "_from")
+    near = (items.where((length >= 0) & (length < SHORT_DAYS))
+            .withColumn("_unit", F.explode(F.sequence("_from", "_to"))))
+    first, last = F.greatest("_from", low), F.least("_to", high)
+    months = F.when(first <= last, F.sequence(F.trunc(first, "MM"), last, F.expr("INTERVAL 1 MONTH")))
+    # A table without candles has no days to clip to; then there is nothing to ask for.
+    far = (items.where(length >= SHORT_DAYS)
+           .withColumn("_unit", F.explode(F.when(low.isNotNull() & high.isNotNull(), months))))
+    return near, far
+
+
 def _in_range(items: DataFrame, candles: DataFrame, keys: list[str], days=None, known: Asked | None = None) -> DataFrame:
     """``items`` (columns ``_from``, ``_to``) with the candles of their instrument and range.
 
@@ -83,13 +96,9 @@ def _in_range(items: DataFrame, candles: DataFrame, keys: list[str], days=None,
         span = _span(candles, "trade_date", "trade_date")
         days = (span.getField("first"), span.getField("last"))
     low, high = (_as_date(d) for d in days or (None, None))
+    near, far = _probes(items, low, high)
     length = F.datediff("_to", "_from")
     short, long = items.where((length >= 0) & (length < SHORT_DAYS)), items.where(length >= SHORT_DAYS)
-    near = short.withColumn("_unit", F.explode(F.sequence("_from", "_to")))
-    first, last = F.greatest("_from", low), F.least("_to", high)
-    months = F.when(first <= last, F.sequence(F.trunc(first, "MM"), last, F.expr("INTERVAL 1 MONTH")))
-    # A table without candles has no days to clip to; then there is nothing to ask for.
-    far = long.withColumn("_unit", F.explode(F.when(low.isNotNull() & high.isNotNull(), months)))
     out = None
     for side, asked, unit in ((near, short, F.col("_c_trade_date")), (far, long, F.trunc("_c_trade_date", "MM"))):
         if known is None:
@@ -108,9 +117,9 @@ def _in_range(items: DataFrame, candles: DataFrame, keys: list[str], days=None,
             cond = cond & (F.col(k) == F.col(f"_c_{k}"))
         if side is far:
             cond = cond & F.col("_c_trade_date").between(F.col("_from"), F.col("_to"))
-        # The probe's size estimate ignores the explode, so broadcast_if_small
-        # declines it: AQE picks broadcast or sort-merge from the measured size.
-        met = broadcast_if_small(side).join(c, cond).drop("_unit")
+        # The probe's size estimate ignores the explode and is no bound: AQE picks broadcast or
+        # sort-merge from the measured size.
+        met = side.join(c, cond).drop("_unit")
         out = met if out is None else out.unionByName(met)
     return out
 

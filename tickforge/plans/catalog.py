@@ -24,7 +24,7 @@ from tickforge.operators.history import normalise_candle_time
 from tickforge.operators.joins import broadcast_if_small
 from tickforge.operators.master import UNIFIED_COLUMNS
 from tickforge.plans import staging, views as V
-from tickforge.session import keep_buckets
+from tickforge.session import checkpoint_root, keep_buckets
 from tickforge.sinks import (
     BarStore, list_master, request_status, save_candles, write_candles, write_master, write_ticks,
 )
@@ -444,10 +444,10 @@ def q_full_quote_for_requests(spark, d):
 
 
 def _history_job(spark, d):
-    path = staging.staging_dir(spark, "candles")
-    write_candles(V.exchange_candles_view(spark, d), path)
+    # Candles are a table: made once here, not once per pass over them.
+    checkpoint_root(spark)
     return E.historical_for_requests(V.history_service_requests_view(spark, d), V.listed_master_view(spark, d),
-                                     spark.read.parquet(path), full_market_quote(V.exchange_ticks_view(spark, d)),
+                                     V.exchange_candles_view(spark, d).checkpoint(), full_market_quote(V.exchange_ticks_view(spark, d)),
                                      V.TODAY, intervals=["day", "30minute"])
 
 

@@ -329,7 +329,9 @@ def keep_one_per_group(docs: DataFrame, shingle: int = 3, max_bits: int = 3, id_
     fps = reliable(_row_fingerprints(rows.where(F.col(doc).isNotNull()), shingle, doc, text))
     by_fp = _groups(fps, max_bits).select("fp", "component")
     order = F.struct("doc_id", "text_hash", "row_hash", "row")
-    first = fps.join(by_fp, "fp").groupBy("component").agg(F.min(order).alias("o")).select(F.col("o.row").alias("row"))
+    # Copies are folded per fingerprint before they are joined with its group.
+    best = fps.groupBy("fp").agg(F.min(order).alias("o"))
+    first = best.join(by_fp, "fp").groupBy("component").agg(F.min("o").alias("o")).select(F.col("o.row").alias("row"))
     kept = rows.join(first, "row", "left_semi").unionByName(rows.where(F.col(doc).isNull()))
     return kept.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])
 

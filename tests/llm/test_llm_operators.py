@@ -7,11 +7,13 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickforge.llm import tokens as tokens_module
 from tickforge.llm.chat import chat_digests, format_chats, read_chats
 from tickforge.llm.common import connected_components
 from tickforge.llm.decontam import contamination, drop_contaminated
@@ -434,6 +436,30 @@ def test_packing(spark):
     assert pack(frame(spark, []), paths.path("word_bpe_49k.json"), 64).count() == 0
 
 
+def test_words_are_learned_by_piece(monkeypatch):
+    """Forms of a word share one remembered piece; ids stay the library's, also as the memory runs full."""
+    path = paths.path("word_bpe_49k.json")
+    encoder = tokens_module.WordEncoder(path)
+    encoder.ids(pa.array(["Word word, (WORD) word's word.", "'word' word!\nword\t\"Word\""]))
+    assert set(encoder.place) <= {"", "word", ",", "(", ")", "'s", ".", "'", "!", '"'}
+
+    lib = tokenizers.Tokenizer.from_file(path)
+    rng = np.random.default_rng(8)
+    bits = ["'s", "'S", "'RE", "'r", "'", "\"'ll", "don't", "Word", "WORD", "z", ",", "...", "12", "0", "é", "e\u0301", "H\u0331",
+            "\u212a", "\u017f", "İ", "I\u0307", "\u0338", "=", "<", "<|endoftext|>", "<|ENDOFTEXT|>", "</w>", "\x00", "\x07", "\x0b",
+            "\x1c", "\x7f", "\xa0", "ß", "中文", "_", "^", "~", "!", "\\0"]
+    glue = [" ", "", "", "\n", "\t", "\r\n", "  "]
+    texts = ["".join(bits[b] + glue[g] for b, g in zip(rng.integers(0, len(bits), n), rng.integers(0, len(glue), n)))
+             for n in rng.integers(0, 25, 600)]
+    for room in (1_000_000, 100):
+        monkeypatch.setattr(tokens_module, "_CACHE_WORDS", room)
+        encoder = tokens_module.WordEncoder(path)
+        for at in range(0, len(texts), 100):
+            ids, first = encoder.ids(pa.array(["cut off", *texts[at:at + 100]]).slice(1))
+            for k, text in enumerate(texts[at:at + 100]):
+                assert ids[first[k]:first[k + 1]].tolist() == lib.encode(text, add_special_tokens=False).ids, text
+
+
 # --------------------------------------------------------------- 7 token counts
 
 def test_token_counts(spark):

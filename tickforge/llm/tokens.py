@@ -21,7 +21,10 @@ Nulls: a NULL text is empty.  Rows that share a ``doc_id`` are counted separatel
 
 from __future__ import annotations
 
+import itertools
+import json
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -46,17 +49,46 @@ def _library(path: str):
     return Tokenizer.from_file(path)
 
 
+# A normalizer and a split that, within a word of printable ASCII, only lower-case it and cut it where the pattern says.
+_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+_PRE_TOKENIZERS = [
+    {"type": "Split", "pattern": {"Regex": _SPLIT}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
+# The same split for lower-cased printable ASCII.
+_PIECES = "'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+"
+
+
+def _plain_library(path: str, library):
+    """The library with the same model for pieces already lower-cased and cut, or None for other normalizers and splits."""
+    with open(path, encoding="utf-8") as f:
+        said = json.load(f)
+    if ((said["normalizer"] or {}).get("normalizers") != _NORMALIZERS
+            or (said["pre_tokenizer"] or {}).get("pretokenizers") != _PRE_TOKENIZERS):
+        return None
+    from tokenizers import Tokenizer
+    from tokenizers.pre_tokenizers import WhitespaceSplit
+    plain = Tokenizer(library.model)
+    plain.pre_tokenizer = WhitespaceSplit()
+    return plain
+
+
 class WordEncoder:
     """Ids of texts whose tokenizer drops white space: every word is encoded on its own.
 
-    The distinct words of a block that are not in the worker's memory are encoded
-    together, separated by a control character standing as a word of its own; a word that
-    holds that character, or any text in which the character's id is ambiguous, is
+    A word of printable ASCII is lower-cased and cut into the pieces that the tokenizer's
+    pattern makes of it ("Word," is "word" and ","), and a worker remembers pieces; a word
+    with any other character or a special string is one piece, marked as ``WHOLE``.  The
+    distinct pieces of a block that are not in the worker's memory are encoded together.
+    Whole words are separated by a control character standing as a word of its own; a word
+    that holds that character, or any text in which the character's id is ambiguous, is
     encoded alone.
     """
 
     _made: dict[str, WordEncoder] = {}
     MARK = "\x07"
+    WHOLE = "\n"
 
     @classmethod
     def shared(cls, path: str) -> WordEncoder:
@@ -66,27 +98,38 @@ class WordEncoder:
 
     def __init__(self, path: str):
         self.library = _library(path)
+        self.plain = _plain_library(path, self.library)
+        specials = [re.escape(t.content.lower()) for t in self.library.get_added_tokens_decoder().values()]
+        self.odd = "|".join(["[^!-~]", *specials])      # in a lower-cased word
         ids = self.library.encode(self.MARK, add_special_tokens=False).ids
         self.mark = ids[0] if len(ids) == 1 else None
-        self.place: dict[str, int] = {}     # word -> its number
-        self.first = np.zeros(1, np.int64)  # where each word's ids start, and their end
+        self.place: dict[str, int] = {"": 0}    # piece -> its number
+        self.first = np.zeros(2, np.int64)  # where each piece's ids start, and their end
         self.pool = np.zeros(0, np.uint32)
         self.chars = 0
 
-    def _forget_but(self, words: list[str]) -> None:
-        """Make room, keeping the given words where known: those seen now are the likeliest to come again."""
-        kept = [w for w in words if w in self.place]
-        old = np.fromiter((self.place[w] for w in kept), np.int64, len(kept))
+    def _forget_but(self, pieces: list[str]) -> None:
+        """Make room, keeping the given pieces where known: those seen now are the likeliest to come again."""
+        kept = ["", *(p for p in pieces if p and p in self.place)]
+        old = np.fromiter((self.place[p] for p in kept), np.int64, len(kept))
         start, n = self.first[old], self.first[old + 1] - self.first[old]
         self.first = np.concatenate(([0], np.cumsum(n)))
         self.pool = self.pool[np.arange(self.first[-1]) + np.repeat(start - self.first[:-1], n)]
-        self.place = {w: i for i, w in enumerate(kept)}
+        self.place = {p: i for i, p in enumerate(kept)}
         self.chars = sum(map(len, kept))
 
-    def _learn(self, words: list[str]) -> None:
+    def _learn(self, pieces: list[str]) -> None:
+        plain = [p for p in pieces if p[0] != self.WHOLE]
+        words = [p[1:] for p in pieces if p[0] == self.WHOLE]
         together = [w for w in words if self.mark is not None and self.MARK not in w]
         alone = [w for w in words if self.mark is None or self.MARK in w]
         parts, counts = [], []
+        groups = [plain[i:i + _GROUP] for i in range(0, len(plain), _GROUP)]
+        if groups:
+            encoded = self.plain.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)
+            for group, enc in zip(groups, encoded):
+                parts.append(np.array(enc.ids, dtype=np.uint32))
+                counts.append(np.bincount(np.array(enc.word_ids, dtype=np.int64), minlength=len(group)))
         groups = [together[i:i + _GROUP] for i in range(0, len(together), _GROUP)]
         sep = f" {self.MARK} "
         encoded = self.library.encode_batch_fast([sep.join(g) for g in groups], add_special_tokens=False)
@@ -102,34 +145,57 @@ class WordEncoder:
         for w, enc in zip(alone, self.library.encode_batch_fast(alone, add_special_tokens=False)):
             parts.append(np.array(enc.ids, dtype=np.uint32))
             counts.append(np.array([len(enc.ids)]))
-        n = len(self.place)
-        for k, w in enumerate([w for g in groups for w in g] + alone):
-            self.place[w] = n + k
-        if parts:
-            self.pool = np.concatenate([self.pool, *parts])
-            self.first = np.concatenate((self.first, self.first[-1] + np.cumsum(np.concatenate(counts))))
+        whole = [self.WHOLE + w for w in [*(w for g in groups for w in g), *alone]]
+        self.place.update(zip(plain + whole, range(len(self.place), len(self.place) + len(pieces))))
+        self.pool = np.concatenate([self.pool, *parts])
+        self.first = np.concatenate((self.first, self.first[-1] + np.cumsum(np.concatenate(counts))))
+
+    def _numbers(self, pieces: np.ndarray) -> np.ndarray:
+        """The number of each piece, -1 if it is not known."""
+        return np.fromiter(map(self.place.get, pieces, itertools.repeat(-1)), np.int64, len(pieces))
+
+    def _cut(self, words: pa.Array) -> pa.ListArray:
+        """The pieces of each word, with empty ones between."""
+        whole = pc.binary_join_element_wise(self.WHOLE, words, "")
+        if self.plain is None:
+            return pc.split_pattern(whole, " ")
+        low = pc.ascii_lower(words)
+        odd = pc.match_substring_regex(low, self.odd)
+        return pc.split_pattern(pc.if_else(odd, whole, pc.replace_substring_regex(low, _PIECES, "\\0 ")), " ")
+
+    def _word_ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of distinct words one after another, and the n + 1 places where words begin."""
+        pieces = self._cut(words)
+        coded = pieces.flatten().dictionary_encode()
+        names = coded.dictionary.to_numpy(zero_copy_only=False)
+        number = self._numbers(names)
+        new = names[number < 0]
+        if len(new):
+            if len(self.place) + len(new) > _CACHE_WORDS or self.chars > _CACHE_CHARS:
+                self._forget_but(names.tolist())
+                number = self._numbers(names)
+            self._learn(new.tolist())
+            number[number < 0] = self._numbers(new)
+            self.chars += sum(map(len, new))
+        ids, first = _runs(self.pool, self.first, number[coded.indices.to_numpy()])
+        return ids, first[np.asarray(pieces.offsets)]
 
     def ids(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts one after another, and the n + 1 places where texts begin."""
         spaced = pc.replace_substring_regex(text, "[\\t\\n\\r]", " ") if _has(text, "[\\t\\n\\r]") else text
         words = pc.split_pattern(spaced, " ")
         offsets = np.asarray(words.offsets).astype(np.int64)
-        offsets = offsets - offsets[0]
         coded = words.flatten().dictionary_encode()
-        names = coded.dictionary.to_pylist()
-        new = [w for w in names if w not in self.place]
-        if new:
-            if len(self.place) + len(new) > _CACHE_WORDS or self.chars > _CACHE_CHARS:
-                self._forget_but(names)
-            self._learn(new)
-            self.chars += sum(map(len, new))
-        number = np.fromiter(map(self.place.__getitem__, names), np.int64, len(names))
-        index = number[coded.indices.to_numpy()] if len(names) else np.zeros(0, np.int64)
-        start = self.first[index]
-        n = self.first[index + 1] - start
-        total = np.concatenate(([0], np.cumsum(n)))
-        at = np.arange(total[-1]) + np.repeat(start - total[:-1], n)
-        return self.pool[at], total[offsets]
+        ids, first = _runs(*self._word_ids(coded.dictionary), coded.indices.to_numpy())
+        return ids, first[offsets - offsets[0]]
+
+
+def _runs(pool: np.ndarray, first: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of ``pool`` with these numbers one after another, and the n + 1 places where they begin."""
+    start = first[number]
+    n = first[number + 1] - start
+    total = np.concatenate(([0], np.cumsum(n)))
+    return pool[np.arange(total[-1]) + np.repeat(start - total[:-1], n)], total
 
 
 def _has(text: pa.Array, pattern: str) -> bool:
